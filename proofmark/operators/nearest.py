@@ -41,20 +41,19 @@ def nearest(
     """
     by = list(by)
     keys = [*by, "slot"]
-    line = (
+    extremes = [
+        *([F.min("measure").alias("lo")] if forward else []),
+        *([F.max("measure").alias("hi")] if backward else []),
+    ]
+    rows = (
         facts.select(*by, F.col("at").cast("long").alias("at"), "measure", F.lit(False).alias("is_point"))
         .unionByName(
             points.select(*by, F.col("at").cast("long").alias("at"), F.lit(True).alias("is_point")),
             allowMissingColumns=True,
         )
         .withColumn("slot", slot_of(F.col("at"), width))
-        .groupBy(*keys, "at")
-        .agg(
-            *([F.min("measure").alias("lo")] if forward else []),
-            *([F.max("measure").alias("hi")] if backward else []),
-            F.max("is_point").alias("is_point"),
-        )
     )
+    line = rows.groupBy(*keys, "at").agg(*extremes, F.max("is_point").alias("is_point"))
 
     def running(part, order, first, to):
         return Window.partitionBy(*part).orderBy(order).rowsBetween(first, to)
@@ -69,11 +68,8 @@ def nearest(
     if width is None:
         return found.drop("slot")
 
-    per_slot = line.groupBy(*keys).agg(
-        *([F.min("lo").alias("lo")] if forward else []),
-        *([F.max("hi").alias("hi")] if backward else []),
-    )
-    carried = per_slot
+    # Straight from the rows: one small shuffle after the map-side combine instead of a second full one.
+    carried = rows.groupBy(*keys).agg(*extremes)
     if forward:
         carried = carried.withColumn("later", F.min("lo").over(running(by, F.desc("slot"), begin, -1)))
     if backward:
@@ -90,20 +86,18 @@ def running_count(facts: DataFrame, by: Sequence[str], width: int | None) -> Dat
     """``(*by, at, before, count)``: how many facts lie before and up to each distinct time."""
     by = list(by)
     keys = [*by, "slot"]
-    line = (
-        facts.select(*by, F.col("at").cast("long").alias("at"))
-        .withColumn("slot", slot_of(F.col("at"), width))
-        .groupBy(*keys, "at")
-        .agg(F.count(F.lit(1)).alias("n"))
+    rows = facts.select(*by, F.col("at").cast("long").alias("at")).withColumn(
+        "slot", slot_of(F.col("at"), width)
     )
+    line = rows.groupBy(*keys, "at").agg(F.count(F.lit(1)).alias("n"))
     begin = Window.unboundedPreceding
     inside = line.withColumn(
         "count", F.sum("n").over(Window.partitionBy(*keys).orderBy("at").rowsBetween(begin, Window.currentRow))
     )
     if width is not None:
         carried = (
-            line.groupBy(*keys)
-            .agg(F.sum("n").alias("n"))
+            rows.groupBy(*keys)
+            .agg(F.count(F.lit(1)).alias("n"))
             .withColumn(
                 "earlier", F.sum("n").over(Window.partitionBy(*by).orderBy("slot").rowsBetween(begin, -1))
             )

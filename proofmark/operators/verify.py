@@ -118,7 +118,11 @@ def _prepared(expectations: DataFrame) -> DataFrame:
     )
 
 
-def _facts(messages: DataFrame) -> DataFrame:
+def _measure() -> Column:
+    return F.struct(micros("ts").alias("at"), "offset", "event_type", "calls", "value").alias("measure")
+
+
+def _by_predicate(messages: DataFrame) -> DataFrame:
     """Each message under every predicate it can satisfy, the empty one included."""
     t, c = F.col("event_type"), F.col("calls")
     none_t, none_c = F.lit(None).cast("string"), F.lit(None).cast("int")
@@ -134,37 +138,31 @@ def _facts(messages: DataFrame) -> DataFrame:
             F.when(t.isNotNull() & c.isNotNull(), variant(BOTH_TESTS, t, c)),
         )
     )
-    at = micros("ts").alias("at")
-    return messages.select(
-        "topic",
-        "key",
-        at,
-        F.struct(at, "offset", "event_type", "calls", "value").alias("measure"),
-        F.inline(variants),
-    )
+    return messages.select("topic", "key", micros("ts").alias("at"), _measure(), F.inline(variants))
 
 
-def _answered(e: DataFrame, facts: DataFrame, by: Sequence[str], slot_ms: int) -> DataFrame:
-    """Adds ``hit`` (first fitting message) and ``seen`` (last message) of the window to each row."""
-    by = list(by)
-    place = [c for c in by if c not in ("asked", "token")]
-    nothing = token(F.lit(None).cast("string"), F.lit(None).cast("int"))
-    points = (
-        e.select(*by, F.col("start_us").alias("at"))
-        .unionByName(
-            e.select(
-                *place, F.lit(NO_TEST).alias("asked"), nothing.alias("token"), F.col("end_us").alias("at")
-            )
-        )
-    )
-    found = nearest(points, facts, by, slot_ms * 1000)
-    hit = found.select(*by, F.col("at").alias("start_us"), F.col("next").alias("hit"))
-    seen = found.filter(F.col("asked") == NO_TEST).select(
-        *place, F.col("at").alias("end_us"), F.col("last").alias("seen")
+def _answered(e: DataFrame, messages: DataFrame, place: Sequence[str], slot_ms: int) -> DataFrame:
+    """Adds ``hit`` (first fitting message) and ``seen`` (last message) of the window to each row.
+
+    Only messages that some row asks for reach the shuffles of the lookups.
+    """
+    place = list(place)
+    by = [*place, "asked", "token"]
+    starts = e.select(*by, F.col("start_us").alias("at"))
+    ends = e.filter(F.col("presence") == v.PRESENCE).select(*place, F.col("end_us").alias("at"))
+    fitting = _by_predicate(messages).join(starts.select(*by).distinct(), by, "left_semi")
+    any_of_place = messages.select(*place, micros("ts").alias("at"), _measure()).join(
+        ends.select(*place).distinct(), place, "left_semi"
     )
+    hit = nearest(starts, fitting, by, slot_ms * 1000, backward=False)
+    seen = nearest(ends, any_of_place, place, slot_ms * 1000, forward=False)
     return (
-        e.join(hit, [*by, "start_us"], "left")
-        .join(seen, [*place, "end_us"], "left")
+        e.join(hit.select(*by, F.col("at").alias("start_us"), F.col("next").alias("hit")), [*by, "start_us"], "left")
+        .join(
+            seen.select(*place, F.col("at").alias("end_us"), F.col("last").alias("seen")),
+            [*place, "end_us"],
+            "left",
+        )
         .withColumn("hit", F.when(F.col("hit.at") <= F.col("end_us"), F.col("hit")))
         .withColumn("seen", F.when(F.col("seen.at") >= F.col("start_us"), F.col("seen")))
     )
@@ -179,31 +177,15 @@ def match(
     """Expectations with the message that decides them (``hit``) and the last one seen (``seen``).
 
     Keyed expectations look up by (topic, key, predicate); those without a key by (topic, predicate).
-    The two never share a join condition, which would force a nested loop. Messages of keys nobody asks
-    about leave before the shuffle of the lookup. Set ``any_key=False`` when every row has a key, to
-    spare the second pass.
+    The two never share a join condition, which would force a nested loop. Set ``any_key=False`` when
+    every row has a key, to spare the second pass.
     """
     e = _prepared(expectations)
-    keyed = e.filter(F.col("key").isNotNull())
-    wanted = keyed.select("topic", "key").distinct()
-    answered = _answered(
-        keyed,
-        _facts(messages.join(wanted, ["topic", "key"], "left_semi")),
-        ["topic", "key", "asked", "token"],
-        slot_ms,
-    )
+    answered = _answered(e.filter(F.col("key").isNotNull()), messages, ["topic", "key"], slot_ms)
     if not any_key:
         return answered
-    keyless = e.filter(F.col("key").isNull())
-    topics = keyless.select("topic").distinct()
-    return answered.unionByName(
-        _answered(
-            keyless,
-            _facts(messages.join(topics, "topic", "left_semi")).drop("key"),
-            ["topic", "asked", "token"],
-            slot_ms,
-        )
-    )
+    keyless = _answered(e.filter(F.col("key").isNull()), messages, ["topic"], slot_ms)
+    return answered.unionByName(keyless)
 
 
 def verdict_message() -> Column:
