@@ -48,8 +48,9 @@ def take_first_per(df: DataFrame, by: list[str], order: list[Column | str], k: i
 
 def with_attachments(applications: DataFrame, catalogue: DataFrame, k: int, size: int) -> DataFrame:
     """Each application with its first k catalogue attachments and one file of ``size`` bytes each."""
+    positions = F.array(*[F.lit(i).cast("long") for i in range(k)]).cast("array<bigint>")
     return (
-        applications.withColumn("position", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).cast("long"))
+        applications.withColumn("position", F.explode(positions))
         .join(take_first(catalogue.withColumn("position", F.col("position").cast("long")), k), "position")
         .withColumn("file_id", stable_uuid("application_id", "position"))
         .withColumn("size", F.lit(size).cast("long"))
