@@ -68,13 +68,17 @@ def nearest(
     if width is None:
         return found.drop("slot")
 
-    # Straight from the rows: one small shuffle after the map-side combine instead of a second full one.
-    carried = rows.groupBy(*keys).agg(*extremes)
+    # Reads the shuffled line a second time instead of the input; only slots with points need an answer.
+    carried = line.groupBy(*keys).agg(
+        *([F.min("lo").alias("lo")] if forward else []),
+        *([F.max("hi").alias("hi")] if backward else []),
+        F.max("is_point").alias("has_point"),
+    )
     if forward:
         carried = carried.withColumn("later", F.min("lo").over(running(by, F.desc("slot"), begin, -1)))
     if backward:
         carried = carried.withColumn("earlier", F.max("hi").over(running(by, F.asc("slot"), begin, -1)))
-    found = found.join(carried.drop("lo", "hi"), keys, "left")
+    found = found.join(carried.filter("has_point").drop("lo", "hi", "has_point"), keys, "left")
     if forward:
         found = found.withColumn("next", F.least("next", "later")).drop("later")
     if backward:
@@ -96,8 +100,8 @@ def running_count(facts: DataFrame, by: Sequence[str], width: int | None) -> Dat
     )
     if width is not None:
         carried = (
-            rows.groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias("n"))
+            line.groupBy(*keys)
+            .agg(F.sum("n").alias("n"))
             .withColumn(
                 "earlier", F.sum("n").over(Window.partitionBy(*by).orderBy("slot").rowsBetween(begin, -1))
             )

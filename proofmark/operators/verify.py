@@ -118,12 +118,8 @@ def _prepared(expectations: DataFrame) -> DataFrame:
     )
 
 
-def _measure() -> Column:
-    return F.struct(micros("ts").alias("at"), "offset", "event_type", "calls", "value").alias("measure")
-
-
 def _by_predicate(messages: DataFrame) -> DataFrame:
-    """Each message under every predicate it can satisfy, the empty one included."""
+    """The time of each message under every predicate it can satisfy, the empty one included."""
     t, c = F.col("event_type"), F.col("calls")
     none_t, none_c = F.lit(None).cast("string"), F.lit(None).cast("int")
 
@@ -138,34 +134,49 @@ def _by_predicate(messages: DataFrame) -> DataFrame:
             F.when(t.isNotNull() & c.isNotNull(), variant(BOTH_TESTS, t, c)),
         )
     )
-    return messages.select("topic", "key", micros("ts").alias("at"), _measure(), F.inline(variants))
+    return messages.select("topic", "key", micros("ts").alias("at"), F.inline(variants))
 
 
-def _answered(e: DataFrame, messages: DataFrame, place: Sequence[str], slot_ms: int) -> DataFrame:
-    """Adds ``hit`` (first fitting message) and ``seen`` (last message) of the window to each row.
+def _with_hit(e: DataFrame, messages: DataFrame, place: Sequence[str], slot_ms: int) -> DataFrame:
+    """Adds ``hit_us``, the time of the first message of the window that passes the row's predicates.
 
-    Only messages that some row asks for reach the shuffles of the lookups.
+    The lookup carries times only, so its aggregates are hash aggregates on longs; messages that no row
+    asks for leave before its shuffles.
     """
-    place = list(place)
     by = [*place, "asked", "token"]
-    starts = e.select(*by, F.col("start_us").alias("at"))
-    ends = e.filter(F.col("presence") == v.PRESENCE).select(*place, F.col("end_us").alias("at"))
-    fitting = _by_predicate(messages).join(starts.select(*by).distinct(), by, "left_semi")
-    any_of_place = messages.select(*place, micros("ts").alias("at"), _measure()).join(
-        ends.select(*place).distinct(), place, "left_semi"
-    )
-    hit = nearest(starts, fitting, by, slot_ms * 1000, backward=False)
-    seen = nearest(ends, any_of_place, place, slot_ms * 1000, forward=False)
-    return (
-        e.join(hit.select(*by, F.col("at").alias("start_us"), F.col("next").alias("hit")), [*by, "start_us"], "left")
-        .join(
-            seen.select(*place, F.col("at").alias("end_us"), F.col("last").alias("seen")),
-            [*place, "end_us"],
-            "left",
-        )
-        .withColumn("hit", F.when(F.col("hit.at") <= F.col("end_us"), F.col("hit")))
-        .withColumn("seen", F.when(F.col("seen.at") >= F.col("start_us"), F.col("seen")))
+    points = e.select(*by, F.col("start_us").alias("at"))
+    facts = (
+        _by_predicate(messages)
+        .join(points.select(*by).distinct(), by, "left_semi")
+        .withColumn("measure", F.col("at"))
     )
+    hit = nearest(points, facts, by, slot_ms * 1000, backward=False)
+    return e.join(
+        hit.select(*by, F.col("at").alias("start_us"), F.col("next").alias("hit_us")), [*by, "start_us"], "left"
+    ).withColumn("hit_us", F.when(F.col("hit_us") <= F.col("end_us"), F.col("hit_us")))
+
+
+def _with_seen(e: DataFrame, of: DataFrame, messages: DataFrame, place: Sequence[str], slot_ms: int) -> DataFrame:
+    """Adds ``seen``, the last message of the window, for the rows of ``of`` and null for the others."""
+    points = of.select(*place, F.col("end_us").alias("at"))
+    at = micros("ts").alias("at")
+    facts = messages.select(
+        *place, at, F.struct(at, "offset", "event_type", "calls", "value").alias("measure")
+    ).join(points.select(*place).distinct(), list(place), "left_semi")
+    seen = nearest(points, facts, place, slot_ms * 1000, forward=False)
+    return e.join(
+        seen.select(*place, F.col("at").alias("end_us"), F.col("last").alias("seen")), [*place, "end_us"], "left"
+    ).withColumn("seen", F.when(F.col("seen.at") >= F.col("start_us"), F.col("seen")))
+
+
+def _by_place(expectations: DataFrame, any_key: bool, answer) -> DataFrame:
+    """``answer(rows, place)`` for keyed rows by (topic, key), and for those without a key by topic.
+
+    The two never share a join condition, which would force a nested loop.
+    """
+    e = _prepared(expectations)
+    keyed = answer(e.filter(F.col("key").isNotNull()), ["topic", "key"])
+    return keyed.unionByName(answer(e.filter(F.col("key").isNull()), ["topic"])) if any_key else keyed
 
 
 def match(
@@ -174,18 +185,19 @@ def match(
     any_key: bool = True,
     slot_ms: int = SLOT_MS,
 ) -> DataFrame:
-    """Expectations with the message that decides them (``hit``) and the last one seen (``seen``).
+    """Expectations with the time of the message that decides them (``hit_us``) and, where a presence found
+    none, the last message it saw (``seen``).
 
-    Keyed expectations look up by (topic, key, predicate); those without a key by (topic, predicate).
-    The two never share a join condition, which would force a nested loop. Set ``any_key=False`` when
-    every row has a key, to spare the second pass.
+    The second lookup meets the messages of failed keys only. Set ``any_key=False`` when every row has a
+    key, to spare the pass for the others.
     """
-    e = _prepared(expectations)
-    answered = _answered(e.filter(F.col("key").isNotNull()), messages, ["topic", "key"], slot_ms)
-    if not any_key:
-        return answered
-    keyless = _answered(e.filter(F.col("key").isNull()), messages, ["topic"], slot_ms)
-    return answered.unionByName(keyless)
+
+    def answer(e, place):
+        decided = _with_hit(e, messages, place, slot_ms)
+        failed = decided.filter((F.col("presence") == v.PRESENCE) & F.col("hit_us").isNull())
+        return _with_seen(decided, failed, messages, place, slot_ms)
+
+    return _by_place(expectations, any_key, answer)
 
 
 def verdict_message() -> Column:
@@ -227,13 +239,13 @@ def verify(
     """Exactly one verdict per expectation.
 
     Presence is decided by the first message that passes all predicates at once, absence by the first
-    message of the key; whatever is still open is decided at its own deadline. A rejected expectation
-    that was not split off before comes out unsatisfied.
+    message of the key; whatever is still open is decided at its own deadline. ``last_value`` is what a
+    failed presence saw last. A rejected expectation that was not split off before comes out unsatisfied.
     """
     m = match(messages, expectations, any_key, slot_ms)
     absent = F.col("presence") == v.ABSENCE
     rejected = absent & F.col("key").isNull()
-    hit = F.col("hit").isNotNull()
+    hit = F.col("hit_us").isNotNull()
     return (
         m.withColumn("satisfied", (absent & ~hit | ~absent & hit) & ~rejected)
         .withColumn("message", verdict_message())
@@ -242,9 +254,9 @@ def verify(
             "run_id",
             "satisfied",
             from_micros(
-                F.when(rejected, F.col("start_us")).when(hit, F.col("hit.at")).otherwise(F.col("end_us"))
+                F.when(rejected, F.col("start_us")).when(hit, F.col("hit_us")).otherwise(F.col("end_us"))
             ).alias("decided_at"),
-            F.when(~absent, F.when(hit, F.col("hit.value")).otherwise(F.col("seen.value"))).alias("last_value"),
+            F.when(~absent & ~hit, F.col("seen.value")).alias("last_value"),
             F.when(rejected, F.lit("Rejected: absence needs a key")).otherwise(F.col("message")).alias("message"),
         )
     )
@@ -286,8 +298,11 @@ def has_call_count(
     expectations = expect(keys, topic, expected_count=expected, timeout_ms=timeout_ms)
     if not final:
         return verify(calls, expectations, any_key=False)
-    # The last count of the window decides, so it stands in for the first fitting one.
-    m = match(calls, expectations, any_key=False)
+
+    def answer(e, place):
+        return _with_seen(e, e, calls, place, SLOT_MS)
+
+    m = _by_place(expectations, False, answer)
     fits = F.coalesce(F.col("seen.calls") == F.col("expected_count"), F.lit(False))
     return (
         m.withColumn("satisfied", fits)
@@ -336,34 +351,19 @@ def has_status(
     """
     e = (
         keys.withColumn("token", expected if isinstance(expected, Column) else F.lit(expected))
-        .withColumn("asked", F.lit(TYPE_TEST))
         .withColumn("start_us", micros("registered_at"))
         .withColumn("end_us", F.col("start_us") + window_ms * 1000)
     )
-    at = micros("ts").alias("at")
-    facts = history.select(
-        "key",
-        at,
-        F.struct(at, "offset", "archive_status").alias("measure"),
-        F.inline(
-            F.array(
-                F.struct(F.lit(NO_TEST).alias("asked"), F.lit("").alias("token")),
-                F.struct(F.lit(TYPE_TEST).alias("asked"), F.col("archive_status").alias("token")),
-            )
-        ),
+    changes = history.select(
+        "key", F.col("archive_status").alias("token"), micros("ts").alias("at"), micros("ts").alias("measure")
     )
-    by = ["key", "asked", "token"]
-    plain = e.select("key", F.lit(NO_TEST).alias("asked"), F.lit("").alias("token"), "start_us", "end_us")
-    points = (
-        e.select(*by, F.col("start_us").alias("at"))
-        .unionByName(plain.select(*by, F.col("start_us").alias("at")))
-        .unionByName(plain.select(*by, F.col("end_us").alias("at")))
-    )
-    found = nearest(points, facts, by, slot_ms * 1000)
-    change = found.filter(F.col("asked") == TYPE_TEST).select(
-        "key", "token", F.col("at").alias("start_us"), F.col("next.at").alias("change_us")
-    )
-    state = found.filter(F.col("asked") == NO_TEST)
+    change = nearest(
+        e.select("key", "token", F.col("start_us").alias("at")), changes, ["key", "token"], slot_ms * 1000, backward=False
+    ).select("key", "token", F.col("at").alias("start_us"), F.col("next").alias("change_us"))
+    at = micros("ts").alias("at")
+    states = history.select("key", at, F.struct(at, "offset", "archive_status").alias("measure"))
+    moments = e.select("key", F.explode(F.array("start_us", "end_us")).alias("at"))
+    state = nearest(moments, states, ["key"], slot_ms * 1000, forward=False)
     before = state.select(
         "key", F.col("at").alias("start_us"), F.col("last.archive_status").alias("status_at_start")
     )

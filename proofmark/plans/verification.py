@@ -55,7 +55,6 @@ g AS (
   SELECT expectation_id, run_id, presence, key, expected_type, expected_count,
          registered_at + to_milliseconds(timeout_ms) AS deadline,
          max(CASE WHEN first_hit = 1 AND fits THEN mts END) AS hit_ts,
-         max(CASE WHEN first_hit = 1 AND fits THEN value END) AS hit_value,
          max(CASE WHEN last_seen = 1 THEN value END) AS seen_value,
          max(CASE WHEN last_seen = 1 THEN calls END) AS seen_calls,
          count(mts) AS seen
@@ -63,7 +62,7 @@ g AS (
 verdict AS (
   SELECT expectation_id, run_id, (presence = 'ABSENCE') = (hit_ts IS NULL) AS satisfied,
          coalesce(hit_ts, deadline) AS decided_at,
-         CASE WHEN presence = 'ABSENCE' THEN NULL ELSE coalesce(hit_value, seen_value) END AS last_value,
+         CASE WHEN presence = 'PRESENCE' AND hit_ts IS NULL THEN seen_value END AS last_value,
          CASE WHEN (presence = 'ABSENCE') = (hit_ts IS NULL) THEN 'ok' ELSE
            CASE WHEN key IS NULL THEN '' ELSE 'For key ' || key || ': ' END ||
            CASE WHEN presence = 'ABSENCE' THEN 'Verification failed - Expected not to see value'

@@ -66,23 +66,23 @@ EXPECTATIONS = [
 ]
 
 GOLDEN = {
-    1: (True, 10, "FINISHED", "ok"),
+    1: (True, 10, None, "ok"),
     2: (False, 120, None, "For key b2: Verification failed - Expected to see value but saw none"),
     3: (False, 120, "FAILURE",
         "For key b3: Verification failed!\nExpected 'b3' to have a FINISHED Processing Event, but saw none"),
     4: (False, 30, None, "For key b4: Verification failed - Expected to see value but saw none"),
-    5: (True, 1, "1", "ok"),
+    5: (True, 1, None, "ok"),
     6: (False, 120, "2",
         "For key b6: Verification failed!\n"
         "For key b6: Expected 3 attempts to save to the Archive, but found 2"),
     7: (True, 30, None, "ok"),
     8: (False, 5, None, "For key b8: Verification failed - Expected not to see value"),
     9: (True, 30, None, "ok"),
-    10: (True, 119, "FINISHED", "ok"),
+    10: (True, 119, None, "ok"),
     11: (False, 0, None, "For key b11: Verification failed - Expected to see value but saw none"),
-    12: (True, 1, "FINISHED", "ok"),
+    12: (True, 1, None, "ok"),
     14: (False, 120, None, "For key b14: Verification failed - Expected to see value but saw none"),
-    15: (True, 120, "FINISHED", "ok"),
+    15: (True, 120, None, "ok"),
 }
 
 
