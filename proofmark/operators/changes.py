@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from proofmark import values as v
 from proofmark.functions.columns import days_after
+from proofmark.operators.skew import FLOOR, join_lookup
 
 CREATE, UPDATE, COMPLETE, STEP = "create", "update", "completed", "step"
 DELETE, EXTERNAL_DELETE = "delete", "external_delete"
@@ -35,11 +36,10 @@ def apply_creates(changes: DataFrame, apps: DataFrame) -> tuple[DataFrame, DataF
     the columns they bring only.
     """
     creates = changes.filter(F.col("op") == CREATE)
-    first = creates.groupBy("application_id").agg(F.min(order()).alias("first"))
     known = apps.select("application_id", F.lit(True).alias("known")).distinct()
+    first = creates.groupBy("application_id").agg(F.min(order()).alias("first"))
     judged = (
-        creates.join(first, "application_id")
-        .join(known, "application_id", "left")
+        creates.join(first.join(known, "application_id", "left"), "application_id")
         .withColumn(
             "reason",
             F.when(F.col("known"), "application exists").when(order() > F.col("first"), "created twice"),
@@ -56,34 +56,41 @@ def apply_creates(changes: DataFrame, apps: DataFrame) -> tuple[DataFrame, DataF
     return state, judged.filter("reason IS NOT NULL")
 
 
-def judged_changes(changes: DataFrame, apps: DataFrame) -> DataFrame:
-    """Each change with its ``reason`` to be refused, or null."""
+def judged_changes(changes: DataFrame, apps: DataFrame, floor: int = FLOOR) -> DataFrame:
+    """Each change with its ``reason`` to be refused, or null.
+
+    What is known per application (its creator, its first accepted delete) is one lookup row, so the log is
+    joined once.
+    """
     owner = F.col("app_source") if "app_source" in apps.columns else F.lit(None).cast("string")
     known = apps.select("application_id", owner.alias("owner"), F.lit(True).alias("known"))
-    listed = F.col("attachments") > 0 if "attachments" in changes.columns else F.lit(False)
-    c = changes.filter(F.col("op") != CREATE).join(known, "application_id", "left").withColumn(
-        "reason",
-        F.when(F.col("known").isNull(), "unknown application")
-        .when((F.col("op") == UPDATE) & listed, "attachment list must be empty")
-        .when(
-            (F.col("op") == EXTERNAL_DELETE) & ~F.col("actor").eqNullSafe(F.col("owner")),
-            "deleted by its creator only",
-        ),
-    )
+    log = changes.filter(F.col("op") != CREATE)
+    foreign = (F.col("op") == EXTERNAL_DELETE) & ~F.col("actor").eqNullSafe(F.col("owner"))
     deletes = (
-        c.filter(F.col("reason").isNull() & F.col("op").isin(DELETE, EXTERNAL_DELETE))
+        log.filter(F.col("op").isin(DELETE, EXTERNAL_DELETE))
+        .select("application_id", "op", "actor", order().alias("place"))
+        .join(known, "application_id")
+        .filter(~foreign)
         .groupBy("application_id")
-        .agg(F.min(order()).alias("deleted"))
+        .agg(F.min("place").alias("deleted"))
     )
+    listed = F.col("attachments") > 0 if "attachments" in changes.columns else F.lit(False)
+    lookup = known.join(deletes, "application_id", "left")
     return (
-        c.join(deletes, "application_id", "left")
-        .withColumn("reason", F.coalesce("reason", F.when(order() > F.col("deleted"), "deleted before")))
+        join_lookup(log, lookup, ["application_id"], ["change_id", "at"], floor)
+        .withColumn(
+            "reason",
+            F.when(F.col("known").isNull(), "unknown application")
+            .when((F.col("op") == UPDATE) & listed, "attachment list must be empty")
+            .when(foreign, "deleted by its creator only")
+            .when(order() > F.col("deleted"), "deleted before"),
+        )
         .drop("known", "owner", "deleted")
     )
 
 
 def apply_changes(
-    apps: DataFrame, changes: DataFrame, fields: Sequence[str] | None = None
+    apps: DataFrame, changes: DataFrame, fields: Sequence[str] | None = None, floor: int = FLOOR
 ) -> tuple[DataFrame, DataFrame]:
     """Updates, completions, step marks and deletes in time order.
 
@@ -93,7 +100,7 @@ def apply_changes(
     """
     if fields is None:
         fields = [c for c in apps.columns if c in changes.columns and c not in KEPT]
-    judged = judged_changes(changes, apps)
+    judged = judged_changes(changes, apps, floor)
     ok = judged.filter("reason IS NULL")
     op = F.col("op")
     writes, marks, deletes = op.isin(UPDATE, COMPLETE), op == STEP, op.isin(DELETE, EXTERNAL_DELETE)
@@ -148,13 +155,13 @@ def replace_attachments(attachments: DataFrame, completed: DataFrame, sent: Data
 
 
 def judged_attachment_changes(
-    attachments: DataFrame, changes: DataFrame, other: str = v.OTHER_ATTACHMENT
+    attachments: DataFrame, changes: DataFrame, other: str = v.OTHER_ATTACHMENT, floor: int = FLOOR
 ) -> DataFrame:
     """Users add and delete attachments of the "other" code only, and patch existing ones."""
     current = attachments.select(F.col("id"), F.col("code").alias("current_code"))
     op = F.col("op")
     return (
-        changes.join(current, "id", "left")
+        join_lookup(changes, current, ["id"], ["change_id", "at"], floor)
         .withColumn(
             "reason",
             F.when((op == ADD) & ~F.col("code").eqNullSafe(F.lit(other)), "only other attachments can be added")
@@ -166,11 +173,11 @@ def judged_attachment_changes(
 
 
 def apply_attachment_patch(
-    attachments: DataFrame, changes: DataFrame, other: str = v.OTHER_ATTACHMENT
+    attachments: DataFrame, changes: DataFrame, other: str = v.OTHER_ATTACHMENT, floor: int = FLOOR
 ) -> tuple[DataFrame, DataFrame]:
     """``(state, rejected)``. A patch sets status and comment on any attachment, the title on "other" ones
     only; a field left null in a patch stays as it is."""
-    judged = judged_attachment_changes(attachments, changes, other)
+    judged = judged_attachment_changes(attachments, changes, other, floor)
     ok = judged.filter("reason IS NULL")
     patch = F.col("op") == PATCH
 

@@ -35,7 +35,9 @@ def applications_for_requests(apps: DataFrame, requests: DataFrame) -> DataFrame
 def application_detail(apps: DataFrame, attachments: DataFrame, files: DataFrame) -> DataFrame:
     """One row per application, attachment and file; what is missing is null, not left out.
 
-    File content is never read: only the named columns reach the scan.
+    File content is never read: only the named columns reach the scan. The rows with files come from inner
+    joins that start at the files, since adaptive execution can split a hot application or attachment only
+    there and not on the right of an outer join; those without come from anti joins.
     """
     a = attachments.select(
         "application_id", F.col("id").alias("attachment_id"), "code", F.col("title").alias("attachment_title")
@@ -43,7 +45,14 @@ def application_detail(apps: DataFrame, attachments: DataFrame, files: DataFrame
     f = files.select(
         "attachment_id", F.col("id").alias("file_id"), F.col("name").alias("file_name"), F.col("size").alias("file_size")
     )
-    return apps.join(a, "application_id", "left").join(f, "attachment_id", "left")
+    with_files = f.join(a, "attachment_id").join(apps, "application_id")
+    without_files = a.join(f.select("attachment_id").distinct(), "attachment_id", "left_anti").join(
+        apps, "application_id"
+    )
+    without_attachments = apps.join(a.select("application_id").distinct(), "application_id", "left_anti")
+    return with_files.unionByName(without_files, allowMissingColumns=True).unionByName(
+        without_attachments, allowMissingColumns=True
+    )
 
 
 def attachment_files(attachments: DataFrame, files: DataFrame) -> DataFrame:

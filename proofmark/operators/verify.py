@@ -405,13 +405,20 @@ def has_count(
     """Does the running message count equal ``expected_count`` at some time in the window?
 
     ``keys`` has ``expectation_id, *by, expected_count, registered_at``. The count is a step function:
-    it equals n from the step that reaches n to the step that leaves it, so two equi joins find the
-    interval.
+    it equals n from the step that reaches n to the step that leaves it. Both go into one row per n, so one
+    equi join finds the interval.
     """
     by = list(by)
     steps = running_count(messages.select(*by, micros("ts").alias("at")), by, slot_ms * 1000)
-    reach = steps.select(*by, F.col("count").alias("expected"), F.col("at").alias("reached_us"))
-    leave = steps.select(*by, F.col("before").alias("expected"), F.col("at").alias("left_us"))
+    ends = F.array(
+        F.struct(F.col("count").alias("expected"), F.col("at").alias("reached_us"), F.lit(None).cast("long").alias("left_us")),
+        F.struct(F.col("before").alias("expected"), F.lit(None).cast("long").alias("reached_us"), F.col("at").alias("left_us")),
+    )
+    intervals = (
+        steps.select(*by, F.inline(ends))
+        .groupBy(*by, "expected")
+        .agg(F.max("reached_us").alias("reached_us"), F.max("left_us").alias("left_us"))
+    )
     e = (
         keys.withColumn("expected", F.col("expected_count").cast("long"))
         .withColumn("start_us", micros("registered_at"))
@@ -421,8 +428,7 @@ def has_count(
     not_over = F.col("left_us").isNull() | (F.col("left_us") > F.col("start_us"))
     ok = on_time & not_over
     return (
-        e.join(reach, [*by, "expected"], "left")
-        .join(leave, [*by, "expected"], "left")
+        e.join(intervals, [*by, "expected"], "left")
         .select(
             "expectation_id",
             ok.alias("satisfied"),

@@ -269,6 +269,29 @@ def rejected_attachment_changes(spark, sf):
     return rejected.select("id", "change_id", "op", "reason")
 
 
+@query(
+    f"""WITH c AS (SELECT l_orderkey AS application_id, {CHANGE_ID_SQL} AS change_id, l_shipdate AS at_ts, l_partkey AS id
+                   FROM lineitem WHERE l_returnflag = 'N'),
+    k AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY application_id ORDER BY at_ts DESC, change_id DESC) = 1)
+    SELECT id, application_id, 'sent' AS code FROM k
+    UNION ALL SELECT o_orderkey, o_orderkey, o_orderpriority FROM orders
+    WHERE o_orderkey NOT IN (SELECT application_id FROM k)"""
+)
+def replace_attachments(spark, sf):
+    """An order's last completion brings its own attachment instead of the order's."""
+    own = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderkey").alias("application_id"), F.col("o_orderpriority").alias("code")
+    )
+    completed = table(spark, sf, "lineitem").filter("l_returnflag = 'N'").select(
+        F.col("l_orderkey").alias("application_id"),
+        change_id().alias("change_id"),
+        F.col("l_shipdate").alias("at"),
+        F.col("l_partkey").alias("id"),
+    )
+    sent = completed.select("id", "application_id", "change_id", F.lit("sent").alias("code"))
+    return U.replace_attachments(own, completed.drop("id"), sent)
+
+
 def line_files(spark, sf):
     """Lines as files of their order; archived ones are saved now, files of parts of size 7 are deleted."""
     files = table(spark, sf, "lineitem").select(

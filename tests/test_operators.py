@@ -224,3 +224,38 @@ def test_run_metrics(spark):
     assert A.last_success(df, strict=False).first().last_success == at(90)
     assert A.exit_status(df).first().exit_status == 1
     assert {r.name for r in A.gauges(df).collect()} == {"total_duration", "case_duration", "last_success", "last_failure"}
+
+
+def test_hot_keys_are_salted_without_loss(spark):
+    from proofmark.operators.skew import hot_keys, join_lookup
+
+    rows = [("hot" if i % 3 == 0 else f"k{i}", i) for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, i int")
+    lookup = spark.createDataFrame([("hot", 1), ("k1", 2), ("unused", 3)], "k string, x int")
+    assert [r.k for r in hot_keys(df, ["k"], floor=10).collect()] == ["hot"]
+    want = sorted((k, i, {"hot": 1, "k1": 2}.get(k)) for k, i in rows)
+    for floor in (10, 1000):
+        got = join_lookup(df, lookup, ["k"], ["i"], floor).select("k", "i", "x").collect()
+        assert sorted(tuple(r) for r in got) == want
+
+
+def test_changes_to_a_hot_application(spark):
+    apps = spark.createDataFrame([(1, "u", "F", "t0", v.CREATED), (2, "u", "F", "t0", v.CREATED)],
+                                 "application_id long, user_id string, form_no string, title string, status string")
+    log = [(i, "update" if i % 2 else "completed", 1, f"t{i}", at(i), "u") for i in range(200)]
+    log += [(500, "delete", 1, None, at(150), "u"), (501, "update", 2, "late", at(3), "u"), (502, "update", 9, "x", at(3), "u")]
+    changes = spark.createDataFrame(log, "change_id long, op string, application_id long, title string, at timestamp, actor string")
+    for floor in (10, 10_000):
+        state, rejected = U.apply_changes(apps, changes, floor=floor)
+        got = {r.application_id: (r.title, r.status) for r in state.collect()}
+        assert got == {1: ("t150", v.DELETED_BY_USER), 2: ("late", v.CREATED)}
+        reasons = [r.reason for r in rejected.collect()]
+        assert reasons.count("deleted before") == 49 and reasons.count("unknown application") == 1
+
+
+def test_predicate_column(spark):
+    df = spark.createDataFrame([("A", 1)], "event_type string, calls int")
+    check = lambda t, c: df.select(
+        V.predicate(F.col("event_type"), F.col("calls"), F.lit(t).cast("string"), F.lit(c).cast("int")).alias("p")
+    ).first().p
+    assert [check("A", 1), check("A", None), check(None, None), check("B", 1), check("A", 2)] == [True, True, True, False, False]
