@@ -17,7 +17,8 @@ from proofmark.operators.nearest import nearest, running_count
 # One hour holds at most 3.6 million distinct millisecond times per key.
 SLOT_MS = 3_600_000
 
-NO_TEST, TYPE_TEST, COUNT_TEST, BOTH_TESTS = 0, 1, 2, 3
+# What a lookup asks for: none, type, count or both, plus 4 where any key will do.
+NO_TEST, TYPE_TEST, COUNT_TEST, BOTH_TESTS, ANY_KEY = 0, 1, 2, 3, 4
 
 
 def micros(ts: Column | str) -> Column:
@@ -106,98 +107,103 @@ def predicate(event_type: Column, calls: Column, expected_type: Column, expected
 
 
 def _prepared(expectations: DataFrame) -> DataFrame:
-    e = with_default_timeout(expectations)
+    """Adds the lookup key (``topic, who, asked, token``) and the window in microseconds.
+
+    A row without a key looks among all messages of its topic: its ``who`` is empty and ``asked`` says so,
+    which keeps every lookup an equi join.
+    """
     absent = F.col("presence") == v.ABSENCE
-    no_type = F.when(~absent, F.col("expected_type"))
-    no_count = F.when(~absent, F.col("expected_count"))
-    return (
-        e.withColumn("asked", asked(no_type, no_count))
-        .withColumn("token", token(no_type, no_count))
-        .withColumn("start_us", micros("registered_at"))
-        .withColumn("end_us", F.col("start_us") + F.col("timeout_ms") * 1000)
+    any_key = F.col("key").isNull()
+    no_type, no_count = F.when(~absent, F.col("expected_type")), F.when(~absent, F.col("expected_count"))
+    start = micros("registered_at")
+    return with_default_timeout(expectations).select(
+        "*",
+        F.coalesce("key", F.lit("")).alias("who"),
+        (asked(no_type, no_count) + F.when(any_key, ANY_KEY).otherwise(0)).alias("asked"),
+        token(no_type, no_count).alias("token"),
+        start.alias("start_us"),
+        (start + F.col("timeout_ms") * 1000).alias("end_us"),
     )
 
 
-def _by_predicate(messages: DataFrame) -> DataFrame:
-    """The time of each message under every predicate it can satisfy, the empty one included."""
-    t, c = F.col("event_type"), F.col("calls")
-    none_t, none_c = F.lit(None).cast("string"), F.lit(None).cast("int")
+def _kinds(points: DataFrame, kind: str) -> Column:
+    """The kinds of lookup that are asked at all: a scalar subquery with a handful of values."""
+    return points.select(F.collect_set(kind)).scalar()
 
-    def variant(kind, event_type, count):
-        return F.struct(F.lit(kind).alias("asked"), token(event_type, count).alias("token"))
 
-    variants = F.array_compact(
-        F.array(
-            variant(NO_TEST, none_t, none_c),
-            F.when(t.isNotNull(), variant(TYPE_TEST, t, none_c)),
-            F.when(c.isNotNull(), variant(COUNT_TEST, none_t, c)),
-            F.when(t.isNotNull() & c.isNotNull(), variant(BOTH_TESTS, t, c)),
-        )
-    )
-    return messages.select("topic", "key", micros("ts").alias("at"), F.inline(variants))
-
-
-def _with_hit(e: DataFrame, messages: DataFrame, place: Sequence[str], slot_ms: int) -> DataFrame:
+def _with_hit(e: DataFrame, messages: DataFrame, slot_ms: int) -> DataFrame:
     """Adds ``hit_us``, the time of the first message of the window that passes the row's predicates.
 
-    The lookup carries times only, so its aggregates are hash aggregates on longs; messages that no row
-    asks for leave before its shuffles.
+    A message takes the form of each kind of lookup that is asked, and only those some row asks for by its
+    whole key reach the shuffles. They carry times only, so the aggregates are hash aggregates on longs.
     """
-    by = [*place, "asked", "token"]
+    by = ["topic", "who", "asked", "token"]
     points = e.select(*by, F.col("start_us").alias("at"))
     facts = (
-        _by_predicate(messages)
+        messages.select(
+            "topic", "key", "event_type", "calls", micros("ts").alias("at"),
+            F.explode(_kinds(points, "asked")).alias("asked"),
+        )
+        .select("topic", _who("asked"), "asked", token_of("asked"), "at", F.col("at").alias("measure"))
+        .filter("who IS NOT NULL AND token IS NOT NULL")
         .join(points.select(*by).distinct(), by, "left_semi")
-        .withColumn("measure", F.col("at"))
     )
-    hit = nearest(points, facts, by, slot_ms * 1000, backward=False)
-    return e.join(
-        hit.select(*by, F.col("at").alias("start_us"), F.col("next").alias("hit_us")), [*by, "start_us"], "left"
-    ).withColumn("hit_us", F.when(F.col("hit_us") <= F.col("end_us"), F.col("hit_us")))
-
+    hit = nearest(points, facts, by, slot_ms * 1000, backward=False).select(
+        *by, F.col("at").alias("start_us"), F.col("next").alias("first_us")
+    )
+    return e.join(hit, [*by, "start_us"], "left").select(
+        *e.columns, F.when(F.col("first_us") <= F.col("end_us"), F.col("first_us")).alias("hit_us")
+    )
 
-def _with_seen(e: DataFrame, of: DataFrame, messages: DataFrame, place: Sequence[str], slot_ms: int) -> DataFrame:
-    """Adds ``seen``, the last message of the window, for the rows of ``of`` and null for the others."""
-    points = of.select(*place, F.col("end_us").alias("at"))
-    at = micros("ts").alias("at")
-    facts = messages.select(
-        *place, at, F.struct(at, "offset", "event_type", "calls", "value").alias("measure")
-    ).join(points.select(*place).distinct(), list(place), "left_semi")
-    seen = nearest(points, facts, place, slot_ms * 1000, forward=False)
-    return e.join(
-        seen.select(*place, F.col("at").alias("end_us"), F.col("last").alias("seen")), [*place, "end_us"], "left"
-    ).withColumn("seen", F.when(F.col("seen.at") >= F.col("start_us"), F.col("seen")))
 
+def _who(kind: str) -> Column:
+    """The key a message answers a lookup of this kind with."""
+    return F.when(F.col(kind) >= ANY_KEY, F.lit("")).otherwise(F.col("key")).alias("who")
 
-def _by_place(expectations: DataFrame, any_key: bool, answer) -> DataFrame:
-    """``answer(rows, place)`` for keyed rows by (topic, key), and for those without a key by topic.
-
-    The two never share a join condition, which would force a nested loop.
-    """
-    e = _prepared(expectations)
-    keyed = answer(e.filter(F.col("key").isNotNull()), ["topic", "key"])
-    return keyed.unionByName(answer(e.filter(F.col("key").isNull()), ["topic"])) if any_key else keyed
 
+def token_of(kind: str) -> Column:
+    """The token a message answers a lookup of this kind with; null if it cannot."""
+    test = F.pmod(F.col(kind), F.lit(ANY_KEY))
+    t, c = F.col("event_type"), F.col("calls")
+    none_t, none_c = F.lit(None).cast("string"), F.lit(None).cast("int")
+    return (
+        F.when(test == NO_TEST, token(none_t, none_c))
+        .when((test == TYPE_TEST) & t.isNotNull(), token(t, none_c))
+        .when((test == COUNT_TEST) & c.isNotNull(), token(none_t, c))
+        .when((test == BOTH_TESTS) & t.isNotNull() & c.isNotNull(), token(t, c))
+        .alias("token")
+    )
 
-def match(
-    messages: DataFrame,
-    expectations: DataFrame,
-    any_key: bool = True,
-    slot_ms: int = SLOT_MS,
-) -> DataFrame:
-    """Expectations with the time of the message that decides them (``hit_us``) and, where a presence found
-    none, the last message it saw (``seen``).
 
-    The second lookup meets the messages of failed keys only. Set ``any_key=False`` when every row has a
-    key, to spare the pass for the others.
-    """
+def _with_seen(e: DataFrame, of: DataFrame, messages: DataFrame, slot_ms: int) -> DataFrame:
+    """Adds ``seen``, the last message of the window, for the rows of ``of`` and null for the others."""
+    by = ["topic", "who", "place"]
+    place = F.when(F.col("key").isNull(), ANY_KEY).otherwise(NO_TEST).alias("place")
+    points = of.select("topic", "who", place, F.col("end_us").alias("at"))
+    at = micros("ts").alias("at")
+    facts = (
+        messages.select(
+            "topic", "key", at, F.struct(at, "offset", "event_type", "calls", "value").alias("measure"),
+            F.explode(_kinds(points, "place")).alias("place"),
+        )
+        .select("topic", _who("place"), "place", "at", "measure")
+        .filter("who IS NOT NULL")
+        .join(points.select(*by).distinct(), by, "left_semi")
+    )
+    seen = nearest(points, facts, by, slot_ms * 1000, forward=False).select(
+        *by, F.col("at").alias("end_us"), "last"
+    )
+    return e.select("*", place).join(seen, [*by, "end_us"], "left").select(
+        *e.columns, F.when(F.col("last.at") >= F.col("start_us"), F.col("last")).alias("seen")
+    )
 
-    def answer(e, place):
-        decided = _with_hit(e, messages, place, slot_ms)
-        failed = decided.filter((F.col("presence") == v.PRESENCE) & F.col("hit_us").isNull())
-        return _with_seen(decided, failed, messages, place, slot_ms)
 
-    return _by_place(expectations, any_key, answer)
+def match(messages: DataFrame, expectations: DataFrame, slot_ms: int = SLOT_MS) -> DataFrame:
+    """Expectations with the time of the message that decides them (``hit_us``) and, where a presence found
+    none, the last message it saw (``seen``). The second lookup meets the messages of failed keys only."""
+    decided = _with_hit(_prepared(expectations), messages, slot_ms)
+    failed = decided.filter((F.col("presence") == v.PRESENCE) & F.col("hit_us").isNull())
+    return _with_seen(decided, failed, messages, slot_ms)
 
 
 def verdict_message() -> Column:
@@ -230,19 +236,14 @@ def verdict_message() -> Column:
     return F.when(F.col("satisfied"), F.lit("ok")).otherwise(F.concat(prefix, text))
 
 
-def verify(
-    messages: DataFrame,
-    expectations: DataFrame,
-    any_key: bool = True,
-    slot_ms: int = SLOT_MS,
-) -> DataFrame:
+def verify(messages: DataFrame, expectations: DataFrame, slot_ms: int = SLOT_MS) -> DataFrame:
     """Exactly one verdict per expectation.
 
     Presence is decided by the first message that passes all predicates at once, absence by the first
     message of the key; whatever is still open is decided at its own deadline. ``last_value`` is what a
     failed presence saw last. A rejected expectation that was not split off before comes out unsatisfied.
     """
-    m = match(messages, expectations, any_key, slot_ms)
+    m = match(messages, expectations, slot_ms)
     absent = F.col("presence") == v.ABSENCE
     rejected = absent & F.col("key").isNull()
     hit = F.col("hit_us").isNotNull()
@@ -267,23 +268,23 @@ def verify_presence(messages: DataFrame, expectations: DataFrame, **kw) -> DataF
 
 
 def verify_absence(messages: DataFrame, expectations: DataFrame, **kw) -> DataFrame:
-    return verify(messages, expectations.filter(F.col("presence") == v.ABSENCE), any_key=False, **kw)
+    return verify(messages, expectations.filter(F.col("presence") == v.ABSENCE), **kw)
 
 
 def has_finished_event(events: DataFrame, keys: DataFrame, topic: str, timeout_ms: int = -1) -> DataFrame:
-    return verify(events, expect(keys, topic, expected_type=v.FINISHED, timeout_ms=timeout_ms), any_key=False)
+    return verify(events, expect(keys, topic, expected_type=v.FINISHED, timeout_ms=timeout_ms))
 
 
 def has_failure_event(events: DataFrame, keys: DataFrame, topic: str, timeout_ms: int = -1) -> DataFrame:
-    return verify(events, expect(keys, topic, expected_type=v.FAILURE, timeout_ms=timeout_ms), any_key=False)
+    return verify(events, expect(keys, topic, expected_type=v.FAILURE, timeout_ms=timeout_ms))
 
 
 def has_entity(entities: DataFrame, keys: DataFrame, topic: str, timeout_ms: int = -1) -> DataFrame:
-    return verify(entities, expect(keys, topic, timeout_ms=timeout_ms), any_key=False)
+    return verify(entities, expect(keys, topic, timeout_ms=timeout_ms))
 
 
 def has_no_entity(entities: DataFrame, keys: DataFrame, topic: str, timeout_ms: int = -1) -> DataFrame:
-    return verify(entities, expect(keys, topic, v.ABSENCE, timeout_ms=timeout_ms), any_key=False)
+    return verify(entities, expect(keys, topic, v.ABSENCE, timeout_ms=timeout_ms))
 
 
 def has_call_count(
@@ -297,12 +298,9 @@ def has_call_count(
     """Some count message equals ``expected``; with ``final`` the last one of the window must."""
     expectations = expect(keys, topic, expected_count=expected, timeout_ms=timeout_ms)
     if not final:
-        return verify(calls, expectations, any_key=False)
-
-    def answer(e, place):
-        return _with_seen(e, e, calls, place, SLOT_MS)
-
-    m = _by_place(expectations, False, answer)
+        return verify(calls, expectations)
+    e = _prepared(expectations)
+    m = _with_seen(e, e, calls, SLOT_MS)
     fits = F.coalesce(F.col("seen.calls") == F.col("expected_count"), F.lit(False))
     return (
         m.withColumn("satisfied", fits)

@@ -112,7 +112,7 @@ OTHERS_SQL = EVENTS_SQL + " WHERE event_type <> 'signup'"
 def verify_presence(spark, sf):
     """A signup expects a purchase of its user within a day."""
     e = V.expect(S.signup_keys(spark, sf), "events", expected_type="purchase", timeout_ms=DAY_MS)
-    return plain(V.verify_presence(others_of_user(spark, sf), e, any_key=False))
+    return plain(V.verify_presence(others_of_user(spark, sf), e))
 
 
 @query(verdict_sql(OTHERS_SQL, signup_sql("ABSENCE", timeout_ms=6 * HOUR_MS)))
@@ -124,13 +124,18 @@ def verify_absence(spark, sf):
 
 @query(
     verdict_sql(
-        OTHERS_SQL, signup_sql(expected_type="error", timeout_ms=10 * 60_000, key="CAST(NULL AS VARCHAR)")
+        OTHERS_SQL,
+        signup_sql(expected_type="error", timeout_ms=10 * 60_000, key="CAST(NULL AS VARCHAR)").replace(
+            "'error' AS expected_type", "CASE WHEN value < 20 THEN 'error' ELSE 'click' END AS expected_type"
+        ),
     )
 )
 def verify_any_key(spark, sf):
-    """A signup expects an error of any user within ten minutes."""
-    keys = S.signup_keys(spark, sf).withColumn("key", F.lit(None).cast("string"))
-    e = V.expect(keys, "events", expected_type="error", timeout_ms=10 * 60_000)
+    """A signup expects an error or a click of any user within ten minutes, by its value."""
+    value = table(spark, sf, "events").select(F.col("event_id").alias("expectation_id"), "value")
+    keys = S.signup_keys(spark, sf).join(value, "expectation_id").withColumn("key", F.lit(None).cast("string"))
+    kind = F.when(F.col("value") < 20, "error").otherwise("click")
+    e = V.expect(keys, "events", expected_type=kind, timeout_ms=10 * 60_000)
     return plain(V.verify(others_of_user(spark, sf), e))
 
 
@@ -214,7 +219,7 @@ def has_failure_event(spark, sf):
 def expect_finished(spark, sf):
     """Every signup is a submitted key of one load case with a limit of 15 minutes."""
     e = V.expect_finished(S.signup_keys(spark, sf), "events", timeout_min=15)
-    return plain(V.verify(lifecycle_named(spark, sf), e, any_key=False))
+    return plain(V.verify(lifecycle_named(spark, sf), e))
 
 
 @query(verdict_sql(CALLS_SQL, order_sql("calls", count="3", timeout_ms=700 * DAY_MS)))

@@ -138,10 +138,11 @@ def satisfied(messages: DataFrame, expectations: DataFrame, max_timeout: str, de
     A left semi join of two streams: one row per expectation, no pairs. ``max_timeout`` bounds the state,
     the row's own deadline gives the exact answer.
     """
+    kinds = F.array(F.lit(V.NO_TEST), F.lit(V.TYPE_TEST), F.lit(V.COUNT_TEST), F.lit(V.BOTH_TESTS))
     fitting = (
-        V._by_predicate(messages)
-        .withColumn("ts", F.timestamp_micros("at"))
-        .select("topic", "key", "asked", "token", "ts")
+        messages.select("topic", "key", "event_type", "calls", "ts", F.explode(kinds).alias("asked"))
+        .select("topic", "key", "asked", V.token_of("asked"), "ts")
+        .filter("token IS NOT NULL")
         .withWatermark("ts", delay)
         .alias("m")
     )
