@@ -18,6 +18,15 @@ def without_schema_id(value: Column) -> Column:
     return F.substring(value, 6, 2**31 - 1)
 
 
+def filled(text: str, *cols: Column) -> Column:
+    """``text`` with each ``{}`` replaced by a column; a null reads as "null"."""
+    pieces = text.split("{}")
+    parts = [F.lit(pieces[0])]
+    for col, piece in zip(cols, pieces[1:], strict=True):
+        parts += [F.coalesce(col.cast("string"), F.lit("null")), F.lit(piece)]
+    return F.concat(*parts)
+
+
 def stable_uuid(*cols: Column | str) -> Column:
     """A UUID-shaped id from the given columns; a recomputed row gets the same one.
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from proofmark import values as v
+from proofmark.functions.columns import filled
 from proofmark.operators.nearest import nearest, running_count
 
 # One hour holds at most 3.6 million distinct millisecond times per key.
@@ -207,33 +208,24 @@ def match(messages: DataFrame, expectations: DataFrame, slot_ms: int = SLOT_MS)
 
 
 def verdict_message() -> Column:
-    """Why a verdict is what it is, from the columns of ``match``."""
-    key, found = F.col("key"), F.col("seen.calls")
-    type_failed = F.when(
-        ~F.col("seen.event_type").eqNullSafe(F.col("expected_type")) & F.col("expected_type").isNotNull(),
-        F.concat(
-            F.lit("Expected '"), F.coalesce(key, F.lit("null")), F.lit("' to have a "),
-            F.col("expected_type"), F.lit(" Processing Event, but saw none"),
-        ),
-    )
-    count_failed = F.when(
-        ~found.eqNullSafe(F.col("expected_count")) & F.col("expected_count").isNotNull(),
-        F.concat(
-            F.lit("For key "), F.coalesce(key, F.lit("null")), F.lit(": Expected "),
-            F.col("expected_count").cast("string"),
-            F.lit(" attempts to save to the Archive, but found "),
-            F.coalesce(found.cast("string"), F.lit("null")),
-        ),
+    """Why a verdict is what it is, from the columns of ``match`` and ``satisfied``.
+
+    A failed presence names the predicates that its last message fails.
+    """
+    key, kind, count = F.col("key"), F.col("expected_type"), F.col("expected_count")
+    saw_kind, saw_count = F.col("seen.event_type"), F.col("seen.calls")
+    broken = F.concat_ws(
+        "\n",
+        F.when(kind.isNotNull() & ~saw_kind.eqNullSafe(kind), filled(v.VERDICT_NO_EVENT, key, kind)),
+        F.when(count.isNotNull() & ~saw_count.eqNullSafe(count), filled(v.VERDICT_CALLS, key, count, saw_count)),
     )
     text = (
-        F.when(F.col("presence") == v.ABSENCE, F.lit("Verification failed - Expected not to see value"))
-        .when(F.col("seen").isNull(), F.lit("Verification failed - Expected to see value but saw none"))
-        .otherwise(
-            F.concat(F.lit("Verification failed!\n"), F.concat_ws("\n", type_failed, count_failed))
-        )
+        F.when(F.col("presence") == v.ABSENCE, F.lit(v.VERDICT_SAW_VALUE))
+        .when(F.col("seen").isNull(), F.lit(v.VERDICT_SAW_NONE))
+        .otherwise(filled(v.VERDICT_FAILED, broken))
     )
-    prefix = F.when(key.isNotNull(), F.concat(F.lit("For key "), key, F.lit(": "))).otherwise(F.lit(""))
-    return F.when(F.col("satisfied"), F.lit("ok")).otherwise(F.concat(prefix, text))
+    prefix = F.when(key.isNotNull(), filled(v.VERDICT_FOR_KEY, key)).otherwise(F.lit(""))
+    return F.when(F.col("satisfied"), F.lit(v.VERDICT_OK)).otherwise(F.concat(prefix, text))
 
 
 def verify(messages: DataFrame, expectations: DataFrame, slot_ms: int = SLOT_MS) -> DataFrame:
@@ -451,13 +443,8 @@ def has_size(applications: DataFrame, attachments: DataFrame, expected: int | Co
             "application_id",
             "attachments",
             "satisfied",
-            F.when(F.col("satisfied"), F.lit("ok"))
-            .otherwise(
-                F.concat(
-                    F.lit("Forventer "), want.cast("string"), F.lit(" vedlegg, men søknad har "),
-                    F.col("attachments").cast("string"), F.lit("."),
-                )
-            )
+            F.when(F.col("satisfied"), F.lit(v.VERDICT_OK))
+            .otherwise(filled(v.VERDICT_ATTACHMENTS, want, F.col("attachments")))
             .alias("message"),
         )
     )

@@ -67,6 +67,16 @@ COUNT_TIMEOUT_MS = 30_000
 ARCHIVE_ATTEMPTS = 6
 UPLOAD_ATTEMPTS = 3
 
+# Texts of verdicts; {} is filled in by the row.
+VERDICT_OK = "ok"
+VERDICT_FOR_KEY = "For key {}: "
+VERDICT_SAW_VALUE = "Verification failed - Expected not to see value"
+VERDICT_SAW_NONE = "Verification failed - Expected to see value but saw none"
+VERDICT_FAILED = "Verification failed!\n{}"
+VERDICT_NO_EVENT = "Expected '{}' to have a {} Processing Event, but saw none"
+VERDICT_CALLS = "For key {}: Expected {} attempts to save to the Archive, but found {}"
+VERDICT_ATTACHMENTS = "Forventer {} vedlegg, men søknad har {}."
+
 # Answer when a user already has an active application for the form.
 ALREADY_EXISTS = "soknadAlreadyExists"
 
