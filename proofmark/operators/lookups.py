@@ -154,19 +154,19 @@ def validate_codes(df: DataFrame, codes: DataFrame, column: str = "code") -> tup
 def fill_titles(df: DataFrame, codes: DataFrame, lang: str = "language", column: str = "code") -> DataFrame:
     """A missing title comes from the code list in the row's language, else in the fallback language.
 
-    The list is brought to one row per (code, language), so the joins add no rows.
+    The list is brought to one row per code with its titles by language, so one join serves both and adds no
+    rows; a code has at most as many entries as there are languages.
     """
-    titles = codes.groupBy("code", "language").agg(F.min("title").alias("title"))
-    own = titles.select(F.col("code").alias(column), F.col("language").alias(lang), F.col("title").alias("own"))
-    fallback = titles.filter(F.col("language") == v.FALLBACK_LANGUAGE).select(
-        F.col("code").alias(column), F.col("title").alias("fallback")
-    )
-    return (
-        df.join(own, [column, lang], "left")
-        .join(fallback, column, "left")
-        .withColumn("title", F.coalesce("title", "own", "fallback"))
-        .drop("own", "fallback")
+    by_language = F.map_from_entries(F.collect_list(F.struct("language", "title")))
+    titles = (
+        codes.filter("language IS NOT NULL")
+        .groupBy("code", "language")
+        .agg(F.min("title").alias("title"))
+        .groupBy(F.col("code").alias(column))
+        .agg(by_language.alias("titles"))
     )
+    own, fallback = F.try_element_at("titles", F.col(lang)), F.try_element_at("titles", F.lit(v.FALLBACK_LANGUAGE))
+    return df.join(titles, column, "left").withColumn("title", F.coalesce("title", own, fallback)).drop("titles")
 
 
 def activities_in_period(df: DataFrame, start: Column, end: Column | None = None, today: Column | None = None):

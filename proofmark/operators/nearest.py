@@ -41,49 +41,45 @@ def nearest(
     """
     by = list(by)
     keys = [*by, "slot"]
+    at = F.col("at").cast("long")
+    place = [*by, at.alias("at"), slot_of(at, width).alias("slot")]
     extremes = [
         *([F.min("measure").alias("lo")] if forward else []),
         *([F.max("measure").alias("hi")] if backward else []),
     ]
-    rows = (
-        facts.select(*by, F.col("at").cast("long").alias("at"), "measure", F.lit(False).alias("is_point"))
-        .unionByName(
-            points.select(*by, F.col("at").cast("long").alias("at"), F.lit(True).alias("is_point")),
-            allowMissingColumns=True,
-        )
-        .withColumn("slot", slot_of(F.col("at"), width))
+    line = (
+        facts.select(*place, "measure", F.lit(False).alias("is_point"))
+        .unionByName(points.select(*place, F.lit(True).alias("is_point")), allowMissingColumns=True)
+        .groupBy(*keys, "at")
+        .agg(*extremes, F.max("is_point").alias("is_point"))
     )
-    line = rows.groupBy(*keys, "at").agg(*extremes, F.max("is_point").alias("is_point"))
-
-    def running(part, order, first, to):
-        return Window.partitionBy(*part).orderBy(order).rowsBetween(first, to)
-
-    begin, here = Window.unboundedPreceding, Window.currentRow
-    inside = line
-    if forward:
-        inside = inside.withColumn("next", F.min("lo").over(running(keys, F.desc("at"), begin, here)))
-    if backward:
-        inside = inside.withColumn("last", F.max("hi").over(running(keys, F.asc("at"), begin, here)))
-    found = inside.filter("is_point").drop("is_point", "lo", "hi")
+
+    def running(part, time, to, forward_name, backward_name):
+        window = Window.partitionBy(*part).rowsBetween(Window.unboundedPreceding, to)
+        return [
+            *([F.min("lo").over(window.orderBy(F.desc(time))).alias(forward_name)] if forward else []),
+            *([F.max("hi").over(window.orderBy(F.asc(time))).alias(backward_name)] if backward else []),
+        ]
+
+    answers = running(keys, "at", Window.currentRow, "next", "last")
+    found = line.select(*keys, "at", "is_point", *answers).filter("is_point")
     if width is None:
-        return found.drop("slot")
+        return found.drop("slot", "is_point")
 
     # Reads the shuffled line a second time instead of the input; only slots with points need an answer.
-    carried = line.groupBy(*keys).agg(
-        *([F.min("lo").alias("lo")] if forward else []),
-        *([F.max("hi").alias("hi")] if backward else []),
-        F.max("is_point").alias("has_point"),
+    sums = [*([F.min("lo").alias("lo")] if forward else []), *([F.max("hi").alias("hi")] if backward else [])]
+    carried = (
+        line.groupBy(*keys)
+        .agg(*sums, F.max("is_point").alias("has_point"))
+        .select(*keys, "has_point", *running(by, "slot", -1, "later", "earlier"))
+        .filter("has_point")
+    )
+    return found.join(carried, keys, "left").select(
+        *by,
+        "at",
+        *([F.least("next", "later").alias("next")] if forward else []),
+        *([F.greatest("last", "earlier").alias("last")] if backward else []),
     )
-    if forward:
-        carried = carried.withColumn("later", F.min("lo").over(running(by, F.desc("slot"), begin, -1)))
-    if backward:
-        carried = carried.withColumn("earlier", F.max("hi").over(running(by, F.asc("slot"), begin, -1)))
-    found = found.join(carried.filter("has_point").drop("lo", "hi", "has_point"), keys, "left")
-    if forward:
-        found = found.withColumn("next", F.least("next", "later")).drop("later")
-    if backward:
-        found = found.withColumn("last", F.greatest("last", "earlier")).drop("earlier")
-    return found.drop("slot")
 
 
 def running_count(facts: DataFrame, by: Sequence[str], width: int | None) -> DataFrame:

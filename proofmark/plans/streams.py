@@ -51,6 +51,38 @@ def stream_verify(spark, sf):
     return plain(verification.close(spark, store, expectations))
 
 
+@query(B.verdict_sql(B.OTHERS_SQL, B.signup_sql(expected_type="purchase", timeout_ms=B.DAY_MS),
+                     "SELECT expectation_id FROM verdict WHERE satisfied"))
+def stream_satisfied(spark, sf):
+    """The same expectations as a stream of their own, joined with the stream of events."""
+    events = stream_table(spark, sf, "events")
+    messages = M.as_messages(
+        events.filter("event_type <> 'signup'").withColumn("key", F.col("user_id").cast("string")),
+        "events",
+        event_type=F.col("event_type"),
+        offset=F.col("event_id"),
+    )
+    keys = events.filter("event_type = 'signup'").select(
+        F.col("event_id").alias("expectation_id"),
+        F.lit("replay").alias("run_id"),
+        F.col("user_id").cast("string").alias("key"),
+        F.col("ts").alias("registered_at"),
+    )
+    expectations = V.expect(keys, "events", expected_type="purchase", timeout_ms=B.DAY_MS)
+    store = new_store(spark)
+    (
+        verification.satisfied(messages, expectations, "1 day")
+        .select("expectation_id")
+        .writeStream.format("parquet")
+        .option("path", f"{store}/rows")
+        .option("checkpointLocation", f"{store}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    return spark.read.schema("expectation_id long").parquet(f"{store}/rows")
+
+
 def streamed_intake(spark, sf):
     docs = stream_table(spark, sf, "documents").select(
         F.lit("main").alias("topic"),

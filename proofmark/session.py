@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -36,6 +37,9 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    own = tempfile.mkdtemp(prefix="proofmark-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    return _own_dir()
+
+
+@cache
+def _own_dir() -> str:
+    return tempfile.mkdtemp(prefix="proofmark-")
