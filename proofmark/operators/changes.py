@@ -29,11 +29,35 @@ def order() -> Column:
     return F.struct("at", "change_id")
 
 
+def create_changes(requests: DataFrame, kind: str) -> DataFrame:
+    """Create changes from a table of requests ``(change_id, application_id, at, actor, …)``.
+
+    The ways to create an application differ in their types, in who may delete it later (the actor of an
+    external one), and in the form, which loose mail lacks. All start at step 0, and are kept for
+    ``retention_days`` where the request gives them.
+    """
+    app_type, display_type, by_agency = v.CREATE_KINDS[kind]
+    out = requests.withColumns(
+        {
+            "op": F.lit(CREATE),
+            "app_type": F.lit(app_type),
+            "display_type": F.lit(display_type),
+            "agency_created": F.lit(by_agency),
+            "step": F.lit(0).cast("long"),
+            "app_source": F.col("actor") if kind in ("external_followup", "task") else F.lit(None).cast("string"),
+        }
+    )
+    if kind == "loose_mail":
+        out = out.withColumn("form_no", F.lit(None).cast("string"))
+    if "retention_days" in requests.columns:
+        out = out.withColumn("delete_at", days_after(F.col("at"), F.col("retention_days")))
+    return out
+
+
 def apply_creates(changes: DataFrame, apps: DataFrame) -> tuple[DataFrame, DataFrame]:
     """New applications from create changes; the first create of an id wins.
 
-    All ways to create one (plain, from a form, follow-up, external follow-up, task, loose mail) differ in
-    the columns they bring only.
+    ``create_changes`` makes them from requests of each kind.
     """
     creates = changes.filter(F.col("op") == CREATE)
     known = apps.select("application_id", F.lit(True).alias("known")).distinct()

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from proofmark import values as v
@@ -178,6 +181,37 @@ def rejected_creates(spark, sf):
     return creates(spark, sf)[1].select("application_id", "change_id", "reason")
 
 
+@query(
+    """SELECT o_orderkey AS application_id, CASE WHEN substr(o_orderpriority, 1, 1) IN ('1', '2', '5') THEN 'soknad'
+              ELSE 'ettersendelse' END AS app_type,
+              CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'fyllUt' WHEN '2' THEN 'dokumentinnsending'
+                   WHEN '5' THEN 'lospost' ELSE 'ettersending' END AS display_type,
+              substr(o_orderpriority, 1, 1) = '4' AS agency_created, CAST(0 AS BIGINT) AS step,
+              CASE WHEN substr(o_orderpriority, 1, 1) IN ('3', '4') THEN o_orderstatus END AS app_source,
+              CASE WHEN substr(o_orderpriority, 1, 1) <> '5' THEN CAST(o_custkey AS VARCHAR) END AS form_no,
+              o_orderdate AS created_at, o_orderdate + INTERVAL 28 DAY AS delete_at, 'Opprettet' AS status,
+              'IkkeSatt' AS archive_status
+       FROM orders WHERE o_totalprice >= 1000"""
+)
+def create_kinds(spark, sf):
+    """Orders create applications in five ways by priority; the smallest orders exist already."""
+    orders = table(spark, sf, "orders")
+    requests = orders.select(
+        F.col("o_orderkey").alias("change_id"),
+        F.col("o_orderkey").alias("application_id"),
+        F.col("o_orderdate").alias("at"),
+        F.col("o_orderstatus").alias("actor"),
+        F.col("o_custkey").cast("string").alias("form_no"),
+        F.lit(28).alias("retention_days"),
+        F.substring("o_orderpriority", 1, 1).alias("way"),
+    )
+    kinds = ["application", "from_form", "external_followup", "task", "loose_mail"]
+    parts = [U.create_changes(requests.filter(F.col("way") == str(i + 1)), k) for i, k in enumerate(kinds)]
+    log = reduce(DataFrame.unionByName, parts)
+    known = orders.filter("o_totalprice < 1000").select(F.col("o_orderkey").alias("application_id"))
+    return plain(U.apply_creates(log, known)[0].drop("actor", "retention_days", "way"))
+
+
 def order_attachments(spark, sf):
     """Orders as attachments of their customer; urgent ones carry the code users may change."""
     return table(spark, sf, "orders").select(

@@ -44,6 +44,16 @@ RECEIPT_LISTS = {
 
 APPLICATION_TYPES = ["soknad", "ettersendelse"]
 DISPLAY_TYPES = ["fyllUt", "dokumentinnsending", "ettersending", "lospost"]
+# Ways to create an application: application type, display type, made by a case worker.
+CREATE_KINDS = {
+    "application": ("soknad", "fyllUt", False),
+    "from_form": ("soknad", "dokumentinnsending", False),
+    "followup_by_form": ("ettersendelse", "ettersending", False),
+    "followup": ("ettersendelse", "ettersending", False),
+    "external_followup": ("ettersendelse", "ettersending", False),
+    "task": ("ettersendelse", "ettersending", True),
+    "loose_mail": ("soknad", "lospost", False),
+}
 MIME_TYPES = ["application/pdf", "application/json", "image/png", "image/jpeg", "application/xml"]
 FILE_STATUSES = ["ok", "notfound", "deleted"]
 NOTIFICATION_TYPES = ["utkast", "oppgave"]
