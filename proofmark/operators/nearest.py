@@ -51,7 +51,8 @@ def nearest(
         facts.select(*place, "measure", F.lit(False).alias("is_point"))
         .unionByName(points.select(*place, F.lit(True).alias("is_point")), allowMissingColumns=True)
         .groupBy(*keys, "at")
-        .agg(*extremes, F.max("is_point").alias("is_point"))
+        # The flag first, as both readers below take it first: equal plans share one shuffle.
+        .agg(F.max("is_point").alias("is_point"), *extremes)
     )
 
     def running(part, time, to, forward_name, backward_name):
@@ -70,7 +71,7 @@ def nearest(
     sums = [*([F.min("lo").alias("lo")] if forward else []), *([F.max("hi").alias("hi")] if backward else [])]
     carried = (
         line.groupBy(*keys)
-        .agg(*sums, F.max("is_point").alias("has_point"))
+        .agg(F.max("is_point").alias("has_point"), *sums)
         .select(*keys, "has_point", *running(by, "slot", -1, "later", "earlier"))
         .filter("has_point")
     )
@@ -86,26 +87,21 @@ def running_count(facts: DataFrame, by: Sequence[str], width: int | None) -> Dat
     """``(*by, at, before, count)``: how many facts lie before and up to each distinct time."""
     by = list(by)
     keys = [*by, "slot"]
-    rows = facts.select(*by, F.col("at").cast("long").alias("at")).withColumn(
-        "slot", slot_of(F.col("at"), width)
+    at = F.col("at").cast("long")
+    line = (
+        facts.select(*by, at.alias("at"), slot_of(at, width).alias("slot"))
+        .groupBy(*keys, "at")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    line = rows.groupBy(*keys, "at").agg(F.count(F.lit(1)).alias("n"))
-    begin = Window.unboundedPreceding
-    inside = line.withColumn(
-        "count", F.sum("n").over(Window.partitionBy(*keys).orderBy("at").rowsBetween(begin, Window.currentRow))
+
+    def running(part, time, to):
+        return F.sum("n").over(Window.partitionBy(*part).orderBy(time).rowsBetween(Window.unboundedPreceding, to))
+
+    inside = line.select(*keys, "at", "n", running(keys, "at", Window.currentRow).alias("inside"))
+    carried = line.groupBy(*keys).agg(F.sum("n").alias("n")).select(*keys, running(by, "slot", -1).alias("earlier"))
+    # A left join, although each slot has its row: an inner one would filter its sides differently, and they
+    # would no longer share their shuffle.
+    count = F.col("inside") + F.coalesce("earlier", F.lit(0))
+    return inside.join(carried, keys, "left").select(
+        *by, "at", (count - F.col("n")).alias("before"), count.alias("count")
     )
-    if width is not None:
-        carried = (
-            line.groupBy(*keys)
-            .agg(F.sum("n").alias("n"))
-            .withColumn(
-                "earlier", F.sum("n").over(Window.partitionBy(*by).orderBy("slot").rowsBetween(begin, -1))
-            )
-            .drop("n")
-        )
-        inside = (
-            inside.join(carried, keys)
-            .withColumn("count", F.col("count") + F.coalesce("earlier", F.lit(0)))
-            .drop("earlier")
-        )
-    return inside.select(*by, "at", (F.col("count") - F.col("n")).alias("before"), "count")

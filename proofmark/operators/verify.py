@@ -185,7 +185,7 @@ def _with_seen(e: DataFrame, of: DataFrame, messages: DataFrame, slot_ms: int) -
     facts = (
         messages.select(
             "topic", "key", at, F.struct(at, "offset", "event_type", "calls", "value").alias("measure"),
-            F.explode(_kinds(points, "place")).alias("place"),
+            F.explode(_kinds(e.select(place), "place")).alias("place"),
         )
         .select("topic", _who("place"), "place", "at", "measure")
         .filter("who IS NOT NULL")

@@ -30,3 +30,25 @@ def test_first_k_is_limited_before_the_shuffle(spark):
 def test_scan_reads_only_what_is_asked(spark):
     text = plan(spark, "size_profile")
     assert "ReadSchema: struct<l_orderkey:bigint,l_extendedprice:double>" in text
+
+
+@pytest.mark.parametrize("name, scans", [("running_count_reached", 3), ("verify_absence", 5), ("verify_presence", 11)])
+def test_both_readers_of_a_lookup_share_its_shuffle(spark, name, scans):
+    """Without adaptive execution the plan shows what is shared: each pass reads the messages once."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan(spark, name)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "ReusedExchange" in text
+    assert text.count("FileScan parquet") <= scans, text.count("FileScan parquet")
+
+
+def test_each_pass_reads_the_messages_once(spark):
+    """Lines answer, orders ask: one scan for the first fitting line, one for the last line seen."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan(spark, "call_count_any")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert text.count("/lineitem.parquet") == 2
