@@ -198,44 +198,33 @@ def best_target_group(
 
     No activity meets every group of its person. A group of a type overlaps ``[a, b]`` exactly when the
     latest end among those that start by b reaches a. That latest end is a running maximum over the start
-    dates, one lookup per activity and type, and the types are a fixed short list. A person's dates bound
-    each group after the map-side combine. Among equal types the one with the latest end is named.
+    dates, so one lookup per person and end date answers all types at once. A person's dates bound each
+    group after the map-side combine. Among equal types the one with the latest end is named.
     """
-    types = F.array(*[F.lit(t) for t in priority])
     day = lambda c: F.unix_date(c).cast("long")
     endless = F.to_date(F.lit("9999-12-31"))
+    group = F.struct(F.coalesce("to_date", endless).alias("until"), F.col("from_date").alias("from"), F.col("name"))
+    names = [f"type_{i}" for i in range(len(priority))]
     facts = groups.filter(F.col("group_type").isin(*priority)).select(
         "person_id",
-        "group_type",
         day(F.col("from_date")).alias("at"),
-        F.struct(
-            F.coalesce("to_date", endless).alias("until"), F.col("from_date").alias("from"), F.col("name")
-        ).alias("measure"),
+        *[F.when(F.col("group_type") == t, group).alias(n) for t, n in zip(priority, names)],
     )
     a = activities.withColumn("end_day", day(F.coalesce("to_date", endless)))
-    points = a.select("person_id", F.explode(types).alias("group_type"), F.col("end_day").alias("at"))
-    known = facts.select("person_id", "group_type").distinct()
-    points = points.join(known, ["person_id", "group_type"], "left_semi")
-    found = nearest(points, facts, ["person_id", "group_type"], None, forward=False)
-    # One row per (person, end day), with at most one answer per type: the list is as short as the types.
-    answers = found.groupBy("person_id", F.col("at").alias("end_day")).agg(
-        F.collect_list(F.struct("group_type", "last")).alias("answers")
+    points = a.select("person_id", F.col("end_day").alias("at"))
+    found = nearest(points, facts, ["person_id"], None, forward=False, measures=names)
+    best = F.coalesce(
+        *[
+            F.when(
+                F.col(f"last_{n}.until") >= F.col("from_date"),
+                F.struct(F.lit(t).alias("group_type"), F.col(f"last_{n}.name").alias("name")),
+            )
+            for t, n in zip(priority, names)
+        ]
     )
-    rank = lambda x: F.array_position(types, x["group_type"])
-    fitting = F.filter("answers", lambda x: x["last"]["until"] >= F.col("from_date"))
-    best = F.array_min(
-        F.transform(
-            fitting,
-            lambda x: F.struct(
-                rank(x).alias("rank"), x["group_type"].alias("group_type"), x["last"]["name"].alias("name")
-            ),
-        )
-    )
-    return (
-        a.join(answers, ["person_id", "end_day"], "left")
-        .withColumn("best", best)
-        .withColumn("target_group", F.when(F.col("best").isNotNull(), F.struct("best.group_type", "best.name")))
-        .drop("best", "answers", "end_day")
+    own = [c for c in activities.columns if c != "target_group"]
+    return a.join(found.withColumnRenamed("at", "end_day"), ["person_id", "end_day"], "left").select(
+        *own, best.alias("target_group")
     )
 
 

@@ -32,35 +32,46 @@ def nearest(
     width: int | None,
     forward: bool = True,
     backward: bool = True,
+    measures: Sequence[str] = ("measure",),
 ) -> DataFrame:
     """For each distinct point ``(*by, at)`` the extreme ``measure`` among the facts around it.
 
     ``next`` is the least measure of facts with ``fact.at >= at``, ``last`` the greatest of facts with
     ``fact.at <= at``. With a measure that starts with ``at`` these are the nearest facts; with another
-    measure they are running extremes. ``at`` is a long (or int) on both sides, ``by`` must not be null.
+    measure they are running extremes. Several measures give ``next_<name>`` and ``last_<name>`` each, from
+    the same shuffles; a null measure says nothing. ``at`` is a long (or int) on both sides, ``by`` must not
+    be null.
     """
     by = list(by)
     keys = [*by, "slot"]
     at = F.col("at").cast("long")
     place = [*by, at.alias("at"), slot_of(at, width).alias("slot")]
-    extremes = [
-        *([F.min("measure").alias("lo")] if forward else []),
-        *([F.max("measure").alias("hi")] if backward else []),
-    ]
+    suffix = {m: "" if m == "measure" else f"_{m}" for m in measures}
+
+    def columns(forward_column, backward_column):
+        return [
+            *([forward_column(x) for x in suffix.items()] if forward else []),
+            *([backward_column(x) for x in suffix.items()] if backward else []),
+        ]
+
     line = (
-        facts.select(*place, "measure", F.lit(False).alias("is_point"))
+        facts.select(*place, *measures, F.lit(False).alias("is_point"))
         .unionByName(points.select(*place, F.lit(True).alias("is_point")), allowMissingColumns=True)
         .groupBy(*keys, "at")
         # The flag first, as both readers below take it first: equal plans share one shuffle.
-        .agg(F.max("is_point").alias("is_point"), *extremes)
+        .agg(
+            F.max("is_point").alias("is_point"),
+            *columns(lambda x: F.min(x[0]).alias(f"lo{x[1]}"), lambda x: F.max(x[0]).alias(f"hi{x[1]}")),
+        )
     )
 
-    def running(part, time, to, forward_name, backward_name):
+    def running(part, time, to, next_name, last_name):
         window = Window.partitionBy(*part).rowsBetween(Window.unboundedPreceding, to)
-        return [
-            *([F.min("lo").over(window.orderBy(F.desc(time))).alias(forward_name)] if forward else []),
-            *([F.max("hi").over(window.orderBy(F.asc(time))).alias(backward_name)] if backward else []),
-        ]
+        down, up = window.orderBy(F.desc(time)), window.orderBy(F.asc(time))
+        return columns(
+            lambda x: F.min(f"lo{x[1]}").over(down).alias(f"{next_name}{x[1]}"),
+            lambda x: F.max(f"hi{x[1]}").over(up).alias(f"{last_name}{x[1]}"),
+        )
 
     answers = running(keys, "at", Window.currentRow, "next", "last")
     found = line.select(*keys, "at", "is_point", *answers).filter("is_point")
@@ -68,18 +79,24 @@ def nearest(
         return found.drop("slot", "is_point")
 
     # Reads the shuffled line a second time instead of the input; only slots with points need an answer.
-    sums = [*([F.min("lo").alias("lo")] if forward else []), *([F.max("hi").alias("hi")] if backward else [])]
     carried = (
         line.groupBy(*keys)
-        .agg(F.max("is_point").alias("has_point"), *sums)
+        .agg(
+            F.max("is_point").alias("has_point"),
+            *columns(
+                lambda x: F.min(f"lo{x[1]}").alias(f"lo{x[1]}"), lambda x: F.max(f"hi{x[1]}").alias(f"hi{x[1]}")
+            ),
+        )
         .select(*keys, "has_point", *running(by, "slot", -1, "later", "earlier"))
         .filter("has_point")
     )
     return found.join(carried, keys, "left").select(
         *by,
         "at",
-        *([F.least("next", "later").alias("next")] if forward else []),
-        *([F.greatest("last", "earlier").alias("last")] if backward else []),
+        *columns(
+            lambda x: F.least(f"next{x[1]}", f"later{x[1]}").alias(f"next{x[1]}"),
+            lambda x: F.greatest(f"last{x[1]}", f"earlier{x[1]}").alias(f"last{x[1]}"),
+        ),
     )
 
 
