@@ -1,0 +1,100 @@
+import hashlib
+import math
+import random
+import re
+
+from proofmark.llm import entropy_secrets as E
+
+BASE = {
+    "assign": re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A),
+    "access": re.compile(r"AKIA[A-Z0-9]+"),
+    "hex": re.compile(r"[0-9a-f]+"),
+}
+
+
+def base(text):
+    spans = []
+    for k, kind in enumerate(BASE):
+        for m in BASE[kind].finditer(text):
+            if {"assign": lambda: len(m[2]) >= 6, "access": lambda: len(m[0]) >= 20, "hex": lambda: len(m[0]) >= 24}[kind]():
+                spans.append((m.start(), k, m.end()))
+    return sorted(spans)
+
+
+def entropy(text):
+    out = []
+    for m in re.finditer(rf"[A-Za-z0-9+/_=-]{{{E.WINDOW},}}", text):
+        c = m[0]
+        if not (re.search("[0-9]", c) and re.search("[A-Za-z]", c)) or any(re.search(p, c) for p in E.ALLOW):
+            continue
+        bits = E.HEX_BITS if re.fullmatch("[0-9a-f]+|[0-9A-F]+", c) else E.ANY_BITS
+        runs = []
+        for i in range(len(c) - E.WINDOW + 1):
+            w = c[i : i + E.WINDOW]
+            s = sum(n * math.log2(n) for n in (w.count(x) for x in set(w)))
+            if s <= (math.log2(E.WINDOW) - bits) * E.WINDOW + 1e-9:
+                if runs and runs[-1][1] >= i:
+                    runs[-1][1] = i + E.WINDOW
+                else:
+                    runs.append([i, i + E.WINDOW])
+        out += [(m.start() + a, 3, m.start() + b) for a, b in runs]
+    known = base(text)
+    return [s for s in out if not any(b[0] < s[2] and s[0] < b[2] for b in known)]
+
+
+def listed(spans):
+    return ",".join(f"{E.KINDS[k]}:{a}:{b}" for a, k, b in sorted(spans))
+
+
+def texts():
+    rnd = random.Random(3)
+    any_, hexa = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", "0123456789abcdef"
+    pick = lambda s, n: "".join(rnd.choices(s, k=n))
+    made = [
+        None, "", "token:token:abcdefgh", "secret=token=abc", "PassWord\"  = 'ab.cd=ef-gh", "api_key=abcde apikey: abcdef",
+        "😀é password=hunter22 😀 " + pick(any_, 40), "AKIA" + "A" * 16, "AKIA" + "B" * 15, "f" * 24, "f" * 23 + "g",
+        "123e4567-e89b-12d3-a456-426614174000", "a-long-title-of-an-article-from-2023", "0" * 50 + pick(any_, 30) + "0" * 50,
+        "https://example.org/some/path/" + pick(any_, 30), "ABCDEF" + pick("0123456789ABCDEF", 40),
+    ]
+    parts = ["token", "=", ":", " ", '"', "'", "secret", "AKIA", "api", "_", "key", "é", "😀", "\n", "ſecret", "Toĸen"]
+    for _ in range(150):
+        made.append("".join(rnd.choice([rnd.choice(parts), pick(hexa, rnd.randint(1, 30)), pick(any_, rnd.randint(1, 45)), pick("AB01", 18)]) for _ in range(rnd.randint(1, 14))))
+    return made
+
+
+def test_spans_equal_brute_force(spark):
+    rows = [(i, t, "x") for i, t in enumerate(texts())] * 2
+    out = E.scan(spark.createDataFrame(rows, "doc_id long, text string, spans string")).collect()
+    assert len(out) == len(rows)
+    kinds = set()
+    for r in out:
+        text = rows[r.doc_id][1] or ""
+        known = base(text)
+        assert r.spans == listed(known + entropy(text)), text
+        assert r.base_sha256 == hashlib.sha256(listed(known).encode()).hexdigest()
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(s[1] == k for s in known) for k in range(3)]
+        kinds |= {x.split(":")[0] for x in r.spans.split(",")}
+    assert kinds >= set(E.KINDS)
+
+
+def test_redaction(spark):
+    docs = spark.createDataFrame([(i, t, 7) for i, t in enumerate(texts())], "doc_id long, text string, n_chars long")
+    spans = {r.doc_id: r.spans for r in E.scan(docs).collect()}
+    out = E.redact(docs)
+    assert out.columns == docs.columns and out.dtypes == docs.dtypes
+    for r in out.collect():
+        text = texts()[r.doc_id]
+        if not spans[r.doc_id]:
+            assert r.text == text and r.n_chars == 7
+            continue
+        hidden = set()
+        for s in spans[r.doc_id].split(","):
+            _, a, b = s.split(":")
+            hidden |= set(range(int(a), int(b)))
+        open_ = [c for i, c in enumerate(text) if i not in hidden]
+        assert r.n_chars == len(r.text) and [c for c in r.text.replace(E.MASK, "")] == open_
+
+
+def test_empty(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert E.scan(docs).count() == 0 and E.redact(docs).count() == 0
