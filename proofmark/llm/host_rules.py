@@ -98,25 +98,17 @@ def host_verdicts(judged: DataFrame, host: Column) -> DataFrame:
         F.count(F.lit(1)).alias("n_docs"),
         F.sum((F.col("base_failed") | F.col("strict_failed")).cast("long")).alias("n_failed"),
     )
+    hosts = written(hosts, "hosts")
     rate = F.col("n_failed") / F.col("n_docs")
-    whole = hosts.agg(
-        F.sum("n_docs").alias("_n"), F.sum("n_failed").alias("_f"), F.sum(rate * F.col("n_failed")).alias("_ff")
-    ).select(
-        (F.col("_f") / F.col("_n")).alias("_mean"),
-        (F.col("_ff") / F.col("_n") - F.pow(F.col("_f") / F.col("_n"), F.lit(2))).alias("_var"),
-    )
-    spread = F.col("_mean") * (1 - F.col("_mean"))
-    weight = F.when(F.col("_var") > spread * 1e-9, F.greatest(spread / F.col("_var") - 1, F.lit(0.0)))
-    shrunk = F.coalesce(
-        (F.col("n_failed") + F.col("_mean") * F.col("_weight")) / (F.col("n_docs") + F.col("_weight")), F.col("_mean")
-    )
-    # One row of totals is joined to the hosts.
-    return (
-        hosts.join(F.broadcast(whole.withColumn("_weight", weight)))
-        .withColumn("rate", shrunk)
-        .withColumn("host_failed", F.col("rate") > MAX_HOST_RATE)
-        .select("_host", "n_docs", "n_failed", "rate", "host_failed")
-    )
+    n, f, ff = hosts.agg(F.sum("n_docs"), F.sum("n_failed"), F.sum(rate * F.col("n_failed"))).first()
+    mean = f / n if n else 0.0
+    spread, var = mean * (1 - mean), (ff / n if n else 0.0) - mean**2
+    if var > spread * 1e-9:
+        weight = max(spread / var - 1, 0.0)
+        shrunk = (F.col("n_failed") + F.lit(mean * weight)) / (F.col("n_docs") + F.lit(weight))
+    else:
+        shrunk = F.lit(mean)
+    return hosts.withColumn("rate", shrunk).withColumn("host_failed", F.col("rate") > MAX_HOST_RATE)
 
 
 def _judged(docs: DataFrame, doc_id: str, text: str, host: str, whole_rows: bool) -> DataFrame:
@@ -128,7 +120,7 @@ def _judged(docs: DataFrame, doc_id: str, text: str, host: str, whole_rows: bool
             "_row", F.struct(F.col("_row").getField(doc_id).alias(doc_id), F.col("_row").getField(host).alias(host))
         )
     table = written(table, "host-rules")
-    hosts = written(host_verdicts(table, F.col("_row").getField(host)).select("_host", "host_failed"), "hosts")
+    hosts = host_verdicts(table, F.col("_row").getField(host)).select("_host", "host_failed")
     return table.join(
         maybe_broadcast(hosts), F.col("_row").getField(host).eqNullSafe(F.col("_host"))
     ).withColumn("kept", ~F.col("base_failed") & ~(F.col("host_failed") & F.col("strict_failed")))

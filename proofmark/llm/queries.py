@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from proofmark.llm import entropy_secrets, host_rules
+from proofmark.llm import entropy_secrets, host_rules, mixing, simhash_trees
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -34,3 +34,43 @@ def op3_host_rules(spark, sf_dir):
 @query()
 def op10_entropy_secrets(spark, sf_dir):
     return entropy_secrets.scan(documents(spark, sf_dir))
+
+
+MIX_SQL = """
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+    ('0x' || substr(md5('mix:' || doc_id), 1, 13))::BIGINT AS place
+  FROM documents),
+s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w
+  FROM d GROUP BY source),
+o AS (
+  SELECT *, row_number() OVER by_limit AS rank, sum(source_size) OVER () AS total,
+    coalesce(sum(2 * source_size) OVER (by_limit ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS used,
+    sum(w) OVER () - coalesce(sum(w) OVER (by_limit ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS w_left
+  FROM s WINDOW by_limit AS (ORDER BY 2 * source_size / w, source NULLS LAST)),
+l AS (SELECT *, (1.5::DOUBLE * total::DOUBLE - used::DOUBLE) / w_left::DOUBLE AS level FROM o),
+h AS (SELECT *, 2 * source_size <= level * w AS held FROM l),
+t AS (
+  SELECT source, source_size,
+    CASE WHEN held THEN (2 * source_size)::DOUBLE ELSE (SELECT arg_min(level, rank) FROM h WHERE NOT held) * w END AS target
+  FROM h),
+p AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target, least(floor(t.target + 0.5), 2 * t.source_size)::BIGINT AS need,
+    (sum(d.size) OVER (PARTITION BY d.source ORDER BY d.place, d.doc_id) - d.size)::BIGINT AS start
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+  (greatest(0, least(start + size, need) - start)
+   + greatest(0, least(start + source_size + size, need) - start - source_size))::BIGINT AS taken
+FROM p
+"""
+
+
+@query(MIX_SQL)
+def op2_golden_mix(spark, sf_dir):
+    return mixing.plan(documents(spark, sf_dir))
+
+
+@query()
+def op4_simhash_trees(spark, sf_dir):
+    return simhash_trees.label(documents(spark, sf_dir))
