@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from proofmark.llm import entropy_secrets, host_rules, mixing, simhash_trees
+from proofmark.llm import entropy_secrets, host_rules, mixing, packing, simhash_trees, simple8b
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -74,3 +74,13 @@ def op2_golden_mix(spark, sf_dir):
 @query()
 def op4_simhash_trees(spark, sf_dir):
     return simhash_trees.label(documents(spark, sf_dir))
+
+
+@query()
+def op8_deficit_packing(spark, sf_dir):
+    return packing.pack(documents(spark, sf_dir))
+
+
+@query()
+def op9_simple8b(spark, sf_dir):
+    return simple8b.read(simple8b.write(documents(spark, sf_dir)))

@@ -20,7 +20,6 @@ CACHE = 600_000  # pieces, and words, kept by a Python worker
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 PLAIN = re.compile(rf"[ \n0-9!-/:-@\[-`{{-~{LETTERS}]+")
 
-AROUND = re.compile(r"\s | \s|^\s|\s\Z")
 SIMPLE = re.compile(rf"( ?[{LETTERS}]+)([!-/:-@]*)")
 
 
@@ -38,10 +37,18 @@ def path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-class Encoder:
-    """Ids as little-endian unsigned 16-bit (vocabularies below 65,536 only), without special tokens."""
+class Uneven(Exception):
+    """A piece with white space at an end: its text has to be encoded whole."""
+
+
+class Encoder(dict):
+    """Ids as little-endian unsigned 16-bit (vocabularies below 65,536 only), without special tokens.
+
+    The dictionary maps a piece to its ids and codes new pieces when they are asked for.
+    """
 
     _made: dict = {}
+    words_of: re.Pattern
 
     def __init__(self, file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are parallel already
@@ -51,72 +58,47 @@ class Encoder:
         if self.tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16:
             raise ValueError("ids need more than 16 bits")
         self.model = self.tokenizer.model
-        self.cache: dict = {}
         self.words: dict = {}
         self.bytes = byte_alphabet()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     @classmethod
-    def of(cls, file: str, **options):
+    def of(cls, file: str):
         """One encoder per file and worker."""
-        key = (cls, file, *options.items())
-        if key not in cls._made:
-            cls._made[key] = cls(file, **options)
-        return cls._made[key]
-
-    words_of: re.Pattern
-
-    def pieces(self, text: str) -> list | None:
-        raise NotImplementedError
+        if (cls, file) not in cls._made:
+            cls._made[cls, file] = cls(file)
+        return cls._made[cls, file]
 
     def word(self, word: str) -> bytes:
         ids = self.words.get(word)
         if ids is None:
-            coded = word.replace(" ", "Ġ") if word.isascii() else word.encode().decode("latin-1").translate(self.bytes)
+            plain = word.isascii() and word.isprintable()
+            coded = word.replace(" ", "Ġ") if plain else word.encode().decode("latin-1").translate(self.bytes)
             ids = self.words[word] = array("H", [t.id for t in self.model.tokenize(coded)]).tobytes()
         return ids
 
-    def fill(self, new: list) -> None:
-        """Put pieces into the cache."""
-        odd = []
-        for piece in new:
-            text = self.text_of(piece)
-            if simple := SIMPLE.fullmatch(text):
-                self.cache[piece] = self.word(simple[1]) + self.word(simple[2]) if simple[2] else self.word(simple[1])
-            elif PLAIN.fullmatch(text):
-                self.cache[piece] = b"".join(map(self.word, self.words_of.findall(text)))
-            else:
-                odd.append(piece)
-        self.cache.update(zip(odd, self.whole([self.text_of(p) for p in odd])))
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(c.ids, "<u2").tobytes() for c in coded]
-
-    def text_of(self, piece) -> str:
-        return piece
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, as bytes."""
-        cache = self.cache
-        cut = [None if any(s in t for s in self.special) else self.pieces(t) for t in texts]
-        if len(cache) > CACHE:
-            cache.clear()
+    def code(self, text: str) -> bytes:
+        if simple := SIMPLE.fullmatch(text):
+            return self.word(simple[1]) + self.word(simple[2]) if simple[2] else self.word(simple[1])
+        if PLAIN.fullmatch(text):
+            return b"".join(map(self.word, self.words_of.findall(text)))
+        return self.whole(text)
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
+
+    def encode(self, text: str) -> bytes:
+        """The ids of a text, as bytes."""
+        if len(self) > CACHE:
+            self.clear()
         if len(self.words) > CACHE:
             self.words.clear()
-        for at in range(0, len(cut), 256):
-            new = list({p for c in cut[at : at + 256] if c for p in c if p not in cache})
-            self.fill(new)
-        out, left = [], []
-        for k, c in enumerate(cut):
-            if c is None:
-                left.append(k)
-                out.append(b"")
-            else:
-                out.append(b"".join([cache[p] for p in c]))
-        for k, ids in zip(left, self.whole([texts[k] for k in left])):
-            out[k] = ids
-        return out
+        if not any(s in text for s in self.special):
+            try:
+                return self.by_pieces(text)
+            except Uneven:
+                pass
+        return self.whole(text)
 
 
 class SpacedEncoder(Encoder):
@@ -124,12 +106,17 @@ class SpacedEncoder(Encoder):
 
     words_of = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[0-9]+| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+")
 
-    def pieces(self, text: str) -> list | None:
-        found = text.split(" ")
-        if AROUND.search(text) or not text:
-            return None
-        found[1:] = [" " + p for p in found[1:]]
-        return found
+    def __missing__(self, piece: str) -> bytes:  # of the text behind a space
+        if not piece or piece[0].isspace() or piece[-1].isspace():
+            raise Uneven
+        ids = self[piece] = self.code(" " + piece)
+        return ids
+
+    def by_pieces(self, text: str) -> bytes:
+        first, *more = text.split(" ")
+        if first[-1:].isspace() or not first and more:
+            raise Uneven
+        return self.code(first) + b"".join(map(self.__getitem__, more))
 
 
 class WordEncoder(Encoder):
@@ -137,9 +124,12 @@ class WordEncoder(Encoder):
 
     words_of = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\s{LETTERS}0-9]+")
 
-    def pieces(self, text: str) -> list | None:
-        return text.encode().lower().split()
-
-    def text_of(self, piece) -> str:
+    def __missing__(self, piece: bytes) -> bytes:
         text = piece.decode()
-        return text if text.isascii() or not PLAIN.fullmatch(text) else text.lower()
+        if not text.isascii() and PLAIN.fullmatch(text):
+            text = text.lower()
+        ids = self[piece] = self.code(text)
+        return ids
+
+    def by_pieces(self, text: str) -> bytes:
+        return b"".join(map(self.__getitem__, text.encode().lower().split()))
