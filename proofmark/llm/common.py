@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,22 +20,33 @@ SPACE = r"[\x20\x09-\x0D]+"
 # A table of at most so many rows may be broadcast or brought to the driver; its size is counted first.
 SMALL_ROWS = 50_000
 
-_written: list[str] = []
+_held: list[list[str]] = []
 
 
-def written(df: DataFrame, name: str, partitions: int | None = None) -> DataFrame:
+def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/proofmark-llm/{name}-{uuid.uuid4().hex}"
-    _written.append(path)
-    (df.coalesce(partitions) if partitions else df).write.parquet(path)
+    if _held:
+        _held[-1].append(path)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete every table that ``written`` has made so far; only for callers that have stored their results."""
-    while _written:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+@contextmanager
+def holding(paths: list[str]):
+    """Note the tables written inside in ``paths``, for ``release``; tables written elsewhere stay."""
+    _held.append(paths)
+    try:
+        yield
+    finally:
+        _held.pop()
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables whose readers have stored their results."""
+    while paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
