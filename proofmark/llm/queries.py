@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from proofmark.llm import entropy_secrets, host_rules, mixing, packing, simhash_trees, simple8b
+from proofmark.llm import entropy_secrets, host_rules, mixing, packing, rlz_spans, simhash_trees, simple8b
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -84,3 +84,25 @@ def op8_deficit_packing(spark, sf_dir):
 @query()
 def op9_simple8b(spark, sf_dir):
     return simple8b.read(simple8b.write(documents(spark, sf_dir)))
+
+
+SPAN_SQL = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35),
+windows AS (SELECT doc_id, i, md5(array_to_string(w[i : i + 34], ' ')) AS x FROM starts),
+again AS (SELECT x FROM windows GROUP BY x HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, i + j AS p FROM windows JOIN again USING (x), range(35) AS t(j)),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text
+  FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+counts AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(counts.n, 0)::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN counts USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query(SPAN_SQL)
+def op5_rlz_spans(spark, sf_dir):
+    return rlz_spans.dedup(documents(spark, sf_dir))
