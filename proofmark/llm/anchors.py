@@ -86,3 +86,9 @@ def runs(symbols: np.ndarray, ends: np.ndarray, length: int, gram: int):
         none = np.zeros(0, np.int64)
         return none, none, none, none.astype(np.uint64), none, none.astype(np.uint64)
     return tuple(np.concatenate(x) for x in zip(*parts))
+
+
+def columns_of(lists):
+    """Each row's list of structs, in an Arrow array, as numpy columns."""
+    offsets, fields = lists.offsets.to_numpy(), [f.to_numpy() for f in lists.values.flatten()]
+    return [[f[a:b] for f in fields] for a, b in zip(offsets[:-1], offsets[1:])]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from proofmark.llm import entropy_secrets, host_rules, mixing, packing, rlz_spans, simhash_trees, simple8b
+from proofmark.llm import column_bwt, entropy_secrets, host_rules, mixing, packing, pq_links, rlz_spans, simhash_trees, simple8b
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -106,3 +106,30 @@ FROM d LEFT JOIN counts USING (doc_id) LEFT JOIN kept USING (doc_id)
 @query(SPAN_SQL)
 def op5_rlz_spans(spark, sf_dir):
     return rlz_spans.dedup(documents(spark, sf_dir))
+
+
+LINK_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v AS a JOIN v AS b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(counts.n, 0)::BIGINT AS n_links, least(e.vec_id, coalesce(least.b, e.vec_id)) AS component_id,
+  e.vec_id = least(e.vec_id, coalesce(least.b, e.vec_id)) AS kept
+FROM embeddings AS e LEFT JOIN counts ON counts.a = e.vec_id LEFT JOIN least ON least.a = e.vec_id
+"""
+
+
+@query(LINK_SQL)
+def op6_pq_links(spark, sf_dir):
+    return pq_links.links(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query()
+def op7_column_bwt(spark, sf_dir):
+    return column_bwt.dedup(documents(spark, sf_dir))

@@ -85,7 +85,7 @@ def _windows(docs: DataFrame, lists: DataFrame, window: int) -> DataFrame:
         for b in batches:
             for at in range(0, b.num_rows, 64):
                 part = b.slice(at, 64)
-                for text, (start, n, anchor, phrase, weight) in zip(part.column(0).to_pylist(), _columns(part.column(1))):
+                for text, (start, n, anchor, phrase, weight) in zip(part.column(0).to_pylist(), anchors.columns_of(part.column(1))):
                     hashes = anchors.Hashes(known.of(text.split()))
                     row = np.repeat(np.arange(len(n)), n)
                     offset = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
@@ -98,20 +98,14 @@ def _windows(docs: DataFrame, lists: DataFrame, window: int) -> DataFrame:
     return written(by_arrow(met, run, "anchor long, phrase long, offset int, window long, weight long"), "windows")
 
 
-def _columns(lists: pa.Array):
-    """Each row's list of structs as numpy columns."""
-    offsets, fields = lists.offsets.to_numpy(), [f.to_numpy() for f in lists.values.flatten()]
-    return [[f[a:b] for f in fields] for a, b in zip(offsets[:-1], offsets[1:])]
-
-
-def phrases_of(runs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def phrases_of(runs: DataFrame, place: tuple[str, ...] = ("key", "start", "n")) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Of the runs whose anchor repeats: the runs, their distinct phrases (with ``count`` and one ``place``), and the
     phrases that share their anchor with others. All are written tables."""
     repeated = written(runs.groupBy(F.col("anchor").alias("at")).count().filter("count > 1").select("at"), "anchors")
     candidates = written(runs.join(repeated, F.col("anchor") == F.col("at"), "left_semi"), "candidates")
     phrases = written(
         candidates.groupBy("anchor", "phrase").agg(
-            F.count(F.lit(1)).alias("count"), F.min(F.struct("key", "start", "n")).alias("place")
+            F.count(F.lit(1)).alias("count"), F.min(F.struct(*place)).alias("place")
         ),
         "phrases",
     )
