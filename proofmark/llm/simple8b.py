@@ -36,7 +36,7 @@ SELECTORS = [
 ESCAPE = (1 << 15) - 1
 STRIDE = 64
 BLOCK = 1 << 16  # ids after which a block ends with its document
-SHARD = 1 << 22  # ids of a shard, about
+SHARD = 1 << 23  # bytes of text of a shard, about
 MAGIC = b"S8B1"
 END = 2
 
@@ -134,31 +134,17 @@ def decode_range(data: bytes, first: int, count: int) -> np.ndarray:
     return ids[first - before[a] : first - before[a] + count]
 
 
-def _token_rows(docs: DataFrame, doc_id: str, text: str, file: str, end: int) -> DataFrame:
-    def run(batches):
-        encoder, last = tokens.WordEncoder.of(file), np.array([end], "<u2").tobytes()
-        for b in batches:
-            for k in range(0, b.num_rows, 1024):
-                part = b.slice(k, 1024)
-                ids = [encoder.encode(t or "") + last for t in part.column(2).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                    ["doc_id", "row_key", "n", "ids"],
-                )
-
-    rows = docs.select(F.col(doc_id).alias("doc_id"), row_key(doc_id, text).alias("row_key"), F.col(text).alias("text"))
-    return by_arrow(rows, run, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, row_key long, n long, ids binary")
-
-
 def write(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", file: str | None = None, end: int = END,
     shard: int = SHARD, block: int = BLOCK,
 ) -> DataFrame:
     """The written blocks of all documents: shard, start (in its shard), n_ids, doc_ids, data."""
-    rows = written(_token_rows(docs, doc_id, text, file or tokens.path("word_bpe_49k.json"), end), "token-ids")
-    shards = max(1, -(-(rows.agg(F.sum("n")).first()[0] or 0) // shard))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), row_key(doc_id, text).alias("row_key"), F.col(text).alias("text"))
+    shards = max(1, -(-(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // shard))
+    file = file or tokens.path("word_bpe_49k.json")
 
     def run(batches):
+        encoder, last = tokens.WordEncoder.of(file), np.array([end], "<u2").tobytes()
         number, start, size, doc_ids, held, lengths = TaskContext.get().partitionId(), 0, 0, [], [], []
 
         def full(kind):
@@ -172,20 +158,22 @@ def write(
             kind = b.schema.field(0).type
             for at in range(0, b.num_rows, 1024):
                 part = b.slice(at, 1024)
-                for doc, n, ids in zip(*(part.column(i).to_pylist() for i in range(3))):
+                for doc, value in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    ids = encoder.encode(value or "") + last
                     doc_ids.append(doc)
                     held.append(ids)
-                    lengths.append(n)
-                    size += n
+                    lengths.append(len(ids) // 2)
+                    size += lengths[-1]
                     if size >= block:
                         yield full(kind)
                         start, size, doc_ids, held, lengths = start + size, 0, [], [], []
         if held:
             yield full(kind)
 
-    ranged = rows.repartitionByRange(shards, F.col("doc_id").asc_nulls_first(), "row_key").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "row_key")
+    order = F.col("doc_id").asc_nulls_first(), F.col("row_key")
+    ranged = rows.repartitionByRange(shards, *order).sortWithinPartitions(*order)
     schema = f"shard int, start long, n_ids long, doc_ids array<{docs.schema[doc_id].dataType.simpleString()}>, data binary"
-    return written(by_arrow(ranged.select("doc_id", "n", "ids"), run, schema), "simple8b")
+    return written(by_arrow(ranged.select("doc_id", "text"), run, schema), "simple8b")
 
 
 def read(blocks: DataFrame, doc_id: str = "doc_id", with_ids: bool = False) -> DataFrame:
