@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from proofmark.llm import column_bwt, entropy_secrets, host_rules, mixing, packing, pq_links, rlz_spans, simhash_trees, simple8b
+from proofmark.llm import column_bwt, entropy_secrets, host_rules, maxent, mixing, packing, pq_links, rlz_spans, simhash_trees, simple8b
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -26,6 +26,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query()
+def op1_hashed_maxent(spark, sf_dir):
+    return maxent.score(documents(spark, sf_dir))
+
+
 @query()
 def op3_host_rules(spark, sf_dir):
     return host_rules.judge(documents(spark, sf_dir))
