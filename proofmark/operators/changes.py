@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from proofmark import values as v
 from proofmark.functions.columns import days_after
-from proofmark.operators.skew import FLOOR, join_lookup
+from proofmark.operators.skew import join_lookup
 
 CREATE, UPDATE, COMPLETE, STEP = "create", "update", "completed", "step"
 DELETE, EXTERNAL_DELETE = "delete", "external_delete"
@@ -63,7 +63,7 @@ def apply_creates(changes: DataFrame, apps: DataFrame) -> tuple[DataFrame, DataF
     known = apps.select("application_id", F.lit(True).alias("known")).distinct()
     first = creates.groupBy("application_id").agg(F.min(order()).alias("first"))
     judged = (
-        creates.join(first.join(known, "application_id", "left"), "application_id")
+        join_lookup(creates, first.join(known, "application_id", "left"), "application_id", "inner")
         .withColumn(
             "reason",
             F.when(F.col("known"), "application exists").when(order() > F.col("first"), "created twice"),
@@ -80,7 +80,7 @@ def apply_creates(changes: DataFrame, apps: DataFrame) -> tuple[DataFrame, DataF
     return state, judged.filter("reason IS NOT NULL")
 
 
-def judged_changes(changes: DataFrame, apps: DataFrame, floor: int = FLOOR) -> DataFrame:
+def judged_changes(changes: DataFrame, apps: DataFrame) -> DataFrame:
     """Each change with its ``reason`` to be refused, or null.
 
     What is known per application (its creator, its first accepted delete) is one lookup row, so the log is
@@ -101,7 +101,7 @@ def judged_changes(changes: DataFrame, apps: DataFrame, floor: int = FLOOR) -> D
     listed = F.col("attachments") > 0 if "attachments" in changes.columns else F.lit(False)
     lookup = known.join(deletes, "application_id", "left")
     return (
-        join_lookup(log, lookup, ["application_id"], ["change_id", "at"], floor)
+        join_lookup(log, lookup, "application_id")
         .withColumn(
             "reason",
             F.when(F.col("known").isNull(), "unknown application")
@@ -114,7 +114,7 @@ def judged_changes(changes: DataFrame, apps: DataFrame, floor: int = FLOOR) -> D
 
 
 def apply_changes(
-    apps: DataFrame, changes: DataFrame, fields: Sequence[str] | None = None, floor: int = FLOOR
+    apps: DataFrame, changes: DataFrame, fields: Sequence[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Updates, completions, step marks and deletes in time order.
 
@@ -124,7 +124,7 @@ def apply_changes(
     """
     if fields is None:
         fields = [c for c in apps.columns if c in changes.columns and c not in KEPT]
-    judged = judged_changes(changes, apps, floor)
+    judged = judged_changes(changes, apps)
     ok = judged.filter("reason IS NULL")
     op = F.col("op")
     writes, marks, deletes = op.isin(UPDATE, COMPLETE), op == STEP, op.isin(DELETE, EXTERNAL_DELETE)
@@ -179,13 +179,13 @@ def replace_attachments(attachments: DataFrame, completed: DataFrame, sent: Data
 
 
 def judged_attachment_changes(
-    attachments: DataFrame, changes: DataFrame, other: str = v.OTHER_ATTACHMENT, floor: int = FLOOR
+    attachments: DataFrame, changes: DataFrame, other: str = v.OTHER_ATTACHMENT
 ) -> DataFrame:
     """Users add and delete attachments of the "other" code only, and patch existing ones."""
     current = attachments.select(F.col("id"), F.col("code").alias("current_code"))
     op = F.col("op")
     return (
-        join_lookup(changes, current, ["id"], ["change_id", "at"], floor)
+        join_lookup(changes, current, "id")
         .withColumn(
             "reason",
             F.when((op == ADD) & ~F.col("code").eqNullSafe(F.lit(other)), "only other attachments can be added")
@@ -197,11 +197,11 @@ def judged_attachment_changes(
 
 
 def apply_attachment_patch(
-    attachments: DataFrame, changes: DataFrame, other: str = v.OTHER_ATTACHMENT, floor: int = FLOOR
+    attachments: DataFrame, changes: DataFrame, other: str = v.OTHER_ATTACHMENT
 ) -> tuple[DataFrame, DataFrame]:
     """``(state, rejected)``. A patch sets status and comment on any attachment, the title on "other" ones
     only; a field left null in a patch stays as it is."""
-    judged = judged_attachment_changes(attachments, changes, other, floor)
+    judged = judged_attachment_changes(attachments, changes, other)
     ok = judged.filter("reason IS NULL")
     patch = F.col("op") == PATCH
 
@@ -229,9 +229,10 @@ def apply_files(
     files: DataFrame, attachments: DataFrame, saved: DataFrame, deleted: DataFrame, status: str = v.UPLOADED
 ) -> tuple[DataFrame, DataFrame]:
     """``(files, attachments)`` after saves and deletes; an attachment that got a file becomes uploaded."""
-    now = files.unionByName(saved.select(*files.columns)).join(deleted.select("id").distinct(), "id", "left_anti")
+    away = deleted.select("id").distinct()
+    now = join_lookup(files.unionByName(saved.select(*files.columns)), away, "id", "left_anti")
     got = (
-        saved.join(deleted.select("id").distinct(), "id", "left_anti")
+        join_lookup(saved, away, "id", "left_anti")
         .select(F.col("attachment_id").alias("id"), F.lit(True).alias("got"))
         .distinct()
     )
@@ -254,17 +255,17 @@ def cascade_delete(
     """Takes applications away with their attachments, files and notifications; the application row stays
     with its deleted status."""
     gone = ids.select("application_id").distinct()
-    doomed = attachments.join(gone, "application_id", "left_semi").select(F.col("id").alias("attachment_id")).distinct()
+    doomed = join_lookup(attachments, gone, "application_id", "left_semi").select(F.col("id").alias("attachment_id")).distinct()
     out = {
         "applications": apps.join(gone.withColumn("gone", F.lit(True)), "application_id", "left")
         .withColumn("status", F.when(F.col("gone"), F.lit(status)).otherwise(F.col("status")))
         .drop("gone"),
-        "attachments": attachments.join(gone, "application_id", "left_anti"),
-        "files": files.join(doomed, "attachment_id", "left_anti"),
+        "attachments": join_lookup(attachments, gone, "application_id", "left_anti"),
+        "files": join_lookup(files, doomed, "attachment_id", "left_anti"),
     }
     if notifications is not None:
         ids_of = gone.select(F.col("application_id").alias("submission_id"))
-        out["notifications"] = notifications.join(ids_of, "submission_id", "left_anti")
+        out["notifications"] = join_lookup(notifications, ids_of, "submission_id", "left_anti")
     return out
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from proofmark import values as v
+from proofmark.operators.skew import join_lookup
 
 
 def conflicts(df: DataFrame, order: Sequence[str], key: str = "submission_id") -> DataFrame:
@@ -18,7 +19,7 @@ def conflicts(df: DataFrame, order: Sequence[str], key: str = "submission_id") -
     """
     place = F.struct(*order)
     repeated = df.groupBy(key).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return df.join(repeated, key).filter(place > F.col("first")).drop("first", "n")
+    return join_lookup(df, repeated, key, "inner").filter(place > F.col("first")).drop("first", "n")
 
 
 def main_document_violations(df: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from proofmark import values as v
 from proofmark.functions.columns import overlaps
 from proofmark.operators.nearest import nearest
+from proofmark.operators.skew import join_lookup
 
 
 def applications_for_form(
@@ -29,7 +30,8 @@ def applications_for_form(
 
 def applications_for_requests(apps: DataFrame, requests: DataFrame) -> DataFrame:
     """As above for a table of requests ``(user_id, form_no)``."""
-    return apps.join(requests.select("user_id", "form_no").distinct(), ["user_id", "form_no"], "left_semi")
+    key = ["user_id", "form_no"]
+    return join_lookup(apps, requests.select(*key).distinct(), key, "left_semi")
 
 
 def application_detail(apps: DataFrame, attachments: DataFrame, files: DataFrame) -> DataFrame:
@@ -46,10 +48,10 @@ def application_detail(apps: DataFrame, attachments: DataFrame, files: DataFrame
         "attachment_id", F.col("id").alias("file_id"), F.col("name").alias("file_name"), F.col("size").alias("file_size")
     )
     with_files = f.join(a, "attachment_id").join(apps, "application_id")
-    without_files = a.join(f.select("attachment_id").distinct(), "attachment_id", "left_anti").join(
+    without_files = join_lookup(a, f.select("attachment_id").distinct(), "attachment_id", "left_anti").join(
         apps, "application_id"
     )
-    without_attachments = apps.join(a.select("application_id").distinct(), "application_id", "left_anti")
+    without_attachments = join_lookup(apps, a.select("application_id").distinct(), "application_id", "left_anti")
     return with_files.unionByName(without_files, allowMissingColumns=True).unionByName(
         without_attachments, allowMissingColumns=True
     )
@@ -79,7 +81,7 @@ def files_by_ids(requests: DataFrame, stored: DataFrame) -> DataFrame:
     """Every id of a request's list answers: ok, deleted or notfound. ``requests`` has ``request_id, ids``."""
     asked = requests.select("request_id", F.posexplode("ids").alias("pos", "id"))
     return (
-        asked.join(merged_files(stored), "id", "left")
+        join_lookup(asked, merged_files(stored), "id")
         .withColumn("file_status", F.coalesce("file_status", F.lit("notfound")))
         .fillna(0, ["size", "files"])
     )
@@ -112,8 +114,8 @@ def split_existing(
     key = ["user_id", "form_no"]
     forced = F.coalesce(F.col(force), F.lit(False))
     unforced = requests.filter(~forced)
-    new = requests.filter(forced).unionByName(unforced.join(open_forms, key, "left_anti"))
-    existing = unforced.join(open_forms, key, "left_semi").withColumn("answer", F.lit(v.ALREADY_EXISTS))
+    new = requests.filter(forced).unionByName(join_lookup(unforced, open_forms, key, "left_anti"))
+    existing = join_lookup(unforced, open_forms, key, "left_semi").withColumn("answer", F.lit(v.ALREADY_EXISTS))
     return new, existing
 
 
@@ -134,9 +136,9 @@ def linked_files(
         )
     )
     wanted = followups.filter(shown).select("linked_id").distinct()
-    listed = f.join(wanted, "linked_id", "left_semi")
+    listed = join_lookup(f, wanted, "linked_id", "left_semi")
     totals = f.groupBy("linked_id").agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("size"))
-    summary = followups.join(totals, "linked_id", "left")
+    summary = join_lookup(followups, totals, "linked_id")
     for c in ("files", "size"):
         summary = summary.withColumn(c, F.when(shown, F.coalesce(c, F.lit(0).cast("long"))).otherwise(0))
     return summary, listed
@@ -146,8 +148,8 @@ def validate_codes(df: DataFrame, codes: DataFrame, column: str = "code") -> tup
     """``(rows with a listed code or none, rows with an unknown one)``."""
     listed = codes.select(F.col("code").alias(column)).distinct()
     given = F.col(column).isNotNull()
-    ok = df.filter(~given).unionByName(df.filter(given).join(listed, column, "left_semi").select(*df.columns))
-    bad = df.filter(given).join(listed, column, "left_anti").select(*df.columns)
+    ok = df.filter(~given).unionByName(join_lookup(df.filter(given), listed, column, "left_semi").select(*df.columns))
+    bad = join_lookup(df.filter(given), listed, column, "left_anti").select(*df.columns)
     return ok, bad
 
 
@@ -166,7 +168,7 @@ def fill_titles(df: DataFrame, codes: DataFrame, lang: str = "language", column:
         .agg(by_language.alias("titles"))
     )
     own, fallback = F.try_element_at("titles", F.col(lang)), F.try_element_at("titles", F.lit(v.FALLBACK_LANGUAGE))
-    return df.join(titles, column, "left").withColumn("title", F.coalesce("title", own, fallback)).drop("titles")
+    return join_lookup(df, titles, column).withColumn("title", F.coalesce("title", own, fallback)).drop("titles")
 
 
 def activities_in_period(df: DataFrame, start: Column, end: Column | None = None, today: Column | None = None):

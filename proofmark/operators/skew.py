@@ -1,7 +1,11 @@
-"""A lookup join that spreads hot keys.
-
-Spark's adaptive skew join splits a hot key's partition only while nothing above the join relies on its
-partitioning. A join followed by a grouping on the same key does, so there the hot keys are salted here.
+"""Lookup joins whose hot keys adaptive execution can split.
+
+The adaptive skew join splits a hot key's partition only where both sides of the join are plain shuffles and nothing
+above relies on their partitioning. A lookup side that was grouped by the join key is no plain shuffle, as it keeps
+the grouping's partitioning, and a grouping by the key after the join does rely on it. Joining by the key and its
+hash gives both: neither partitioning fits the other any more, so Spark shuffles the small lookup once again for the
+join, and the rows once again for a grouping after it. The rows of a key are never counted and there is no limit
+below which a key stays whole but Spark's own.
 """
 
 from __future__ import annotations
@@ -11,36 +15,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot if it holds more than one in SHARE rows, so there are fewer than SHARE hot keys.
-SHARE = 10_000
-# Below this many rows a key fits a task whatever its share.
-FLOOR = 1_000_000
-SLICES = 64
-
-
-def hot_keys(df: DataFrame, on: Sequence[str], floor: int = FLOOR) -> DataFrame:
-    """The hot keys of ``df``: fewer than ``SHARE`` rows by construction, hence safe to broadcast."""
-    total = df.select(F.count(F.lit(1))).scalar()
-    return (
-        df.groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter((F.col("n") > floor) & (F.col("n") * SHARE > total))
-        .select(*on)
-    )
-
-
-def join_lookup(
-    df: DataFrame, lookup: DataFrame, on: Sequence[str], spread: Sequence[str], floor: int = FLOOR
-) -> DataFrame:
-    """``df`` left-joined with a lookup of one row per key.
 
-    The rows of a hot key are sliced by a hash of ``spread`` and its lookup row is repeated per slice;
-    all other keys keep one slice.
-    """
-    on = list(on)
-    hot = F.broadcast(hot_keys(df, on, floor).withColumn("is_hot", F.lit(True)))
-    slices = F.when(F.col("is_hot"), F.sequence(F.lit(0), F.lit(SLICES - 1))).otherwise(F.array(F.lit(0)))
-    slice_of = F.pmod(F.xxhash64(*spread), F.lit(SLICES)).cast("int")
-    sliced = df.join(hot, on, "left").withColumn("slice", F.when(F.col("is_hot"), slice_of).otherwise(0)).drop("is_hot")
-    repeated = lookup.join(hot, on, "left").withColumn("slice", F.explode(slices)).drop("is_hot")
-    return sliced.join(repeated, [*on, "slice"], "left").drop("slice")
+def join_lookup(df: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str = "left") -> DataFrame:
+    """``df`` joined with a lookup of one row per key; any number of rows of ``df`` may share a key."""
+    on = [on] if isinstance(on, str) else list(on)
+    spread = F.hash(*on).alias("_spread")
+    return df.select("*", spread).join(lookup.select("*", spread), [*on, "_spread"], how).drop("_spread")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from proofmark import values as v
 from proofmark.functions.columns import filled
 from proofmark.operators.nearest import nearest, running_count
+from proofmark.operators.skew import join_lookup
 
 # One hour holds at most 3.6 million distinct millisecond times per key.
 SLOT_MS = 3_600_000
@@ -147,8 +148,8 @@ def _with_hit(e: DataFrame, messages: DataFrame, slot_ms: int) -> DataFrame:
         )
         .select("topic", _who("asked"), "asked", token_of("asked"), "at", F.col("at").alias("measure"))
         .filter("who IS NOT NULL AND token IS NOT NULL")
-        .join(points.select(*by).distinct(), by, "left_semi")
     )
+    facts = join_lookup(facts, points.select(*by).distinct(), by, "left_semi")
     hit = nearest(points, facts, by, slot_ms * 1000, backward=False).select(
         *by, F.col("at").alias("start_us"), F.col("next").alias("first_us")
     )
@@ -189,8 +190,8 @@ def _with_seen(e: DataFrame, of: DataFrame, messages: DataFrame, slot_ms: int) -
         )
         .select("topic", _who("place"), "place", "at", "measure")
         .filter("who IS NOT NULL")
-        .join(points.select(*by).distinct(), by, "left_semi")
     )
+    facts = join_lookup(facts, points.select(*by).distinct(), by, "left_semi")
     seen = nearest(points, facts, by, slot_ms * 1000, forward=False).select(
         *by, F.col("at").alias("end_us"), "last"
     )

@@ -226,17 +226,18 @@ def test_run_metrics(spark):
     assert {r.name for r in A.gauges(df).collect()} == {"total_duration", "case_duration", "last_success", "last_failure"}
 
 
-def test_hot_keys_are_salted_without_loss(spark):
-    from proofmark.operators.skew import hot_keys, join_lookup
+def test_lookup_join_keeps_every_row(spark):
+    from proofmark.operators.skew import join_lookup
 
     rows = [("hot" if i % 3 == 0 else f"k{i}", i) for i in range(300)]
     df = spark.createDataFrame(rows, "k string, i int")
     lookup = spark.createDataFrame([("hot", 1), ("k1", 2), ("unused", 3)], "k string, x int")
-    assert [r.k for r in hot_keys(df, ["k"], floor=10).collect()] == ["hot"]
-    want = sorted((k, i, {"hot": 1, "k1": 2}.get(k)) for k, i in rows)
-    for floor in (10, 1000):
-        got = join_lookup(df, lookup, ["k"], ["i"], floor).select("k", "i", "x").collect()
-        assert sorted(tuple(r) for r in got) == want
+    found = {"hot": 1, "k1": 2}
+    got = {how: sorted(tuple(r) for r in join_lookup(df, lookup, "k", how).collect()) for how in ("left", "inner", "left_semi", "left_anti")}
+    assert got["left"] == sorted((k, i, found.get(k)) for k, i in rows)
+    assert got["inner"] == sorted((k, i, found[k]) for k, i in rows if k in found)
+    assert got["left_semi"] == sorted(r for r in rows if r[0] in found)
+    assert got["left_anti"] == sorted(r for r in rows if r[0] not in found)
 
 
 def test_changes_to_a_hot_application(spark):
@@ -245,12 +246,11 @@ def test_changes_to_a_hot_application(spark):
     log = [(i, "update" if i % 2 else "completed", 1, f"t{i}", at(i), "u") for i in range(200)]
     log += [(500, "delete", 1, None, at(150), "u"), (501, "update", 2, "late", at(3), "u"), (502, "update", 9, "x", at(3), "u")]
     changes = spark.createDataFrame(log, "change_id long, op string, application_id long, title string, at timestamp, actor string")
-    for floor in (10, 10_000):
-        state, rejected = U.apply_changes(apps, changes, floor=floor)
-        got = {r.application_id: (r.title, r.status) for r in state.collect()}
-        assert got == {1: ("t150", v.DELETED_BY_USER), 2: ("late", v.CREATED)}
-        reasons = [r.reason for r in rejected.collect()]
-        assert reasons.count("deleted before") == 49 and reasons.count("unknown application") == 1
+    state, rejected = U.apply_changes(apps, changes)
+    got = {r.application_id: (r.title, r.status) for r in state.collect()}
+    assert got == {1: ("t150", v.DELETED_BY_USER), 2: ("late", v.CREATED)}
+    reasons = [r.reason for r in rejected.collect()]
+    assert reasons.count("deleted before") == 49 and reasons.count("unknown application") == 1
 
 
 def test_predicate_column(spark):
