@@ -1,15 +1,16 @@
 """SimHash near-duplicates found in vantage-point trees.
 
-Distinct fingerprints are dealt down a tree whose vantage points are pseudo-random (a mix of the node's number), so
-that distances to them spread alike whatever the data: at each node those within ``RADIUS`` bits of the point go to
-the inner branch, the others to the outer one. By the triangle inequality two fingerprints at most ``MAX_BITS``
-apart differ by no more than that in their distance to any point, hence the outer ones within ``MAX_BITS`` of the
-boundary are also copied to the inner branch, and every pair meets in a leaf. Leaves are shards; a task goes on
-with a tree over the shard's own points and compares what is left exactly. Each shard gives back a spanning
+Of two fingerprints at most ``MAX_BITS`` apart, one half is at most ``MAX_BITS // 2`` apart, so each half has a tree of
+its own. Distinct fingerprints are dealt down it by the distance of their half to vantage points that are
+pseudo-random (a mix of the node's number), so that distances spread alike whatever the data: those within ``RADIUS``
+bits of a node's point go to the inner branch, the others to the outer one. By the triangle inequality close halves
+differ by no more than their own distance in that to any point, hence the outer ones that near to the boundary are
+also copied to the inner branch, and every pair meets in a leaf. Leaves are shards; a task goes on with a tree over
+the shard's own points, by whole fingerprints, and compares what is left exactly. Each shard gives back a spanning
 forest, not its pairs.
 
-The tree is implicit (no index is sent about). A level multiplies the rows by about 1.29 and a shard's share by
-0.65, so the depth follows from the number of distinct fingerprints.
+The trees are implicit (no index is sent about). A level multiplies the rows by about 1.14 and a shard's share by
+0.57, so the depth follows from the number of distinct fingerprints.
 
 Defined cases: null or blank text has fingerprint zero; a null id never names a component, its row gets the
 component of its fingerprint (null if no row with an id has a linked one); rows of the same id count as one
@@ -34,8 +35,9 @@ from proofmark.llm.components import components
 SHINGLE = 3
 MAX_BITS = 3
 SEED = 42
-# Inner branch: distances up to this. With 64 bits and 3 bits of overlap both branches then hold about 65 %.
-RADIUS = 30
+# Inner branch: distances up to this. With 32 bits and one bit of overlap both branches then hold about 57 %.
+RADIUS = 15
+SHRINK = 0.57
 SHARD = 8192
 LEAF = 512
 BLOCK = 1 << 21  # comparisons held at once
@@ -87,20 +89,24 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def depth_for(n: int, shard: int = SHARD) -> int:
-    return max(0, int(np.ceil(np.log(max(n, 1) / shard) / -np.log(0.646))))
+    return max(0, int(np.ceil(np.log(max(n, 1) / shard) / -np.log(SHRINK))))
 
 
 def deal(fp: np.ndarray, depth: int, max_bits: int = MAX_BITS) -> tuple[np.ndarray, np.ndarray]:
-    """(index into ``fp``, shard) for every shard that a fingerprint belongs to."""
-    at, node = np.arange(len(fp)), np.ones(len(fp), np.uint64)
-    for _ in range(depth):
-        d = np.bitwise_count(fp[at] ^ _mix(node)).astype(np.int16)
-        both = (d > RADIUS) & (d <= RADIUS + max_bits)
-        node, at = (
-            np.concatenate([node * np.uint64(2) + (d > RADIUS), node[both] * np.uint64(2)]),
-            np.concatenate([at, at[both]]),
-        )
-    return at, node
+    """(index into ``fp``, shard) for every shard that a fingerprint belongs to, in the trees of both halves."""
+    out, low = [], np.uint64((1 << 32) - 1)
+    for half in range(2):
+        bits = (fp >> np.uint64(32 * half)) & low
+        at, node = np.arange(len(fp)), np.full(len(fp), 2 + half, np.uint64)
+        for _ in range(depth):
+            d = np.bitwise_count(bits[at] ^ (_mix(node) & low)).astype(np.int16)
+            both = (d > RADIUS) & (d <= RADIUS + max_bits // 2)
+            node, at = (
+                np.concatenate([node * np.uint64(2) + (d > RADIUS), node[both] * np.uint64(2)]),
+                np.concatenate([at, at[both]]),
+            )
+        out.append((at, node))
+    return tuple(np.concatenate(x) for x in zip(*out))
 
 
 class Forest:
