@@ -278,6 +278,15 @@ def expire(
     return state, apps.filter(due).select("application_id")
 
 
+def expire_cascade(
+    apps: DataFrame, attachments: DataFrame, files: DataFrame, as_of: Column, notifications: DataFrame | None = None,
+    before_submission: Sequence[str] = (v.CREATED, v.COMPLETED),
+) -> dict[str, DataFrame]:
+    """The nightly deletion whole: expired applications keep a row, what belongs to them goes."""
+    gone = expire(apps, as_of, before_submission)[1]
+    return cascade_delete(gone, apps, attachments, files, notifications, v.DELETED_BY_SCHEDULE)
+
+
 def receipt_list(mapping: Mapping[str, str] = v.RECEIPT_LISTS) -> Column:
     """The receipt list an attachment belongs to, or null."""
     pairs = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])

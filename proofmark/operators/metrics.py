@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from proofmark import values as v
+from proofmark.operators.nearest import running_count
+from proofmark.operators.skew import join_lookup
 
 
 def seconds_between(start: Column, end: Column) -> Column:
@@ -50,26 +52,32 @@ def upload_durations(upload_log: DataFrame) -> DataFrame:
     return upload_log.withColumn("seconds", (F.col("finished_ms") - F.col("started_ms")) / F.lit(1000.0))
 
 
-def upload_summary(upload_log: DataFrame, by: str, accuracy: int = 10_000) -> DataFrame:
-    """Uploads, mean and approximate median and 95th percentile of milliseconds per group."""
-    ms = F.col("finished_ms") - F.col("started_ms")
-    q = F.percentile_approx(ms, [0.5, 0.95], accuracy)
-    return (
-        upload_log.groupBy(by)
-        .agg(
-            F.count(F.lit(1)).alias("uploads"),
-            F.sum(ms).alias("total_ms"),
-            F.max(ms).alias("max_ms"),
-            q.alias("q"),
-        )
-        .select(
-            by,
-            "uploads",
-            (F.col("total_ms") / F.col("uploads")).alias("mean_ms"),
-            "max_ms",
-            F.col("q")[0].alias("median_ms"),
-            F.col("q")[1].alias("p95_ms"),
-        )
+def upload_summary(upload_log: DataFrame, by: str, width: int = 1_000) -> DataFrame:
+    """Uploads, mean, median and 95th percentile of milliseconds per group, all exact.
+
+    A percentile is the least duration with enough uploads up to it. Uploads are counted per duration map-side and
+    the counts run up in slots of ``width`` milliseconds, so a group of any size is spread over tasks. A group
+    without a name stays a group.
+    """
+    name = F.struct(F.col(by).alias("name"))
+    rows = upload_log.select(name.alias("of"), (F.col("finished_ms") - F.col("started_ms")).alias("at"))
+    whole = rows.groupBy("of").agg(
+        F.count(F.lit(1)).alias("uploads"), F.count("at").alias("timed"), F.sum("at").alias("total_ms"), F.max("at").alias("max_ms")
+    )
+    counts = running_count(rows.filter("at IS NOT NULL"), ["of"], width)
+    reached = lambda q: F.min(F.when(F.col("count") >= F.ceil(F.col("timed") * q), F.col("at")))
+    found = (
+        join_lookup(counts, whole.select("of", "timed"), "of", "inner")
+        .groupBy("of")
+        .agg(reached(0.5).alias("median_ms"), reached(0.95).alias("p95_ms"))
+    )
+    return whole.join(found, "of", "left").select(
+        F.col("of.name").alias(by),
+        "uploads",
+        (F.col("total_ms") / F.col("timed")).alias("mean_ms"),
+        "max_ms",
+        "median_ms",
+        "p95_ms",
     )
 
 
@@ -127,22 +135,32 @@ def size_profile(files: DataFrame, by: str, threshold: int, size: str = "size")
 
 
 def gauges(run_log: DataFrame) -> DataFrame:
-    """The gauge rows of a run log: ``(run_id, name, labels, value, at)``."""
-    none = F.create_map().cast("map<string,string>")
-    end = run_log.groupBy("run_id").agg(F.max("finished_at").alias("at"))
-
-    def rows(df, name, value, labels=none):
-        return df.select("run_id", F.lit(name).alias("name"), labels.alias("labels"), value.alias("value"))
+    """The gauge rows of a run log: ``(run_id, name, labels, value, at)``.
 
+    One grouping by run and case, rolled up per run; a run's cases come out of the same rows, told apart from its
+    totals by the grouping, so the log is read and shuffled once.
+    """
+    ok, bad = F.col("ok"), ~F.col("ok")
+    first, last = F.min("started_at"), F.max("finished_at")
+    sets = run_log.groupingSets([[F.col("run_id"), F.col("case_id")], [F.col("run_id")]], "run_id", "case_id").agg(
+        F.grouping("case_id").alias("whole"),
+        seconds_between(first, last).alias("seconds"),
+        seconds_between(F.min(F.when(ok, F.col("started_at"))), F.max(F.when(ok, F.col("finished_at")))).alias("good_seconds"),
+        F.max(F.when(ok, F.col("finished_at"))).alias("success"),
+        F.max(F.when(bad, F.col("finished_at"))).alias("failure"),
+        last.alias("case_end"),
+        F.count_if(ok).alias("good"),
+    )
+    none = F.create_map().cast("map<string,string>")
     by_case = F.create_map(F.lit("testcase_id"), F.col("case_id"))
     stamp = lambda c: F.unix_micros(c) / F.lit(1_000_000.0)
-    parts = [
-        rows(run_duration(run_log), "total_duration", F.col("seconds")),
-        rows(case_duration(run_log), "case_duration", F.col("seconds"), by_case),
-        rows(last_success(run_log), "last_success", stamp(F.col("last_success"))).filter("value IS NOT NULL"),
-        rows(last_failure(run_log), "last_failure", stamp(F.col("last_failure"))).filter("value IS NOT NULL"),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.join(end, "run_id")
+    row = lambda name, value, labels=none: F.struct(F.lit(name).alias("name"), labels.alias("labels"), value.alias("value"))
+    of_run = F.array(
+        row("total_duration", F.col("seconds")), row("last_success", stamp(F.col("success"))), row("last_failure", stamp(F.col("failure")))
+    )
+    whole = F.col("whole") == 1
+    listed = F.when(whole, F.filter(of_run, lambda g: (g["name"] == "total_duration") | g["value"].isNotNull())).when(
+        F.col("good") > 0, F.array(row("case_duration", F.col("good_seconds"), by_case))
+    )
+    end = F.max("case_end").over(Window.partitionBy("run_id"))
+    return sets.withColumn("at", end).select("run_id", F.explode(listed).alias("g"), "at").select("run_id", "g.*", "at")

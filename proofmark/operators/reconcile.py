@@ -40,18 +40,21 @@ def reconcile(
 
 
 def classify_outcome(reconciled: DataFrame, attempts: int = v.ARCHIVE_ATTEMPTS) -> DataFrame:
-    """``ok``: archived at the first call; ``retried``: at a later one; ``failed``: given up, nothing stored.
+    """``ok``: archived at the first call; ``retried``: at a later one; ``failed``: given up, nothing stored;
+    ``already_archived``: finished since a lookup found it in the archive, so its status was never set.
 
     k failed calls before the good one make k + 1 calls, and at most ``attempts`` are made. Whatever fits
     none of these is ``inconsistent``.
     """
     stored = F.col("finished") & ~F.col("failed") & (F.col("entities") > 0)
     archived = F.col("archive_status") == v.ARCHIVED
+    found = F.col("finished") & ~F.col("failed") & (F.coalesce("calls", F.lit(0)) <= 1)
     gave_up = F.col("failed") & ~F.col("finished") & (F.col("entities") == 0)
     return reconciled.withColumn(
         "outcome",
         F.when(stored & archived & (F.col("calls") == 1), "ok")
         .when(stored & archived & F.col("calls").between(2, attempts), "retried")
         .when(gave_up & (F.col("archive_status") == v.ARCHIVE_FAILED), "failed")
+        .when(found & (F.col("archive_status") == v.ARCHIVE_NOT_SET), "already_archived")
         .otherwise("inconsistent"),
     )

@@ -17,7 +17,8 @@ from proofmark.operators.nearest import nearest, running_count
 from proofmark.operators.skew import join_lookup
 
 # One hour holds at most 3.6 million distinct millisecond times per key.
-SLOT_MS = 3_600_000
+# Times are microseconds, so a slot holds ten million distinct ones at most, and a year of a key three million slots.
+SLOT_MS = 10_000
 
 # What a lookup asks for: none, type, count or both, plus 4 where any key will do.
 NO_TEST, TYPE_TEST, COUNT_TEST, BOTH_TESTS, ANY_KEY = 0, 1, 2, 3, 4

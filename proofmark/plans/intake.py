@@ -135,6 +135,8 @@ def reconcile(spark, sf):
           WHEN finished AND NOT failed AND entities > 0 AND archive_status = '{v.ARCHIVED}'
                AND calls BETWEEN 2 AND {v.ARCHIVE_ATTEMPTS} THEN 'retried'
           WHEN failed AND NOT finished AND entities = 0 AND archive_status = '{v.ARCHIVE_FAILED}' THEN 'failed'
+          WHEN finished AND NOT failed AND coalesce(calls, 0) <= 1 AND archive_status = '{v.ARCHIVE_NOT_SET}'
+               THEN 'already_archived'
           ELSE 'inconsistent' END AS outcome FROM ({RECONCILED_SQL})"""
 )
 def classify_outcome(spark, sf):

@@ -65,7 +65,7 @@ def bad_enum_values(spark, sf):
 )
 def bad_person_ids(spark, sf):
     person = F.concat(
-        F.lit("10"), F.substring("c_name", 10, 20), F.when(F.col("c_acctbal") < 0, "x").otherwise("")
+        F.lit("10"), F.substr("c_name", F.lit(10)), F.when(F.col("c_acctbal") < 0, "x").otherwise("")
     )
     return Q.bad_person_ids(table(spark, sf, "customer").select("c_custkey", person.alias("person_id")))
 

@@ -386,7 +386,11 @@ def cascade(spark, sf):
                WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)"""
 )
 def cascade_delete(spark, sf):
-    out = cascade(spark, sf)
+    return cascaded(cascade(spark, sf))
+
+
+def cascaded(out):
+    """The four tables as one, for comparison."""
     none = F.lit(None).cast("string")
 
     def rows(name, id, parent, status=none):
@@ -418,6 +422,31 @@ def expire(spark, sf):
     return plain(U.expire(dated(spark, sf), as_of)[0].select("application_id", "created_at", "status"))
 
 
+EXPIRED_SQL = f"""
+SELECT application_id FROM ({S.APPLICATIONS_SQL})
+WHERE created_at + INTERVAL 28 DAY <= TIMESTAMP '1998-06-15' AND status IN ('{v.CREATED}', '{v.COMPLETED}')
+"""
+
+
+@query(
+    f"""WITH gone AS ({EXPIRED_SQL}), line AS (SELECT *, l_orderkey * 10 + l_linenumber AS id FROM lineitem)
+        SELECT 'applications' AS state, application_id AS id, application_id AS parent,
+               CASE WHEN application_id IN (FROM gone) THEN '{v.DELETED_BY_SCHEDULE}' ELSE status END AS status
+        FROM ({S.APPLICATIONS_SQL})
+        UNION ALL SELECT 'attachments', id, l_orderkey, NULL FROM line WHERE l_orderkey NOT IN (FROM gone)
+        UNION ALL SELECT 'files', l_partkey, id, NULL FROM line WHERE l_orderkey NOT IN (FROM gone)
+        UNION ALL SELECT 'notifications', event_id, user_id, NULL FROM events WHERE user_id NOT IN (FROM gone)"""
+)
+def expire_cascade(spark, sf):
+    """The nightly run of 1998-06-15 with what belongs to the applications: orders, their lines, a file per line."""
+    line = table(spark, sf, "lineitem").withColumn("id", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+    attachments = line.select("id", F.col("l_orderkey").alias("application_id"))
+    files = line.select(F.col("l_partkey").alias("id"), F.col("id").alias("attachment_id"))
+    events = table(spark, sf, "events").select(F.col("user_id").alias("submission_id"), "event_id")
+    as_of = F.lit("1998-06-15").cast("timestamp")
+    return cascaded(U.expire_cascade(dated(spark, sf), attachments, files, as_of, events))
+
+
 RECEIPT_LIST_SQL = f"""
 SELECT *, CASE WHEN upload_status IN ('LastetOpp', 'Innsendt') THEN 'sent'
                WHEN upload_status = 'SendSenere' THEN CASE WHEN required THEN 'to_follow' END

@@ -104,7 +104,7 @@ def streamed_intake(spark, sf):
 @query(SQL["quarantine_split"])
 def stream_quarantine(spark, sf):
     """Texts among JSON values, met in a stream, go to quarantine whole."""
-    return plain(streamed_intake(spark, sf)[1])
+    return plain(streamed_intake(spark, sf)[1].withColumn("value", F.col("value").cast("string")))
 
 
 @query(SQL["parse_props"])
@@ -143,17 +143,17 @@ def gauge_table(spark, sf):
 
 
 @query(
-    """SELECT 'calls' AS topic, CAST(l_orderkey AS VARCHAR) AS key, l_linenumber AS calls, l_shipdate AS ts,
-              l_partkey AS "offset" FROM lineitem"""
+    """SELECT 'calls' AS topic, CAST(l_orderkey AS VARCHAR) AS key, CASE WHEN l_linestatus = 'O' THEN l_linenumber END AS calls,
+              l_shipdate AS ts, l_partkey AS "offset",
+              CASE WHEN l_linestatus <> 'O' THEN printf('%02X', CAST(l_linenumber AS INTEGER)) END AS corrupt FROM lineitem"""
 )
 def decode_call_counts(spark, sf):
-    """Line numbers as four-byte values, decoded like a topic of call counts."""
+    """Line numbers as four-byte values, decoded like a topic of call counts; closed lines have one byte only."""
     raw = table(spark, sf, "lineitem").select(
         F.lit("calls").alias("topic"),
         F.col("l_orderkey").cast("string").cast("binary").alias("key"),
-        F.unhex(F.lpad(F.hex("l_linenumber"), 8, "0")).alias("value"),
+        F.unhex(F.lpad(F.hex("l_linenumber"), F.when(F.col("l_linestatus") == "O", 8).otherwise(2), F.lit("0"))).alias("value"),
         F.col("l_shipdate").alias("timestamp"),
         F.col("l_partkey").alias("offset"),
     )
-    good, _ = M.split_quarantine(decode_calls(raw))
-    return plain(good.select("topic", "key", "calls", "ts", "offset"))
+    return plain(decode_calls(raw).select("topic", "key", "calls", "ts", "offset", F.col(M.CORRUPT).alias("corrupt")))

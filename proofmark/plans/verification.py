@@ -152,9 +152,7 @@ MIXED_TIMEOUT_SQL = "CASE WHEN value < 10 THEN -1 WHEN value < 20 THEN 0 WHEN va
         EVENTS_SQL,
         signup_sql(expected_type="click", timeout_ms=MIXED_TIMEOUT_SQL, kind="view")
         + " UNION ALL "
-        + signup_sql("ABSENCE", timeout_ms=MIXED_TIMEOUT_SQL, kind="error").replace(
-            "'events' AS topic", "'elsewhere' AS topic"
-        ),
+        + signup_sql("ABSENCE", timeout_ms=MIXED_TIMEOUT_SQL, kind="error"),
     )
 )
 def verify_default_timeouts(spark, sf):
@@ -169,7 +167,7 @@ def verify_default_timeouts(spark, sf):
         )
 
     e = V.expect(keys("view"), "events", expected_type="click", timeout_ms=timeout).unionByName(
-        V.expect(keys("error"), "elsewhere", v.ABSENCE, timeout_ms=timeout)
+        V.expect(keys("error"), "events", v.ABSENCE, timeout_ms=timeout)
     )
     return plain(V.verify(S.event_messages(spark, sf), e))
 

@@ -193,13 +193,22 @@ def submission_from_form(spark, sf):
 @query(
     f"""SELECT CAST(doc_id AS VARCHAR) AS submission_id, false AS is_followup,
               CASE WHEN lang <> 'en' THEN lang ELSE '{v.DEFAULT_THEME}' END AS theme,
-              CAST(NULL AS VARCHAR) AS person_id, 0 AS documents
+              CAST(NULL AS VARCHAR) AS person_id, CASE WHEN lang = 'fr' THEN 1 ELSE 0 END AS documents
        FROM documents"""
 )
 def submission_defaults(spark, sf):
+    """French texts bring a document of their own, the others get the empty list."""
+    variant = F.struct(
+        F.col("doc_id").cast("string").alias("id"), F.lit(v.PDF).alias("media_type"), F.lit("a.pdf").alias("file_name"),
+        F.lit(v.PDF_FILE_TYPE).alias("file_type"),
+    )
+    document = F.struct(
+        F.lit("F").alias("form_no"), F.lit(True).alias("is_main"), F.lit("t").alias("title"), F.array(variant).alias("variants")
+    )
     docs = table(spark, sf, "documents").select(
         F.col("doc_id").cast("string").alias("submission_id"),
         F.when(F.col("lang") != "en", F.col("lang")).alias("theme"),
+        F.when(F.col("lang") == "fr", F.array(document)).alias("documents"),
     )
     return G.submission_defaults(docs).withColumn("documents", F.size("documents"))
 

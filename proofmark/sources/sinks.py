@@ -100,5 +100,6 @@ def write_raw(df: DataFrame, sink: Sink, dry_run: bool = False) -> DataFrame:
 
 
 def write_gauges(gauges: DataFrame, path: str) -> None:
-    """Appends the gauges of one or more runs to a table partitioned by run."""
-    gauges.repartition("run_id").write.mode("append").partitionBy("run_id").parquet(path)
+    """Writes the gauges of one or more runs to a table partitioned by run; a run written again replaces its rows."""
+    rows = gauges.repartition("run_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    rows.partitionBy("run_id").parquet(path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from proofmark.operators import messages as M
@@ -19,8 +20,10 @@ def start(raw: DataFrame, store: str, schema: str, interval: str | None = None)
     fate = F.when(F.col(M.CORRUPT).isNull(), "good").otherwise("quarantine")
 
     def step(batch: DataFrame, batch_id: int) -> None:
+        # A value that does not parse stays as it came: its bytes need not be text.
+        corrupt = F.when(F.col(M.CORRUPT).isNotNull(), F.col("value").cast("binary"))
         rows = batch.select(
-            "topic", "key", "entity", "ts", F.col(M.CORRUPT).alias("corrupt"), fate.alias("fate"),
+            "topic", "key", "entity", "ts", corrupt.alias("corrupt"), fate.alias("fate"),
             F.lit(batch_id).cast("long").alias("batch"),
         )
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("fate", "batch").parquet(
@@ -34,18 +37,11 @@ def start(raw: DataFrame, store: str, schema: str, interval: str | None = None)
 
 def rows(spark, store: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """``(good, quarantine)`` as read back from the store."""
-    shape = (
-        f"topic string, key string, entity struct<{', '.join(_field(f) for f in schema.split(','))}>, "
-        "ts timestamp, corrupt string, fate string, batch long"
-    )
-    df = spark.read.schema(shape).parquet(f"{store}/rows")
+    shape = T.StructType.fromDDL("topic string, key string, ts timestamp, corrupt binary, fate string, batch long")
+    df = spark.read.schema(shape.add("entity", T.StructType.fromDDL(schema))).parquet(f"{store}/rows")
     good = df.filter("fate = 'good'").select("topic", "key", "entity", "ts")
     bad = df.filter("fate = 'quarantine'").select(
         "topic", "key", F.col("corrupt").alias("value"), F.lit("value does not parse").alias("error"), "ts"
     )
     return good, bad
 
-
-def _field(declared: str) -> str:
-    name, kind = declared.split()
-    return f"{name}:{kind}"

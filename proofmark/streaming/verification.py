@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from proofmark import schemas
+from proofmark import values as v
 from proofmark.operators import verify as V
 
 # A day before any message.
@@ -136,8 +137,13 @@ def satisfied(messages: DataFrame, expectations: DataFrame, max_timeout: str, de
     """Keyed presence expectations of a stream as soon as their first fitting message is in.
 
     A left semi join of two streams: one row per expectation, no pairs. ``max_timeout`` bounds the state,
-    the row's own deadline gives the exact answer.
+    the row's own deadline gives the exact answer. An absence is decided by its deadline and a row without a key by
+    any message of its topic, which this join cannot say: such a row ends the query with an error, ``start`` takes it.
     """
+    odd = (F.col("presence") != v.PRESENCE) | F.col("presence").isNull() | F.col("key").isNull()
+    text = F.concat(F.lit("only keyed presence expectations can be joined as a stream: "), F.col("expectation_id").cast("string"))
+    kept = F.when(odd, F.raise_error(text).cast("string")).otherwise(F.col("key"))
+    expectations = expectations.withColumn("key", kept)
     kinds = F.array(F.lit(V.NO_TEST), F.lit(V.TYPE_TEST), F.lit(V.COUNT_TEST), F.lit(V.BOTH_TESTS))
     fitting = (
         messages.select("topic", "key", "event_type", "calls", "ts", F.explode(kinds).alias("asked"))

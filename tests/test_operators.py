@@ -34,12 +34,16 @@ def scenario(key, event, entity, calls, status):
 
 
 def test_outcomes_of_the_scenarios(spark):
-    """One file, large file, archive down, conflict, two failures first, three wrong answers first."""
+    """The nine end states: one file, large file, archive down, conflict, found archived, found after a timeout, poison
+    row first, two failures first, three wrong answers first; and two that fit none."""
     rows = (
         scenario("one", "FINISHED", True, 1, v.ARCHIVED)
         + scenario("large", "FINISHED", True, 1, v.ARCHIVED)
         + scenario("down", "FAILURE", False, 6, v.ARCHIVE_FAILED)
         + scenario("conflict", "FINISHED", True, 1, v.ARCHIVED)
+        + scenario("found", "FINISHED", True, 0, v.ARCHIVE_NOT_SET)
+        + scenario("timeout", "FINISHED", False, 1, v.ARCHIVE_NOT_SET)
+        + scenario("poison", "FINISHED", True, 1, v.ARCHIVED)
         + scenario("404", "FINISHED", True, 3, v.ARCHIVED)
         + scenario("wrong", "FINISHED", True, 4, v.ARCHIVED)
         + scenario("odd", "FINISHED", False, 1, v.ARCHIVED)
@@ -52,6 +56,9 @@ def test_outcomes_of_the_scenarios(spark):
         "large": ("ok", 1, v.ARCHIVED),
         "down": ("failed", 6, v.ARCHIVE_FAILED),
         "conflict": ("ok", 1, v.ARCHIVED),
+        "found": ("already_archived", None, v.ARCHIVE_NOT_SET),
+        "timeout": ("already_archived", 1, v.ARCHIVE_NOT_SET),
+        "poison": ("ok", 1, v.ARCHIVED),
         "404": ("retried", 3, v.ARCHIVED),
         "wrong": ("retried", 4, v.ARCHIVED),
         "odd": ("inconsistent", 1, v.ARCHIVED),
@@ -259,3 +266,37 @@ def test_predicate_column(spark):
         V.predicate(F.col("event_type"), F.col("calls"), F.lit(t).cast("string"), F.lit(c).cast("int")).alias("p")
     ).first().p
     assert [check("A", 1), check("A", None), check(None, None), check("B", 1), check("A", 2)] == [True, True, True, False, False]
+
+
+def test_percentiles_are_exact_for_many_distinct_values(spark):
+    n = 120_000
+    log = spark.range(n).select(
+        F.lit("g").alias("name"), F.lit(0).cast("long").alias("started_ms"), (F.col("id") * 7919 % 1_000_003).alias("finished_ms")
+    ).unionByName(spark.createDataFrame([(None, 1, 4), ("h", 5, None)], "name string, started_ms long, finished_ms long"))
+    got = {r["name"]: r for r in A.upload_summary(log, "name").collect()}
+    values = sorted(i * 7919 % 1_000_003 for i in range(n))
+    assert (got["g"].median_ms, got["g"].p95_ms, got["g"].max_ms, got["g"].uploads) == (values[n // 2 - 1], values[n * 95 // 100 - 1], values[-1], n)
+    assert (got[None].median_ms, got[None].mean_ms, got["h"].median_ms, got["h"].uploads) == (3, 3.0, None, 1)
+
+
+def test_gauges_read_the_log_once(spark, tmp_path):
+    rows = [("r", "a", at(0), at(5), True), ("r", "b", at(1), at(9), False), ("s", None, at(2), at(3), True)]
+    spark.createDataFrame(rows, "run_id string, case_id string, started_at timestamp, finished_at timestamp, ok boolean").write.parquet(f"{tmp_path}/log")
+    out = A.gauges(spark.read.parquet(f"{tmp_path}/log"))
+    assert out._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    got = sorted((r.run_id, r["name"], r.labels.get("testcase_id"), r.value) for r in out.collect() if r["name"].endswith("duration"))
+    assert got == [("r", "case_duration", "a", 5.0), ("r", "total_duration", None, 9.0), ("s", "case_duration", None, 1.0), ("s", "total_duration", None, 1.0)]
+    assert {(r.run_id, r["name"], r.at) for r in out.collect()} >= {("r", "last_failure", at(9)), ("s", "last_success", at(3)), ("r", "case_duration", at(9))}
+
+
+def test_slots_bound_a_window_task_for_microseconds(spark):
+    """An hour of one key, a message every 20 ms: no slot, and so no window task, holds more than ten seconds of it."""
+    from proofmark.operators.nearest import nearest, slot_of
+
+    facts = spark.range(180_000).select(F.lit("k").alias("k"), (F.col("id") * 20_000 + 7).alias("at")).withColumn("measure", F.col("at"))
+    width = V.SLOT_MS * 1000
+    most = facts.groupBy(slot_of(F.col("at"), width)).count().agg(F.max("count")).first()[0]
+    assert most <= 500
+    points = spark.createDataFrame([("k", 0), ("k", 3_599_980_007), ("k", 1_000_000_008)], "k string, at long")
+    got = {r.at: (r.next, r.last) for r in nearest(points, facts, ["k"], width).collect()}
+    assert got == {0: (7, None), 3_599_980_007: (3_599_980_007, 3_599_980_007), 1_000_000_008: (1_000_020_007, 1_000_000_007)}

@@ -64,10 +64,11 @@ def test_dry_run_writes_nothing(spark, tmp_path):
     assert spark.read.parquet(str(path)).first().key == "s"
 
 
-def test_gauges_append_by_run(spark, tmp_path):
+def test_gauges_are_replaced_by_run(spark, tmp_path):
     log = spark.createDataFrame([("r1", "TC01", T, T, True, None)], schemas.RUN_LOG)
-    for run in ("r1", "r2"):
+    for run in ("r1", "r2", "r1"):  # a retried job replaces its rows
         sinks.write_gauges(A.gauges(log.withColumn("run_id", F.lit(run))), str(tmp_path / "g"))
+    assert spark.read.parquet(str(tmp_path / "g")).groupBy("run_id").count().select("count").distinct().count() == 1
     assert {p.name for p in (tmp_path / "g").glob("run_id=*")} == {"run_id=r1", "run_id=r2"}
 
 

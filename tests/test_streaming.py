@@ -2,6 +2,8 @@
 
 from datetime import datetime, timedelta, timezone
 
+import pytest
+
 from proofmark import schemas
 from proofmark.operators import verify as V
 from proofmark.streaming import intake, verification
@@ -101,6 +103,7 @@ def test_poison_row_does_not_stop_the_next(spark, tmp_path):
         (b"p", b"unserializableString", 0),
         (b"g", good.encode(), 1),
         (b"w", b'{"id":"2","timesaved":"not a number"}', 2),
+        (b"x", b"\xff\xfe\x00", 3),
     ]
     for key, value, i in raw:
         spark.createDataFrame(
@@ -110,7 +113,27 @@ def test_poison_row_does_not_stop_the_next(spark, tmp_path):
     intake.start(stream, store, schemas.ARCHIVE_ENTITY_JSON).awaitTermination()
     ok, bad = intake.rows(spark, store, schemas.ARCHIVE_ENTITY_JSON)
     assert [(r.key, r.entity.title, r.entity.timesaved) for r in ok.collect()] == [("g", "t", 5)]
-    assert sorted((r.key, r.value) for r in bad.collect()) == [
-        ("p", "unserializableString"), ("w", '{"id":"2","timesaved":"not a number"}'),
-    ]
+    assert sorted((r.key, bytes(r.value)) for r in bad.collect()) == [(k.decode(), x) for k, x, i in sorted(raw) if i != 1]
+
+
+def test_schemas_with_commas_inside(spark, tmp_path):
+    folder, store = str(tmp_path / "in"), str(tmp_path / "store")
+    value = b'{"amount": 1.25, "at": {"x": 1, "y": 2}}'
+    spark.createDataFrame([("k", value, "main", 0, 0, T0, None)], schemas.RAW_MESSAGES).write.parquet(folder)
+    shape = "amount decimal(10,2), at struct<x:int,y:int>"
+    intake.start(spark.readStream.schema(schemas.RAW_MESSAGES).parquet(folder), store, shape).awaitTermination()
+    entity = intake.rows(spark, store, shape)[0].first().entity
+    assert (str(entity.amount), entity["at"].x, entity["at"].y) == ("1.25", 1, 2)
+
+
+@pytest.mark.parametrize("key, presence", [("k", "ABSENCE"), (None, "PRESENCE")])
+def test_satisfied_refuses_what_it_cannot_decide(spark, tmp_path, key, presence):
+    e, m = str(tmp_path / "e"), str(tmp_path / "m")
+    land(spark, m, MESSAGES)
+    row = (1, "r", "t", key, presence, None, None, T0, 1000)
+    spark.createDataFrame([row], schemas.EXPECTATIONS).write.parquet(e)
+    out = verification.satisfied(source(spark, m), spark.readStream.schema(schemas.EXPECTATIONS).parquet(e), "120 seconds")
+    q = out.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start()
+    with pytest.raises(Exception, match="only keyed presence"):
+        q.awaitTermination()
 
