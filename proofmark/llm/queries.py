@@ -31,7 +31,40 @@ def op1_hashed_maxent(spark, sf_dir):
     return maxent.score(documents(spark, sf_dir))
 
 
-@query()
+HOST_SQL = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS body,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents),
+starts AS (SELECT r, unnest(range(1, len(w) - 1)) AS i, w FROM d WHERE len(w) >= 3),
+windows AS (SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS x FROM starts),
+again AS (SELECT r, x FROM windows GROUP BY r, x HAVING count(*) > 1),
+covered AS (SELECT r, count(DISTINCT i + k) AS n FROM windows JOIN again USING (r, x), range(3) AS three(k) GROUP BY r),
+m AS (
+  SELECT doc_id, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+    length(regexp_replace(body, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+    list_filter(string_split(body, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines,
+    coalesce(covered.n, 0)::BIGINT AS n_repeat_words
+  FROM d LEFT JOIN covered USING (r)),
+j AS (
+  SELECT *, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+    n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed
+  FROM m),
+s AS (
+  SELECT *, 100 * n_symbols > 10 * n_words OR 100 * n_dup_lines > 30 * len(lines) OR word_chars < 3 * n_words
+    OR word_chars > 10 * n_words AS strict_failed
+  FROM j),
+h AS (SELECT source, count(*) AS n, count(*) FILTER (base_failed OR strict_failed) AS f FROM s GROUP BY source),
+p AS (SELECT sum(f) / sum(n) AS mean, sum(f * f / n) / sum(n) - (sum(f) / sum(n)) ** 2 AS var FROM h),
+q AS (SELECT mean, CASE WHEN var > mean * (1 - mean) * 1e-9 THEN greatest(mean * (1 - mean) / var - 1, 0) END AS prior FROM p),
+v AS (SELECT source, coalesce((f + mean * prior) / (n + prior), mean) > 0.5 AS host_failed FROM h, q)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT (host_failed AND strict_failed) AS kept, host_failed
+FROM s JOIN v ON s.source IS NOT DISTINCT FROM v.source
+"""
+
+
+@query(HOST_SQL)
 def op3_host_rules(spark, sf_dir):
     return host_rules.judge(documents(spark, sf_dir))
 
