@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from proofmark import sources
 from proofmark.operators import messages as M
 from proofmark.operators import verify as V
 from proofmark.plans import runs
@@ -157,3 +158,54 @@ def decode_call_counts(spark, sf):
         F.col("l_partkey").alias("offset"),
     )
     return plain(decode_calls(raw).select("topic", "key", "calls", "ts", "offset", F.col(M.CORRUPT).alias("corrupt")))
+
+
+def replayed(spark, raw):
+    """Raw messages written as a replay, as a source."""
+    store = new_store(spark)
+    shape = [F.lit(None).cast("array<struct<key:string,value:binary>>").alias("headers"), F.lit(0).alias("partition")]
+    raw.select("*", *shape).write.parquet(store)
+    return sources.Source(path=store)
+
+
+@query(
+    """SELECT CAST(o_orderkey AS VARCHAR) AS key, o_orderpriority AS id, o_orderstatus AS title,
+              CAST(o_custkey AS BIGINT) AS time_saved, o_orderdate AS ts, false AS corrupt FROM orders WHERE o_orderstatus <> 'P'
+       UNION ALL SELECT CAST(o_orderkey AS VARCHAR), NULL, NULL, NULL, o_orderdate, true FROM orders WHERE o_orderstatus = 'P'"""
+)
+def read_entities(spark, sf):
+    """Orders as entities of a replayed topic; pending ones are no JSON and go to quarantine."""
+    entity = F.to_json(
+        F.struct(F.col("o_orderpriority").alias("id"), F.col("o_orderstatus").alias("title"), F.col("o_custkey").alias("timesaved"))
+    )
+    raw = table(spark, sf, "orders").select(
+        F.lit("entities").alias("topic"), F.col("o_orderkey").cast("string").alias("key"),
+        F.when(F.col("o_orderstatus") != "P", entity).otherwise("not json").cast("binary").alias("value"),
+        F.col("o_orderdate").alias("timestamp"), F.col("o_orderkey").cast("long").alias("offset"),
+    )
+    good, bad = M.split_quarantine(sources.read_archive_entities(spark, replayed(spark, raw)))
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("id", "string"), ("title", "string"), ("time_saved", "long"))]
+    rows = good.select("key", "id", "title", "time_saved", "ts", F.lit(False).alias("corrupt"))
+    return plain(rows.unionByName(bad.select("key", *none, "ts", F.lit(True).alias("corrupt"))))
+
+
+@query(
+    """SELECT CAST(event_id AS VARCHAR) AS key, event_type || ':' || user_id AS message, ts, CAST(event_id AS BIGINT) AS "offset"
+       FROM events"""
+)
+def read_feedback(spark, sf):
+    """Events as feedback texts of a replayed topic."""
+    text = F.concat_ws(":", "event_type", F.col("user_id").cast("string"))
+    raw = table(spark, sf, "events").select(
+        F.lit("feedback").alias("topic"), F.col("event_id").cast("string").alias("key"), text.cast("binary").alias("value"),
+        F.col("ts").alias("timestamp"), F.col("event_id").cast("long").alias("offset"),
+    )
+    return plain(sources.read_archive_feedback(spark, replayed(spark, raw)).drop("topic"))
+
+
+@query(f"SELECT key, archive_status, ts FROM ({S.STATUS_HISTORY_SQL})")
+def read_status(spark, sf):
+    """The status history as a stored table, read in its schema."""
+    store = new_store(spark)
+    S.status_history(spark, sf).select("key", "archive_status", "ts").write.json(store)
+    return plain(sources.read_archive_status(spark, sources.Source("json", store, decoded=True)))
