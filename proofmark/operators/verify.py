@@ -237,7 +237,11 @@ def verify(messages: DataFrame, expectations: DataFrame, slot_ms: int = SLOT_MS)
     message of the key; whatever is still open is decided at its own deadline. ``last_value`` is what a
     failed presence saw last. A rejected expectation that was not split off before comes out unsatisfied.
     """
-    m = match(messages, expectations, slot_ms)
+    return decided(match(messages, expectations, slot_ms))
+
+
+def decided(m: DataFrame) -> DataFrame:
+    """Verdicts from the columns of ``match``."""
     absent = F.col("presence") == v.ABSENCE
     rejected = absent & F.col("key").isNull()
     hit = F.col("hit_us").isNotNull()

@@ -1,10 +1,14 @@
 """Verification of a stream.
 
-``start`` lands each micro-batch in a message table and decides what can be decided with the same ordered
-lookups as the batch form, so a hot key is spread here as it is there. A verdict comes out once the
-horizon (latest event time less the allowed delay) has passed the time that decides it; then no message on
-time can change it any more, and stream and batch agree. Each step overwrites what its own batch id wrote
-before, so a repeated batch after a lost executor or a restart leaves the same tables.
+``start`` lands each micro-batch in a message table and keeps one state row per open expectation: the first message
+that fits it and the last one it saw, so far. A step looks up its batch's messages for the open rows, with the same
+ordered lookups as the batch form, so a hot key is spread here as it is there; landed messages are read again only
+for expectations that are new. A verdict comes out once the horizon (latest event time less the allowed delay) has
+passed the time that decides it; then no message on time can change it any more, and stream and batch agree.
+
+Each step overwrites what its own batch id wrote before and reads the state of the batch before it, so a repeated
+batch after a lost executor or a restart leaves the same tables. Open rows of older batches are deleted, and the
+decided ones of every ``COMPACT`` batches move into one partition.
 
 ``satisfied`` is the built-in stream-stream form for expectations that only need a yes.
 """
@@ -17,6 +21,7 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from proofmark import schemas
@@ -25,6 +30,9 @@ from proofmark.operators import verify as V
 
 # A day before any message.
 MARKER_DAY = "0001-01-01"
+COMPACT = 64
+SEEN = "struct<at:long,offset:long,event_type:string,calls:int,value:string>"
+STATE = f"{schemas.EXPECTATIONS}, start_us long, end_us long, hit_us long, seen {SEEN}"
 
 Expectations = Callable[[SparkSession], DataFrame]
 
@@ -36,27 +44,53 @@ def _own_partitions(df: DataFrame, path: str, *by: str) -> None:
 
 def _markers(spark: SparkSession, store: str) -> None:
     """One null row of batch -1 per table, so that a table exists before its first real row."""
-    none = F.lit(-1).cast("long").alias("batch")
+    none = F.lit(-1).cast("long")
     no_message = spark.createDataFrame([(None,) * 7], schemas.MESSAGES)
     first_day = F.to_date(F.lit(MARKER_DAY)).alias("day")
-    _own_partitions(no_message.select("*", first_day, none), f"{store}/messages", "day", "batch")
-    no_verdict = spark.createDataFrame([(None,) * 6], schemas.VERDICTS)
-    _own_partitions(no_verdict.select("*", none), f"{store}/verdicts", "batch")
+    _own_partitions(no_message.select("*", first_day, none.alias("batch")), f"{store}/messages", "day", "batch")
+    no_state = spark.createDataFrame([(None,) * 13], STATE)
+    for done in (True, False):
+        _own_partitions(no_state.select("*", F.lit(done).alias("done"), none.alias("batch")), f"{store}/state", "batch", "done")
+    no_state.write.mode("overwrite").parquet(f"{store}/decided/upto=-1")
+    never = spark.range(1).select(F.lit(None).cast("timestamp").alias("latest"))
+    never.write.mode("overwrite").parquet(f"{store}/horizon/batch=-1")
+
+
+def _delete(spark: SparkSession, *paths: str) -> None:
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _exists(spark: SparkSession, p: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(p)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
 def _land(batch: DataFrame, batch_id: int, store: str) -> None:
-    """Writes the messages and, from the same pass, their latest time."""
+    """Writes the messages and, from the same pass, the latest time up to here."""
+    spark = batch.sparkSession
     n = F.lit(batch_id).cast("long").alias("batch")
     latest = Observation(f"landed_{uuid.uuid4().hex}")
     landed = batch.observe(latest, F.max(F.unix_micros("ts")).alias("latest_us"))
     _own_partitions(landed.select("*", F.to_date("ts").alias("day"), n), f"{store}/messages", "day", "batch")
-    at = F.timestamp_micros(F.lit(latest.get.get("latest_us")).cast("long")).alias("latest")
-    _own_partitions(batch.sparkSession.range(1).select(at, n), f"{store}/horizon", "batch")
+    before = spark.read.schema("latest timestamp").parquet(f"{store}/horizon/batch={batch_id - 1}")
+    now = F.timestamp_micros(F.lit(latest.get.get("latest_us")).cast("long"))
+    before.select(F.greatest("latest", now).alias("latest")).write.mode("overwrite").parquet(f"{store}/horizon/batch={batch_id}")
+
+
+def _state(spark: SparkSession, store: str, batches: str, done: bool) -> DataFrame:
+    """State rows of some batches; others are not even listed."""
+    read = spark.read.schema(f"{STATE}, batch long, done boolean").option("basePath", f"{store}/state")
+    return read.parquet(f"{store}/state/batch={batches}/done={str(done).lower()}").filter("batch >= 0").drop("done")
 
 
 def _decided(spark: SparkSession, store: str) -> DataFrame:
-    """All verdicts so far."""
-    return spark.read.schema(f"{schemas.VERDICTS}, batch long").parquet(f"{store}/verdicts").filter("batch >= 0")
+    """State rows of all decided expectations so far: the compacted ones and those of the batches since."""
+    old = spark.read.schema(f"{STATE}, upto long").option("basePath", f"{store}/decided").parquet(f"{store}/decided")
+    upto = old.agg(F.max("upto")).scalar()
+    new = _state(spark, store, "*", True).filter(F.col("batch") >= upto)
+    return old.filter("upto >= 0").drop("upto").unionByName(new.drop("batch"))
 
 
 def _landed(spark: SparkSession, store: str, days: str = "*") -> DataFrame:
@@ -65,36 +99,64 @@ def _landed(spark: SparkSession, store: str, days: str = "*") -> DataFrame:
     return read.parquet(f"{store}/messages/day={days}").filter("batch >= 0")
 
 
-def _between(spark: SparkSession, store: str, first, last, batch_id: int) -> DataFrame:
-    days = ",".join(str(first + timedelta(days=i)) for i in range((last - first).days + 1))
-    return _landed(spark, store, f"{{{MARKER_DAY},{days}}}").filter(F.col("batch") <= batch_id)
+def _history(spark: SparkSession, store: str, fresh: DataFrame, batch_id: int) -> DataFrame:
+    """Messages landed so far on the days that the windows of ``fresh`` span."""
+    until = F.timestamp_micros(F.unix_micros("registered_at") + F.col("timeout_ms") * 1000)
+    bounds = fresh.agg(F.to_date(F.min("registered_at")).alias("first"), F.to_date(F.max(until)).alias("last")).first()
+    seen = spark.read.schema("latest timestamp").parquet(f"{store}/horizon/batch={batch_id}")
+    latest = seen.select(F.to_date("latest")).first()[0]
+    days = [MARKER_DAY]
+    if bounds["first"] is not None and latest is not None:
+        span = (min(bounds["last"], latest) - bounds["first"]).days + 1
+        days += [str(bounds["first"] + timedelta(days=i)) for i in range(max(span, 0))]
+    listed = _landed(spark, store, f"{{{','.join(days)}}}").filter(F.col("batch") <= batch_id)
+    return listed.drop("day", "batch")
 
 
 def _decide(spark: SparkSession, batch_id: int, store: str, expectations: Expectations, delay_ms: int) -> None:
-    n = F.lit(batch_id).cast("long")
-    before = _decided(spark, store).filter(F.col("batch") < batch_id)
-    still_open = V.with_default_timeout(expectations(spark)).join(
-        before.select("expectation_id"), "expectation_id", "left_anti"
+    own = [f.name for f in T.StructType.fromDDL(schemas.EXPECTATIONS)]
+    before = _state(spark, store, f"{{-1,{batch_id - 1}}}", False)
+    fresh = (
+        V.with_default_timeout(expectations(spark))
+        .join(before.select("expectation_id").unionByName(_decided_before(spark, store, batch_id)), "expectation_id", "left_anti")
+        .select(*own)
     )
-    horizons = spark.read.schema("latest timestamp, batch long").parquet(f"{store}/horizon")
-    horizon = horizons.filter(F.col("batch") <= batch_id).agg(
-        F.timestamp_micros(F.max(F.unix_micros("latest")) - delay_ms * 1000).alias("horizon")
-    )
-    until = F.timestamp_micros(F.unix_micros("registered_at") + F.col("timeout_ms") * 1000)
-    # One row of bounds: what may still be open spans no more days than the longest timeout.
-    bounds = (
-        still_open.select("registered_at", until.alias("until"))
-        .agg(F.min("registered_at").alias("a"), F.max("until").alias("b"))
-        .select(F.to_date("a").alias("first"), F.to_date("b").alias("last"))
-        .withColumn("seen", horizons.agg(F.to_date(F.max("latest"))).scalar())
-        .first()
+    open_ones = before.select(*own, F.col("hit_us").alias("old_hit"), F.col("seen").alias("old_seen"))
+    batch = _landed(spark, store).filter(F.col("batch") == batch_id).drop("day", "batch")
+    found = V.match(batch, open_ones)
+    if not fresh.isEmpty():
+        nothing = [F.lit(None).cast("long").alias("old_hit"), F.lit(None).cast(SEEN).alias("old_seen")]
+        found = found.unionByName(V.match(_history(spark, store, fresh, batch_id), fresh.select("*", *nothing)))
+    state = found.select(
+        *own, "start_us", "end_us", F.least("old_hit", "hit_us").alias("hit_us"), F.greatest("old_seen", "seen").alias("seen")
     )
-    if bounds.first is None or bounds.seen is None or bounds.seen < bounds.first:
-        return
-    last = min(bounds.last, bounds.seen)
-    history = _between(spark, store, bounds.first, last, batch_id).drop("day", "batch")
-    verdicts = V.verify(history, still_open).filter(F.col("decided_at") < horizon.scalar())
-    _own_partitions(verdicts.withColumn("batch", n), f"{store}/verdicts", "batch")
+    latest = spark.read.schema("latest timestamp").parquet(f"{store}/horizon/batch={batch_id}").first()["latest"]
+    horizon = F.lit(latest).cast("timestamp") - F.make_dt_interval(secs=F.lit(delay_ms / 1000))
+    decides = F.when(F.col("hit_us").isNotNull(), F.col("hit_us")).otherwise(F.col("end_us"))
+    rejected = (F.col("presence") == v.ABSENCE) & F.col("key").isNull()
+    at = F.when(rejected, F.col("start_us")).otherwise(decides)
+    done = F.coalesce(F.timestamp_micros(at) < horizon, F.lit(False)).alias("done")
+    _own_partitions(state.select("*", F.lit(batch_id).cast("long").alias("batch"), done), f"{store}/state", "batch", "done")
+    _delete(spark, f"{store}/state/batch={batch_id - 2}/done=false", *[f"{store}/horizon/batch={batch_id - 2}"] * (batch_id > 1))
+    if batch_id and batch_id % COMPACT == 0:
+        _compact(spark, store, batch_id)
+
+
+def _decided_before(spark: SparkSession, store: str, batch_id: int) -> DataFrame:
+    """Ids decided by earlier batches."""
+    old = spark.read.schema(f"{STATE}, upto long").option("basePath", f"{store}/decided").parquet(f"{store}/decided")
+    new = _state(spark, store, "*", True).filter(F.col("batch") < batch_id)
+    return old.filter("upto >= 0").select("expectation_id").unionByName(new.select("expectation_id"))
+
+
+def _compact(spark: SparkSession, store: str, batch_id: int) -> None:
+    """Decided rows of the batches since the last time, as one partition; a second run finds it written."""
+    path, since = f"{store}/decided/upto={batch_id}", batch_id - COMPACT
+    if not _exists(spark, f"{path}/_SUCCESS"):
+        rows = _state(spark, store, "*", True).filter((F.col("batch") >= since) & (F.col("batch") < batch_id))
+        rows.drop("batch").repartition(1 + spark.sparkContext.defaultParallelism).write.mode("overwrite").parquet(path)
+    # The batch before this one stays, as a repeated step reads it.
+    _delete(spark, *[f"{store}/state/batch={k}" for k in range(max(since - 1, 0), batch_id - 1)])
 
 
 def start(
@@ -123,7 +185,7 @@ def start(
 
 def verdicts(spark: SparkSession, store: str) -> DataFrame:
     """What the stream has decided so far."""
-    return _decided(spark, store).drop("batch")
+    return V.decided(_decided(spark, store))
 
 
 def close(spark: SparkSession, store: str, expectations: Expectations) -> DataFrame:

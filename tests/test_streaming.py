@@ -74,6 +74,35 @@ def test_gap_of_days_and_repeated_batch(spark, tmp_path):
     assert rows(verification.close(spark, store, expectations)) == rows(batch)
 
 
+def test_late_rows_restarts_and_compaction(spark, tmp_path, monkeypatch, compact=2):
+    """Messages in shuffled files, late by less than the delay; expectations that come after their messages."""
+    import random
+
+    monkeypatch.setattr(verification, "COMPACT", compact)
+    rnd = random.Random(compact)
+    folder, store = str(tmp_path / "in"), str(tmp_path / "store")
+    messages = [("t", f"k{rnd.randrange(4)}", rnd.choice("AB"), rnd.choice([None, 1, 2]), "x", at(s + rnd.random()), s) for s in range(90)]
+    wanted = [(i, "r", "t", rnd.choice(["k0", "k1", "k9", None]), rnd.choice(["PRESENCE", "PRESENCE", "ABSENCE"]), rnd.choice([None, "A"]),
+               rnd.choice([None, 2]), at(rnd.randrange(90)), rnd.choice([0, 3000, 20_000])) for i in range(40)]
+    known = [12]
+
+    def expectations(session):
+        return session.createDataFrame(wanted[: known[0]], schemas.EXPECTATIONS)
+
+    for i in range(0, 90, 15):
+        part = messages[i : i + 15]
+        rnd.shuffle(part)
+        land(spark, folder, part)
+        known[0] += 6
+        verification.start(source(spark, folder), expectations, store, delay_ms=16_000).awaitTermination()
+    batch = V.verify(spark.createDataFrame(messages, schemas.MESSAGES), expectations(spark))
+    assert rows(verification.close(spark, store, expectations)) == rows(batch)
+    assert 0 < verification.verdicts(spark, store).count() < 40
+    open_folders = [p for p in (tmp_path / "store" / "state").glob("batch=*/done=false") if "batch=-1" not in str(p)]
+    assert len(open_folders) <= 2  # older ones are gone
+    assert len(list((tmp_path / "store" / "state").glob("batch=*"))) <= 5
+
+
 def test_satisfied_join_of_two_streams(spark, tmp_path):
     m, e = str(tmp_path / "m"), str(tmp_path / "e")
     land(spark, m, MESSAGES)
