@@ -31,11 +31,26 @@ def stream_table(spark, sf, name):
     return df.select(*[F.col(c).cast("timestamp").alias(c) if c in zoneless else F.col(c) for c in df.columns])
 
 
+LATE_MS = 12 * 3_600_000
+BATCHES = 3
+
+
+def arriving(spark, sf, name, at):
+    """A driver table as a stream of several files in order of arrival, each row up to ``LATE_MS`` late."""
+    df, store = table(spark, sf, name), new_store(spark)
+    arrival = F.unix_millis(at) + F.pmod(F.xxhash64(*df.columns), F.lit(LATE_MS))
+    first, last = df.agg(F.min(arrival), F.max(arrival)).first()
+    file = F.floor((arrival - first) * BATCHES / F.lit(float((last or 0) - (first or 0) + 1)))
+    for i in range(BATCHES):  # one after the other, as the stream reads files by their time
+        df.filter(file == i).coalesce(1).write.mode("append").parquet(store)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(store)
+
+
 @query(SQL["verify_presence"])
 def stream_verify(spark, sf):
-    """The signup expectations decided by a stream, open ones closed at its end."""
+    """The signup expectations decided by a stream of several batches with late rows, open ones closed at its end."""
     events = M.as_messages(
-        stream_table(spark, sf, "events")
+        arriving(spark, sf, "events", F.col("ts"))
         .filter("event_type <> 'signup'")
         .withColumn("key", F.col("user_id").cast("string")),
         "events",
@@ -48,7 +63,7 @@ def stream_verify(spark, sf):
         return V.expect(keys, "events", expected_type="purchase", timeout_ms=B.DAY_MS)
 
     store = new_store(spark)
-    verification.start(events, expectations, store).awaitTermination()
+    verification.start(events, expectations, store, delay_ms=LATE_MS).awaitTermination()
     return plain(verification.close(spark, store, expectations))
 
 
