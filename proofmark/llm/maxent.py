@@ -24,6 +24,8 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -63,27 +65,47 @@ def tokens_of(text: bytes | None) -> list[bytes]:
 
 
 class Vocabulary(dict):
-    """Numbers of the words met so far, and an array of their hashes."""
+    """Numbers of the words met so far, and by number their hashes, counts, classes and slots in the model."""
 
-    def __init__(self):
+    def __init__(self, model: Model):
         super().__init__()
+        self.model = model
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
         self.new: list[int] = []
-        self.known = np.zeros(0, np.uint64)
+        self.known = [np.zeros(0, t) for t in (np.uint64, np.int64, np.int32, np.int32)]
 
     def __missing__(self, word: bytes) -> int:
         number = self[word] = len(self)
         self.new.append(word_hash(word))
         return number
 
-    def hashes(self, texts: list[list[bytes]]) -> np.ndarray:
+    def read(self, texts: list[list[bytes]]) -> Tokens:
         if len(self) > 500_000:
-            self.clear()
-            self.known, self.new = self.known[:0], []
-        numbers = np.fromiter((n for t in texts for n in map(self.__getitem__, t)), np.int64, sum(map(len, texts)))
+            self.forget()
+        size = sum(map(len, texts))
+        numbers = np.fromiter(map(self.__getitem__, chain.from_iterable(texts)), np.int32, size)
         if self.new:
-            self.known = np.concatenate([self.known, np.array(self.new, np.uint64)])
+            new = np.array(self.new, np.uint64)
+            self.known = [np.concatenate(x) for x in zip(self.known, (new, *self.model.look_up(new)))]
             self.new = []
-        return self.known[numbers]
+        lengths = np.array([len(t) for t in texts])
+        first = np.zeros(size, bool)
+        first[np.cumsum(lengths) - lengths] = True
+        return Tokens(*(x[numbers] for x in self.known), first, lengths)
+
+
+class Tokens(NamedTuple):
+    """Tokens of some texts, one after the other."""
+
+    hashes: np.ndarray
+    counts: np.ndarray  # -1: rare
+    classes: np.ndarray
+    slots: np.ndarray  # -1: none
+    first: np.ndarray
+    lengths: np.ndarray
 
 
 class Model:
@@ -114,88 +136,113 @@ class Model:
         ]
 
     def look_up(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Count (-1: rare), class and slot (-1: none) of each token."""
+        """Count (-1: rare), class and slot (-1: none) of each word."""
+        tail = self.classes + (h % np.uint64(TAILS)).astype(np.int32)
+        none = np.full(len(h), -1, np.int32)
         if not len(self.hashes):
-            return np.full(len(h), -1), (h % np.uint64(TAILS)).astype(np.int64), np.full(len(h), -1)
+            return none.astype(np.int64), tail.astype(np.int32), none
         at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
         found = self.hashes[at] == h
         place = np.where(found, self.place[at], -1)
-        tail = self.classes + (h % np.uint64(TAILS)).astype(np.int64)
+        head = place >= 0
         return (
-            np.where(found, self.counts[at], -1), np.where(place >= 0, place // SLOTS, tail), np.where(place >= 0, place % SLOTS, -1)
+            np.where(found, self.counts[at], -1), np.where(head, place // SLOTS, tail).astype(np.int32),
+            np.where(head, place % SLOTS, -1).astype(np.int32),
         )
 
     @staticmethod
     def features(h: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Rows of the class table, one column per feature; ``first`` marks the first token of a text."""
+        """Numbers of the rows, one line per feature; ``first`` marks the first token of a text."""
         one = np.concatenate([h[:1] * np.uint64(0), h[:-1]])
         one[first] = 0
         two = np.concatenate([one[:1] * np.uint64(0), one[:-1]])
         two[first] = 1
         keys = one * SALTS[0] + np.uint64(1), one * SALTS[1] + two * SALTS[2] + np.uint64(2), two * SALTS[3] + np.uint64(3)
-        return np.stack([(mix(k) >> np.uint64(32)).astype(np.int64) for k in keys], axis=1)
+        return np.stack([(mix(k) >> np.uint64(32)).astype(np.int64) for k in keys])
 
-    def _softmax(self, k: int, bias: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Logits less their greatest, and the log of their sum."""
+    def _exponents(self, k: int, bias: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Logits less a common bound, and the sums of their exponentials by token."""
         w = self.weights[k]
-        x = bias + w[rows[:, 0]]
+        x = np.take(w, rows[0], axis=0, mode="clip")
         for i in range(1, FEATURES):
-            x += w[rows[:, i]]
-        x -= x.max(axis=1, keepdims=True)
-        return x, np.log(np.exp(x).sum(axis=1))
+            x += np.take(w, rows[i], axis=0, mode="clip")
+        x += bias
+        x -= x.max()  # of the whole batch, which is faster than one by token
+        total = np.exp(x) @ np.ones(x.shape[1], np.float32)
+        if total.min() < 1e-30:  # a token far below the others
+            x -= x.max(axis=1, keepdims=True)
+            total = np.exp(x).sum(axis=1)
+        return x, total
 
     def parts(self, f: np.ndarray, cls: np.ndarray, slot: np.ndarray):
-        """The two softmaxes of a batch: (table, bias, rows, wanted)."""
+        """The two softmaxes of a batch: (table, bias, rows by feature, wanted, tokens)."""
+        yield 0, self.class_bias, (f % CLASS_ROWS).astype(np.uint16), cls, slice(None)
         head = np.nonzero(slot >= 0)[0]
-        yield 0, self.class_bias, f % CLASS_ROWS, cls, slice(None)
         if len(head):
-            mixed = (f[head] * 31 + cls[head, None] * 0x9E3779B1) % ((1 << 31) - 1)
-            yield 1, self.slot_bias[cls[head]], mixed % SLOT_ROWS, slot[head], head
+            mixed = (f[:, head] * 31 + cls[head].astype(np.int64) * 0x9E3779B1) % ((1 << 31) - 1)
+            yield 1, self.slot_bias[cls[head]], (mixed % SLOT_ROWS).astype(np.uint16), slot[head], head
 
-    def score(self, h: np.ndarray, first: np.ndarray) -> np.ndarray:
+    def score(self, tokens: Tokens) -> np.ndarray:
         """log10 P of each token, but for the log10 (count + 1) of those without a slot."""
-        f, (_, cls, slot), out = self.features(h, first), self.look_up(h), np.zeros(len(h))
-        for at in range(0, len(h), STEP):
+        f, cls, slot = self.features(tokens.hashes, tokens.first), tokens.classes, tokens.slots
+        out = np.zeros(len(cls))
+        for at in range(0, len(cls), STEP):
             s = slice(at, at + STEP)
-            for k, bias, rows, wanted, where in self.parts(f[s], cls[s], slot[s]):
-                x, total = self._softmax(k, bias, rows)
-                out[s][where] += (x[np.arange(len(wanted)), wanted] - total) / np.log(10)
+            for k, bias, rows, wanted, where in self.parts(f[:, s], cls[s], slot[s]):
+                x, total = self._exponents(k, bias, rows)
+                out[s][where] += (x[np.arange(len(wanted)), wanted] - np.log(total)) / np.log(10)
         tail = slot < 0
         out[tail] -= self.tail_mass[cls[tail] - self.classes]
         return out
 
-    def learn(self, h: np.ndarray, first: np.ndarray, squares: list[np.ndarray]) -> None:
+    def learn(self, tokens: Tokens, squares: list[np.ndarray]) -> None:
         """Gradient steps through the tokens; ``squares``: Adagrad's sums."""
-        f, (_, cls, slot) = self.features(h, first), self.look_up(h)
-        for at in range(0, len(h), STEP):
+        f, cls, slot = self.features(tokens.hashes, tokens.first), tokens.classes, tokens.slots
+        for at in range(0, len(cls), STEP):
             s = slice(at, at + STEP)
-            for k, bias, rows, wanted, _ in self.parts(f[s], cls[s], slot[s]):
-                x, total = self._softmax(k, bias, rows)
-                slope = np.exp(x - total[:, None])
+            for k, bias, rows, wanted, _ in self.parts(f[:, s], cls[s], slot[s]):
+                slope, total = self._exponents(k, bias, rows)
+                np.exp(slope, out=slope)
+                slope /= total[:, None]
                 slope[np.arange(len(wanted)), wanted] -= 1
-                for i in range(FEATURES):
-                    order = np.argsort(rows[:, i], kind="stable")
-                    sorted_ = rows[order, i]
-                    starts = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
-                    step, touched = np.add.reduceat(slope[order], starts, axis=0), sorted_[starts]
-                    past = squares[k][touched] + step * step
-                    squares[k][touched] = past
-                    self.weights[k][touched] -= RATE * step / np.sqrt(past + 1)
+                w, past = self.weights[k], squares[k]
+                for row in rows:
+                    touched, step = sums_by_row(row, slope)
+                    seen = np.take(past, touched, axis=0)
+                    seen += step * step
+                    past[touched] = seen
+                    seen += 1
+                    step *= RATE
+                    step /= np.sqrt(seen, out=seen)
+                    w[touched] -= step
+
+
+def sums_by_row(row: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers in ``row``, and for each the sum of its lines of ``values``."""
+    order = np.argsort(row, kind="stable")  # a radix sort, as the numbers have 16 bits
+    sorted_ = row[order]
+    starts = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
+    out = np.take(values, order[starts], axis=0)
+    counts = np.diff(np.append(starts, len(row)))
+    several = np.flatnonzero(counts > 1)
+    if len(several):  # most occur once in a batch and need no sum
+        n = counts[several]
+        begins = np.cumsum(n) - n
+        lines = np.repeat(starts[several] - begins, n) + np.arange(n.sum())
+        out[several] = np.add.reduceat(np.take(values, order[lines], axis=0), begins, axis=0)
+    return sorted_[starts].astype(np.int64), out
 
 
 def _texts(batches, vocabulary: Vocabulary, column: int):
-    """(rows of columns, hashes, first-token marks, lengths) for about ``READ`` tokens at a time."""
+    """(rows, their tokens) for about ``READ`` tokens at a time."""
     for b in batches:
         at = 0
-        texts, rows, size = [], [], 0
+        texts, size = [], 0
         for k, text in enumerate(b.column(column).to_pylist()):
             texts.append(tokens_of(text))
             size += len(texts[-1])
             if size >= READ or k == b.num_rows - 1:
-                lengths = np.array([len(t) for t in texts])
-                first = np.zeros(size, bool)
-                first[np.cumsum(lengths) - lengths] = True
-                yield b.slice(at, len(texts)), vocabulary.hashes(texts), first, lengths
+                yield b.slice(at, len(texts)), vocabulary.read(texts)
                 at, texts, size = k + 1, [], 0
 
 
@@ -256,13 +303,13 @@ def fit(rows: DataFrame, counts: DataFrame) -> Model:
         shared = context.broadcast(model)
 
         def run(batches, shared=shared):
-            old, vocabulary, tokens = shared.value, Vocabulary(), 0
+            old, tokens = shared.value, 0
             mine = object.__new__(Model)
             mine.__dict__ = old.__dict__ | {"weights": [w.copy() for w in old.weights]}
             squares = [np.zeros_like(w) for w in old.weights]
-            for _, h, first, _ in _texts(batches, vocabulary, 0):
-                mine.learn(h, first, squares)
-                tokens += len(h)
+            for _, read in _texts(batches, Vocabulary(old), 0):
+                mine.learn(read, squares)
+                tokens += len(read.hashes)
             if tokens:
                 change = np.concatenate([(a - b).ravel() for a, b in zip(mine.weights, old.weights)]) * np.float32(tokens)
                 for block, data in enumerate(np.array_split(change, BLOCKS)):
@@ -293,14 +340,14 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        model, vocabulary = shared.value, Vocabulary()
-        for b, h, first, lengths in _texts(batches, vocabulary, 3):
-            count, _, slot = model.look_up(h)
+        model = shared.value
+        for b, read in _texts(batches, Vocabulary(model), 3):
+            h, count, slot, lengths = read.hashes, read.counts, read.slots, read.lengths
             doc = np.repeat(np.arange(len(lengths)), lengths)
             known = count >= 0
             logs = np.where(known, np.log10(np.maximum(count, 0) + 1.0), 0.0)
             base = np.bincount(doc, logs, len(lengths)) - lengths * np.log10(model.total + model.distinct + 1.0)
-            value = np.bincount(doc, model.score(h, first) + np.where(slot < 0, logs, 0.0), len(lengths))
+            value = np.bincount(doc, model.score(read) + np.where(slot < 0, logs, 0.0), len(lengths))
             order = np.lexsort((h[~known], doc[~known]))
             d, w = doc[~known][order], h[~known][order]
             starts = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (w[1:] != w[:-1])])) if len(d) else np.zeros(0, int)

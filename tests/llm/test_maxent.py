@@ -63,6 +63,11 @@ def whole_model(words, counts, head=None):
     return M.Model(hashes, np.array(counts), sum(counts), len(counts), *tails), hashes
 
 
+def tokens(model, hashes):
+    first = np.arange(len(hashes)) == 0
+    return M.Tokens(hashes, *model.look_up(hashes), first, np.array([len(hashes)]))
+
+
 def test_probabilities_add_up(monkeypatch):
     monkeypatch.setattr(M, "HEAD", 400)
     words = [f"w{i}".encode() for i in range(200)]
@@ -74,14 +79,12 @@ def test_probabilities_add_up(monkeypatch):
     for context in ([], [3], [3, 150]):
         total = 0.0
         for k, h in enumerate(hashes):
-            text = np.append(hashes[context], h)
-            first = np.arange(len(text)) == 0
-            tail = model.look_up(text[-1:])[2][0] < 0
-            total += 10 ** (model.score(text, first)[-1] + (math.log10(counts[k] + 1) if tail else 0))
+            text = tokens(model, np.append(hashes[context], h))
+            total += 10 ** (model.score(text)[-1] + (math.log10(counts[k] + 1) if text.slots[-1] < 0 else 0))
         unknown = 0.0
         for t in range(M.TAILS):  # one unknown word in each class
             text = np.append(hashes[context], np.uint64((1 << 40) + t))
-            unknown += 10 ** model.score(text, np.arange(len(text)) == 0)[-1]
+            unknown += 10 ** model.score(tokens(model, text))[-1]
         assert math.isclose(total + unknown, 1, rel_tol=1e-4)
 
 
@@ -89,14 +92,12 @@ def test_gradient_follows_the_score(monkeypatch):
     monkeypatch.setattr(M, "HEAD", 40)
     words = [f"w{i}".encode() for i in range(60)]
     model, hashes = whole_model(words, list(range(600, 0, -10)))
-    text = np.tile(hashes[[1, 5, 2, 50, 9]], 200)
-    first = np.zeros(len(text), bool)
-    first[0] = True
-    before = model.score(text, first).sum()
+    text = tokens(model, np.tile(hashes[[1, 5, 2, 50, 9]], 200))
+    before = model.score(text).sum()
     squares = [np.zeros_like(w) for w in model.weights]
     for _ in range(20):
-        model.learn(text, first, squares)
-    assert model.score(text, first).sum() > before * 0.5
+        model.learn(text, squares)
+    assert model.score(text).sum() > before * 0.5
 
 
 def test_changes_add_up_over_a_tree(spark, monkeypatch):
