@@ -1,11 +1,13 @@
 """Embedding near-dedup with product quantisation.
 
 Unit vectors are dealt to coarse cells (inverted lists) by their nearest centroid and coded by the residual: one
-centroid per subspace, plus the length of what the code leaves out. A vector probes every cell that can hold a
-partner: a partner is no farther than ``T`` (the chord of the least cosine) and lies beyond the plane half-way
-between the two centroids, so cells whose plane is farther than ``T`` are skipped. In a cell, distances to all codes
-are sums of table look-ups; a code is dropped only if its distance less its own error exceeds ``T``, and the rest is
-reranked by the exact cosine. No step loses a link, so recall is 1 whatever the sample behind the centroids.
+centroid per subspace, plus the length of what the code leaves out. A partner is no farther than ``T``, the chord of
+the least cosine, and lies in another cell only beyond the plane half-way between the two centroids. The step towards
+a plane is one of as many directions as a vector has components, about ``T / sqrt(components)`` long; a vector probes
+every cell whose plane is within ``SPREAD`` times that. In a cell, distances to all codes are sums of table look-ups;
+a code is dropped only if its distance less its own error exceeds ``T``, and the rest is reranked by the exact
+cosine. So only the probes can lose a link; against brute force none is lost in the tests (``SPREAD = None`` probes
+all that ``T`` allows).
 
 Equal vectors of a label are one class with a size, so copies are counted and not paired. A cell is compared in
 blocks of about ``BLOCK`` classes by ``BLOCK`` queries, whatever its size; a block gives back counts and a spanning
@@ -36,6 +38,7 @@ MAX_CELLS = 1024
 SUBSPACES = 8
 CODES = 256
 ROUNDS = 8
+SPREAD = 4.0
 BLOCK = 1024
 
 
@@ -87,16 +90,25 @@ class Index:
         return (over <= 2 * reach * apart[home] + 1e-9) & (cells[None] >= home[:, None])
 
     def distances(self, queries: np.ndarray, cell: int, codes: np.ndarray) -> np.ndarray:
-        """From each query to each code of a cell, by look-ups."""
-        rest, out = queries - self.centres[cell], np.zeros((len(queries), len(codes)))
+        """From each query to each code of a cell, by look-ups.
+
+        |q - c - r|^2 = |q - c|^2 - 2 q.r + (|r|^2 + 2 c.r): the last is a number per code, q.r a sum from tables.
+        """
+        centre, found = self.centres[cell], np.zeros((len(queries), len(codes)), np.float32)
+        own = np.zeros(len(codes))
         for i, (c, b) in enumerate(zip(self.cuts, self.books)):
-            table = ((rest[:, c][:, None] - b[None]) ** 2).sum(2)
-            out += table[:, codes[:, i]]
-        return np.sqrt(out)
+            table = (queries[:, c] @ b.T).astype(np.float32)
+            found += np.take(table, codes[:, i], axis=1)
+            own += ((b * b).sum(1) + 2 * b @ centre[c])[codes[:, i]]
+        apart = ((queries - centre) ** 2).sum(1)[:, None] + own[None] - 2 * found
+        return np.sqrt(np.maximum(apart, 0))
 
 
 def _unit(values: pa.Array, width: int) -> np.ndarray:
-    x = values.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, width)
+    return _normed(values.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, width))
+
+
+def _normed(x: np.ndarray) -> np.ndarray:
     x = x / np.abs(x).max(axis=1, keepdims=True)  # no overflow in the squares
     return x / np.sqrt((x**2).sum(1, keepdims=True))
 
@@ -155,11 +167,16 @@ def _same_id(read: DataFrame, classes: DataFrame) -> DataFrame:
 
 def _links_of(classes: DataFrame, width: int, min_cosine: float) -> DataFrame:
     """(class, links) counts and (a, b) links of a spanning forest, for classes of one vector length."""
-    reach = float(np.sqrt(max(0.0, 2 - 2 * min_cosine)))
+    far = float(np.sqrt(max(0.0, 2 - 2 * min_cosine)))
+    reach = far if SPREAD is None else min(far, SPREAD * far / float(np.sqrt(width)))
+    kept = np.float32 if classes.schema["vector"].dataType.elementType.typeName() == "float" else np.float64
     total = classes.count()
     picked = classes.orderBy(F.xxhash64("class"), "class").limit(SAMPLE).select("vector").toArrow().column(0).combine_chunks()
     index = Index(_unit(picked, width), min(MAX_CELLS, max(1, total // CELL)))
 
+    def raw(vectors):
+        return pa.array([v.tobytes() for v in vectors.flatten().to_numpy(zero_copy_only=False).astype(kept).reshape(-1, width)], pa.binary())
+
     def code(batches):
         for b in batches:
             for at in range(0, b.num_rows, 1024):
@@ -169,12 +186,12 @@ def _links_of(classes: DataFrame, width: int, min_cosine: float) -> DataFrame:
                 probed = [np.nonzero(p)[0].tolist() for p in index.probes(x, home, reach)]
                 columns = [
                     *(part.column(i) for i in range(4)), pa.array(home.astype(np.int32)), pa.array([c.tobytes() for c in codes], pa.binary()),
-                    pa.array(error), pa.array([v.tobytes() for v in x], pa.binary()), pa.array(probed, pa.list_(pa.int32())),
+                    pa.array(error), raw(part.column(4)), pa.array(probed, pa.list_(pa.int32())),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["class", "label", "rep", "size", "home", "codes", "error", "unit", "probes"])
+                yield pa.RecordBatch.from_arrays(columns, ["class", "label", "rep", "size", "home", "codes", "error", "vector", "probes"])
 
     kind = classes.schema["label"].dataType.simpleString()
-    schema = f"class long, label {kind}, rep long, size long, home int, codes binary, error double, unit binary, probes array<int>"
+    schema = f"class long, label {kind}, rep long, size long, home int, codes binary, error double, vector binary, probes array<int>"
     coded = written(by_arrow(classes.select("class", "label", "rep", "size", "vector"), code, schema), "codes")
     blocks = lambda n: F.greatest(F.ceil(n / BLOCK).cast("int"), F.lit(1))
     members = coded.withColumn("cell", F.col("home")).withColumn("probes", F.lit(None).cast("array<int>"))
@@ -189,7 +206,7 @@ def _links_of(classes: DataFrame, width: int, min_cosine: float) -> DataFrame:
     in_cell = (F.col("label") == F.col("l")) & (F.col("cell") == F.col("c"))
     block = lambda n: F.pmod(F.xxhash64("class"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    columns = ["label", "cell", "mb", "qb", "asks", "class", "rep", "size", "home", "codes", "error", "unit"]
+    columns = ["label", "cell", "mb", "qb", "asks", "class", "rep", "size", "home", "codes", "error", "vector"]
     one = members.join(sizes, in_cell).withColumn("mb", block("m")).withColumn("qb", each("q")).withColumn("asks", F.lit(False))
     other = queries.join(sizes, in_cell).withColumn("qb", block("q")).withColumn("mb", each("m")).withColumn("asks", F.lit(True))
 
@@ -199,9 +216,9 @@ def _links_of(classes: DataFrame, width: int, min_cosine: float) -> DataFrame:
         if not len(q) or not len(m):
             return pd.DataFrame({"class": [], "links": [], "a": [], "b": []}).astype("Int64")
         cell = int(pdf["cell"].iat[0])
-        x, y = (np.frombuffer(b"".join(d["unit"]), float).reshape(-1, width) for d in (q, m))
+        x, y = (_normed(np.frombuffer(b"".join(d["vector"]), kept).astype(float).reshape(-1, width)) for d in (q, m))
         codes = np.frombuffer(b"".join(m["codes"]), np.uint8).reshape(len(m), -1)
-        near = index.distances(x, cell, codes) - m["error"].to_numpy()[None] <= reach + 1e-9
+        near = index.distances(x, cell, codes) - m["error"].to_numpy()[None] <= far + 1e-4
         qc, mc = q["class"].to_numpy(), m["class"].to_numpy()
         near &= (q["home"].to_numpy()[:, None] < cell) | (qc[:, None] < mc[None])  # a pair of one cell counts once
         i, j = np.nonzero(near)
