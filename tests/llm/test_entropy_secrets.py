@@ -98,3 +98,15 @@ def test_redaction(spark):
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert E.scan(docs).count() == 0 and E.redact(docs).count() == 0
+
+
+def test_sql_says_the_same(spark):
+    import duckdb
+
+    from proofmark.llm.queries import SECRET_SQL
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts())))
+    out = E.scan(spark.createDataFrame(list(enumerate(texts())), "doc_id long, text string"))
+    assert sorted(con.execute(SECRET_SQL).fetchall()) == sorted(tuple(r) for r in out.collect())
