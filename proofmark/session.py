@@ -37,9 +37,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return _own_dir()
+    return _own_dir().name
 
 
 @cache
-def _own_dir() -> str:
-    return tempfile.mkdtemp(prefix="proofmark-")
+def _own_dir() -> tempfile.TemporaryDirectory:
+    """A folder of this process, which goes with it."""
+    return tempfile.TemporaryDirectory(prefix="proofmark-", ignore_cleanup_errors=True)
