@@ -140,7 +140,12 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     if there, follows.
     """
     takes = _mixed(docs, doc_id, text, source, block).select("doc_id", "row_key", "size", F.explode("takes").alias("take"))
-    takes = takes.groupBy("doc_id", "row_key", "size").agg(F.sort_array(F.collect_list("take")).alias("takes"))
+    # Whole takes are counted; parts are at most one per epoch, where a source's target ends.
+    takes = takes.groupBy("doc_id", "row_key", "size").agg(
+        F.count_if(F.col("take") == F.col("size")).cast("int").alias("whole"),
+        F.collect_list(F.when(F.col("take") < F.col("size"), F.col("take"))).alias("parts"),
+    )
+    takes = takes.select("doc_id", "row_key", "size", F.concat(F.array_repeat("size", F.col("whole")), "parts").alias("takes"))
     rows = rowed(docs).withColumn("_id", F.col("_row").getField(doc_id))
     rows = rows.withColumn("_key", row_key(F.col("_row").getField(doc_id), F.col("_row").getField(text)))
     same = (F.col("_id") == F.col("doc_id")) | (F.col("_id").isNull() & F.col("doc_id").isNull())
