@@ -18,6 +18,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -123,10 +124,20 @@ def _decide(spark: SparkSession, batch_id: int, store: str, expectations: Expect
     )
     open_ones = before.select(*own, F.col("hit_us").alias("old_hit"), F.col("seen").alias("old_seen"))
     batch = _landed(spark, store).filter(F.col("batch") == batch_id).drop("day", "batch")
-    found = V.match(batch, open_ones)
+    parts = [] if open_ones.isEmpty() else [V.match(batch, open_ones)]
     if not fresh.isEmpty():
         nothing = [F.lit(None).cast("long").alias("old_hit"), F.lit(None).cast(SEEN).alias("old_seen")]
-        found = found.unionByName(V.match(_history(spark, store, fresh, batch_id), fresh.select("*", *nothing)))
+        parts.append(V.match(_history(spark, store, fresh, batch_id), fresh.select("*", *nothing)))
+    if parts:
+        _keep(spark, store, batch_id, reduce(DataFrame.unionByName, parts), own, delay_ms)
+    if batch_id >= 2:  # the markers stay
+        _delete(spark, f"{store}/state/batch={batch_id - 2}/done=false", f"{store}/horizon/batch={batch_id - 2}")
+    if batch_id and batch_id % COMPACT == 0:
+        _compact(spark, store, batch_id)
+
+
+def _keep(spark: SparkSession, store: str, batch_id: int, found: DataFrame, own: list[str], delay_ms: int) -> None:
+    """Writes the state after a step, the decided rows apart."""
     state = found.select(
         *own, "start_us", "end_us", F.least("old_hit", "hit_us").alias("hit_us"), F.greatest("old_seen", "seen").alias("seen")
     )
@@ -137,9 +148,6 @@ def _decide(spark: SparkSession, batch_id: int, store: str, expectations: Expect
     at = F.when(rejected, F.col("start_us")).otherwise(decides)
     done = F.coalesce(F.timestamp_micros(at) < horizon, F.lit(False)).alias("done")
     _own_partitions(state.select("*", F.lit(batch_id).cast("long").alias("batch"), done), f"{store}/state", "batch", "done")
-    _delete(spark, f"{store}/state/batch={batch_id - 2}/done=false", *[f"{store}/horizon/batch={batch_id - 2}"] * (batch_id > 1))
-    if batch_id and batch_id % COMPACT == 0:
-        _compact(spark, store, batch_id)
 
 
 def _decided_before(spark: SparkSession, store: str, batch_id: int) -> DataFrame:

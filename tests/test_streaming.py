@@ -84,16 +84,16 @@ def test_late_rows_restarts_and_compaction(spark, tmp_path, monkeypatch, compact
     messages = [("t", f"k{rnd.randrange(4)}", rnd.choice("AB"), rnd.choice([None, 1, 2]), "x", at(s + rnd.random()), s) for s in range(90)]
     wanted = [(i, "r", "t", rnd.choice(["k0", "k1", "k9", None]), rnd.choice(["PRESENCE", "PRESENCE", "ABSENCE"]), rnd.choice([None, "A"]),
                rnd.choice([None, 2]), at(rnd.randrange(90)), rnd.choice([0, 3000, 20_000])) for i in range(40)]
-    known = [12]
+    known = [5]
 
     def expectations(session):
         return session.createDataFrame(wanted[: known[0]], schemas.EXPECTATIONS)
 
-    for i in range(0, 90, 15):
-        part = messages[i : i + 15]
+    for i in range(0, 90, 18):
+        part = messages[i : i + 18]
         rnd.shuffle(part)
         land(spark, folder, part)
-        known[0] += 6
+        known[0] += 7
         verification.start(source(spark, folder), expectations, store, delay_ms=16_000).awaitTermination()
     batch = V.verify(spark.createDataFrame(messages, schemas.MESSAGES), expectations(spark))
     assert rows(verification.close(spark, store, expectations)) == rows(batch)
