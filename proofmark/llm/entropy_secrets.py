@@ -4,7 +4,8 @@ Fixed patterns give the base spans. Candidate strings (long runs of key characte
 then read with a window of ``WINDOW`` characters: counts of its characters are kept up as one enters and one leaves,
 and with them the sum of c*log2(c), from which the entropy follows. Runs of windows above the threshold of the
 candidate's character class (hex digits, or any) become spans of kind ``entropy``, unless the candidate is on the
-allow list or the span meets a base span.
+allow list or the span meets a base span. That is the rule of the SQL counterpart; with ``whole`` a run that meets
+base spans stays beside them, unless one of them holds it, so that no part of a longer secret is left.
 
 Defined cases: null text counts as empty (no spans); offsets are code points, ends exclusive; repeated rows are
 scanned one by one; an empty table gives an empty result; extra columns never clash.
@@ -121,7 +122,7 @@ def hot_windows(candidate: Column) -> Column:
     )["spans"]
 
 
-def _entropy(text: Column, base: Column) -> Column:
+def _entropy(text: Column, base: Column, whole: bool) -> Column:
     def of(c):
         piece = F.substr(text, c["start"] + 1, c["end"] - c["start"])
         allowed = piece.rlike("|".join(f"(?:{p})" for p in ALLOW))
@@ -132,17 +133,21 @@ def _entropy(text: Column, base: Column) -> Column:
         )
         return F.when(wanted, spans).otherwise(F.array().cast(SPAN))
 
-    meets = lambda s: F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    return F.filter(F.flatten(F.transform(_spans(text, CANDIDATE), of)), lambda s: ~meets(s))
+    def known(s):
+        if whole:
+            return F.exists(base, lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"]))
+        return F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
 
+    return F.filter(F.flatten(F.transform(_spans(text, CANDIDATE), of)), lambda s: ~known(s))
 
-def scanned(df: DataFrame, text: Column) -> DataFrame:
+
+def scanned(df: DataFrame, text: Column, whole: bool = False) -> DataFrame:
     """``df`` with ``_text`` and the spans of each kind in ``_assign``, ``_access``, ``_hex`` and ``_entropy``."""
     df = df.withColumn("_text", F.coalesce(text, F.lit("")))
     t = F.col("_text")
     return df.withColumns(
         {"_assign": _spans(t, ASSIGN, 1, ASSIGN_VALUE), "_access": _spans(t, ACCESS), "_hex": _spans(t, HEX)}
-    ).withColumn("_entropy", _entropy(t, F.concat("_assign", "_access", "_hex")))
+    ).withColumn("_entropy", _entropy(t, F.concat("_assign", "_access", "_hex"), whole))
 
 
 def _listed(kinds: list[str]) -> Column:
@@ -158,9 +163,9 @@ def _listed(kinds: list[str]) -> Column:
     )
 
 
-def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", whole: bool = False) -> DataFrame:
     """One row per document: its id, counts of the base kinds, a digest of the base spans, and all spans."""
-    df = scanned(rowed(docs.select(doc_id, text)), F.col("_row").getField(text))
+    df = scanned(rowed(docs.select(doc_id, text)), F.col("_row").getField(text), whole)
     return df.select(
         F.col("_row").getField(doc_id).alias(doc_id),
         *[F.size(f"_{k}").cast("long").alias(f"n_{k}") for k in KINDS[:3]],
@@ -169,9 +174,9 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     )
 
 
-def redact(docs: DataFrame, text: str = "text", length: str = "n_chars") -> DataFrame:
+def redact(docs: DataFrame, text: str = "text", length: str = "n_chars", whole: bool = False) -> DataFrame:
     """The documents with every span replaced by ``MASK``; ``length``, if there, follows the changed texts."""
-    df = scanned(rowed(docs), F.col("_row").getField(text))
+    df = scanned(rowed(docs), F.col("_row").getField(text), whole)
     spans = F.sort_array(F.concat(*[f"_{k}" for k in KINDS]))
     cut = F.aggregate(
         spans,
