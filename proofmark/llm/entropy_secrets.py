@@ -5,7 +5,8 @@ then read with a window of ``WINDOW`` characters: counts of its characters are k
 and with them the sum of c*log2(c), from which the entropy follows. Runs of windows above the threshold of the
 candidate's character class (hex digits, or any) become spans of kind ``entropy``, unless the candidate is on the
 allow list or the span meets a base span. That is the rule of the SQL counterpart; with ``whole`` a run that meets
-base spans stays beside them, unless one of them holds it, so that no part of a longer secret is left.
+base spans stays beside them, unless one of them holds it, so that no part of a longer secret is left; and a
+placeholder word allows itself only: what stands before and after it in the candidate is scanned by itself.
 
 Defined cases: null text counts as empty (no spans); offsets are code points, ends exclusive; repeated rows are
 scanned one by one; an empty table gives an empty result; extra columns never clash.
@@ -38,6 +39,7 @@ ALLOW = [
     r"^[+/_=-]*([A-Za-z]?[a-z]+|[A-Z]+|[0-9]+)([+/_=-]+([A-Za-z]?[a-z]+|[A-Z]+|[0-9]+))*[+/_=-]*$",
     r"(?i)example|placeholder|your_|xxxx|0123456789",
 ]
+PLACEHOLDER = ALLOW[-1]
 MASK = "[SECRET]"
 
 SPAN = "array<struct<start:int,end:int>>"
@@ -123,10 +125,24 @@ def hot_windows(candidate: Column) -> Column:
 
 
 def _entropy(text: Column, base: Column, whole: bool) -> Column:
+    at = lambda c: F.substr(text, c["start"] + 1, c["end"] - c["start"])
+    mixed = lambda piece: piece.rlike("[0-9]") & piece.rlike("[A-Za-z]")
+    no_secret = "|".join(f"(?:{p})" for p in ALLOW if not (whole and p == PLACEHOLDER))
+
+    def between(c):
+        """The parts of a candidate between its placeholder words."""
+        words = _spans(at(c), PLACEHOLDER)
+        begins = F.concat(F.array(c["start"]), F.transform(words, lambda w: w["end"] + c["start"]))
+        ends = F.concat(F.transform(words, lambda w: w["start"] + c["start"]), F.array(c["end"]))
+        parts = F.arrays_zip(begins.alias("start"), ends.alias("end"))
+        wanted = mixed(at(c)) & ~at(c).rlike(no_secret)
+        return F.when(wanted, F.filter(parts, lambda x: x["end"] - x["start"] >= WINDOW)).otherwise(F.array().cast(SPAN))
+
     def of(c):
-        piece = F.substr(text, c["start"] + 1, c["end"] - c["start"])
-        allowed = piece.rlike("|".join(f"(?:{p})" for p in ALLOW))
-        wanted = piece.rlike("[0-9]") & piece.rlike("[A-Za-z]") & ~allowed
+        piece = at(c)
+        wanted = ~piece.rlike(no_secret)
+        if not whole:
+            wanted = mixed(piece) & wanted
         spans = F.transform(
             hot_windows(piece),
             lambda s: F.struct((s["start"] + c["start"]).alias("start"), (s["end"] + c["start"]).alias("end")),
@@ -138,7 +154,10 @@ def _entropy(text: Column, base: Column, whole: bool) -> Column:
             return F.exists(base, lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"]))
         return F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
 
-    return F.filter(F.flatten(F.transform(_spans(text, CANDIDATE), of)), lambda s: ~known(s))
+    candidates = _spans(text, CANDIDATE)
+    if whole:
+        candidates = F.flatten(F.transform(candidates, between))
+    return F.filter(F.flatten(F.transform(candidates, of)), lambda s: ~known(s))
 
 
 def scanned(df: DataFrame, text: Column, whole: bool = False) -> DataFrame:

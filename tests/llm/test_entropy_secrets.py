@@ -122,3 +122,17 @@ def test_no_part_of_a_secret_is_left(spark):
         assert r.text.startswith("before ") and r.text.endswith(" after") and set(r.text[7:-6].split(E.MASK)) == {""}, r
     spans = {r.doc_id: r.spans for r in E.scan(docs, whole=True).collect()}
     assert spans[0] == f"access:7:27,entropy:7:{7 + len(texts_[0])}"  # base spans stay
+
+
+def test_a_placeholder_word_allows_itself_only(spark):
+    import corpus_pipeline
+
+    key = "Zt3LmV9xKwR2pYf7HcJd5NsB1uGe6TkQ4oXiMa"
+    begins = ["docs/example/", "your_", "0123456789", "Example=xxxx-"]
+    texts_ = [*(b + key for b in begins), key + "xxxx" + key[::-1], *(b + "a-long-title-of-an-article-from-2023" for b in begins[:2])]
+    docs = spark.createDataFrame([(i, t, 7) for i, t in enumerate(texts_)], "doc_id long, text string, n_chars long")
+    out = {r.doc_id: r.text for r in corpus_pipeline.secrets(spark, docs, "").collect()}
+    for i, b in enumerate(begins):
+        assert out[i].endswith(E.MASK) and out[i][: -len(E.MASK)] in b, out[i]
+    assert out[4] == f"{E.MASK}xxxx{E.MASK}"
+    assert [out[5], out[6]] == texts_[5:]
