@@ -2,12 +2,11 @@
 
 Unit vectors are dealt to coarse cells (inverted lists) by their nearest centroid and coded by the residual: one
 centroid per subspace, plus the length of what the code leaves out. A partner is no farther than ``T``, the chord of
-the least cosine, and lies in another cell only beyond the plane half-way between the two centroids. The step towards
-a plane is one of as many directions as a vector has components, about ``T / sqrt(components)`` long; a vector probes
-every cell whose plane is within ``SPREAD`` times that. In a cell, distances to all codes are sums of table look-ups;
-a code is dropped only if its distance less its own error exceeds ``T``, and the rest is reranked by the exact
-cosine. So only the probes can lose a link; against brute force none is lost in the tests (``SPREAD = None`` probes
-all that ``T`` allows).
+the least cosine, and lies in another cell only beyond the plane half-way between the two centroids, so a vector probes every cell whose
+plane is within ``T``. In a cell, distances to all codes are sums of table look-ups; a code is dropped only if its
+distance less its own error exceeds ``T``, and the rest is reranked by the exact cosine. So no link is lost, whatever
+the vectors. ``spread`` trades links for fewer probes: planes within ``spread * T / sqrt(components)`` only, which
+suits vectors that differ in all directions alike (``SPREAD`` for them) and loses links of vectors of low rank.
 
 Equal vectors of a label are one class with a size, so copies are counted and not paired. A cell is compared in
 blocks of about ``BLOCK`` classes by ``BLOCK`` queries, whatever its size; a block gives back counts and a spanning
@@ -114,7 +113,8 @@ def _normed(x: np.ndarray) -> np.ndarray:
 
 
 def links(
-    rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", label: str = "label", min_cosine: float = MIN_COSINE
+    rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", label: str = "label", min_cosine: float = MIN_COSINE,
+    spread: float | None = None,
 ) -> DataFrame:
     """One row per vector: its id, n_links, component_id and kept."""
     bad = F.exists(F.col(vector), lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
@@ -126,7 +126,7 @@ def links(
         .agg(F.min("vec_id").cast("long").alias("rep"), F.count(F.lit(1)).alias("size")),
         "classes",
     )
-    found = [_links_of(classes.filter(F.size("vector") == r[0]), r[0], min_cosine) for r in classes.select(F.size("vector")).distinct().collect()]
+    found = [_links_of(classes.filter(F.size("vector") == r[0]), r[0], min_cosine, spread) for r in classes.select(F.size("vector")).distinct().collect()]
     ids = read.select("vec_id", "class")
     own = F.col("vec_id")
     if not found:
@@ -165,10 +165,10 @@ def _same_id(read: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.join(classes.select("class", "rep"), "class").select(F.col("rep").alias("a"), F.col("vec_id").cast("long").alias("b"))
 
 
-def _links_of(classes: DataFrame, width: int, min_cosine: float) -> DataFrame:
+def _links_of(classes: DataFrame, width: int, min_cosine: float, spread: float | None) -> DataFrame:
     """(class, links) counts and (a, b) links of a spanning forest, for classes of one vector length."""
     far = float(np.sqrt(max(0.0, 2 - 2 * min_cosine)))
-    reach = far if SPREAD is None else min(far, SPREAD * far / float(np.sqrt(width)))
+    reach = far if spread is None else min(far, spread * far / float(np.sqrt(width)))
     kept = np.float32 if classes.schema["vector"].dataType.elementType.typeName() == "float" else np.float64
     total = classes.count()
     picked = classes.orderBy(F.xxhash64("class"), "class").limit(SAMPLE).select("vector").toArrow().column(0).combine_chunks()

@@ -110,3 +110,17 @@ def test_repeated_ids_and_empty(spark):
     assert out == sorted([(1, 2, 1, True), (1, 1, 1, True), (2, 2, 1, False), (3, 1, 1, False), (None, 2, 1, False)], key=repr)
     assert P.links(spark.createDataFrame([], SCHEMA)).count() == 0
     assert [tuple(r) for r in P.links(spark.createDataFrame([(7, None, 1, "")], SCHEMA)).collect()] == [(7, 0, 7, True)]
+
+
+def test_no_link_of_low_rank_vectors_is_lost(spark, monkeypatch):
+    monkeypatch.setattr(P, "CELL", 12)
+    rng = np.random.default_rng(6)
+    low = rng.normal(size=(300, 3))
+    low = np.concatenate([low, low + rng.normal(0, 0.25, low.shape)])
+    x = (low @ rng.normal(size=(3, 256))).astype(np.float32)
+    rows = [(i, v.tolist(), 1, "") for i, v in enumerate(x)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    expected = brute(rows)
+    assert sorted(tuple(r) for r in P.links(docs).collect()) == expected
+    fewer = P.links(docs, spread=P.SPREAD).collect()  # what the bound for random vectors loses here
+    assert sum(r.n_links for r in fewer) < sum(r[1] for r in expected)
