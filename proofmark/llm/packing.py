@@ -7,8 +7,11 @@ been served before window k is therefore a function of k alone, ``served``, so a
 window without those before: no window waits for another, and each document finds its windows by itself.
 
 Tokens are written once with their place in their source's queue (partitions one after the other); only sums per
-partition and source are joined to them. ``QUEUES - 1`` sources with the most tokens have queues of their own, all
-others share one, which bounds the state of a window.
+partition and source are joined to them. With more than ``QUEUES`` sources, the ``QUEUES - 1`` with the most tokens
+have queues of their own, which bounds the state of a window. All others, the tail, share one queue that is merged in
+turn: token t of a source stands at (t + its phase) / (its tokens), with golden-ratio phases, as sources of equal size
+would else come in bursts. ``tail_parts`` gives what each window takes of each of them, from their totals alone; these
+parts meet the documents by source and bucket of its tokens. The totals of all sources are in every task.
 
 Defined cases: null text counts as empty (its one end token is packed); a null source is a source of its own; rows
 that repeat an id are packed one by one; an empty table gives an empty result; extra columns never clash.
@@ -25,12 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from proofmark.llm import tokens
-from proofmark.llm.common import by_arrow, maybe_broadcast, running_total, written
+from proofmark.llm.common import SMALL_ROWS, by_arrow, maybe_broadcast, running_total, written
 
 WINDOW = 1024
 QUEUES = 64
 END = 0
 CHUNK = 1 << 15  # windows handled at once
+GOLDEN = 0.6180339887498949
 
 
 def tokenized(docs: DataFrame, doc_id: str, text: str, source: str, file: str, end: int) -> DataFrame:
@@ -120,6 +124,64 @@ def pieces(queue: np.ndarray, start: np.ndarray, n: np.ndarray, totals: np.ndarr
         doc, lo = np.concatenate([doc[:take][again], doc[take:]]), np.concatenate([hi[:take][again] + 1, lo[take:]])
 
 
+def tail_parts(taken: np.ndarray, totals: np.ndarray):
+    """(window, source, first token, tokens, place in window) where window j takes tokens taken[j] to taken[j + 1] of the merged tail."""
+    n, phase = totals.astype(float), np.arange(1, len(totals) + 1) * GOLDEN % 1
+    lo, hi = 0.0, 1.0
+    for _ in range(60):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if np.clip(np.ceil(mid * n - phase), 0, n).sum() <= taken[0] else (lo, mid)
+    first = np.clip(np.ceil(lo * n - phase) - 1, 0, n).astype(np.int64)  # one more, as keys are rounded
+    lo, hi = lo, 1.0
+    for _ in range(60):
+        mid = (lo + hi) / 2
+        lo, hi = (lo, mid) if np.clip(np.ceil(mid * n - phase), 0, n).sum() >= taken[-1] else (mid, hi)
+    last = np.clip(np.ceil(hi * n - phase) + 1, 0, n).astype(np.int64)
+    counts = np.maximum(last - first, 0)
+    s = np.repeat(np.arange(len(n)), counts)
+    t = np.arange(len(s)) - np.repeat(np.cumsum(counts) - counts, counts) + first[s]
+    order = np.lexsort((s, (t + phase[s]) / n[s]))[taken[0] - first.sum() : taken[-1] - first.sum()]
+    k = np.searchsorted(taken, taken[0] + np.arange(len(order)), "right") - 1
+    s, t = s[order], t[order]
+    order = np.lexsort((t, s, k))
+    k, s, t = k[order], s[order], t[order]
+    begin = np.nonzero(np.r_[True, (k[1:] != k[:-1]) | (s[1:] != s[:-1])] if len(k) else np.zeros(0, bool))[0]
+    k = k[begin]
+    return k, s[begin], t[begin], np.diff(np.r_[begin, len(s)]), begin - (taken[k] - taken[0])
+
+
+def _of_tail(placed: DataFrame, totals: np.ndarray, tail: np.ndarray, first: int, window: int) -> DataFrame:
+    """Rows (doc_id, n, begin, length, window, offset, ids) of documents whose queue is ``first`` or beyond."""
+    spark, windows = placed.sparkSession, int(-(-totals.sum() // window))
+    step = max(64, 4 * len(tail) // window)
+
+    def run(batches):
+        for b in batches:
+            for at in b.column(0).to_pylist():
+                known = np.arange(at * step, min((at + 1) * step, windows) + 1)
+                k, s, t, length, offset = tail_parts(served(known, totals, window)[:, 0], tail)
+                columns = [s + first, k + at * step, t, length, offset]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["of", "window", "t", "tokens", "offset"])
+
+    chunks = -(-windows // step)
+    parts = spark.range(0, chunks, 1, min(chunks, 4 * spark.sparkContext.defaultParallelism))
+    parts = written(by_arrow(parts, run, "of long, window long, t long, tokens long, offset long"), "tail-parts")
+    buckets = lambda start, n: F.expr(f"explode(sequence({start} div {window}, ({start} + {n} - 1) div {window}))")
+    cut = lambda ids, start, stop: F.substr(ids, (2 * start + 1).cast("int"), (2 * (stop - start)).cast("int"))
+    start, stop, low = F.col("start"), F.col("start") + F.col("n"), F.col("low")
+    # A bucket has the ids of the parts that begin in it, which are no longer than a window.
+    docs = placed.withColumn("bucket", buckets("start", "n")).withColumn("low", F.greatest(start, F.col("bucket") * window))
+    docs = docs.withColumn("ids", cut(F.col("ids"), low - start, F.least(stop, (F.col("bucket") + 2) * window) - start))
+    parts = parts.withColumn("_bucket", buckets("t", "tokens"))
+    begin, end = F.greatest("start", "t"), F.least(stop, F.col("t") + F.col("tokens"))
+    met = docs.join(parts, (F.col("queue") == F.col("of")) & (F.col("bucket") == F.col("_bucket")) & (begin < end))
+    met = met.filter(F.floor(begin / window) == F.col("bucket"))
+    return met.select(
+        "doc_id", "n", (begin - start).alias("begin"), (end - begin).alias("length"), "window",
+        (F.col("offset") + begin - F.col("t")).alias("offset"), cut(F.col("ids"), begin - low, end - low).alias("ids"),
+    )
+
+
 def pack(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", file: str | None = None,
     end: int = END, window: int = WINDOW, with_ids: bool = False,
@@ -133,18 +195,18 @@ def pack(
     rows = tokenized(docs, doc_id, text, source, file, end)
     sums = written(rows.groupBy("part", "source").agg(F.sum("n").alias("tokens")), "queue-sums")
     by_source = sums.groupBy(F.col("source").alias("of")).agg(F.sum("tokens").alias("all"))
-    most = by_source.orderBy(F.desc("all"), F.col("of")).limit(QUEUES - 1).collect()
+    ranked = by_source.orderBy(F.desc("all"), F.col("of")).collect()
+    most = len(ranked) if len(ranked) <= QUEUES else QUEUES - 1
     spark, kind = docs.sparkSession, docs.schema[source].dataType.simpleString()
-    own = spark.createDataFrame([(r["of"], i + 1) for i, r in enumerate(most)], f"of {kind}, own int")
-    sums = sums.join(F.broadcast(own), F.col("source").eqNullSafe(F.col("of")), "left")
+    own = spark.createDataFrame([(r["of"], i) for i, r in enumerate(ranked)], f"of {kind}, queue int")
+    own = F.broadcast(own) if len(ranked) <= SMALL_ROWS else own
+    sums = sums.join(own, F.col("source").eqNullSafe(F.col("of")))
     parts = (sums.agg(F.max("part")).first()[0] or 0) + 1
-    sums = written(
-        sums.select("part", "source", "tokens", F.coalesce("own", F.lit(0)).alias("queue"), (F.col("part") / F.lit(float(parts))).alias("place")),
-        "queue-sums",
-    )
-    by_queue = {r["queue"]: r["all"] for r in sums.groupBy("queue").agg(F.sum("tokens").alias("all")).collect()}
-    queues = sorted(by_queue)
-    totals, number = np.array([by_queue[q] for q in queues], np.int64), {q: i for i, q in enumerate(queues)}
+    sums = written(sums.select("part", "source", "tokens", "queue", (F.col("part") / F.lit(float(parts))).alias("place")), "queue-sums")
+    totals = np.array([r["all"] for r in ranked], np.int64)
+    totals, tail = totals[:most], totals[most:]
+    shared = int(len(tail) > 0)  # the queue of the tail comes first
+    totals = np.concatenate([[tail.sum()] * shared, totals]).astype(np.int64)
     base = written(running_total(sums, "queue", "place", ["source"], "tokens", "base").select(
         F.col("part").alias("_part"), F.col("source").alias("_source"), "queue", "base"
     ), "queue-starts")
@@ -152,26 +214,37 @@ def pack(
         maybe_broadcast(base), (F.col("part") == F.col("_part")) & F.col("source").eqNullSafe(F.col("_source"))
     ).select("doc_id", "queue", (F.col("base") + F.col("at")).alias("start"), "n", "ids")
 
+    def piece(doc, begin, length, cut, n, k, offset):
+        left = np.minimum(totals.sum() - k * window, window)
+        columns = [
+            doc, pa.array(begin), pa.array(length), pa.array([zlib.crc32(x) for x in cut], pa.int64()), pa.array(n), pa.array(k),
+            pa.array(offset), pa.array(np.where(left & (left - 1) == 0, left, window)),
+        ]
+        if with_ids:
+            columns.append(pa.array([x.tolist() for x in cut], pa.list_(pa.int32())))
+        return pa.RecordBatch.from_arrays(columns, names)
+
     def run(batches):
         for b in batches:
             for at in range(0, b.num_rows, 2048):
                 part = b.slice(at, 2048)
                 start, n = (part.column(i).to_numpy() for i in (2, 3))
-                queue = np.array([number[q] for q in part.column(1).to_pylist()])
+                queue = part.column(1).to_numpy() + shared
                 ids = [np.frombuffer(x, "<u2").astype("<u4") for x in part.column(4).to_pylist()]
                 for d, k, begin, length, offset in pieces(queue, start, n, totals, window):
                     cut = [ids[i][a : a + m] for i, a, m in zip(d.tolist(), begin.tolist(), length.tolist())]
-                    left = np.minimum(totals.sum() - k * window, window)
-                    columns = [
-                        part.column(0).take(pa.array(d)), pa.array(begin), pa.array(length),
-                        pa.array([zlib.crc32(x) for x in cut], pa.int64()), pa.array(n[d]), pa.array(k), pa.array(offset),
-                        pa.array(np.where(left & (left - 1) == 0, left, window)),
-                    ]
-                    if with_ids:
-                        columns.append(pa.array([x.tolist() for x in cut], pa.list_(pa.int32())))
-                    yield pa.RecordBatch.from_arrays(columns, names)
+                    yield piece(part.column(0).take(pa.array(d)), begin, length, cut, n[d], k, offset)
+
+    def run_tail(batches):
+        for b in batches:
+            n, begin, length, k, offset = (b.column(i).to_numpy() for i in range(1, 6))
+            cut = [np.frombuffer(x, "<u2").astype("<u4") for x in b.column(6).to_pylist()]
+            yield piece(b.column(0), begin, length, cut, n, k, offset)
 
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "padded_length", *["ids"] * with_ids]
     kind = docs.schema[doc_id].dataType.simpleString()
     schema = ", ".join([f"doc_id {kind}", *[f"{c} long" for c in names[1:8]], *["ids array<int>"] * with_ids])
-    return by_arrow(placed, run, schema).withColumnRenamed("doc_id", doc_id)
+    out = by_arrow(placed.filter(F.col("queue") < most) if shared else placed, run, schema)
+    if shared:
+        out = out.unionAll(by_arrow(_of_tail(placed.filter(F.col("queue") >= most), totals, tail, most, window), run_tail, schema))
+    return out.withColumnRenamed("doc_id", doc_id)

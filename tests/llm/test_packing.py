@@ -93,3 +93,52 @@ def test_more_sources_than_queues(spark, monkeypatch):
 
 def test_empty(spark):
     assert P.pack(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_tail_parts_are_the_merged_order():
+    rng = np.random.default_rng(2)
+    for tail in ([3], [1] * 40, [7] * 9 + [2] * 5, sorted(rng.integers(1, 300, 50).tolist(), reverse=True)):
+        tail = np.array(tail)
+        phase = np.arange(1, len(tail) + 1) * P.GOLDEN % 1
+        order = sorted(((t + phase[s]) / n, s, t) for s, n in enumerate(tail.tolist()) for t in range(n))
+        taken = np.unique(np.r_[0, rng.integers(0, len(order), 20), len(order)])
+        for a, b in ((0, len(taken)), (len(taken) // 2, len(taken)), (0, len(taken) // 2 + 1)):
+            got, at = set(), {}
+            for k, s, t, length, offset in zip(*P.tail_parts(taken[a:b], tail)):
+                assert offset == at.get(k, 0)
+                at[k] = offset + length
+                got |= {(k, s, t + i) for i in range(length)}
+            cut = taken[a:b]
+            assert got == {(j, s, t) for j in range(len(cut) - 1) for _, s, t in order[cut[j] : cut[j + 1]]}
+
+
+def test_every_window_has_the_proportions_of_more_sources_than_queues(spark, monkeypatch):
+    monkeypatch.setattr(P, "QUEUES", 4)
+    rnd = random.Random(9)
+    rows = []
+    for i in range(500):
+        source = rnd.choice(["hot"] * 8 + ["a", "b"] + [f"s{k}" for k in range(12)] + [None, f"rare{i % 40}"])
+        rows.append((i, " ".join(rnd.choices(["the", "Word's", "naïve", "日本"], k=rnd.choice([0, 3, 40, 700]))), source, "clash"))
+    coder = Tokenizer.from_file(tokens.path("byte_bpe_50k.json"))
+    want = {i: coder.encode(t, add_special_tokens=False).ids + [0] for i, t, _, _ in rows}
+    out = P.pack(spark.createDataFrame(rows, SCHEMA).repartition(7), with_ids=True).collect()
+    source, total, sizes = {r[0]: r[2] for r in rows}, sum(map(len, want.values())), {}
+    by_doc, by_sequence = {}, {}
+    for r in out:
+        assert r.length == len(r.ids) > 0 and r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes())
+        by_doc.setdefault(r.doc_id, []).append(r)
+        by_sequence.setdefault(r.sequence_id, []).append(r)
+        sizes[source[r.doc_id]] = sizes.get(source[r.doc_id], 0) + r.length
+    for i, ids in want.items():
+        got = sorted(by_doc[i], key=lambda r: r.start)
+        assert [x for r in got for x in r.ids] == ids and all(r.doc_tokens == len(ids) for r in got)
+        assert [r.start for r in got] == [sum(x.length for x in got[:k]) for k in range(len(got))]
+    assert sorted(by_sequence) == list(range(-(-total // 1024))) and len(by_sequence) > 50
+    for k, parts in by_sequence.items():
+        at = 0
+        for r in sorted(parts, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at == (1024 if k < len(by_sequence) - 1 else (total - 1) % 1024 + 1)
+        for s, n in sizes.items():
+            assert abs(sum(r.length for r in parts if source[r.doc_id] == s) - at * n / total) < 6
