@@ -166,3 +166,24 @@ def test_satisfied_refuses_what_it_cannot_decide(spark, tmp_path, key, presence)
     with pytest.raises(Exception, match="only keyed presence"):
         q.awaitTermination()
 
+
+
+def test_arriving_slices_have_many_files(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from proofmark.plans import streams
+
+    day = F.timestamp_seconds(F.col("id") * 600 + 1_700_000_000).alias("ts")
+    spark.range(0, 6000, 1, 5).select("id", day).write.parquet(f"{tmp_path}/events.parquet")
+    batches = []
+
+    def look(df, _):
+        batches.append((df.select(F.input_file_name()).distinct().count(), {r.id for r in df.collect()}))
+
+    stream = streams.arriving(spark, str(tmp_path), "events", F.col("ts"))
+    stream.writeStream.foreachBatch(look).option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    assert len(batches) == streams.BATCHES and all(n > 1 for n, _ in batches)
+    assert sum(len(ids) for _, ids in batches) == 6000 and set().union(*(ids for _, ids in batches)) == set(range(6000))
+    assert [min(ids) for _, ids in batches] == sorted(min(ids) for _, ids in batches)
+    late = streams.LATE_MS // 600_000 + 1  # rows that one may be late behind
+    assert all(max(a) - min(b) <= late for (_, a), (_, b) in zip(batches, batches[1:]))
