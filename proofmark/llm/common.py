@@ -6,7 +6,9 @@ import uuid
 from collections.abc import Callable, Iterable, Sequence
 from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -82,6 +84,16 @@ def by_arrow(
     return df.mapInArrow(fn, schema)
 
 
+def by_bytes(batch: pa.RecordBatch, column: int, limit: int = 4 << 20) -> Iterable[pa.RecordBatch]:
+    """The rows of a batch in parts of about ``limit`` bytes of a string column, one row at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    low = 0
+    while low < batch.num_rows:
+        high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + limit, "right")))
+        yield batch.slice(low, high - low)
+        low = high
+
+
 def running_total(df: DataFrame, group: str, order: str, tie: Sequence[str], value: str, out: str) -> DataFrame:
     """``out``: the sum of ``value`` over the rows of the same ``group`` before this one, in ascending ``order``.
 

@@ -5,8 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from proofmark.llm import column_bwt, entropy_secrets, host_rules, maxent, mixing, packing, pq_links, rlz_spans, simhash_trees, simple8b
+from proofmark.llm import (
+    alignment, column_bwt, entropy_secrets, fim_fenwick, host_rules, maxent, mixing, packing, pq_links, rlz_spans, simhash_trees, simple8b,
+    suffix_arrays, tokens,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -212,3 +216,70 @@ def op6_pq_links(spark, sf_dir):
 @query()
 def op7_column_bwt(spark, sf_dir):
     return column_bwt.dedup(documents(spark, sf_dir))
+
+
+@query()
+def op11_galloping_alignment(spark, sf_dir):
+    return alignment.align(documents(spark, sf_dir), tokens.path("byte_bpe_50k.json"), tokens.path("piece_bpe_32k.model"))
+
+
+_WORDS_SQL = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
+
+BENCHMARK_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS_SQL} AS w FROM documents),
+i AS (SELECT row_number() OVER () AS k, coalesce(item_id::VARCHAR, '') AS item, {_WORDS_SQL} AS w FROM benchmark),
+windows AS (
+  SELECT k, item, x, n, array_to_string(w[x : x + n - 1], ' ') AS s FROM (
+    SELECT *, least(len(w), 10) AS n, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS x FROM i WHERE len(w) > 0)),
+starts AS (
+  SELECT r, n, w, unnest(range(1, len(w) - n + 2)) AS p FROM d JOIN (SELECT DISTINCT n FROM windows) ON len(w) >= n),
+m AS (
+  SELECT r, p, k, x, item, n FROM (SELECT r, n, p, array_to_string(w[p : p + n - 1], ' ') AS s FROM starts) JOIN windows USING (n, s)),
+hits AS (SELECT r, count(DISTINCT p + j) AS n_hit FROM m JOIN range(10) AS t(j) ON j < n GROUP BY r),
+listed AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM m GROUP BY r),
+chains AS (SELECT r, n, p - row_number() OVER (PARTITION BY r, k, p - x ORDER BY p) AS chain, k, p - x AS shift FROM m),
+longest AS (SELECT r, max(c) AS longest FROM (SELECT r, count(*) + any_value(n) - 1 AS c FROM chains GROUP BY r, k, shift, chain) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated, coalesce(longest, 0)::BIGINT AS longest
+FROM d LEFT JOIN hits USING (r) LEFT JOIN listed USING (r) LEFT JOIN longest USING (r)
+"""
+
+
+@query(BENCHMARK_SQL)
+def op12_suffix_arrays(spark, sf_dir):
+    found = suffix_arrays.find(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "longest",
+    )
+
+
+FIM_SQL = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS body, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') AS u
+  FROM documents),
+cut AS (
+  SELECT *, len(u) AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS a, ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS b,
+    CASE WHEN body = '' OR contains(body, '<P>') OR contains(body, '<S>') OR contains(body, '<M>') OR ('0x' || h[17:24])::BIGINT % 100 >= 50
+      THEN 'plain' WHEN ('0x' || h[25:32])::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM d),
+parts AS (
+  SELECT *, array_to_string(u[1 : least(a, b)], '') AS pre, array_to_string(u[least(a, b) + 1 : greatest(a, b)], '') AS mid,
+    array_to_string(u[greatest(a, b) + 1 :], '') AS suf
+  FROM cut)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(pre)::BIGINT END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(mid)::BIGINT END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN body WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+    ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+  sha256(body) AS restored_sha256
+FROM parts
+"""
+
+
+@query(FIM_SQL)
+def op13_fenwick_fim(spark, sf_dir):
+    out = fim_fenwick.transform(documents(spark, sf_dir))
+    digest = [F.sha2("output", 256).alias("output_sha256"), F.sha2(fim_fenwick.restored(), 256).alias("restored_sha256")]
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digest)
