@@ -80,14 +80,15 @@ def apply_creates(changes: DataFrame, apps: DataFrame) -> tuple[DataFrame, DataF
     return state, judged.filter("reason IS NOT NULL")
 
 
-def judged_changes(changes: DataFrame, apps: DataFrame) -> DataFrame:
+def judged_changes(changes: DataFrame, apps: DataFrame, gone: Sequence[str] = ()) -> DataFrame:
     """Each change with its ``reason`` to be refused, or null.
 
-    What is known per application (its creator, its first accepted delete) is one lookup row, so the log is
+    An application whose status is one of ``gone`` was deleted before the log begins. What is known per application (its creator, its first accepted delete) is one lookup row, so the log is
     joined once.
     """
     owner = F.col("app_source") if "app_source" in apps.columns else F.lit(None).cast("string")
-    known = apps.select("application_id", owner.alias("owner"), F.lit(True).alias("known"))
+    was = F.col("status").isin(*gone) if gone else F.lit(False)
+    known = apps.select("application_id", owner.alias("owner"), F.lit(True).alias("known"), was.alias("was"))
     log = changes.filter(F.col("op") != CREATE)
     foreign = (F.col("op") == EXTERNAL_DELETE) & ~F.col("actor").eqNullSafe(F.col("owner"))
     deletes = (
@@ -107,14 +108,14 @@ def judged_changes(changes: DataFrame, apps: DataFrame) -> DataFrame:
             F.when(F.col("known").isNull(), "unknown application")
             .when((F.col("op") == UPDATE) & listed, "attachment list must be empty")
             .when(foreign, "deleted by its creator only")
-            .when(order() > F.col("deleted"), "deleted before"),
+            .when(F.col("was") | (order() > F.col("deleted")), "deleted before"),
         )
-        .drop("known", "owner", "deleted")
+        .drop("known", "owner", "deleted", "was")
     )
 
 
 def apply_changes(
-    apps: DataFrame, changes: DataFrame, fields: Sequence[str] | None = None
+    apps: DataFrame, changes: DataFrame, fields: Sequence[str] | None = None, gone: Sequence[str] = ()
 ) -> tuple[DataFrame, DataFrame]:
     """Updates, completions, step marks and deletes in time order.
 
@@ -124,7 +125,7 @@ def apply_changes(
     """
     if fields is None:
         fields = [c for c in apps.columns if c in changes.columns and c not in KEPT]
-    judged = judged_changes(changes, apps)
+    judged = judged_changes(changes, apps, gone)
     ok = judged.filter("reason IS NULL")
     op = F.col("op")
     writes, marks, deletes = op.isin(UPDATE, COMPLETE), op == STEP, op.isin(DELETE, EXTERNAL_DELETE)

@@ -48,6 +48,10 @@ SELECT o_orderkey AS application_id, o_custkey AS user_id, o_orderpriority AS fo
 
 
 def change_log(spark, sf):
+    return changes_of(table(spark, sf, "lineitem"))
+
+
+def changes_of(lines):
     """A line changes the order 40 keys further, so some changes meet no application."""
     flags = F.concat("l_returnflag", "l_linestatus")
     op = (
@@ -57,7 +61,7 @@ def change_log(spark, sf):
         .when(flags.isin("NF", "NO"), U.COMPLETE)
         .otherwise(U.STEP)
     )
-    return table(spark, sf, "lineitem").select(
+    return lines.select(
         change_id().alias("change_id"),
         op.alias("op"),
         (F.col("l_orderkey") + 40).alias("application_id"),
