@@ -352,7 +352,11 @@ def lifecycle_violations(events: DataFrame, stages: Sequence[str] = tuple(v.LIFE
     t = F.col("event_type")
     firsts = [F.min(F.when(t == s, F.col("ts"))).alias(f"first_{i}") for i, s in enumerate(stages)]
     lasts = [F.max(F.when(t == s, F.col("ts"))).alias(f"last_{i}") for i, s in enumerate(stages)]
-    per_key = events.filter(t.isin(*stages)).groupBy("key").agg(*firsts, *lasts)
+    return broken_order(events.filter(t.isin(*stages)).groupBy("key").agg(*firsts, *lasts), stages)
+
+
+def broken_order(per_key: DataFrame, stages: Sequence[str]) -> DataFrame:
+    """``lifecycle_violations`` of rows ``(key, first_<i>, last_<i>, …)``, the times of each stage."""
     n = range(len(stages))
     down = F.array_compact(
         F.array(

@@ -18,8 +18,8 @@ def conflicts(df: DataFrame, order: Sequence[str], key: str = "submission_id") -
     ranked inside a hot id.
     """
     place = F.struct(*order)
-    repeated = df.groupBy(key).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return join_lookup(df, repeated, key, "inner").filter(place > F.col("first")).drop("first", "n")
+    repeated = df.groupBy(key).agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    return join_lookup(df, repeated, key, "inner").filter(place > F.col("_first")).drop("_first", "_n")
 
 
 def main_document_violations(df: DataFrame) -> DataFrame:

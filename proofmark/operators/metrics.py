@@ -60,11 +60,17 @@ def upload_summary(upload_log: DataFrame, by: str, width: int = 1_000) -> DataFr
     without a name stays a group.
     """
     name = F.struct(F.col(by).alias("name"))
-    rows = upload_log.select(name.alias("of"), (F.col("finished_ms") - F.col("started_ms")).alias("at"))
+    rows = upload_log.select(name.alias("of"), (F.col("finished_ms") - F.col("started_ms")).alias("at"), F.lit(1).cast("long").alias("n"))
+    return summary_of_counts(rows, by, width)
+
+
+def summary_of_counts(rows: DataFrame, by: str, width: int = 1_000) -> DataFrame:
+    """``upload_summary`` of rows ``(of, at, n)``: ``n`` uploads of the group ``of.name`` took ``at`` milliseconds."""
     whole = rows.groupBy("of").agg(
-        F.count(F.lit(1)).alias("uploads"), F.count("at").alias("timed"), F.sum("at").alias("total_ms"), F.max("at").alias("max_ms")
+        F.sum("n").alias("uploads"), F.sum(F.when(F.col("at").isNotNull(), F.col("n")).otherwise(0)).alias("timed"),
+        F.sum(F.col("at") * F.col("n")).alias("total_ms"), F.max("at").alias("max_ms"),
     )
-    counts = running_count(rows.filter("at IS NOT NULL"), ["of"], width)
+    counts = running_count(rows.filter("at IS NOT NULL"), ["of"], width, "n")
     reached = lambda q: F.min(F.when(F.col("count") >= F.ceil(F.col("timed") * q), F.col("at")))
     found = (
         join_lookup(counts, whole.select("of", "timed"), "of", "inner")
@@ -112,7 +118,11 @@ def size_profile(files: DataFrame, by: str, threshold: int, size: str = "size")
 
     Two groupings with map-side combine; the second meets one row per entry and leaves one row.
     """
-    entries = files.groupBy(by).agg(F.sum(size).alias("total"), F.count(F.lit(1)).alias("files"))
+    return profile_of_entries(files.groupBy(by).agg(F.sum(size).alias("total"), F.count(F.lit(1)).alias("files")), threshold)
+
+
+def profile_of_entries(entries: DataFrame, threshold: int) -> DataFrame:
+    """``size_profile`` of one row ``(total, files)`` per entry."""
     biggest = F.struct(F.col("total"), F.col("files"))
     return (
         entries.agg(

@@ -100,15 +100,19 @@ def nearest(
     )
 
 
-def running_count(facts: DataFrame, by: Sequence[str], width: int | None) -> DataFrame:
-    """``(*by, at, before, count)``: how many facts lie before and up to each distinct time."""
+def running_count(facts: DataFrame, by: Sequence[str], width: int | None, weight: str | None = None) -> DataFrame:
+    """``(*by, at, before, count)``: how many facts lie before and up to each distinct time.
+
+    A row is one fact, or as many as its column ``weight`` says.
+    """
     by = list(by)
     keys = [*by, "slot"]
     at = F.col("at").cast("long")
+    n = F.sum(weight) if weight else F.count(F.lit(1))
     line = (
-        facts.select(*by, at.alias("at"), slot_of(at, width).alias("slot"))
+        facts.select(*by, at.alias("at"), slot_of(at, width).alias("slot"), *([weight] if weight else []))
         .groupBy(*keys, "at")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(n.alias("n"))
     )
 
     def running(part, time, to):

@@ -240,8 +240,8 @@ def verify(messages: DataFrame, expectations: DataFrame, slot_ms: int = SLOT_MS)
     return decided(match(messages, expectations, slot_ms))
 
 
-def decided(m: DataFrame) -> DataFrame:
-    """Verdicts from the columns of ``match``."""
+def decided(m: DataFrame, *more: str) -> DataFrame:
+    """Verdicts from the columns of ``match``, and ``more`` of its columns."""
     absent = F.col("presence") == v.ABSENCE
     rejected = absent & F.col("key").isNull()
     hit = F.col("hit_us").isNotNull()
@@ -257,6 +257,7 @@ def decided(m: DataFrame) -> DataFrame:
             ).alias("decided_at"),
             F.when(~absent & ~hit, F.col("seen.value")).alias("last_value"),
             F.when(rejected, F.lit("Rejected: absence needs a key")).otherwise(F.col("message")).alias("message"),
+            *more,
         )
     )
 
@@ -397,15 +398,18 @@ def has_count(
     by: Sequence[str],
     timeout_ms: int = v.COUNT_TIMEOUT_MS,
     slot_ms: int = SLOT_MS,
+    weight: str | None = None,
 ) -> DataFrame:
     """Does the running message count equal ``expected_count`` at some time in the window?
 
-    ``keys`` has ``expectation_id, *by, expected_count, registered_at``. The count is a step function:
+    ``keys`` has ``expectation_id, *by, expected_count, registered_at``; ``weight`` names the column that says for how
+    many messages a row stands. The count is a step function:
     it equals n from the step that reaches n to the step that leaves it. Both go into one row per n, so one
     equi join finds the interval.
     """
     by = list(by)
-    steps = running_count(messages.select(*by, micros("ts").alias("at")), by, slot_ms * 1000)
+    facts = messages.select(*by, micros("ts").alias("at"), *([weight] if weight else []))
+    steps = running_count(facts, by, slot_ms * 1000, weight)
     ends = F.array(
         F.struct(F.col("count").alias("expected"), F.col("at").alias("reached_us"), F.lit(None).cast("long").alias("left_us")),
         F.struct(F.col("before").alias("expected"), F.lit(None).cast("long").alias("reached_us"), F.col("at").alias("left_us")),

@@ -74,7 +74,11 @@ def signup_keys(spark: SparkSession, sf: str, kind: str = "signup") -> DataFrame
 
 def status_history(spark: SparkSession, sf: str) -> DataFrame:
     """``lineitem`` return flags as archive status changes of an order."""
-    return table(spark, sf, "lineitem").select(
+    return status_of(table(spark, sf, "lineitem"))
+
+
+def status_of(lines: DataFrame) -> DataFrame:
+    return lines.select(
         F.col("l_orderkey").cast("string").alias("key"),
         F.when(F.col("l_returnflag") == "A", v.ARCHIVED)
         .when(F.col("l_returnflag") == "R", v.ARCHIVE_FAILED)

@@ -529,12 +529,17 @@ def archive_status(spark, sf):
 )
 def lifecycle_violations(spark, sf):
     """Line flags as stages of their order."""
+    return listed(U.lifecycle_violations(stages_of(table(spark, sf, "lineitem"))))
+
+
+def listed(violations):
+    text = lambda c: F.array_join(F.array_sort(c), ",").alias(c)
+    return violations.select("key", text("out_of_order"), text("missing"))
+
+
+def stages_of(lines):
     flags = F.concat("l_returnflag", "l_linestatus")
     stage = F.when(flags == "NF", "RECEIVED").when(flags == "NO", "STARTED").when(flags == "AF", "ARCHIVED").when(
         flags == "AO", "FINISHED"
     )
-    events = table(spark, sf, "lineitem").select(
-        F.col("l_orderkey").alias("key"), stage.alias("event_type"), F.col("l_shipdate").alias("ts")
-    )
-    text = lambda c: F.array_join(F.array_sort(c), ",").alias(c)
-    return U.lifecycle_violations(events).select("key", text("out_of_order"), text("missing"))
+    return lines.select(F.col("l_orderkey").alias("key"), stage.alias("event_type"), F.col("l_shipdate").alias("ts"))

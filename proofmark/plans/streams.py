@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from proofmark import sources
+from proofmark import values as v
 from proofmark.operators import messages as M
 from proofmark.operators import verify as V
 from proofmark.plans import runs
@@ -16,7 +17,7 @@ from proofmark.plans.registry import SQL, plain, query, table
 from proofmark.plans.workloads import uuid_sql
 from proofmark.session import shared_dir
 from proofmark.sources import decode_calls, sinks
-from proofmark.streaming import intake, verification
+from proofmark.streaming import intake, latches, verification
 
 
 def new_store(spark) -> str:
@@ -57,22 +58,77 @@ def arriving(spark, sf, name, at):
 @query(SQL["verify_presence"])
 def stream_verify(spark, sf):
     """The signup expectations decided by a stream of several batches with late rows, open ones closed at its end."""
-    events = M.as_messages(
-        arriving(spark, sf, "events", F.col("ts"))
-        .filter("event_type <> 'signup'")
-        .withColumn("key", F.col("user_id").cast("string")),
+    return plain(verification.close(spark, signups_verified(spark, sf)))
+
+
+def signups(spark, sf, presence=v.PRESENCE, expected_type="purchase", timeout_ms=B.DAY_MS, run=None):
+    """Late events as two streams: signups are expectations, all others messages."""
+    events = arriving(spark, sf, "events", F.col("ts"))
+    messages = M.as_messages(
+        events.filter("event_type <> 'signup'").withColumn("key", F.col("user_id").cast("string")),
         "events",
         event_type=F.col("event_type"),
         offset=F.col("event_id"),
     )
+    keys = events.filter("event_type = 'signup'").select(
+        F.col("event_id").alias("expectation_id"),
+        (F.lit("replay") if run is None else run.cast("string")).alias("run_id"),
+        F.col("user_id").cast("string").alias("key"),
+        F.col("ts").alias("registered_at"),
+    )
+    return messages, V.expect(keys, "events", presence, expected_type, timeout_ms=timeout_ms)
+
+
+def signups_verified(spark, sf, **kw):
+    """The store of a verification of ``signups``, run to its end."""
+    store = new_store(spark)
+    verification.start(*signups(spark, sf, **kw), store, delay_ms=LATE_MS).awaitTermination()
+    return store
 
-    def expectations(session):
-        keys = S.signup_keys(session, sf)
-        return V.expect(keys, "events", expected_type="purchase", timeout_ms=B.DAY_MS)
 
+FIRST_FAILURE_SQL = B.verdict_sql(
+    B.OTHERS_SQL, B.signup_sql(expected_type="purchase", timeout_ms=B.DAY_MS),
+    """SELECT run_id, (min(ROW(decided_at, expectation_id, message)))[1] AS decided_at,
+              (min(ROW(decided_at, expectation_id, message)))[2] AS expectation_id,
+              (min(ROW(decided_at, expectation_id, message)))[3] AS message
+       FROM (SELECT * REPLACE (CAST(expectation_id % 20 AS VARCHAR) AS run_id) FROM verdict) WHERE NOT satisfied GROUP BY run_id""",
+)
+
+
+def with_closed(spark, early, verdicts):
+    """First failures as a stream told them, and of the runs without one those decided at its end."""
+    late = verdicts.filter("NOT satisfied").join(early, "run_id", "left_anti")
+    first = late.groupBy("run_id").agg(F.min(F.struct("decided_at", "expectation_id", "message")).alias("f")).select("run_id", "f.*")
+    return plain(early.unionByName(first))
+
+
+@query(FIRST_FAILURE_SQL)
+def stream_first_failures(spark, sf):
+    """The failure of each run that a stream decides first."""
+    store = signups_verified(spark, sf, run=F.col("event_id") % 20)
+    return with_closed(spark, verification.first_failures(spark, store), verification.close(spark, store))
+
+
+def latches_closed(spark, sf, presence, expected_type, timeout_ms):
+    """Verdicts of latches, and the batch form for those that are open at the stream's end."""
     store = new_store(spark)
-    verification.start(events, expectations, store, delay_ms=LATE_MS).awaitTermination()
-    return plain(verification.close(spark, store, expectations))
+    rows = latches.latched(*signups(spark, sf, presence, expected_type, timeout_ms), f"{LATE_MS} milliseconds")
+    latches.start(rows, store).awaitTermination()
+    done = latches.verdicts(spark, store)
+    keys = S.signup_keys(spark, sf).join(done.select("expectation_id"), "expectation_id", "left_anti")
+    events = S.event_messages(spark, sf).filter("event_type <> 'signup'")
+    return plain(done.unionByName(V.verify(events, V.expect(keys, "events", presence, expected_type, timeout_ms=timeout_ms))))
+
+
+@query(SQL["verify_presence"])
+def stream_latches(spark, sf):
+    """The signup expectations decided by one latch each in the state store."""
+    return latches_closed(spark, sf, v.PRESENCE, "purchase", B.DAY_MS)
+
+
+@query(SQL["verify_absence"])
+def stream_latches_absence(spark, sf):
+    return latches_closed(spark, sf, v.ABSENCE, None, 6 * B.HOUR_MS)
 
 
 @query(B.verdict_sql(B.OTHERS_SQL, B.signup_sql(expected_type="purchase", timeout_ms=B.DAY_MS),
@@ -95,7 +151,7 @@ def stream_satisfied(spark, sf):
     expectations = V.expect(keys, "events", expected_type="purchase", timeout_ms=B.DAY_MS)
     store = new_store(spark)
     (
-        verification.satisfied(messages, expectations, "1 day")
+        verification.satisfied(messages, expectations, "1 day", kinds=[V.TYPE_TEST])
         .select("expectation_id")
         .writeStream.format("parquet")
         .option("path", f"{store}/rows")

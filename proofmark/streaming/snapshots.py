@@ -61,12 +61,16 @@ class Snapshots:
     """A store of one table's versions: ``key`` names a row, ``fold`` takes (rows, changes) to (rows, rejected).
 
     Changes have ``key`` and the time ``at``. ``fold`` sees whole keys and must give each row's new state from its own
-    changes alone.
+    changes alone. Where it takes changes in any order, as sums and minima do, ``ordered`` is false: then each batch is
+    folded as it comes, and nothing waits or is late.
     """
 
-    def __init__(self, store: str, key: str, schema: T.StructType, changes: T.StructType, fold: Fold, delay_ms: int = 0, buckets: int = BUCKETS):
+    def __init__(
+        self, store: str, key: str, schema: T.StructType, changes: T.StructType, fold: Fold, delay_ms: int = 0, buckets: int = BUCKETS,
+        ordered: bool = True,
+    ):
         self.store, self.key, self.schema, self.changes, self.fold = store, key, schema, changes, fold
-        self.delay_ms, self.buckets = delay_ms, buckets
+        self.delay_ms, self.buckets, self.ordered = delay_ms, buckets, ordered
 
     def _bucket(self):
         return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int").alias("bucket")
@@ -142,6 +146,8 @@ class Snapshots:
         at = F.unix_micros("at")
         latest = batch.agg((F.max(at) - self.delay_ms * 1000).alias("h")).first()["h"]
         horizon = max(h for h in (before, latest, until) if h is not None)
+        if not self.ordered:
+            before, horizon = BEFORE, AFTER
         too_late = F.coalesce(at < before, F.lit(True))  # also those without a time
         batch.filter(too_late).write.mode("overwrite").parquet(f"{self.store}/late/batch={batch_id}")
         open_ = self._part(spark, "pending", batch_id - 1).unionByName(batch.filter(~too_late))

@@ -6,6 +6,10 @@ ordered lookups as the batch form, so a hot key is spread here as it is there; l
 for expectations that are new. A verdict comes out once the horizon (latest event time less the allowed delay) has
 passed the time that decides it; then no message on time can change it any more, and stream and batch agree.
 
+New expectations come from a stream of their own, whose offsets say what is new, so a step reads its own rows, the open
+ones and nothing else. A function that gives their whole table is taken too; then each step has to look for new ids
+among all. The first failure of a run comes out with the step that decides it (``first_failures``).
+
 Each step overwrites what its own batch id wrote before and reads the state of the batch before it, so a repeated
 batch after a lost executor or a restart leaves the same tables. Open rows of older batches are deleted, and the
 decided ones of every ``COMPACT`` batches move into one partition.
@@ -16,7 +20,7 @@ decided ones of every ``COMPACT`` batches move into one partition.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import timedelta
 from functools import reduce
 
@@ -32,9 +36,13 @@ from proofmark.operators import verify as V
 # A day before any message.
 MARKER_DAY = "0001-01-01"
 COMPACT = 64
+FAILURE = "run_id string, decided_at timestamp, expectation_id long, message string"
 SEEN = "struct<at:long,offset:long,event_type:string,calls:int,value:string>"
 STATE = f"{schemas.EXPECTATIONS}, start_us long, end_us long, hit_us long, seen {SEEN}"
 
+OWN = [c.split()[0] for c in schemas.EXPECTATIONS.split(",")]
+MESSAGE = ["topic", "key", "event_type", "calls", "value", "ts", "offset"]
+
 Expectations = Callable[[SparkSession], DataFrame]
 
 
@@ -114,32 +122,38 @@ def _history(spark: SparkSession, store: str, fresh: DataFrame, batch_id: int) -
     return listed.drop("day", "batch")
 
 
-def _decide(spark: SparkSession, batch_id: int, store: str, expectations: Expectations, delay_ms: int) -> None:
-    own = [f.name for f in T.StructType.fromDDL(schemas.EXPECTATIONS)]
-    before = _state(spark, store, f"{{-1,{batch_id - 1}}}", False)
-    fresh = (
-        V.with_default_timeout(expectations(spark))
-        .join(before.select("expectation_id").unionByName(_decided_before(spark, store, batch_id)), "expectation_id", "left_anti")
-        .select(*own)
-    )
-    open_ones = before.select(*own, F.col("hit_us").alias("old_hit"), F.col("seen").alias("old_seen"))
+def _open(spark: SparkSession, store: str, batch_id: int) -> DataFrame:
+    """State rows that were open before a batch."""
+    return _state(spark, store, f"{{-1,{batch_id - 1}}}", False)
+
+
+def _unknown(spark: SparkSession, store: str, batch_id: int, expectations: DataFrame) -> DataFrame:
+    """Expectations of a whole table that no earlier batch has seen."""
+    known = _open(spark, store, batch_id).select("expectation_id").unionByName(_decided_before(spark, store, batch_id))
+    return expectations.join(known, "expectation_id", "left_anti")
+
+
+def _decide(spark: SparkSession, batch_id: int, store: str, fresh: DataFrame, delay_ms: int) -> None:
+    before = _open(spark, store, batch_id)
+    fresh = V.with_default_timeout(fresh).select(*OWN)
+    open_ones = before.select(*OWN, F.col("hit_us").alias("old_hit"), F.col("seen").alias("old_seen"))
     batch = _landed(spark, store).filter(F.col("batch") == batch_id).drop("day", "batch")
     parts = [] if open_ones.isEmpty() else [V.match(batch, open_ones)]
     if not fresh.isEmpty():
         nothing = [F.lit(None).cast("long").alias("old_hit"), F.lit(None).cast(SEEN).alias("old_seen")]
         parts.append(V.match(_history(spark, store, fresh, batch_id), fresh.select("*", *nothing)))
     if parts:
-        _keep(spark, store, batch_id, reduce(DataFrame.unionByName, parts), own, delay_ms)
+        _keep(spark, store, batch_id, reduce(DataFrame.unionByName, parts), delay_ms)
     if batch_id >= 2:  # the markers stay
         _delete(spark, f"{store}/state/batch={batch_id - 2}/done=false", f"{store}/horizon/batch={batch_id - 2}")
     if batch_id and batch_id % COMPACT == 0:
         _compact(spark, store, batch_id)
 
 
-def _keep(spark: SparkSession, store: str, batch_id: int, found: DataFrame, own: list[str], delay_ms: int) -> None:
+def _keep(spark: SparkSession, store: str, batch_id: int, found: DataFrame, delay_ms: int) -> None:
     """Writes the state after a step, the decided rows apart."""
     state = found.select(
-        *own, "start_us", "end_us", F.least("old_hit", "hit_us").alias("hit_us"), F.greatest("old_seen", "seen").alias("seen")
+        *OWN, "start_us", "end_us", F.least("old_hit", "hit_us").alias("hit_us"), F.greatest("old_seen", "seen").alias("seen")
     )
     latest = spark.read.schema("latest timestamp").parquet(f"{store}/horizon/batch={batch_id}").first()["latest"]
     horizon = F.lit(latest).cast("timestamp") - F.make_dt_interval(secs=F.lit(delay_ms / 1000))
@@ -148,6 +162,24 @@ def _keep(spark: SparkSession, store: str, batch_id: int, found: DataFrame, own:
     at = F.when(rejected, F.col("start_us")).otherwise(decides)
     done = F.coalesce(F.timestamp_micros(at) < horizon, F.lit(False)).alias("done")
     _own_partitions(state.select("*", F.lit(batch_id).cast("long").alias("batch"), done), f"{store}/state", "batch", "done")
+    if _exists(spark, f"{store}/state/batch={batch_id}/done=true"):
+        now = V.decided(_state(spark, store, str(batch_id), True)).filter("NOT satisfied")
+        _first(now).write.mode("overwrite").parquet(f"{store}/failures/batch={batch_id}")
+
+
+def _first(failed: DataFrame) -> DataFrame:
+    first = F.struct("decided_at", "expectation_id", "message")
+    return failed.groupBy("run_id").agg(F.min(first).alias("f")).select("run_id", "f.*")
+
+
+def first_failures(spark: SparkSession, store: str) -> DataFrame:
+    """The failure of each run that was decided first, ``(run_id, decided_at, expectation_id, message)``.
+
+    Steps decide in the order of time, so a run's row never changes once it is there.
+    """
+    if not _exists(spark, f"{store}/failures"):
+        return spark.createDataFrame([], FAILURE)
+    return _first(spark.read.schema(FAILURE).parquet(f"{store}/failures"))
 
 
 def _decided_before(spark: SparkSession, store: str, batch_id: int) -> DataFrame:
@@ -169,24 +201,38 @@ def _compact(spark: SparkSession, store: str, batch_id: int) -> None:
 
 def start(
     messages: DataFrame,
-    expectations: Expectations,
+    expectations: DataFrame | Expectations,
     store: str,
     delay_ms: int = 0,
     interval: str | None = None,
 ) -> StreamingQuery:
     """Verifies a stream of messages into ``store``; without an interval it runs what is there and ends.
 
-    ``expectations`` is called for every batch, so rows added to their table later are found.
+    ``expectations`` is a stream, or a function that is called for every batch, so that rows added to their table
+    later are found.
     """
     spark = messages.sparkSession
     _markers(spark, store)
+    rows = messages.select(*MESSAGE)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.select("topic", "key", "event_type", "calls", "value", "ts", "offset")
+        spark = batch.sparkSession
         _land(batch, batch_id, store)
-        _decide(batch.sparkSession, batch_id, store, expectations, delay_ms)
-
-    writer = messages.writeStream.foreachBatch(step).option("checkpointLocation", f"{store}/checkpoint")
+        _decide(spark, batch_id, store, _unknown(spark, store, batch_id, expectations(spark)), delay_ms)
+
+    def step_of_both(batch: DataFrame, batch_id: int) -> None:
+        spark, asked = batch.sparkSession, f"{store}/asked/batch={batch_id}"
+        batch.filter("e IS NOT NULL").select("e.*").write.mode("overwrite").parquet(asked)
+        _land(batch.filter("m IS NOT NULL").select("m.*"), batch_id, store)
+        _decide(spark, batch_id, store, spark.read.schema(schemas.EXPECTATIONS).parquet(asked), delay_ms)
+
+    if isinstance(expectations, DataFrame):
+        m, e = F.struct(*MESSAGE).alias("m"), F.struct(*OWN).alias("e")
+        asked = expectations.select(e)
+        rows = rows.select(m, F.lit(None).cast(asked.schema["e"].dataType).alias("e"))
+        rows = rows.unionByName(asked.select(F.lit(None).cast(rows.schema["m"].dataType).alias("m"), "e"))
+        step = step_of_both
+    writer = rows.writeStream.foreachBatch(step).option("checkpointLocation", f"{store}/checkpoint")
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
     return writer.start()
 
@@ -196,27 +242,36 @@ def verdicts(spark: SparkSession, store: str) -> DataFrame:
     return V.decided(_decided(spark, store))
 
 
-def close(spark: SparkSession, store: str, expectations: Expectations) -> DataFrame:
-    """All verdicts at the end of a replay: the stream's own, and the batch form for what is still open."""
+def close(spark: SparkSession, store: str, expectations: Expectations | None = None) -> DataFrame:
+    """All verdicts at the end of a replay: the stream's own, and the batch form for what is still open.
+
+    Expectations that came as a stream are in the store.
+    """
     done = verdicts(spark, store)
-    rest = expectations(spark).join(done.select("expectation_id"), "expectation_id", "left_anti")
+    asked = expectations(spark) if expectations else spark.read.schema(schemas.EXPECTATIONS).parquet(f"{store}/asked")
+    rest = asked.join(done.select("expectation_id"), "expectation_id", "left_anti")
     return done.unionByName(V.verify(_landed(spark, store).drop("day", "batch"), rest))
 
 
-def satisfied(messages: DataFrame, expectations: DataFrame, max_timeout: str, delay: str = "0 seconds") -> DataFrame:
+def satisfied(
+    messages: DataFrame, expectations: DataFrame, max_timeout: str, delay: str = "0 seconds",
+    kinds: Sequence[int] = (V.NO_TEST, V.TYPE_TEST, V.COUNT_TEST, V.BOTH_TESTS),
+) -> DataFrame:
     """Keyed presence expectations of a stream as soon as their first fitting message is in.
 
     A left semi join of two streams: one row per expectation, no pairs. ``max_timeout`` bounds the state,
     the row's own deadline gives the exact answer. An absence is decided by its deadline and a row without a key by
     any message of its topic, which this join cannot say: such a row ends the query with an error, ``start`` takes it.
+    A message enters the state once per kind of predicates in ``kinds``; an expectation of another kind is such a row too.
     """
-    odd = (F.col("presence") != v.PRESENCE) | F.col("presence").isNull() | F.col("key").isNull()
+    asks = V.asked(F.col("expected_type"), F.col("expected_count"))
+    odd = (F.col("presence") != v.PRESENCE) | F.col("presence").isNull() | F.col("key").isNull() | ~asks.isin(*kinds)
     text = F.concat(F.lit("only keyed presence expectations can be joined as a stream: "), F.col("expectation_id").cast("string"))
     kept = F.when(odd, F.raise_error(text).cast("string")).otherwise(F.col("key"))
     expectations = expectations.withColumn("key", kept)
-    kinds = F.array(F.lit(V.NO_TEST), F.lit(V.TYPE_TEST), F.lit(V.COUNT_TEST), F.lit(V.BOTH_TESTS))
+    asked = F.explode(F.array(*[F.lit(k) for k in kinds])).alias("asked")
     fitting = (
-        messages.select("topic", "key", "event_type", "calls", "ts", F.explode(kinds).alias("asked"))
+        messages.select("topic", "key", "event_type", "calls", "ts", asked)
         .select("topic", "key", "asked", V.token_of("asked"), "ts")
         .filter("token IS NOT NULL")
         .withWatermark("ts", delay)
