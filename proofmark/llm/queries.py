@@ -85,17 +85,23 @@ def _found_sql(rank: int, pattern: str, group: int = 0, least: int = 0) -> str:
     WHERE len(regexp_extract(f[i], '{text}', {group})) >= {least}"""
 
 
+_allowed_sql = "(" + " OR ".join(f"regexp_matches(piece, '{p}')" for p in entropy_secrets.ALLOW[:2]) + ")"
+
 SECRET_SQL = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS body FROM documents),
 base AS ({_found_sql(0, entropy_secrets.ASSIGN, 1, entropy_secrets.ASSIGN_VALUE)}
   UNION ALL {_found_sql(1, entropy_secrets.ACCESS)} UNION ALL {_found_sql(2, entropy_secrets.HEX)}),
 candidates AS ({_found_sql(3, "[A-Za-z0-9+/_=-]{20,}")}),
+parts AS (
+  SELECT r, g[i] AS piece, (start + coalesce(list_sum(list_transform(g[1:i - 1] || f[1:i - 1], lambda x: len(x))), 0))::BIGINT AS start
+  FROM (SELECT *, unnest(range(1, len(g) + 1)) AS i FROM (
+    SELECT r, start, string_split_regex(piece, '{entropy_secrets.PLACEHOLDER}') AS g,
+      regexp_extract_all(piece, '{entropy_secrets.PLACEHOLDER}') AS f
+    FROM candidates WHERE regexp_matches(piece, '[0-9]') AND regexp_matches(piece, '[A-Za-z]') AND NOT {_allowed_sql}))),
 windows AS (
   SELECT r, start, piece, unnest(range(0, len(piece) - 19)) AS w,
     CASE WHEN regexp_matches(piece, '^([0-9a-f]+|[0-9A-F]+)$') THEN {entropy_secrets.HEX_BITS} ELSE {entropy_secrets.ANY_BITS} END AS bits
-  FROM candidates
-  WHERE regexp_matches(piece, '[0-9]') AND regexp_matches(piece, '[A-Za-z]')
-    AND NOT ({" OR ".join(f"regexp_matches(piece, '{p}')" for p in entropy_secrets.ALLOW)})),
+  FROM parts WHERE len(piece) >= 20 AND NOT {_allowed_sql}),
 hot AS (SELECT * FROM windows WHERE list_entropy(string_split(substr(piece, w + 1, 20), '')) >= bits - 1e-10),
 edges AS (SELECT *, w > 20 + coalesce(lag(w) OVER (PARTITION BY r, start ORDER BY w), -99) AS new FROM hot),
 islands AS (SELECT *, sum(new::INTEGER) OVER (PARTITION BY r, start ORDER BY w) AS island FROM edges),
@@ -103,7 +109,7 @@ runs AS (SELECT r, 3 AS k, start + min(w) AS start, start + max(w) + 20 AS stop
 spans AS (
   SELECT r, k, start, stop FROM base
   UNION ALL SELECT r, k, start, stop FROM runs
-  WHERE NOT EXISTS (FROM base WHERE base.r = runs.r AND base.start < runs.stop AND runs.start < base.stop)),
+  WHERE NOT EXISTS (FROM base WHERE base.r = runs.r AND base.start <= runs.start AND runs.stop <= base.stop)),
 listed AS (
   SELECT r, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
     string_agg(name, ',' ORDER BY start, k) FILTER (k < 3) AS base_spans, string_agg(name, ',' ORDER BY start, k) AS spans
