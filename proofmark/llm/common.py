@@ -22,6 +22,8 @@ SPACE = r"[\x20\x09-\x0D]+"
 # A table of at most so many rows may be broadcast or brought to the driver; its size is counted first.
 SMALL_ROWS = 50_000
 
+BATCH_BYTES = 4 << 20
+
 _held: list[list[str]] = []
 
 
@@ -80,7 +82,13 @@ def row_key(doc_id: str | Column, text: str | Column) -> Column:
 def by_arrow(
     df: DataFrame, fn: Callable[[Iterable[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str | T.StructType
 ) -> DataFrame:
-    """``mapInArrow`` under a shorter name; ``fn`` sees batches of a partition and keeps no more than one."""
+    """``mapInArrow`` in batches of at most ``BATCH_BYTES``, whatever the rows' sizes; ``fn`` keeps no more than one.
+
+    The bound is Spark's own setting; a caller's value stays. The JVM and the Python worker both hold a batch.
+    """
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if df.sparkSession.conf.get(bound, None) is None:
+        df.sparkSession.conf.set(bound, str(BATCH_BYTES))
     return df.mapInArrow(fn, schema)
 
 

@@ -13,7 +13,8 @@ from array import array
 
 import numpy as np
 
-CACHE = 600_000  # pieces, and words, kept by a Python worker
+CACHE = 32 << 20  # bytes of pieces and words, all together, that an encoder keeps in a Python worker
+ENTRY = 160  # bytes of an entry besides its characters and ids
 
 # Characters whose class and lower case all Unicode versions agree on; pieces of them are split here as the
 # tokenizer's own pattern splits them, and only their words go to its model.
@@ -59,6 +60,7 @@ class Encoder(dict):
             raise ValueError("ids need more than 16 bits")
         self.model = self.tokenizer.model
         self.words: dict = {}
+        self.size = 0
         self.bytes = byte_alphabet()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
@@ -75,6 +77,7 @@ class Encoder(dict):
             plain = word.isascii() and word.isprintable()
             coded = word.replace(" ", "Ġ") if plain else word.encode().decode("latin-1").translate(self.bytes)
             ids = self.words[word] = array("H", [t.id for t in self.model.tokenize(coded)]).tobytes()
+            self.size += len(word) + len(ids) + ENTRY
         return ids
 
     def code(self, text: str) -> bytes:
@@ -89,10 +92,10 @@ class Encoder(dict):
 
     def encode(self, text: str) -> bytes:
         """The ids of a text, as bytes."""
-        if len(self) > CACHE:
+        if self.size > CACHE:
             self.clear()
-        if len(self.words) > CACHE:
             self.words.clear()
+            self.size = 0
         if not any(s in text for s in self.special):
             try:
                 return self.by_pieces(text)
@@ -110,6 +113,7 @@ class SpacedEncoder(Encoder):
         if not piece or piece[0].isspace() or piece[-1].isspace():
             raise Uneven
         ids = self[piece] = self.code(" " + piece)
+        self.size += len(piece) + len(ids) + ENTRY
         return ids
 
     def by_pieces(self, text: str) -> bytes:
@@ -129,6 +133,7 @@ class WordEncoder(Encoder):
         if not text.isascii() and PLAIN.fullmatch(text):
             text = text.lower()
         ids = self[piece] = self.code(text)
+        self.size += len(piece) + len(ids) + ENTRY
         return ids
 
     def by_pieces(self, text: str) -> bytes:
