@@ -15,8 +15,8 @@ key into one task. Their phrases are cut into stretches of windows: stretches th
 whose common core repeats no more than once are done, and only the windows of the others, at the passage's ends, are
 counted one by one.
 
-Defined cases: null text is empty; a document under ``WINDOW`` bytes loses none; rows that repeat an id and text are
-copies of each other; an empty table gives an empty result; extra columns never clash.
+Defined cases: null text is empty; a document under ``WINDOW`` bytes loses none; very long texts are read whole, in chunks
+of their windows; rows that repeat an id and text are copies of each other, whose spans are gathered once; an empty table gives an empty result; extra columns never clash.
 """
 
 from __future__ import annotations
@@ -233,7 +233,7 @@ def spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     part = meeting.filter("count = 1").join(found, (F.col("anchor") == F.col("a")) & (F.col("phrase") == F.col("p")))
     part = part.select("place.key", (F.col("place.start") + F.col("offset")).alias("start"), F.col("m").alias("n"))
     both = whole_spans(candidates, phrases).unionByName(part)
-    return written(both.groupBy(F.col("key").alias("of")).agg(F.collect_list(F.col("start") * 1024 + F.col("n")).alias("spans")), "byte-spans")
+    return written(both.groupBy(F.col("key").alias("of")).agg(F.collect_set(F.col("start") * 1024 + F.col("n")).alias("spans")), "byte-spans")
 
 
 def dedup(

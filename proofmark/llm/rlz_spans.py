@@ -1,18 +1,20 @@
-"""Substring dedup over words by relative Lempel-Ziv parsing.
+"""Substring dedup over words: repeated windows by counted phrases, in place of a relative Lempel-Ziv parse.
 
-Every document is a reference for every other. References are indexed by the phrases around their anchors (see
-``anchors``); the index is dealt over the cluster by hash, each part being one reference block. A document is parsed
-against all blocks at once: a phrase that the index holds twice is a long factor, found whole. A phrase that shares
-its anchor but not its whole with others meets a factor's boundary, and there alone single windows are looked up.
-Window after window, the found ones join to the longest factors, all of ``WINDOW`` words or more, and these are the
-duplicate spans. Nothing is sampled: a window of ``WINDOW`` words is found if and only if it starts elsewhere too.
+A parse would factor each document greedily against every reference block. What is asked for is less: the words covered
+by windows of ``WINDOW`` words whose sequence starts elsewhere too, and these come without factors. Every document is
+a reference for every other. References are indexed by the phrases around their anchors (see ``anchors``); the index is
+dealt over the cluster by hash, each part being one reference block. A phrase that the index holds twice is repeated as
+a whole. A phrase that shares its anchor but not its whole with others has a repetition's boundary in it, and there alone
+single windows are looked up. Neighbouring found windows join to the longest repeated spans. Nothing is sampled: a
+window is found if and only if it starts elsewhere too.
 
 Anchors, phrases and windows are compared by 64-bit hashes, windows and phrases together with their anchor's. Rows
 per document are gathered (as many as it has runs), never rows per anchor: a passage in a third of all documents
-gives one counted row per task and phrase.
+gives one counted row per task and phrase. Rows that repeat whole share a key, and its spans are gathered once.
 
-Defined cases: null text has no words; a document under ``WINDOW`` words loses none; rows that repeat an id and text
-are copies of each other; an empty table gives an empty result; extra columns never clash.
+Defined cases: null text has no words; a document under ``WINDOW`` words loses none; very long texts are read whole, in
+chunks of their windows; rows that repeat an id and text are copies of each other; an empty table gives an empty result;
+extra columns never clash.
 """
 
 from __future__ import annotations
@@ -148,7 +150,7 @@ def spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     part = part.filter("shiftright(mask, offset) & 1 = 1").select("key", (F.col("start") + F.col("offset")).alias("start"), F.lit(1).alias("n"))
     both = whole_spans(candidates, phrases).unionByName(part)
     code = F.col("start") * 64 + F.col("n")
-    return written(both.groupBy(F.col("key").alias("of")).agg(F.collect_list(code).alias("spans")), "spans")
+    return written(both.groupBy(F.col("key").alias("of")).agg(F.collect_set(code).alias("spans")), "spans")
 
 
 def covered(codes: np.ndarray, size: int, window: int) -> np.ndarray:

@@ -82,3 +82,32 @@ def test_empty_and_kept_bytes(spark):
     docs = spark.createDataFrame([(1, "0123456789" * 45 + "z"), (2, text), (3, "é" * 10)], "doc_id long, text string")
     kept = {r.doc_id: bytes(r.kept) for r in C.dedup(docs, with_bytes=True).collect()}
     assert kept == {1: b"z", 2: b"xy", 3: "é".encode() * 10}
+
+
+def test_a_row_that_is_repeated_very_often(spark):
+    """The spans of rows that repeat whole are gathered once."""
+    text = " ".join(f"v{i}" for i in range(900))
+    docs = spark.range(20_000).selectExpr("CAST(7 AS LONG) AS doc_id", f"'{text}' AS text").repartition(16)
+    docs = docs.union(spark.createDataFrame([(8, "x" + text[:3000] + "\n"), (9, "alone")], "doc_id long, text string"))
+    out = C.dedup(docs).groupBy("doc_id", "n_bytes", "n_removed", "n_spans").count().collect()
+    assert sorted(map(tuple, out)) == [(7, len(text), len(text), 1, 20_000), (8, 3002, 3000, 1, 1), (9, 5, 0, 0, 1)]
+
+
+def test_a_very_long_text(spark):
+    data = "".join(f"{i:07d}" for i in range(170_000))
+    docs = spark.createDataFrame([(1, data + "#" + data[50:650] + "#")], "doc_id long, text string")
+    assert [tuple(r)[:4] for r in C.dedup(docs).collect()] == [(1, 1_190_602, 1200, 2)]
+
+
+def test_passages_by_their_length_in_bytes(spark):
+    """What decides is 400 bytes, not how many words: a passage of 60 short words may stay."""
+    rnd = random.Random(12)
+    rows, want = [], {}
+    for n, size in enumerate((300, 380, 399, 400, 401, 460, 900)):
+        passage = "".join(rnd.choices("abcdefgh ", k=size))
+        for copy in range(3):
+            text = "".join(rnd.choices("ijklmnop ", k=200)) + f"<{n}{copy}" + passage + f"{copy}{n}>" + "".join(rnd.choices("ijklmnop ", k=200))
+            rows.append((10 * n + copy, text, "x", 1))
+            want[10 * n + copy] = size if size >= 400 else 0
+    out = C.dedup(spark.createDataFrame(rows, "doc_id long, text string, n string, start int")).collect()
+    assert {r.doc_id: r.n_removed for r in out} == want

@@ -76,3 +76,21 @@ def test_equal_windows_own_equal_anchors(monkeypatch, chunk):
 
 def test_empty(spark):
     assert R.dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_a_row_that_is_repeated_very_often(spark):
+    """The spans of rows that repeat whole are gathered once."""
+    text = " ".join(f"v{i}" for i in range(1500))
+    docs = spark.range(20_000).selectExpr("CAST(7 AS LONG) AS doc_id", f"'{text}' AS text").repartition(16)
+    docs = docs.union(spark.createDataFrame([(8, "x " + text[:3000]), (9, "alone")], "doc_id long, text string"))
+    out = R.dedup(docs).groupBy("doc_id", "n_words", "n_removed").count().collect()
+    n = len(("x " + text[:3000]).split())
+    whole = n - 2 if not text[:3000].endswith(" ") and text[3000] != " " else n - 1
+    assert sorted(map(tuple, out)) == [(7, 1500, 1500, 20_000), (8, n, whole, 1), (9, 1, 0, 1)]
+
+
+def test_a_very_long_text(spark):
+    words = [f"w{i % 7919}x{i // 7919}" for i in range(300_000)]
+    words[250_000:250_040] = words[10:50]
+    docs = spark.createDataFrame([(1, " ".join(words))], "doc_id long, text string")
+    assert [tuple(r)[:3] for r in R.dedup(docs).collect()] == [(1, 300_000, 80)]
