@@ -10,9 +10,12 @@ the shard's own points, by whole fingerprints, and compares what is left exactly
 forest, not its pairs.
 
 The trees are implicit (no index is sent about). A level multiplies the rows by about 1.14 and a shard's share by
-0.57, so the depth follows from the number of distinct fingerprints.
+0.57, so the depth follows from the number of distinct fingerprints. A half that very many fingerprints share (near
+copies of one template) can't be split by trees over that half: shards that are counted to be ``HOT`` times too large
+are dealt again by the quarters of the other half.
 
-Defined cases: null or blank text has fingerprint zero; a null id never names a component, its row gets the
+Defined cases: null or blank text has fingerprint zero; a very long text is hashed whole, a bounded number of shingles
+at a time; of ids of one component the smallest names it; a null id never names a component, its row gets the
 component of its fingerprint (null if no row with an id has a linked one); rows of the same id count as one
 document when links are followed; an empty table gives an empty result; extra columns never clash.
 """
@@ -29,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from proofmark.llm.common import by_arrow, row_key, rowed, unrowed, written
+from proofmark.llm.common import by_arrow, maybe_broadcast, row_key, rowed, unrowed, written
 from proofmark.llm.components import components
 
 SHINGLE = 3
@@ -39,6 +42,8 @@ SEED = 42
 RADIUS = 15
 SHRINK = 0.57
 SHARD = 8192
+HOT = 8  # shards of more than so many times that size are dealt again
+SHRINK_AGAIN = 0.6
 LEAF = 512
 BLOCK = 1 << 21  # comparisons held at once
 
@@ -156,6 +161,52 @@ def shard_forest(fp: np.ndarray, max_bits: int = MAX_BITS) -> np.ndarray:
     return forest.label
 
 
+def deal_again(fp: np.ndarray, shard: np.ndarray, depth: np.ndarray, first: int, max_bits: int = MAX_BITS) -> tuple[np.ndarray, np.ndarray]:
+    """(index, shard) for fingerprints of shards that are too large, in trees over the half that did not make the shard.
+
+    A linked pair differs there by up to ``max_bits``, so in one of its quarters by half of that at most: each quarter
+    has a tree. Nodes of one shard are told from those of others by a hash; ``first`` is the depth of the first trees.
+    """
+    half = (shard >> np.uint64(first)) - np.uint64(2)
+    other = np.where(half == 0, fp >> np.uint64(32), fp)
+    out, low = [], np.uint64((1 << 16) - 1)
+    for quarter in range(2):
+        bits = (other >> np.uint64(16 * quarter)) & low
+        at, node, level = np.arange(len(fp)), _mix(shard * np.uint64(2) + np.uint64(quarter)), 0
+        while len(at):
+            done = depth[at] <= level
+            out.append((at[done], node[done]))
+            at, node = at[~done], node[~done]
+            d = np.bitwise_count(bits[at] ^ (_mix(node) & low)).astype(np.int16)
+            both = (d > RADIUS // 2) & (d <= RADIUS // 2 + max_bits // 2)
+            node = np.concatenate([_mix(node * np.uint64(2) + (d > RADIUS // 2)), _mix(node[both] * np.uint64(2))])
+            at, level = np.concatenate([at, at[both]]), level + 1
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def _split_hot(routed: DataFrame, depth: int, max_bits: int, shard: int) -> DataFrame:
+    """``routed`` (fp, node, shard) with shards of more than ``HOT`` times the intended size dealt again."""
+    routed = written(routed, "routed")
+    hot = written(routed.groupBy(F.col("shard").alias("hot")).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > HOT * shard), "hot-shards")
+    if hot.isEmpty():
+        return routed
+    met = routed.join(maybe_broadcast(hot), F.col("shard") == F.col("hot"))
+
+    def again(batches):
+        for b in batches:
+            for k in range(0, b.num_rows, 1 << 12):
+                part = b.slice(k, 1 << 12)
+                fp, of, rows = part.column(0).to_numpy().view(np.uint64), part.column(2).to_numpy().view(np.uint64), part.column(3).to_numpy()
+                levels = np.ceil(np.log(rows / shard) / -np.log(SHRINK_AGAIN)).astype(np.int64)
+                at, node = deal_again(fp, of, levels, depth, max_bits)
+                for j in range(0, len(at), 1 << 16):
+                    taken = part.select(["fp", "node"]).take(pa.array(at[j : j + (1 << 16)]))
+                    yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(node[j : j + (1 << 16)].view(np.int64))], ["fp", "node", "shard"])
+
+    cold = routed.join(hot, F.col("shard") == F.col("hot"), "left_anti")
+    return cold.unionByName(by_arrow(met.select("fp", "node", "shard", "rows"), again, "fp long, node long, shard long"))
+
+
 def links(nodes: DataFrame, max_bits: int = MAX_BITS, shard: int = SHARD) -> DataFrame:
     """Links (a, b) that span the components of ``nodes`` (fp, node), one row per distinct fingerprint."""
     depth = depth_for(nodes.count(), shard)
@@ -176,7 +227,7 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS, shard: int = SHARD) -> Dat
         root = least[label]
         return pd.DataFrame({"a": root[node != root], "b": node[node != root]})
 
-    routed = by_arrow(nodes.select("fp", "node"), route, "fp long, node long, shard long")
+    routed = _split_hot(by_arrow(nodes.select("fp", "node"), route, "fp long, node long, shard long"), depth, max_bits, shard)
     return routed.groupBy("shard").applyInPandas(join, "a long, b long")
 
 

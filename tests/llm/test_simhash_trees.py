@@ -112,3 +112,54 @@ def test_components_of_chains_and_stars(spark):
     assert all(out[i] == 0 for i in range(201)) and all(out[1000 + i] == 1000 for i in range(300))
     assert all(out[i] == 3000 for i in (3000, 3001, 3002, 3005, 3009))
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_a_half_that_very_many_share(spark, monkeypatch):
+    """Near copies of one template: trees over the shared half can't split them, those over the other half do."""
+    rng = np.random.default_rng(8)
+    n, top = 6000, np.uint64(0x123456789ABCDEF0) & ~np.uint64(0xFFFFFFFF)
+    fp = np.unique(top | rng.integers(0, 1 << 32, n, dtype=np.uint64))
+    near = fp[:400] ^ (np.uint64(1) << rng.integers(0, 32, 400, dtype=np.uint64)) ^ (np.uint64(1) << rng.integers(32, 64, 400, dtype=np.uint64))
+    fp = np.unique(np.concatenate([fp, near, near[:200] ^ np.uint64(1 << 40)]))
+    nodes = spark.createDataFrame(list(enumerate(fp.view(np.int64).tolist())), "node long, fp long").select("fp", "node")
+    found = S.links(nodes, shard=64).collect()
+    parent = list(range(len(fp)))
+
+    def root(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for r in found:
+        assert int(fp[r.a] ^ fp[r.b]).bit_count() >= 1
+        parent[max(root(r.a), root(r.b))] = min(root(r.a), root(r.b))
+    want = list(range(len(fp)))
+    for i in range(len(fp)):
+        for j in np.flatnonzero(np.bitwise_count(fp[i + 1 :] ^ fp[i]) <= 3) + i + 1:
+            a, b = i, int(j)
+            while want[a] != a:
+                a = want[a]
+            while want[b] != b:
+                b = want[b]
+            want[max(a, b)] = min(a, b)
+    for i in range(len(fp)):
+        while want[i] != want[want[i]]:
+            want[i] = want[want[i]]
+    assert [root(i) for i in range(len(fp))] == want and len(set(want)) < len(fp) - 300
+
+
+def test_dealing_again_keeps_pairs_together():
+    rng = np.random.default_rng(3)
+    depth, shard = 4, np.uint64
+    for half in range(2):
+        fp = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
+        other = np.uint64(0 if half else 32)
+        bits = rng.integers(0, 32, (300, 3), dtype=np.uint64)
+        twin = fp.copy()
+        for k in range(3):
+            twin ^= np.uint64(1) << (bits[:, k] + other)
+        of = np.full(300, (2 + half) << depth, shard)
+        a, b = (S.deal_again(x, of, np.full(300, 6), depth) for x in (fp, twin))
+        for i in range(300):
+            assert set(a[1][a[0] == i].tolist()) & set(b[1][b[0] == i].tolist())
