@@ -7,7 +7,8 @@ every stretch of the schedule near the targets. Ranks beyond a source's target f
 points leave short of it (their discrepancy grows with the logarithm of the slots) close the schedule, and the last
 block is cut, so a source's words equal its target to the nearest word.
 
-Defined cases: null text has no words and size 0 (takes nothing); a null source is a source of its own, last in
+Defined cases: null text has no words and size 0 (takes nothing); a very long text lies in as many blocks as it fills;
+documents with equal places in the shuffle follow one another by id; a null source is a source of its own, last in
 order; rows that repeat an id are mixed one by one; an empty table gives an empty result; extra columns never clash.
 The table of sources, one row each, is ordered in one task; documents, slots and blocks never are.
 """
@@ -67,7 +68,7 @@ def source_targets(sized: DataFrame) -> DataFrame:
 
 
 def schedule(targets: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Slots (s, rank) that the mix takes; ``targets`` is a written table."""
+    """Slots (s, rank, slot) that the mix takes, in the order of ``slot``; ``targets`` is a written table."""
     spark = targets.sparkSession
     total = targets.agg(F.max("total")).first()[0] or 0
     slots = -(-total // block)
@@ -79,18 +80,19 @@ def schedule(targets: DataFrame, block: int = BLOCK) -> DataFrame:
         F.explode(F.sequence(F.floor(F.col("low") * GRID).cast("long"), F.floor(F.col("high") * GRID).cast("long"))).alias("cell"),
     )
     met = points.join(maybe_broadcast(written(cells, "mix-cells")), "cell").filter("x >= low AND x < high")
-    met = written(met.select("s", "need", (F.col("id") / F.lit(float(max(slots, 1)))).alias("at"), F.lit(1).cast("long").alias("one")), "mix-slots")
+    met = written(met.select("s", "need", F.col("id").alias("slot"), (F.col("id") / F.lit(float(max(slots, 1)))).alias("at"), F.lit(1).cast("long").alias("one")), "mix-slots")
     ranked = running_total(met, "s", "at", [], "one", "rank").filter(F.col("rank") * block < F.col("need"))
     counts = met.groupBy(F.col("s").alias("_s")).agg(F.count(F.lit(1)).alias("have"))
     short = targets.join(counts, F.col("s") == F.col("_s"), "left").select(
         "s", F.coalesce("have", F.lit(0)).alias("have"), F.ceil(F.col("need") / block).cast("long").alias("wanted")
     )
     tail = short.filter("have < wanted").select("s", F.explode(F.expr("sequence(have, wanted - 1)")).alias("rank"))
-    return ranked.select("s", "rank").unionByName(tail)
+    last = F.row_number().over(Window.orderBy("rank", "s")) - 1 + F.lit(slots)  # a few per source
+    return ranked.select("s", "rank", "slot").unionByName(tail.withColumn("slot", last.cast("long")))
 
 
 def _mixed(docs: DataFrame, doc_id: str, text: str, source: str, block: int) -> DataFrame:
-    """One row per document: doc_id, row_key, size, source_size, target, takes (words by epoch, without zeros)."""
+    """One row per document: doc_id, row_key, size, source_size, target, takes (words by epoch, without zeros), slot."""
     sized = written(
         docs.select(
             F.col(doc_id).alias("doc_id"), F.col(source).alias("_source"), row_key(doc_id, text).alias("row_key"),
@@ -113,23 +115,25 @@ def _mixed(docs: DataFrame, doc_id: str, text: str, source: str, block: int) ->
     )
     key = ["s", "start", "size", "doc_id", "row_key"]
     by_epoch = pieces.join(schedule(targets, block), ["s", "rank"]).groupBy("s", "start").agg(
-        *[F.sum(F.when(F.col("epoch") == e, F.col("words"))).alias(f"e{e}") for e in range(EPOCHS)]
+        *[F.sum(F.when(F.col("epoch") == e, F.col("words"))).alias(f"e{e}") for e in range(EPOCHS)], F.min("slot").alias("slot")
     )
     takes = by_epoch.select(
-        F.col("s").alias("_s"), F.col("start").alias("_start"), F.array_compact(F.array(*[f"e{e}" for e in range(EPOCHS)])).alias("takes")
+        F.col("s").alias("_s"), F.col("start").alias("_start"), "slot", F.array_compact(F.array(*[f"e{e}" for e in range(EPOCHS)])).alias("takes")
     )
     has = F.col("size") > 0  # a document without words shares its start with the next one
     met = stream.filter(has).join(takes, (F.col("s") == F.col("_s")) & (F.col("start") == F.col("_start")), "left")
-    none = stream.filter(~has).withColumn("takes", F.lit(None).cast("array<bigint>"))
-    cols = [*key, "source_size", "target", "takes"]
+    none = stream.filter(~has).withColumn("takes", F.lit(None).cast("array<bigint>")).withColumn("slot", F.lit(None).cast("long"))
+    cols = [*key, "source_size", "target", "takes", "slot"]
     return met.select(*cols).unionByName(none.select(*cols)).withColumn("takes", F.coalesce("takes", F.array().cast("array<bigint>")))
 
 
 def plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", block: int = BLOCK) -> DataFrame:
-    """One row per document: its id, size, its source's size and target, and the words that the mix takes of it."""
+    """One row per document: its id, size, its source's size and target, the words that the mix takes of it, and the
+    slot of the schedule that takes the first of them (null if none does). A mix in the order of the slots is near the
+    targets in every stretch."""
     return _mixed(docs, doc_id, text, source, block).select(
         F.col("doc_id").alias(doc_id), "size", "source_size", "target",
-        F.aggregate("takes", F.lit(0).cast("long"), lambda a, x: a + x).alias("taken"),
+        F.aggregate("takes", F.lit(0).cast("long"), lambda a, x: a + x).alias("taken"), "slot",
     )
 
 

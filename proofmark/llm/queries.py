@@ -140,18 +140,33 @@ o AS (
   FROM s WINDOW by_limit AS (ORDER BY 2 * source_size / w, source NULLS LAST)),
 l AS (SELECT *, (1.5::DOUBLE * total::DOUBLE - used::DOUBLE) / w_left::DOUBLE AS level FROM o),
 h AS (SELECT *, 2 * source_size <= level * w AS held FROM l),
-t AS (
+t0 AS (
   SELECT source, source_size,
     CASE WHEN held THEN (2 * source_size)::DOUBLE ELSE (SELECT arg_min(level, rank) FROM h WHERE NOT held) * w END AS target
   FROM h),
+t1 AS (SELECT *, least(floor(target + 0.5), 2 * source_size)::BIGINT AS need, row_number() OVER (ORDER BY source NULLS LAST) AS s FROM t0),
+t AS (
+  SELECT *, (sum(need) OVER ())::BIGINT AS whole, (sum(need) OVER (ORDER BY s))::BIGINT AS upto FROM t1),
+points AS (
+  SELECT i, (i + 1) * 0.6180339887498949::DOUBLE - floor((i + 1) * 0.6180339887498949::DOUBLE) AS x
+  FROM range((SELECT (max(whole) + 1023) // 1024 FROM t)) AS r(i)),
+hit AS (
+  SELECT s, need, i AS slot, row_number() OVER (PARTITION BY s ORDER BY i) - 1 AS rank
+  FROM points JOIN t ON x >= (upto - need)::DOUBLE / greatest(whole, 1)::DOUBLE AND x < upto::DOUBLE / greatest(whole, 1)::DOUBLE),
+missed AS (
+  SELECT s, unnest(range((SELECT count(*) FROM hit WHERE hit.s = t.s), (need + 1023) // 1024)) AS rank FROM t),
+slots AS (
+  SELECT s, rank, slot FROM hit WHERE rank * 1024 < need
+  UNION ALL SELECT s, rank, (SELECT count(*) FROM points) + row_number() OVER (ORDER BY rank, s) - 1 FROM missed),
 p AS (
-  SELECT d.doc_id, d.size, t.source_size, t.target, least(floor(t.target + 0.5), 2 * t.source_size)::BIGINT AS need,
+  SELECT d.doc_id, d.size, t.source_size, t.target, need, s,
     (sum(d.size) OVER (PARTITION BY d.source ORDER BY d.place, d.doc_id) - d.size)::BIGINT AS start
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target,
   (greatest(0, least(start + size, need) - start)
-   + greatest(0, least(start + source_size + size, need) - start - source_size))::BIGINT AS taken
-FROM p
+   + greatest(0, least(start + source_size + size, need) - start - source_size))::BIGINT AS taken,
+  CASE WHEN size > 0 AND start < need THEN slot END::BIGINT AS slot
+FROM p LEFT JOIN slots ON slots.s = p.s AND slots.rank = p.start // 1024
 """
 
 
