@@ -8,7 +8,8 @@ part left for all unknown words. So the model's probabilities add up to one over
 
 Training makes ``ROUNDS`` passes over disjoint parts of the training documents. In a pass each task starts from the
 model, walks through its partition in batches of gradient steps (Adagrad), and gives back the change of its weights
-times its tokens; the changes are added up over a tree of groups and averaged. Scoring runs in numpy batches that
+times its tokens; the changes are added up over a tree of groups, and a row's is divided by the tokens of the partitions
+that met it, so that a rare context learns as much as a frequent one, however many partitions there are. Scoring runs in numpy batches that
 touch the rows of a batch's features only.
 
 Counts of all training words stay a table. Those of words with a share of at least 1 in ``FREQUENT`` (fewer than
@@ -311,7 +312,9 @@ def fit(rows: DataFrame, counts: DataFrame) -> Model:
                 mine.learn(read, squares)
                 tokens += len(read.hashes)
             if tokens:
-                change = np.concatenate([(a - b).ravel() for a, b in zip(mine.weights, old.weights)]) * np.float32(tokens)
+                change = [(a - b).ravel() for a, b in zip(mine.weights, old.weights)]
+                met = [s.any(axis=1).astype(np.float32) for s in squares]
+                change = np.concatenate(change + met) * np.float32(tokens)
                 for block, data in enumerate(np.array_split(change, BLOCKS)):
                     values = [block], [TaskContext.get().partitionId()], [tokens], [data.tobytes()]
                     kinds = pa.int32(), pa.int32(), pa.int64(), pa.binary()
@@ -321,9 +324,12 @@ def fit(rows: DataFrame, counts: DataFrame) -> Model:
         changes = _added(written(by_arrow(part, run, "block int, part int, tokens long, data binary"), "changes"))
         got = sorted(changes.collect(), key=lambda r: r["block"])
         if got:
-            change = np.concatenate([np.frombuffer(r["data"], np.float32) for r in got]) / np.float32(got[0]["tokens"])
-            cut = model.weights[0].size
-            model.weights = [w + c.reshape(w.shape) for w, c in zip(model.weights, (change[:cut], change[cut:]))]
+            change = np.concatenate([np.frombuffer(r["data"], np.float32) for r in got])
+            sizes = [w.size for w in model.weights] + [len(w) for w in model.weights]
+            *changes, met, met_slots = np.split(change, np.cumsum(sizes)[:-1])
+            model.weights = [
+                w + c.reshape(w.shape) / np.maximum(m, 1)[:, None] for w, c, m in zip(model.weights, changes, (met, met_slots))
+            ]
         shared.unpersist()
     return model
 
