@@ -11,10 +11,12 @@ partition and source are joined to them. With more than ``QUEUES`` sources, the
 have queues of their own, which bounds the state of a window. All others, the tail, share one queue that is merged in
 turn: token t of a source stands at (t + its phase) / (its tokens), with golden-ratio phases, as sources of equal size
 would else come in bursts. ``tail_parts`` gives what each window takes of each of them, from their totals alone; these
-parts meet the documents by source and bucket of its tokens. The totals of all sources are in every task.
+parts meet the documents by source and bucket of its tokens. Of any number of sources the ``LISTED`` with the most tokens
+are told apart there; the others, none of which has as much as one token in a few windows, are dealt to ``SHARED`` groups
+by their hash, and a group takes its part like a source. So no task and no driver has more totals than these.
 
-Defined cases: null text counts as empty (its one end token is packed); a null source is a source of its own; rows
-that repeat an id are packed one by one; an empty table gives an empty result; extra columns never clash.
+Defined cases: null text counts as empty (its one end token is packed); a very long text goes on from window to window;
+sources with equal tokens are ranked by name; a null source is a source of its own; rows that repeat an id are packed one by one; an empty table gives an empty result; extra columns never clash.
 """
 
 from __future__ import annotations
@@ -28,10 +30,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from proofmark.llm import tokens
-from proofmark.llm.common import SMALL_ROWS, by_arrow, maybe_broadcast, running_total, written
+from proofmark.llm.common import by_arrow, maybe_broadcast, running_total, written
 
 WINDOW = 1024
 QUEUES = 64
+LISTED, SHARED = 4096, 256
 END = 0
 CHUNK = 1 << 15  # windows handled at once
 GOLDEN = 0.6180339887498949
@@ -182,6 +185,22 @@ def _of_tail(placed: DataFrame, totals: np.ndarray, tail: np.ndarray, first: int
     )
 
 
+def _queues(sums: DataFrame) -> tuple[DataFrame, np.ndarray]:
+    """(written rows (of, queue) of all sources, tokens by queue): the largest sources by rank, groups of the others."""
+    by_source = written(sums.groupBy(F.col("source").alias("of")).agg(F.sum("tokens").alias("all")), "sources")
+    ranked = by_source.orderBy(F.desc("all"), F.col("of")).limit(LISTED).collect()
+    totals = [r["all"] for r in ranked]
+    own = sums.sparkSession.createDataFrame([(r["of"], i) for i, r in enumerate(ranked)], f"of {by_source.schema['of'].dataType.simpleString()}, queue int")
+    if by_source.count() > len(ranked):
+        listed = F.broadcast(own.withColumnRenamed("of", "known"))  # LISTED rows at most
+        group = (F.pmod(F.xxhash64("of"), F.lit(SHARED)) + len(ranked)).cast("int").alias("queue")
+        rest = written(by_source.join(listed, F.col("of").eqNullSafe(F.col("known")), "left_anti").select("of", "all", group), "rest")
+        tokens_of = {r["queue"]: r["n"] for r in rest.groupBy("queue").agg(F.sum("all").alias("n")).collect()}  # SHARED rows at most
+        totals += [tokens_of.get(len(ranked) + k, 0) for k in range(SHARED)]
+        own = own.unionByName(rest.select("of", "queue"))
+    return written(own, "queues"), np.array(totals, np.int64)
+
+
 def pack(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", file: str | None = None,
     end: int = END, window: int = WINDOW, with_ids: bool = False,
@@ -194,16 +213,11 @@ def pack(
     file = file or tokens.path("byte_bpe_50k.json")
     rows = tokenized(docs, doc_id, text, source, file, end)
     sums = written(rows.groupBy("part", "source").agg(F.sum("n").alias("tokens")), "queue-sums")
-    by_source = sums.groupBy(F.col("source").alias("of")).agg(F.sum("tokens").alias("all"))
-    ranked = by_source.orderBy(F.desc("all"), F.col("of")).collect()
-    most = len(ranked) if len(ranked) <= QUEUES else QUEUES - 1
-    spark, kind = docs.sparkSession, docs.schema[source].dataType.simpleString()
-    own = spark.createDataFrame([(r["of"], i) for i, r in enumerate(ranked)], f"of {kind}, queue int")
-    own = F.broadcast(own) if len(ranked) <= SMALL_ROWS else own
-    sums = sums.join(own, F.col("source").eqNullSafe(F.col("of")))
+    own, totals = _queues(sums)
+    most = len(totals) if len(totals) <= QUEUES else QUEUES - 1
+    sums = sums.join(maybe_broadcast(own), F.col("source").eqNullSafe(F.col("of")))
     parts = (sums.agg(F.max("part")).first()[0] or 0) + 1
     sums = written(sums.select("part", "source", "tokens", "queue", (F.col("part") / F.lit(float(parts))).alias("place")), "queue-sums")
-    totals = np.array([r["all"] for r in ranked], np.int64)
     totals, tail = totals[:most], totals[most:]
     shared = int(len(tail) > 0)  # the queue of the tail comes first
     totals = np.concatenate([[tail.sum()] * shared, totals]).astype(np.int64)

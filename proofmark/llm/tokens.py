@@ -13,7 +13,7 @@ from array import array
 
 import numpy as np
 
-CACHE = 32 << 20  # bytes of pieces and words, all together, that an encoder keeps in a Python worker
+CACHE = 160 << 20  # bytes of pieces and words, all together, that an encoder keeps in a Python worker
 ENTRY = 160  # bytes of an entry besides its characters and ids
 
 # Characters whose class and lower case all Unicode versions agree on; pieces of them are split here as the
@@ -60,6 +60,7 @@ class Encoder(dict):
             raise ValueError("ids need more than 16 bits")
         self.model = self.tokenizer.model
         self.words: dict = {}
+        self.before: tuple[dict, dict] = {}, {}
         self.size = 0
         self.bytes = byte_alphabet()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -71,20 +72,35 @@ class Encoder(dict):
             cls._made[cls, file] = cls(file)
         return cls._made[cls, file]
 
+    def keep(self, into: dict, key, ids: bytes) -> bytes:
+        into[key] = ids
+        self.size += len(key) + len(ids) + ENTRY
+        return ids
+
+    def model_ids(self, word: str) -> bytes:
+        plain = word.isascii() and word.isprintable()
+        coded = word.replace(" ", "Ġ") if plain else word.encode().decode("latin-1").translate(self.bytes)
+        return array("H", [t.id for t in self.model.tokenize(coded)]).tobytes()
+
     def word(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            plain = word.isascii() and word.isprintable()
-            coded = word.replace(" ", "Ġ") if plain else word.encode().decode("latin-1").translate(self.bytes)
-            ids = self.words[word] = array("H", [t.id for t in self.model.tokenize(coded)]).tobytes()
-            self.size += len(word) + len(ids) + ENTRY
+        if (ids := self.words.get(word)) is None:
+            if (ids := self.before[1].get(word)) is None:
+                ids = self.model_ids(word)
+            self.keep(self.words, word, ids)
         return ids
 
+    def letters(self, word: str) -> bytes:
+        """Ids of a word of letters, which is a piece itself where it can be."""
+        return self.word(word)
+
+    def part(self, word: str) -> bytes:
+        return self.letters(word) if word[-1].isalpha() and (word[0] == " " or word[0].isalpha()) else self.word(word)
+
     def code(self, text: str) -> bytes:
         if simple := SIMPLE.fullmatch(text):
-            return self.word(simple[1]) + self.word(simple[2]) if simple[2] else self.word(simple[1])
+            return self.letters(simple[1]) + self.word(simple[2]) if simple[2] else self.model_ids(simple[1])
         if PLAIN.fullmatch(text):
-            return b"".join(map(self.word, self.words_of.findall(text)))
+            return b"".join(map(self.part, self.words_of.findall(text)))
         return self.whole(text)
 
     def whole(self, text: str) -> bytes:
@@ -92,10 +108,9 @@ class Encoder(dict):
 
     def encode(self, text: str) -> bytes:
         """The ids of a text, as bytes."""
-        if self.size > CACHE:
+        if self.size > CACHE // 2:  # what is met again comes back from the half before
+            self.before, self.words, self.size = (self.copy(), self.words), {}, 0
             self.clear()
-            self.words.clear()
-            self.size = 0
         if not any(s in text for s in self.special):
             try:
                 return self.by_pieces(text)
@@ -110,12 +125,22 @@ class SpacedEncoder(Encoder):
     words_of = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[0-9]+| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+")
 
     def __missing__(self, piece: str) -> bytes:  # of the text behind a space
-        if not piece or piece[0].isspace() or piece[-1].isspace():
-            raise Uneven
-        ids = self[piece] = self.code(" " + piece)
+        if (ids := self.before[0].get(piece)) is None:
+            if piece.isalpha() and piece.isascii():
+                ids = array("H", [t.id for t in self.model.tokenize("Ġ" + piece)]).tobytes()
+            elif simple := SIMPLE.fullmatch(piece):
+                ids = self[simple[1]] + self.word(simple[2]) if simple[2] else self.model_ids(" " + piece)
+            elif not piece or piece[0].isspace() or piece[-1].isspace():
+                raise Uneven
+            else:
+                ids = self.code(" " + piece)
+        self[piece] = ids
         self.size += len(piece) + len(ids) + ENTRY
         return ids
 
+    def letters(self, word: str) -> bytes:
+        return self[word[1:]] if word[0] == " " else self.word(word)
+
     def by_pieces(self, text: str) -> bytes:
         first, *more = text.split(" ")
         if first[-1:].isspace() or not first and more:
@@ -129,12 +154,15 @@ class WordEncoder(Encoder):
     words_of = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\s{LETTERS}0-9]+")
 
     def __missing__(self, piece: bytes) -> bytes:
-        text = piece.decode()
-        if not text.isascii() and PLAIN.fullmatch(text):
-            text = text.lower()
-        ids = self[piece] = self.code(text)
-        self.size += len(piece) + len(ids) + ENTRY
-        return ids
+        if (ids := self.before[0].get(piece)) is None:
+            text = piece.decode()
+            if not text.isascii() and PLAIN.fullmatch(text):
+                text = text.lower()
+            ids = self.code(text)
+        return self.keep(self, piece, ids)
+
+    def letters(self, word: str) -> bytes:
+        return self[word.encode()]
 
     def by_pieces(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, text.encode().lower().split()))

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 from tokenizers import Tokenizer
 
 from proofmark.llm import packing as P
@@ -142,3 +143,39 @@ def test_every_window_has_the_proportions_of_more_sources_than_queues(spark, mon
         assert at == (1024 if k < len(by_sequence) - 1 else (total - 1) % 1024 + 1)
         for s, n in sizes.items():
             assert abs(sum(r.length for r in parts if source[r.doc_id] == s) - at * n / total) < 6
+
+
+@pytest.mark.parametrize("listed,shared", [(20, 7), (5, 3)])
+def test_very_many_sources(spark, monkeypatch, listed, shared):
+    """Sources beyond the listed ones share queues; nothing is lost, windows stay full, large sources keep their parts."""
+    monkeypatch.setattr(P, "QUEUES", 4)
+    monkeypatch.setattr(P, "LISTED", listed)
+    monkeypatch.setattr(P, "SHARED", shared)
+    rnd = random.Random(11)
+    rows = [(i, " ".join(rnd.choices(["the", "Word's", "naïve"], k=rnd.choice([0, 3, 40, 300]))), rnd.choice(["hot", "a", "b", None, f"s{i}", f"s{i % 90}"]), "x") for i in range(900)]
+    coder = Tokenizer.from_file(tokens.path("byte_bpe_50k.json"))
+    want = {i: coder.encode(t, add_special_tokens=False).ids + [0] for i, t, _, _ in rows}
+    out = P.pack(spark.createDataFrame(rows, SCHEMA).repartition(7), with_ids=True).collect()
+    source, total, sizes = {r[0]: r[2] for r in rows}, sum(map(len, want.values())), {}
+    by_doc, by_sequence = {}, {}
+    for r in out:
+        by_doc.setdefault(r.doc_id, []).append(r)
+        by_sequence.setdefault(r.sequence_id, []).append(r)
+        sizes[source[r.doc_id]] = sizes.get(source[r.doc_id], 0) + r.length
+    for i, ids in want.items():
+        assert [x for r in sorted(by_doc[i], key=lambda r: r.start) for x in r.ids] == ids
+    assert sorted(by_sequence) == list(range(-(-total // 1024))) and len(sizes) > 200
+    for k, parts in by_sequence.items():
+        at = 0
+        for r in sorted(parts, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at == (1024 if k < len(by_sequence) - 1 else (total - 1) % 1024 + 1)
+        for s in ("hot", "a", "b", None):
+            assert abs(sum(r.length for r in parts if source[r.doc_id] == s) - at * sizes[s] / total) < 6
+
+
+def test_a_hundred_thousand_sources(spark):
+    docs = spark.range(100_000).selectExpr("id AS doc_id", "'two words' AS text", "concat('host', id) AS source")
+    row = P.pack(docs).selectExpr("sum(length) AS ids", "count(DISTINCT doc_id) AS docs", "max(sequence_id) AS last", "count(DISTINCT sequence_id, offset) AS places", "count(*) AS n").first()
+    assert row.docs == 100_000 and row.n == row.places and row.last == (row.ids - 1) // 1024
