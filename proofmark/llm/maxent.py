@@ -16,7 +16,8 @@ Counts of all training words stay a table. Those of words with a share of at lea
 that many) go to the tasks, the rest are joined to the documents' rare words, one row per document and word.
 Words are told apart by 64-bit hashes; the last bits are the class of a rare word.
 
-Defined cases: null text counts as empty (one end token); a null id counts as the empty text for the fold; rows that
+Defined cases: null text counts as empty (one end token); a very long text is read whole, its gradient and score in batches
+of ``STEP`` tokens; words with equal counts are ranked by their hash; a null id counts as the empty text for the fold; rows that
 repeat an id are scored one by one; without training documents every word is unknown; an empty table gives an empty
 result; extra columns never clash.
 """
@@ -161,19 +162,21 @@ class Model:
         keys = one * SALTS[0] + np.uint64(1), one * SALTS[1] + two * SALTS[2] + np.uint64(2), two * SALTS[3] + np.uint64(3)
         return np.stack([(mix(k) >> np.uint64(32)).astype(np.int64) for k in keys])
 
-    def _exponents(self, k: int, bias: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Logits less a common bound, and the sums of their exponentials by token."""
+    def _exponents(self, k: int, bias: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Logits less a common bound, their exponentials, and the sums of these by token."""
         w = self.weights[k]
         x = np.take(w, rows[0], axis=0, mode="clip")
         for i in range(1, FEATURES):
             x += np.take(w, rows[i], axis=0, mode="clip")
         x += bias
         x -= x.max()  # of the whole batch, which is faster than one by token
-        total = np.exp(x) @ np.ones(x.shape[1], np.float32)
+        powers = np.exp(x)
+        total = powers @ np.ones(x.shape[1], np.float32)
         if total.min() < 1e-30:  # a token far below the others
             x -= x.max(axis=1, keepdims=True)
-            total = np.exp(x).sum(axis=1)
-        return x, total
+            powers = np.exp(x)
+            total = powers.sum(axis=1)
+        return x, powers, total
 
     def parts(self, f: np.ndarray, cls: np.ndarray, slot: np.ndarray):
         """The two softmaxes of a batch: (table, bias, rows by feature, wanted, tokens)."""
@@ -190,20 +193,19 @@ class Model:
         for at in range(0, len(cls), STEP):
             s = slice(at, at + STEP)
             for k, bias, rows, wanted, where in self.parts(f[:, s], cls[s], slot[s]):
-                x, total = self._exponents(k, bias, rows)
+                x, _, total = self._exponents(k, bias, rows)
                 out[s][where] += (x[np.arange(len(wanted)), wanted] - np.log(total)) / np.log(10)
         tail = slot < 0
         out[tail] -= self.tail_mass[cls[tail] - self.classes]
         return out
 
     def learn(self, tokens: Tokens, squares: list[np.ndarray]) -> None:
-        """Gradient steps through the tokens; ``squares``: Adagrad's sums."""
+        """Gradient steps through the tokens; ``squares``: Adagrad's sums, from one."""
         f, cls, slot = self.features(tokens.hashes, tokens.first), tokens.classes, tokens.slots
         for at in range(0, len(cls), STEP):
             s = slice(at, at + STEP)
             for k, bias, rows, wanted, _ in self.parts(f[:, s], cls[s], slot[s]):
-                slope, total = self._exponents(k, bias, rows)
-                np.exp(slope, out=slope)
+                _, slope, total = self._exponents(k, bias, rows)
                 slope /= total[:, None]
                 slope[np.arange(len(wanted)), wanted] -= 1
                 w, past = self.weights[k], squares[k]
@@ -212,7 +214,6 @@ class Model:
                     seen = np.take(past, touched, axis=0)
                     seen += step * step
                     past[touched] = seen
-                    seen += 1
                     step *= RATE
                     step /= np.sqrt(seen, out=seen)
                     w[touched] -= step
@@ -307,13 +308,13 @@ def fit(rows: DataFrame, counts: DataFrame) -> Model:
             old, tokens = shared.value, 0
             mine = object.__new__(Model)
             mine.__dict__ = old.__dict__ | {"weights": [w.copy() for w in old.weights]}
-            squares = [np.zeros_like(w) for w in old.weights]
+            squares = [np.ones_like(w) for w in old.weights]
             for _, read in _texts(batches, Vocabulary(old), 0):
                 mine.learn(read, squares)
                 tokens += len(read.hashes)
             if tokens:
                 change = [(a - b).ravel() for a, b in zip(mine.weights, old.weights)]
-                met = [s.any(axis=1).astype(np.float32) for s in squares]
+                met = [(s > 1).any(axis=1).astype(np.float32) for s in squares]
                 change = np.concatenate(change + met) * np.float32(tokens)
                 for block, data in enumerate(np.array_split(change, BLOCKS)):
                     values = [block], [TaskContext.get().partitionId()], [tokens], [data.tobytes()]

@@ -94,7 +94,7 @@ def test_gradient_follows_the_score(monkeypatch):
     model, hashes = whole_model(words, list(range(600, 0, -10)))
     text = tokens(model, np.tile(hashes[[1, 5, 2, 50, 9]], 200))
     before = model.score(text).sum()
-    squares = [np.zeros_like(w) for w in model.weights]
+    squares = [np.ones_like(w) for w in model.weights]
     for _ in range(20):
         model.learn(text, squares)
     assert model.score(text).sum() > before * 0.5
