@@ -5,8 +5,9 @@ the rate of all hosts with an empirical beta prior (moments over the hosts), and
 host whose shrunk rate is too high the strict rules count as well, elsewhere only the base rules reject. A document
 that passes every rule is kept on any host.
 
-Defined cases: null text counts as empty (no words, base rule fails); a null host is a host of its own; repeated
-rows are measured and judged one by one; an empty table gives an empty result; extra columns never clash.
+Defined cases: null text counts as empty (no words, base rule fails); a null host is a host of its own; a very
+long text is measured whole within its row; of equal lines and windows the first one counts as the rules say; hosts with
+equal counts get equal verdicts; repeated rows are measured and judged one by one; an empty table gives an empty result; extra columns never clash.
 """
 
 from __future__ import annotations

@@ -12,7 +12,7 @@ Equal vectors of a label are one class with a size, so copies are counted and no
 blocks of about ``BLOCK`` classes by ``BLOCK`` queries, whatever its size; a block gives back counts and a spanning
 forest of its links.
 
-Defined cases: vectors that are null, zero, of another length, or hold null or non-finite numbers, and rows without
+Defined cases: a pair at exactly the least cosine is a link; very long vectors are compared whole; vectors that are null, zero, of another length, or hold null or non-finite numbers, and rows without
 a label, link with nothing and stand for themselves; rows that repeat an id are vectors of their own and count as
 one node when links are followed; a null id never names a component; an empty table gives an empty result; extra
 columns never clash.

@@ -11,7 +11,7 @@ With the offsets a reader starts at any stride, so a part of a block decodes alo
 Parquet table, a row per block (shard, start, n_ids, doc_ids, data), since only Spark's writers reach a cluster's
 store. Shards follow each other in ascending id, and the ids of a shard's blocks in turn.
 
-Defined cases: null text counts as empty (its one end id); rows without an id come first; repeated ids keep all their
+Defined cases: null text counts as empty (its one end id); a very long text is one long block; rows without an id come first; repeated ids keep all their
 rows, in the order of their text's hash; an empty table gives an empty result; extra columns never clash.
 """
 
