@@ -133,9 +133,11 @@ def _unknown(spark: SparkSession, store: str, batch_id: int, expectations: DataF
     return expectations.join(known, "expectation_id", "left_anti")
 
 
-def _decide(spark: SparkSession, batch_id: int, store: str, fresh: DataFrame, delay_ms: int) -> None:
+def _decide(spark: SparkSession, batch_id: int, store: str, expectations: DataFrame | Expectations, delay_ms: int) -> None:
+    """A step; ``expectations`` are the batch's own, or a function that gives the whole table."""
     before = _open(spark, store, batch_id)
-    fresh = V.with_default_timeout(fresh).select(*OWN)
+    new = expectations if isinstance(expectations, DataFrame) else _unknown(spark, store, batch_id, expectations(spark))
+    fresh = V.with_default_timeout(new).select(*OWN)
     open_ones = before.select(*OWN, F.col("hit_us").alias("old_hit"), F.col("seen").alias("old_seen"))
     batch = _landed(spark, store).filter(F.col("batch") == batch_id).drop("day", "batch")
     parts = [] if open_ones.isEmpty() else [V.match(batch, open_ones)]
@@ -218,7 +220,7 @@ def start(
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         _land(batch, batch_id, store)
-        _decide(spark, batch_id, store, _unknown(spark, store, batch_id, expectations(spark)), delay_ms)
+        _decide(spark, batch_id, store, expectations, delay_ms)
 
     def step_of_both(batch: DataFrame, batch_id: int) -> None:
         spark, asked = batch.sparkSession, f"{store}/asked/batch={batch_id}"
