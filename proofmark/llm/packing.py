@@ -50,7 +50,7 @@ def tokenized(docs: DataFrame, doc_id: str, text: str, source: str, file: str, e
             for k in range(0, b.num_rows, 1024):
                 piece = b.slice(k, 1024)
                 sources, places = piece.column(1).to_pylist(), []
-                ids = [encoder.encode(t or "") + last for t in piece.column(2).to_pylist()]
+                ids = [x + last for x in encoder.encode_all(piece.column(2).to_pylist())]
                 for s, x in zip(sources, ids):
                     places.append(at.get(s, 0))
                     at[s] = places[-1] + len(x) // 2

@@ -158,11 +158,10 @@ def write(
             kind = b.schema.field(0).type
             for at in range(0, b.num_rows, 1024):
                 part = b.slice(at, 1024)
-                for doc, value in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    ids = encoder.encode(value or "") + last
+                for doc, ids in zip(part.column(0).to_pylist(), encoder.encode_all(part.column(1).to_pylist())):
                     doc_ids.append(doc)
-                    held.append(ids)
-                    lengths.append(len(ids) // 2)
+                    held.append(ids + last)
+                    lengths.append(len(held[-1]) // 2)
                     size += lengths[-1]
                     if size >= block:
                         yield full(kind)
