@@ -1,7 +1,7 @@
 """Ordered lookups that survive hot keys: nearest fact, running extreme, running count.
 
 A plain keyed join of points with facts emits every pair of a key, and a plain window puts a whole key
-into one task. Both break when one key holds a third of the rows. Here a key's time line is cut into
+into one task. Both break when one key holds a third of the rows. Here a hot key's time line is cut into
 slots of fixed width:
 
 1. facts and points are reduced to one row per (key, slot, time), combined map-side, so a slot never
@@ -9,6 +9,9 @@ slots of fixed width:
 2. a window inside (key, slot) answers from the slot itself;
 3. one row per (key, slot) is carried along the key, which is bounded by the time span.
 
+In ``nearest`` a key with few times is one slot, so it has nothing to carry. Which keys have many is told by every
+``SAMPLE``-th of their times, by hash; a key taken for the other sort gets the same answers.
+
 Every fact and point is shuffled a constant number of times; no pairs are formed.
 """
 
@@ -20,6 +23,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# A key with about as many distinct times is hot; of more than HOT_KEYS such keys, those with the most are. The others
+# have less than a thousandth of all times each.
+HOT, HOT_KEYS, SAMPLE = 1 << 18, 1000, 1 << 8
+
+
+def _with_hot(line: DataFrame, load: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Adds whether a row's key is hot, by the times ``(*by, at)`` in ``load``. The few hot keys are joined by hash; the
+    limit tells Spark that they are few."""
+    sampled = load.filter(F.pmod(F.xxhash64(*by, "at"), F.lit(SAMPLE)) == 0).select(*by, "at").distinct()
+    counts = sampled.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= HOT // SAMPLE)
+    most = counts.orderBy(F.desc("n")).limit(HOT_KEYS).select(F.xxhash64(*by).alias("_hash"), F.lit(True).alias("_hot")).distinct()
+    return line.withColumn("_hash", F.xxhash64(*by)).join(most, "_hash", "left").withColumn("hot", F.col("_hot").isNotNull()).drop("_hash", "_hot")
+
+
 def slot_of(at: Column, width: int | None) -> Column:
     """Start of the slot that ``at`` lies in; one single slot when no width is given."""
     return F.lit(0).cast("long") if width is None else at - F.pmod(at, F.lit(width).cast("long"))
@@ -33,6 +50,7 @@ def nearest(
     forward: bool = True,
     backward: bool = True,
     measures: Sequence[str] = ("measure",),
+    load: DataFrame | None = None,
 ) -> DataFrame:
     """For each distinct point ``(*by, at)`` the extreme ``measure`` among the facts around it.
 
@@ -40,12 +58,12 @@ def nearest(
     ``fact.at <= at``. With a measure that starts with ``at`` these are the nearest facts; with another
     measure they are running extremes. Several measures give ``next_<name>`` and ``last_<name>`` each, from
     the same shuffles; a null measure says nothing. ``at`` is a long (or int) on both sides, ``by`` must not
-    be null.
+    be null. Hot keys are told by ``load``, rows ``(at, …)`` with ``by`` or a part of it, else by facts and points.
     """
     by = list(by)
     keys = [*by, "slot"]
     at = F.col("at").cast("long")
-    place = [*by, at.alias("at"), slot_of(at, width).alias("slot")]
+    place = [*by, at.alias("at")]
     suffix = {m: "" if m == "measure" else f"_{m}" for m in measures}
 
     def columns(forward_column, backward_column):
@@ -54,12 +72,18 @@ def nearest(
             *([backward_column(x) for x in suffix.items()] if backward else []),
         ]
 
+    both = facts.select(*place, *measures, F.lit(False).alias("is_point")).unionByName(
+        points.select(*place, F.lit(True).alias("is_point")), allowMissingColumns=True
+    )
+    load = both if load is None else load.withColumn("at", F.col("at").cast("long"))
     line = (
-        facts.select(*place, *measures, F.lit(False).alias("is_point"))
-        .unionByName(points.select(*place, F.lit(True).alias("is_point")), allowMissingColumns=True)
+        (both.withColumn("hot", F.lit(False)) if width is None else _with_hot(both, load, [c for c in by if c in load.columns]))
+        .withColumn("slot", F.when(F.col("hot"), slot_of(at, width)).otherwise(F.lit(0)))
         .groupBy(*keys, "at")
-        # The flag first, as both readers below take it first: equal plans share one shuffle.
+        # The flags first, as both readers below take them first: equal plans share one shuffle. As an aggregate, the
+        # filter by "hot" stays above it.
         .agg(
+            F.max("hot").alias("hot"),
             F.max("is_point").alias("is_point"),
             *columns(lambda x: F.min(x[0]).alias(f"lo{x[1]}"), lambda x: F.max(x[0]).alias(f"hi{x[1]}")),
         )
@@ -74,13 +98,14 @@ def nearest(
         )
 
     answers = running(keys, "at", Window.currentRow, "next", "last")
-    found = line.select(*keys, "at", "is_point", *answers).filter("is_point")
+    found = line.select(*keys, "at", "hot", "is_point", *answers).filter("is_point")
     if width is None:
-        return found.drop("slot", "is_point")
+        return found.drop("slot", "hot", "is_point")
 
     # Reads the shuffled line a second time instead of the input; only slots with points need an answer.
     carried = (
-        line.groupBy(*keys)
+        line.filter("hot")
+        .groupBy(*keys)
         .agg(
             F.max("is_point").alias("has_point"),
             *columns(
@@ -94,8 +119,8 @@ def nearest(
         *by,
         "at",
         *columns(
-            lambda x: F.least(f"next{x[1]}", f"later{x[1]}").alias(f"next{x[1]}"),
-            lambda x: F.greatest(f"last{x[1]}", f"earlier{x[1]}").alias(f"last{x[1]}"),
+            lambda x: F.when(F.col("hot"), F.least(f"next{x[1]}", f"later{x[1]}")).otherwise(F.col(f"next{x[1]}")).alias(f"next{x[1]}"),
+            lambda x: F.when(F.col("hot"), F.greatest(f"last{x[1]}", f"earlier{x[1]}")).otherwise(F.col(f"last{x[1]}")).alias(f"last{x[1]}"),
         ),
     )
 

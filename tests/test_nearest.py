@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from proofmark.operators import nearest as lookup
 from proofmark.operators.nearest import nearest, running_count
 
 
@@ -35,6 +36,18 @@ def test_nearest_is_brute_force(spark, width):
     assert got == want
 
 
+@pytest.mark.parametrize("hot", [1, 60, 1 << 18])
+def test_keys_in_slots_or_whole(spark, monkeypatch, hot):
+    """All keys hot, only the one with most times, or none: the same answers."""
+    monkeypatch.setattr(lookup, "HOT", hot)
+    monkeypatch.setattr(lookup, "SAMPLE", 1)
+    test_nearest_is_brute_force(spark, 7)
+    facts, points = facts_and_points(7)
+    line = spark.createDataFrame([(k, a) for k, a, *_ in facts + points], "key string, at long")
+    found = {r.key for r in lookup._with_hot(line, line, ["key"]).filter("hot").select("key").distinct().collect()}
+    assert found == {1: {r[0] for r in facts + points}, 60: {"hot"}, 1 << 18: set()}[hot]
+
+
 @pytest.mark.parametrize("width", [None, 5, 64])
 def test_running_extreme_of_another_measure(spark, width):
     facts, points = facts_and_points(9)
