@@ -300,3 +300,17 @@ def test_slots_bound_a_window_task_for_microseconds(spark):
     points = spark.createDataFrame([("k", 0), ("k", 3_599_980_007), ("k", 1_000_000_008)], "k string, at long")
     got = {r.at: (r.next, r.last) for r in nearest(points, facts, ["k"], width).collect()}
     assert got == {0: (7, None), 3_599_980_007: (3_599_980_007, 3_599_980_007), 1_000_000_008: (1_000_020_007, 1_000_000_007)}
+
+
+def test_stable_uuid_hashes_once(spark):
+    """Inside a lambda nothing shares a repeated expression, so the hash stands there once."""
+    import hashlib
+
+    from pyspark.sql import functions as F
+
+    from proofmark.functions.columns import stable_uuid
+
+    ids = spark.range(3).select(F.transform(F.array("id"), lambda i: stable_uuid(i, F.lit("x")))[0].alias("u"))
+    h = [hashlib.sha256(f"1:{i}|1:x".encode()).hexdigest() for i in range(3)]
+    assert [r.u for r in ids.collect()] == [f"{x[:8]}-{x[8:12]}-{x[12:16]}-{x[16:20]}-{x[20:32]}" for x in h]
+    assert ids._jdf.queryExecution().analyzed().toString().count("sha2(") == 1
