@@ -28,10 +28,9 @@ from pyspark.sql import functions as F
 HOT, HOT_KEYS, SAMPLE = 1 << 18, 1000, 1 << 8
 
 
-def _with_hot(line: DataFrame, load: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Adds whether a row's key is hot, by the times ``(*by, at)`` in ``load``. The few hot keys are joined by hash; the
-    limit tells Spark that they are few."""
-    sampled = load.filter(F.pmod(F.xxhash64(*by, "at"), F.lit(SAMPLE)) == 0).select(*by, "at").distinct()
+def _with_hot(line: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Adds whether a row's key is hot. The few hot keys are joined by hash; the limit tells Spark that they are few."""
+    sampled = line.filter(F.pmod(F.xxhash64(*by, "at"), F.lit(SAMPLE)) == 0).select(*by, "at").distinct()
     counts = sampled.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= HOT // SAMPLE)
     most = counts.orderBy(F.desc("n")).limit(HOT_KEYS).select(F.xxhash64(*by).alias("_hash"), F.lit(True).alias("_hot")).distinct()
     return line.withColumn("_hash", F.xxhash64(*by)).join(most, "_hash", "left").withColumn("hot", F.col("_hot").isNotNull()).drop("_hash", "_hot")
@@ -50,7 +49,7 @@ def nearest(
     forward: bool = True,
     backward: bool = True,
     measures: Sequence[str] = ("measure",),
-    load: DataFrame | None = None,
+    sampled: bool = True,
 ) -> DataFrame:
     """For each distinct point ``(*by, at)`` the extreme ``measure`` among the facts around it.
 
@@ -58,7 +57,7 @@ def nearest(
     ``fact.at <= at``. With a measure that starts with ``at`` these are the nearest facts; with another
     measure they are running extremes. Several measures give ``next_<name>`` and ``last_<name>`` each, from
     the same shuffles; a null measure says nothing. ``at`` is a long (or int) on both sides, ``by`` must not
-    be null. Hot keys are told by ``load``, rows ``(at, …)`` with ``by`` or a part of it, else by facts and points.
+    be null. Telling hot keys reads facts and points once more; without ``sampled`` all keys lie in slots.
     """
     by = list(by)
     keys = [*by, "slot"]
@@ -75,9 +74,9 @@ def nearest(
     both = facts.select(*place, *measures, F.lit(False).alias("is_point")).unionByName(
         points.select(*place, F.lit(True).alias("is_point")), allowMissingColumns=True
     )
-    load = both if load is None else load.withColumn("at", F.col("at").cast("long"))
+    told = width is not None and sampled
     line = (
-        (both.withColumn("hot", F.lit(False)) if width is None else _with_hot(both, load, [c for c in by if c in load.columns]))
+        (_with_hot(both, by) if told else both.withColumn("hot", F.lit(width is not None)))
         .withColumn("slot", F.when(F.col("hot"), slot_of(at, width)).otherwise(F.lit(0)))
         .groupBy(*keys, "at")
         # The flags first, as both readers below take them first: equal plans share one shuffle. As an aggregate, the

@@ -134,13 +134,6 @@ def _kinds(points: DataFrame, kind: str) -> Column:
     return points.select(F.collect_set(kind)).scalar()
 
 
-def _load(e: DataFrame, messages: DataFrame) -> DataFrame:
-    """The times of each topic and key, and of each whole topic, that a lookup may meet."""
-    own_and_any = F.explode(F.array("key", F.lit(""))).alias("who")
-    seen = messages.select("topic", own_and_any, micros("ts").alias("at")).filter("who IS NOT NULL")
-    return seen.unionByName(e.select("topic", "who", F.explode(F.array("start_us", "end_us")).alias("at")))
-
-
 def _with_hit(e: DataFrame, messages: DataFrame, slot_ms: int) -> DataFrame:
     """Adds ``hit_us``, the time of the first message of the window that passes the row's predicates.
 
@@ -158,7 +151,7 @@ def _with_hit(e: DataFrame, messages: DataFrame, slot_ms: int) -> DataFrame:
         .filter("who IS NOT NULL AND token IS NOT NULL")
     )
     facts = join_lookup(facts, points.select(*by).distinct(), by, "left_semi")
-    hit = nearest(points, facts, by, slot_ms * 1000, backward=False, load=_load(e, messages)).select(
+    hit = nearest(points, facts, by, slot_ms * 1000, backward=False, sampled=False).select(
         *by, F.col("at").alias("start_us"), F.col("next").alias("first_us")
     )
     return e.join(hit, [*by, "start_us"], "left").select(
@@ -185,7 +178,7 @@ def token_of(kind: str) -> Column:
     )
 
 
-def _with_seen(e: DataFrame, of: DataFrame, messages: DataFrame, slot_ms: int, load: DataFrame | None = None) -> DataFrame:
+def _with_seen(e: DataFrame, of: DataFrame, messages: DataFrame, slot_ms: int) -> DataFrame:
     """Adds ``seen``, the last message of the window, for the rows of ``of`` and null for the others."""
     by = ["topic", "who", "place"]
     place = F.when(F.col("key").isNull(), ANY_KEY).otherwise(NO_TEST).alias("place")
@@ -200,8 +193,7 @@ def _with_seen(e: DataFrame, of: DataFrame, messages: DataFrame, slot_ms: int, l
         .filter("who IS NOT NULL")
     )
     facts = join_lookup(facts, points.select(*by).distinct(), by, "left_semi")
-    load = _load(e, messages) if load is None else load
-    seen = nearest(points, facts, by, slot_ms * 1000, forward=False, load=load).select(
+    seen = nearest(points, facts, by, slot_ms * 1000, forward=False, sampled=False).select(
         *by, F.col("at").alias("end_us"), "last"
     )
     return e.select("*", place).join(seen, [*by, "end_us"], "left").select(
@@ -212,10 +204,9 @@ def _with_seen(e: DataFrame, of: DataFrame, messages: DataFrame, slot_ms: int, l
 def match(messages: DataFrame, expectations: DataFrame, slot_ms: int = SLOT_MS) -> DataFrame:
     """Expectations with the time of the message that decides them (``hit_us``) and, where a presence found
     none, the last message it saw (``seen``). The second lookup meets the messages of failed keys only."""
-    e = _prepared(expectations)
-    decided = _with_hit(e, messages, slot_ms)
+    decided = _with_hit(_prepared(expectations), messages, slot_ms)
     failed = decided.filter((F.col("presence") == v.PRESENCE) & F.col("hit_us").isNull())
-    return _with_seen(decided, failed, messages, slot_ms, _load(e, messages))
+    return _with_seen(decided, failed, messages, slot_ms)
 
 
 def verdict_message() -> Column:

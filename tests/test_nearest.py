@@ -44,7 +44,7 @@ def test_keys_in_slots_or_whole(spark, monkeypatch, hot):
     test_nearest_is_brute_force(spark, 7)
     facts, points = facts_and_points(7)
     line = spark.createDataFrame([(k, a) for k, a, *_ in facts + points], "key string, at long")
-    found = {r.key for r in lookup._with_hot(line, line, ["key"]).filter("hot").select("key").distinct().collect()}
+    found = {r.key for r in lookup._with_hot(line, ["key"]).filter("hot").select("key").distinct().collect()}
     assert found == {1: {r[0] for r in facts + points}, 60: {"hot"}, 1 << 18: set()}[hot]
 
 
