@@ -2,10 +2,12 @@
 
 Expectations and messages are two streams, grouped by topic and key. Per group the state store (RocksDB) has the open
 expectations with their latch: the first message that fits and the last one seen, so far. Messages are kept until the
-watermark has passed them, for expectations that come after them. An event-time timer per deciding moment closes a
-latch: the time of the fitting message, or the deadline. Once the watermark has passed that time no message on time can
-change the verdict. So a step touches the groups of its own rows and due timers, whatever the state's size, and Spark
-keeps the state's versions with the checkpoint.
+watermark has passed them, for expectations that come after them. A latch closes at its deciding moment, the time of the
+fitting message or the deadline: once the watermark has passed it, no message on time can change the verdict. A step with
+rows of a group closes its latches; for the others each group has one event-time timer, set to the first that closes. So a
+step touches the groups of its own rows and due timers, whatever the state's size, and Spark keeps the state's versions
+with the checkpoint. Latches and messages lie in the state in blocks of rows, as a call of the store is a round trip
+between Python and the JVM.
 
 ``first_failures`` is a second stateful step behind it, on the same watermark: verdicts come in the order of their
 deciding moments, so the least failure of a run in the first step that has one is the first for good.
@@ -17,9 +19,11 @@ expectation finds its own by binary search. A key with a third of all messages i
 
 from __future__ import annotations
 
+import json
 from bisect import bisect_left, bisect_right
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -33,9 +37,20 @@ from proofmark.operators import verify as V
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 ASKED = "run_id string, presence string, expected_type string, expected_count int, start_us long, end_us long"
 SEEN = "at long, offset long, event_type string, calls int, value string"
-OPEN = f"{ASKED}, hit_us long, {', '.join('seen_' + c for c in SEEN.split(', '))}"
+OPEN = f"expectation_id long, {ASKED}, hit_us long, {', '.join('seen_' + c for c in SEEN.split(', '))}"
 FOUND = f"expectation_id long, topic string, key string, {ASKED}, hit_us long, seen struct<{SEEN.replace(' ', ':').replace(',:', ',')}>, decided_at timestamp"
-NAMES = [c.split()[0] for c in OPEN.split(", ")]
+BLOCK = 256
+LATCHES, MESSAGES = "latches", "messages"
+
+
+def _names(columns: str) -> list[str]:
+    return [c.split()[0] for c in columns.split(", ")]
+
+
+NAMES = _names(OPEN)
+END, HIT, SEEN_AT = (NAMES.index(c) for c in ("end_us", "hit_us", "seen_at"))
+# A message's value, type, calls, time and offset come in the columns of an expectation.
+GIVEN = ["topic", "key", "ts", "is_message", "expectation_id", *_names(ASKED)]
 
 
 def _fits(presence: str, kind: str | None, count: int | None) -> tuple:
@@ -43,63 +58,110 @@ def _fits(presence: str, kind: str | None, count: int | None) -> tuple:
     return (None, None) if presence == v.ABSENCE else (kind, count)
 
 
+class _Group:
+    """The state of one topic and key: lists of rows of two kinds, latches and messages, in blocks of up to ``BLOCK``.
+
+    A call of the state store is a round trip to the JVM, so it carries a block, as JSON. A step writes the blocks that
+    it changes and fills up the last one.
+    """
+
+    def __init__(self, state):
+        self.state, self.blocks = state, {LATCHES: {}, MESSAGES: {}}
+        for (kind, block), (rows,) in state.iterator():
+            self.blocks[kind][block] = json.loads(rows)
+
+    def rows(self, kind: str) -> list[list]:
+        return [x for rows in self.blocks[kind].values() for x in rows]
+
+    def replace(self, kind: str, change, new: Sequence[list] = ()) -> None:
+        """``change`` gives a row's new state, or None where it goes; ``new`` rows are added."""
+        before = self.blocks[kind]
+        now = {k: [x for x in map(change, rows) if x is not None] for k, rows in before.items()}
+        last, new = max(now, default=-1), list(new)
+        if new and last >= 0:
+            room = max(BLOCK - len(now[last]), 0)
+            now[last], new = now[last] + new[:room], new[room:]
+        for i in range(0, len(new), BLOCK):
+            last += 1
+            now[last] = new[i : i + BLOCK]
+        for k, rows in now.items():
+            if not rows:
+                self.state.removeKey((kind, k))
+            elif rows != before.get(k):
+                self.state.updateValue((kind, k), (json.dumps(rows),))
+        self.blocks[kind] = {k: rows for k, rows in now.items() if rows}
+
+    def closes(self) -> int | None:
+        """When the first latch closes, in milliseconds: the time of the key's one timer."""
+        return min((_due(x) // 1000 for x in self.rows(LATCHES)), default=None)
+
+
+    def close(self, until: int, change=lambda x: x, new: Sequence[list] = ()) -> list[list]:
+        """Latches, changed and ``new`` ones, that close up to the millisecond ``until``; they leave the state."""
+        closed = []
+
+        def after(latch: list) -> list | None:
+            if _due(latch := change(latch)) // 1000 > until:
+                return latch
+            closed.append(latch)
+            return None
+
+        closed += [x for x in new if _due(x) // 1000 <= until]
+        self.replace(LATCHES, after, [x for x in new if _due(x) // 1000 > until])
+        return closed
+
+
 class Latch(StatefulProcessor):
     """Open expectations of one topic and key."""
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.open = handle.getMapState("open", "id long", OPEN)
-        self.kept = handle.getMapState("kept", "at long, offset long, n int", "event_type string, calls int, value string")
+        self.state = handle.getMapState("state", "kind string, block int", "rows string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         asked, new = [], []
-        for row in rows:
-            if row.expectation_id is None:
-                new.append((row.at_us, row.offset, row.event_type, row.calls, row.value))
+        for _, _, _, is_message, i, text, presence, kind, calls, start, end in rows:  # in the order of ``GIVEN``
+            if is_message:
+                new.append([start, end, kind, calls, text])
             else:
-                asked.append((row.expectation_id, {c: row[c] for c in NAMES[:6]}))
-        passed = timerValues.getCurrentWatermarkInMs() * 1000
-        kept = list(self.kept.iterator())
-        old, count = [(*k[:2], *m) for k, m in kept], 1 + max((k[2] for k, _ in kept), default=-1)
-        for k, _ in kept:
-            if k[0] < passed:
-                self.kept.removeKey(k)
-        for n, m in enumerate(new):
-            if m[0] >= passed:
-                self.kept.updateValue((m[0], m[1], count + n), m[2:])
-        if new:
-            found = _Index(new)
-            for k, state in list(self.open.iterator()):
-                before = dict(zip(NAMES, state))
-                after = found.latched(before)
-                if after != before:
-                    self._keep(k[0], after)
+                asked.append([i, text, presence, kind, calls, start, end, *[None] * (len(NAMES) - HIT)])
+        watermark = timerValues.getCurrentWatermarkInMs()
+        group = _Group(self.state)
+        timer = group.closes()
         if asked:
-            found = _Index(old + new)
-            for i, row in asked:
-                self._keep(i, found.latched(row | dict.fromkeys(NAMES[6:])))
-        return iter(())
-
-    def _keep(self, i: int, latch: dict) -> None:
-        self.open.updateValue((i,), tuple(latch[c] for c in NAMES))
-        self.handle.registerTimer(_due(latch) // 1000)
+            after_all = _Index(group.rows(MESSAGES) + new)
+            asked = [after_all.latched(x) for x in asked]
+        passed = watermark * 1000
+        on_time = sorted((m for m in new if m[0] >= passed), key=lambda m: m[0])
+        group.replace(MESSAGES, lambda m: m if m[0] >= passed else None, on_time)
+        closed = group.close(watermark - 1, _Index(new).latched if new else lambda x: x, asked)
+        if group.closes() != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            if group.closes() is not None:
+                self.handle.registerTimer(group.closes())
+        return map(partial(_found, key), closed)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        until = expiredTimerInfo.getExpiryTimeInMs()
-        for k, state in list(self.open.iterator()):
-            latch = dict(zip(NAMES, state))
-            if _due(latch) // 1000 <= until:
-                self.open.removeKey(k)
-                seen = None if latch["seen_at"] is None else Row(**{c.removeprefix("seen_"): latch[c] for c in NAMES[7:]})
-                found = {c: latch[c] for c in NAMES[:7]}
-                yield Row(expectation_id=k[0], topic=key[0], key=key[1], **found, seen=seen, decided_at=_moment(_due(latch)))
+        group = _Group(self.state)
+        closed = group.close(max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs() - 1))
+        if group.closes() is not None:
+            self.handle.registerTimer(group.closes())  # Spark drops the one it has called
+        return map(partial(_found, key), closed)
 
     def close(self) -> None:
         pass
 
 
-def _due(latch: dict) -> int:
-    return latch["end_us"] if latch["hit_us"] is None else latch["hit_us"]
+def _due(latch: list) -> int:
+    return latch[END] if latch[HIT] is None else latch[HIT]
+
+
+def _found(key: tuple, latch: list) -> Row:
+    """A closed latch as a row of ``FOUND``."""
+    seen = None if latch[SEEN_AT] is None else Row(**dict(zip(_names(SEEN), latch[SEEN_AT:])))
+    found = dict(zip(NAMES[1:SEEN_AT], latch[1:]))
+    return Row(expectation_id=latch[0], topic=key[0], key=key[1], **found, seen=seen, decided_at=_moment(_due(latch)))
 
 
 def _moment(us: int):
@@ -111,7 +173,7 @@ def _moment(us: int):
 class _Index:
     """Messages by what expectations ask for, in time order."""
 
-    def __init__(self, messages: list[tuple]):
+    def __init__(self, messages: list[list]):
         self.all = sorted(messages, key=lambda m: (m[0], m[1] if m[1] is not None else -1, m[4] or ""))
         self.times = [m[0] for m in self.all]
         by = defaultdict(set)
@@ -120,19 +182,19 @@ class _Index:
                 by[asked].add(at)
         self.by = {asked: sorted(x) for asked, x in by.items()}
 
-    def latched(self, latch: dict) -> dict:
-        """The latch after these messages."""
-        fits = self.by.get(_fits(latch["presence"], latch["expected_type"], latch["expected_count"]), [])
-        at = bisect_left(fits, latch["start_us"])
-        out = dict(latch)
-        if at < len(fits) and fits[at] <= latch["end_us"]:
-            out["hit_us"] = fits[at] if latch["hit_us"] is None else min(latch["hit_us"], fits[at])
-        last = bisect_right(self.times, latch["end_us"]) - 1
-        if last >= 0 and self.times[last] >= latch["start_us"]:
-            seen = self.all[last]
-            if latch["seen_at"] is None or (seen[0], seen[1] or -1) >= (latch["seen_at"], latch["seen_offset"] or -1):
-                out |= dict(zip(NAMES[7:], seen))
-        return out
+    def latched(self, latch: list) -> list:
+        """The latch, a value per column of ``OPEN``, after these messages."""
+        i, run, presence, kind, count, start, end, hit, *seen = latch
+        fits = self.by.get(_fits(presence, kind, count), [])
+        at = bisect_left(fits, start)
+        if at < len(fits) and fits[at] <= end:
+            hit = fits[at] if hit is None else min(hit, fits[at])
+        last = bisect_right(self.times, end) - 1
+        if last >= 0 and self.times[last] >= start:
+            new = self.all[last]
+            if seen[0] is None or (new[0], new[1] or -1) >= (seen[0], seen[1] or -1):
+                seen = new
+        return [i, run, presence, kind, count, start, end, hit, *seen]
 
 
 class FirstFailure(StatefulProcessor):
@@ -162,16 +224,15 @@ def latched(messages: DataFrame, expectations: DataFrame, delay: str = "0 second
     start = V.micros("registered_at")
     none = lambda c, kind: F.lit(None).cast(kind).alias(c)
     asked = V.with_default_timeout(expectations).select(
-        "topic", F.coalesce("key", F.raise_error(text).cast("string")).alias("key"), F.col("registered_at").alias("ts"), "expectation_id",
-        "run_id", "presence", "expected_type", "expected_count", start.alias("start_us"), (start + F.col("timeout_ms") * 1000).alias("end_us"),
-        none("at_us", "long"), none("offset", "long"), none("event_type", "string"), none("calls", "int"), none("value", "string"),
+        "topic", F.coalesce("key", F.raise_error(text).cast("string")).alias("key"), F.col("registered_at").alias("ts"), F.lit(False).alias("is_message"),
+        "expectation_id", "run_id", "presence", "expected_type", "expected_count", start.alias("start_us"), (start + F.col("timeout_ms") * 1000).alias("end_us"),
     )
     given = messages.filter("key IS NOT NULL").select(
-        "topic", "key", "ts", none("expectation_id", "long"),
-        *[none(c.split()[0], c.split()[1]) for c in ASKED.split(", ")],
-        V.micros("ts").alias("at_us"), "offset", "event_type", "calls", "value",
+        "topic", "key", "ts", F.lit(True).alias("is_message"), none("expectation_id", "long"), F.col("value").alias("run_id"), none("presence", "string"),
+        F.col("event_type").alias("expected_type"), F.col("calls").alias("expected_count"), V.micros("ts").alias("start_us"),
+        F.col("offset").cast("long").alias("end_us"),
     )
-    both = asked.unionByName(given).withWatermark("ts", delay)
+    both = asked.unionByName(given).select(*GIVEN).withWatermark("ts", delay)
     return both.groupBy("topic", "key").transformWithState(
         statefulProcessor=Latch(), outputStructType=T.StructType.fromDDL(FOUND), outputMode="Append", timeMode="EventTime",
         eventTimeColumnName="decided_at",

@@ -235,6 +235,22 @@ def test_latches(spark, tmp_path, runs):
     assert done.count() == len(decided)
 
 
+def test_latches_lie_in_blocks(spark, tmp_path):
+    """A key's messages and open expectations are few rows of state, with one timer, and survive from step to step."""
+    messages = [("t", f"k{n % 2}", "A", None, str(n), at(n), n) for n in range(90)]
+    expectations = [(n, "r", "t", f"k{n % 2}", "PRESENCE", "B", None, at(n), 3_600_000 + n) for n in range(90)]
+    m, e = streams(spark, tmp_path, messages, expectations, 3)
+    ran = latches.start(latches.latched(m, e, "10 minutes"), f"{tmp_path}/store")
+    ran.awaitTermination()
+    assert latches.state_size(ran)[0]["rows"] <= 2 * 4
+    late = [("t", "k0", "B", None, "b", at(100), 100), ("t", "k1", "A", None, "z", at(7300), 101)]
+    spark.createDataFrame(late, schemas.MESSAGES).coalesce(1).write.mode("append").parquet(f"{tmp_path}/m")
+    latches.start(latches.latched(m, e, "10 minutes"), f"{tmp_path}/store").awaitTermination()
+    done, all_messages = latches.verdicts(spark, f"{tmp_path}/store"), spark.createDataFrame(messages + late, schemas.MESSAGES)
+    batch = V.verify(all_messages, spark.createDataFrame(expectations, schemas.EXPECTATIONS))
+    assert verdicts(done) == verdicts(batch)
+
+
 def test_latches_over_days_and_first_failures(spark, tmp_path):
     """Everything but the last day is decided; the failures of a run come once, the first of them."""
     day, rnd = 86_400, random.Random(1)
