@@ -123,9 +123,15 @@ def apply_changes(
     completion does the same and makes it Utfylt; a step mark sets the step only; a delete keeps the row as
     SlettetAvBruker.
     """
+    judged = judged_changes(changes, apps, gone)
+    return fold_judged(apps, judged, fields), judged.filter("reason IS NOT NULL")
+
+
+def fold_judged(apps: DataFrame, judged: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:
+    """``apps`` after the accepted ones of ``judged_changes``."""
+    changes = judged.drop("reason")
     if fields is None:
         fields = [c for c in apps.columns if c in changes.columns and c not in KEPT]
-    judged = judged_changes(changes, apps, gone)
     ok = judged.filter("reason IS NULL")
     op = F.col("op")
     writes, marks, deletes = op.isin(UPDATE, COMPLETE), op == STEP, op.isin(DELETE, EXTERNAL_DELETE)
@@ -153,7 +159,7 @@ def apply_changes(
         state = state.withColumn("step", F.when(F.col("marked"), F.col("new_step")).otherwise(F.col("step")))
     if "changed_at" in apps.columns:
         state = state.withColumn("changed_at", F.coalesce("last_change", "changed_at"))
-    return state.drop("w", "new_step", "marked", "last_change", "deleted"), judged.filter("reason IS NOT NULL")
+    return state.drop("w", "new_step", "marked", "last_change", "deleted")
 
 
 def apply_updates(apps: DataFrame, changes: DataFrame, fields: Sequence[str] | None = None):

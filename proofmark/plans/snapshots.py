@@ -15,7 +15,7 @@ def kept(spark, sf):
     changes = state.changes_of(arriving(spark, sf, "lineitem", F.col("l_shipdate")))
     apps = state.apps(spark, sf)
     store = snapshots.Snapshots(
-        new_store(spark), "application_id", apps.schema, changes.schema, snapshots.fold_applications, LATE_MS, buckets=16
+        new_store(spark), "application_id", apps.schema, changes.schema, snapshots.fold_applications, LATE_MS, buckets=16, keeps=True
     )
     store.start(apps)
     store.run(changes).awaitTermination()

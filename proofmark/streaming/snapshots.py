@@ -28,17 +28,23 @@ from proofmark import values as v
 from proofmark.operators import changes as U
 
 BUCKETS = 256
+CODEC = "zstd"  # of the wide tables that a step writes
 BEFORE, AFTER = -(1 << 62), 1 << 62  # microseconds before and after any
 VERSION = "bucket int, written long, horizon long"
 
-Fold = Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]
+Fold = Callable[..., tuple[DataFrame, DataFrame]]
 
 
-def fold_applications(apps: DataFrame, changes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Creates, then updates, completions, step marks and deletes; what was deleted in an earlier chunk stays so."""
+def fold_applications(
+    apps: DataFrame, changes: DataFrame, keep: Callable[[DataFrame], DataFrame] = lambda df: df
+) -> tuple[DataFrame, DataFrame]:
+    """Creates, then updates, completions, step marks and deletes; what was deleted in an earlier chunk stays so.
+
+    State and rejected changes both come from the judged changes, which ``keep`` may write."""
     started, refused = U.apply_creates(changes, apps)
     rows = apps.unionByName(started.select(*[c for c in apps.columns if c in started.columns]), allowMissingColumns=True)
-    state, rejected = U.apply_changes(rows, changes, gone=(v.DELETED_BY_USER, v.DELETED_BY_SCHEDULE))
+    judged = keep(U.judged_changes(changes, rows, gone=(v.DELETED_BY_USER, v.DELETED_BY_SCHEDULE)))
+    state, rejected = U.fold_judged(rows, judged), judged.filter("reason IS NOT NULL")
     return state, rejected.unionByName(refused.select(*[c for c in rejected.columns if c in refused.columns]), allowMissingColumns=True)
 
 
@@ -62,15 +68,16 @@ class Snapshots:
 
     Changes have ``key`` and the time ``at``. ``fold`` sees whole keys and must give each row's new state from its own
     changes alone. Where it takes changes in any order, as sums and minima do, ``ordered`` is false: then each batch is
-    folded as it comes, and nothing waits or is late.
+    folded as it comes, and nothing waits or is late. With ``keeps`` the fold takes a third argument, a function that
+    writes a table which both its results read, so that it is made once.
     """
 
     def __init__(
         self, store: str, key: str, schema: T.StructType, changes: T.StructType, fold: Fold, delay_ms: int = 0, buckets: int = BUCKETS,
-        ordered: bool = True,
+        ordered: bool = True, keeps: bool = False,
     ):
         self.store, self.key, self.schema, self.changes, self.fold = store, key, schema, changes, fold
-        self.delay_ms, self.buckets, self.ordered = delay_ms, buckets, ordered
+        self.delay_ms, self.buckets, self.ordered, self.keeps = delay_ms, buckets, ordered, keeps
 
     def _bucket(self):
         return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int").alias("bucket")
@@ -78,7 +85,7 @@ class Snapshots:
     def _write_rows(self, rows: DataFrame, batch: int) -> list[int]:
         """Writes rows by bucket; the buckets that have any."""
         spark, path = rows.sparkSession, f"{self.store}/rows/batch={batch}"
-        rows.select("*", self._bucket()).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+        rows.select("*", self._bucket()).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(path, compression=CODEC)
         folder, files = _path(spark, path)
         names = [s.getPath().getName() for s in files.listStatus(folder)]
         return sorted(int(n.partition("=")[2]) for n in names if n.startswith("bucket="))
@@ -119,6 +126,12 @@ class Snapshots:
         path = f"{self.store}/{kind}/batch={batch}"
         return spark.read.schema(self.changes).parquet(path) if _there(spark, path) else spark.createDataFrame([], self.changes)
 
+    def _kept(self, df: DataFrame, batch: int) -> DataFrame:
+        """What the fold keeps of a batch, written and read back."""
+        path = f"{self.store}/kept/batch={batch}"
+        df.write.mode("overwrite").parquet(path, compression=CODEC)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
     def late(self, spark: SparkSession) -> DataFrame:
         """Changes that came too late, with their batch."""
         return spark.read.schema(T.StructType([*self.changes.fields, T.StructField("batch", T.LongType())])).parquet(f"{self.store}/late")
@@ -141,7 +154,7 @@ class Snapshots:
         version, before = self.version(spark, batch_id - 1)
         batch = batch.select(*self.changes.names)
         arrived = f"{self.store}/arrived/batch={batch_id}"
-        batch.write.mode("overwrite").parquet(arrived)
+        batch.write.mode("overwrite").parquet(arrived, compression=CODEC)
         batch = spark.read.schema(self.changes).parquet(arrived)
         at = F.unix_micros("at")
         latest = batch.agg((F.max(at) - self.delay_ms * 1000).alias("h")).first()["h"]
@@ -155,12 +168,13 @@ class Snapshots:
         open_.filter(at >= horizon).write.mode("overwrite").parquet(f"{self.store}/pending/batch={batch_id}")
         touched = [r.bucket for r in due.select(self._bucket()).distinct().collect()]  # at most ``buckets``
         if touched:
-            state, rejected = self.fold(self.rows(spark, batch_id - 1, touched), due)
+            keep = [lambda df: self._kept(df, batch_id)] if self.keeps else []
+            state, rejected = self.fold(self.rows(spark, batch_id - 1, touched), due, *keep)
             rejected.write.mode("overwrite").parquet(f"{self.store}/rejected/batch={batch_id}")
             written = self._write_rows(state.select(*self.schema.names), batch_id)
             version = {b: n for b, n in version.items() if b not in touched} | dict.fromkeys(written, batch_id)
         self._commit(spark, batch_id, version, horizon)
-        for kind in ("arrived", "pending"):  # a repeated step still finds those of the batch before
+        for kind in ("arrived", "pending", "kept"):  # a repeated step still finds those of the batch before
             path, files = _path(spark, f"{self.store}/{kind}/batch={batch_id - 2}")
             files.delete(path, True)
 

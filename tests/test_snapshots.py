@@ -136,3 +136,57 @@ def test_attachments(spark, tmp_path):
     kept.finish(spark)
     state, _ = U.apply_attachment_patch(attachments, table)
     assert rows(kept.rows(spark)) == rows(state)
+
+
+def test_changes_are_judged_once(spark, tmp_path):
+    """A step writes the judged changes, which its state and its rejected rows read; the result stays the same."""
+    apps = spark.createDataFrame([(k, "u", "f", "start", 0, v.CREATED, "A", T0) for k in range(20)], APPS)
+    whole = spark.createDataFrame(log(3, 120, 20), LOG)
+    kept = store(spark, tmp_path)
+    kept.keeps = True
+    kept.start(apps)
+    kept.step(whole.limit(60), 0)
+    kept.step(whole.exceptAll(whole.limit(60)), 1)
+    kept.finish(spark)
+    made, ways = [], []
+
+    def keep(df):
+        made.append(df)
+        return spark.createDataFrame(df.collect(), df.schema)
+
+    state, rejected = P.fold_applications(apps, whole, keep)
+    assert len(made) == 1 and rejected.filter("reason IS NOT NULL").count() > 0
+    for df in (rejected, P.fold_applications(apps, whole)[1]):
+        ways.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join"))
+    assert ways[0] < ways[1]
+    assert rows(kept.rows(spark), *apps.columns) == rows(state, *apps.columns)
+    assert rows(kept.rejected(spark), "change_id", "reason") == rows(rejected, "change_id", "reason")
+
+
+@pytest.mark.parametrize("by_time", [False, True])
+def test_slices_arrive_whole(spark, tmp_path, by_time):
+    """Every slice has the same number of files, each with rows, whether the table is in the order of time or not."""
+    from proofmark.plans import streams
+
+    rnd = random.Random(4)
+    times = [T0 + timedelta(days=rnd.random() * 90) for _ in range(600)]
+    for k in range(3):
+        part = sorted(times)[k * 200 : (k + 1) * 200] if by_time else times[k * 200 : (k + 1) * 200]
+        spark.createDataFrame([(n + 200 * k, t) for n, t in enumerate(part)], "id long, at timestamp").coalesce(1).write.parquet(f"{tmp_path}/log.parquet/{k}")
+    split = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 30))  # a partition per file
+    try:
+        frame = spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp_path}/log.parquet")
+        assert frame.rdd.getNumPartitions() == 3
+        seen = []
+        read = streams.table
+        streams.table = lambda *_: frame
+        try:
+            stream = streams.arriving(spark, "", "log", streams.F.col("at"))
+        finally:
+            streams.table = read
+        ran = stream.writeStream.foreachBatch(lambda b, n: seen.append((b.count(), len(b.inputFiles())))).option("checkpointLocation", f"{tmp_path}/c")
+        ran.trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", split)
+    assert sum(n for n, _ in seen) == 600 and len(seen) == streams.BATCHES
