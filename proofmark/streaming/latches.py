@@ -97,10 +97,14 @@ class _Group:
 
 
     def close(self, until: int, change=lambda x: x, new: Sequence[list] = ()) -> list[list]:
-        """Latches, changed and ``new`` ones, that close up to the millisecond ``until``; they leave the state."""
-        closed = []
+        """Latches, changed and ``new`` ones, that close up to the millisecond ``until``; they leave the state.
+
+        A new one takes the place of an open one with its id."""
+        closed, again = [], {x[0] for x in new}
 
         def after(latch: list) -> list | None:
+            if latch[0] in again:
+                return None
             if _due(latch := change(latch)) // 1000 > until:
                 return latch
             closed.append(latch)
@@ -130,7 +134,7 @@ class Latch(StatefulProcessor):
         timer = group.closes()
         if asked:
             after_all = _Index(group.rows(MESSAGES) + new)
-            asked = [after_all.latched(x) for x in asked]
+            asked = list({x[0]: after_all.latched(x) for x in asked}.values())  # one latch per id, the last asked
         passed = watermark * 1000
         on_time = sorted((m for m in new if m[0] >= passed), key=lambda m: m[0])
         group.replace(MESSAGES, lambda m: m if m[0] >= passed else None, on_time)
