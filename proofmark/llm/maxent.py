@@ -14,7 +14,8 @@ touch the rows of a batch's features only.
 
 Counts of all training words stay a table. Those of words with a share of at least 1 in ``FREQUENT`` (fewer than
 that many) go to the tasks, the rest are joined to the documents' rare words, one row per document and word.
-Words are told apart by 64-bit hashes; the last bits are the class of a rare word.
+Words are told apart by 64-bit hashes; the last bits are the class of a rare word. The words of a batch are found and
+hashed together in numpy, so that no word of up to 16 bytes is a Python object.
 
 Defined cases: null text counts as empty (one end token); a very long text is read whole, its gradient and score in batches
 of ``STEP`` tokens; words with equal counts are ranked by their hash; a null id counts as the empty text for the fold; rows that
@@ -25,8 +26,7 @@ result; extra columns never clash.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
-from itertools import chain
+from itertools import chain, product
 from typing import NamedTuple
 
 import numpy as np
@@ -48,6 +48,7 @@ FEATURES = 3
 RATE = 0.15
 STEP = 4096  # tokens of a gradient step, or of a batch to score
 READ = 1 << 18  # tokens looked up at once
+COUNTED = 1 << 20  # words a task counts before it gives some back
 ROUNDS = 2
 BLOCKS = 16
 FAN = 64  # parts that one group of the tree adds up
@@ -60,43 +61,82 @@ def word_hash(word: bytes) -> int:
     return xxhash.xxh3_64_intdigest(word) & ~(TAILS - 1) | zlib.crc32(word[-2:]) % TAILS
 
 
-def tokens_of(text: bytes | None) -> list[bytes]:
-    words = (text or b"").lower().split()
-    words.append(END)
-    return words
-
-
-class Vocabulary(dict):
-    """Numbers of the words met so far, and by number their hashes, counts, classes and slots in the model."""
-
-    def __init__(self, model: Model):
-        super().__init__()
-        self.model = model
-        self.forget()
-
-    def forget(self) -> None:
-        self.clear()
-        self.new: list[int] = []
-        self.known = [np.zeros(0, t) for t in (np.uint64, np.int64, np.int32, np.int32)]
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self)
-        self.new.append(word_hash(word))
-        return number
-
-    def read(self, texts: list[list[bytes]]) -> Tokens:
-        if len(self) > 500_000:
-            self.forget()
-        size = sum(map(len, texts))
-        numbers = np.fromiter(map(self.__getitem__, chain.from_iterable(texts)), np.int32, size)
-        if self.new:
-            new = np.array(self.new, np.uint64)
-            self.known = [np.concatenate(x) for x in zip(self.known, (new, *self.model.look_up(new)))]
-            self.new = []
-        lengths = np.array([len(t) for t in texts])
-        first = np.zeros(size, bool)
-        first[np.cumsum(lengths) - lengths] = True
-        return Tokens(*(x[numbers] for x in self.known), first, lengths)
+class Words(NamedTuple):
+    """Hashes of the tokens of some texts, one text after the other; each ends in an end token."""
+
+    hashes: np.ndarray
+    lengths: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[bytes | None]) -> Words:
+        joined = END.join(t or b"" for t in texts).lower() + END
+        data = np.frombuffer(joined, np.uint8)
+        sizes = np.fromiter((len(t or b"") + 1 for t in texts), np.int64, len(texts))
+        apart = np.concatenate([[True], SPACES[data], [True]])
+        edges = np.flatnonzero(apart[1:] != apart[:-1])
+        starts, ends = edges[::2], edges[1::2]
+        words = np.diff(np.searchsorted(starts, np.cumsum(sizes)), prepend=0)
+        hashes = np.full(len(starts) + len(texts), word_hash(END), np.uint64)
+        of_word = np.arange(len(starts)) + np.repeat(np.arange(len(texts)), words)
+        for at in range(0, len(starts), READ):
+            s = slice(at, at + READ)
+            hashes[of_word[s]] = hashes_of(joined, data, starts[s], ends[s])
+        return cls(hashes, words + 1)
+
+
+SPACES = np.zeros(256, bool)
+SPACES[[0x20, *range(0x09, 0x0E)]] = True
+# The classes of a word's last two bytes; the lines after the first 256 are of single bytes.
+CLASSES = np.array(
+    [zlib.crc32(bytes(w)) % TAILS for w in chain(product(range(256), repeat=2), zip(range(256)))], np.uint64
+)
+
+
+def _shift(h: np.ndarray, by: int) -> np.ndarray:
+    return h ^ (h >> np.uint64(by))
+
+
+def _turn(h: np.ndarray, by: int) -> np.ndarray:
+    return (h << np.uint64(by)) | (h >> np.uint64(64 - by))
+
+
+def _folded(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The upper half of the 128-bit products, exclusive or the lower half."""
+    half, low = np.uint64(32), np.uint64(0xFFFFFFFF)
+    al, ah, bl, bh = a & low, a >> half, b & low, b >> half
+    cross = ah * bl + (al * bl >> half)
+    other = al * bh + (cross & low)
+    return (ah * bh + (cross >> half) + (other >> half)) ^ (a * b)
+
+
+def hashes_of(joined: bytes, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """``word_hash`` of the words ``joined[start:end]``: XXH3 (64 bits) by its definition for up to 16 bytes, together.
+
+    ``data`` are the bytes of ``joined``. Only longer words go one by one.
+    """
+    n = ends - starts
+    out = np.empty(len(n), np.uint64)
+    read = lambda t, at: np.ndarray(max(0, len(joined) - np.dtype(t).itemsize + 1), t, joined, strides=1)[at].astype(np.uint64)
+    k = np.flatnonzero(n <= 3)
+    s, e, m = starts[k], ends[k], n[k]
+    byte = lambda at: np.take(data, at).astype(np.uint64)
+    x = byte(s) << np.uint64(16) | byte(s + (m >> 1)) << np.uint64(24) | byte(e - 1) | (m << 8).astype(np.uint64)
+    x = _shift(x ^ np.uint64(0x87275A9B), 33) * np.uint64(0xC2B2AE3D27D4EB4F)
+    out[k] = _shift(_shift(x, 29) * np.uint64(0x165667B19E3779F9), 32)
+    k = np.flatnonzero((n > 3) & (n <= 8))
+    s, e, m = starts[k], ends[k], n[k].astype(np.uint64)
+    x = (read("<u4", e - 4) + (read("<u4", s) << np.uint64(32))) ^ np.uint64(0xC73AB174C5ECD5A2)
+    x = (x ^ _turn(x, 49) ^ _turn(x, 24)) * np.uint64(0x9FB21C651E98DF25)
+    out[k] = _shift((x ^ ((x >> np.uint64(35)) + m)) * np.uint64(0x9FB21C651E98DF25), 28)
+    k = np.flatnonzero((n > 8) & (n <= 16))
+    s, e, m = starts[k], ends[k], n[k].astype(np.uint64)
+    low, high = read("<u8", s) ^ np.uint64(0x6782737BEA4239B9), read("<u8", e - 8) ^ np.uint64(0xAF56BC3B0996523A)
+    x = _shift(m + low.byteswap() + high + _folded(low, high), 37) * np.uint64(0x165667919E3779F9)
+    out[k] = _shift(x, 32)
+    k = np.flatnonzero(n > 16)
+    out[k] = [xxhash.xxh3_64_intdigest(joined[a:b]) for a, b in zip(starts[k].tolist(), ends[k].tolist())]
+    last = np.where(n > 1, np.take(data, np.maximum(ends - 2, 0)).astype(np.int64) << 8, 1 << 16) + np.take(data, ends - 1)
+    return out & ~np.uint64(TAILS - 1) | CLASSES[last]
 
 
 class Tokens(NamedTuple):
@@ -109,6 +149,18 @@ class Tokens(NamedTuple):
     first: np.ndarray
     lengths: np.ndarray
 
+    @classmethod
+    def of(cls, words: Words, model: Model) -> Tokens:
+        size, lengths = len(words.hashes), words.lengths
+        known = np.empty(size, np.int64), np.empty(size, np.int32), np.empty(size, np.int32)
+        for at in range(0, size, READ):
+            s = slice(at, at + READ)
+            for all_, part in zip(known, model.look_up(words.hashes[s])):
+                all_[s] = part
+        first = np.zeros(size, bool)
+        first[np.cumsum(lengths) - lengths] = True
+        return cls(words.hashes, *known, first, lengths)
+
 
 class Model:
     """Classes from the counts, and the weights."""
@@ -213,59 +265,71 @@ class Model:
                     touched, step = sums_by_row(row, slope)
                     seen = np.take(past, touched, axis=0)
                     seen += step * step
-                    past[touched] = seen
+                    put(past, touched, seen)
                     step *= RATE
                     step /= np.sqrt(seen, out=seen)
-                    w[touched] -= step
+                    np.take(w, touched, axis=0, out=seen, mode="clip")
+                    seen -= step
+                    put(w, touched, seen)
 
 
 def sums_by_row(row: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct numbers in ``row``, and for each the sum of its lines of ``values``."""
     order = np.argsort(row, kind="stable")  # a radix sort, as the numbers have 16 bits
     sorted_ = row[order]
-    starts = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
+    new = np.ones(len(row) + 1, bool)
+    np.not_equal(sorted_[1:], sorted_[:-1], out=new[1:-1])
+    starts = np.flatnonzero(new[:-1])
     out = np.take(values, order[starts], axis=0)
-    counts = np.diff(np.append(starts, len(row)))
-    several = np.flatnonzero(counts > 1)
-    if len(several):  # most occur once in a batch and need no sum
-        n = counts[several]
-        begins = np.cumsum(n) - n
-        lines = np.repeat(starts[several] - begins, n) + np.arange(n.sum())
+    lines = np.flatnonzero(~(new[:-1] & new[1:]))
+    if len(lines):  # most occur once in a batch and need no sum
+        begins = np.flatnonzero(new[lines])
+        several = np.flatnonzero(~new[starts + 1])
         out[several] = np.add.reduceat(np.take(values, order[lines], axis=0), begins, axis=0)
     return sorted_[starts].astype(np.int64), out
 
 
-def _texts(batches, vocabulary: Vocabulary, column: int):
+def put(table: np.ndarray, at: np.ndarray, lines: np.ndarray) -> None:
+    """``table[at] = lines``, a whole line of each as one item, which is faster."""
+    item = np.dtype((np.void, table.shape[1] * table.itemsize))
+    table.view(item)[at] = lines.view(item)
+
+
+def _texts(batches, model: Model, column: int):
     """(rows, their tokens) for about ``READ`` tokens at a time."""
     for b in batches:
-        at = 0
-        texts, size = [], 0
-        for k, text in enumerate(b.column(column).to_pylist()):
-            texts.append(tokens_of(text))
-            size += len(texts[-1])
-            if size >= READ or k == b.num_rows - 1:
-                yield b.slice(at, len(texts)), vocabulary.read(texts)
-                at, texts, size = k + 1, [], 0
+        at, size = 0, 0
+        hashes, lengths = Words.of(b.column(column).to_pylist())
+        ends = np.cumsum(lengths)
+        for k, end in enumerate(ends.tolist()):
+            if end - size >= READ or k == b.num_rows - 1:
+                yield b.slice(at, k + 1 - at), Tokens.of(Words(hashes[size:end], lengths[at : k + 1]), model)
+                at, size = k + 1, end
 
 
 def _counts(rows: DataFrame) -> DataFrame:
     """Written counts (word, n) of the training tokens."""
 
-    def run(batches):
-        counts = Counter()
+    def added(parts):
+        words, n = (np.concatenate(x) for x in zip(*parts))
+        distinct, at = np.unique(words, return_inverse=True)
+        return distinct, np.bincount(at, n, len(distinct)).astype(np.int64)
 
-        def full():
-            words = np.array([word_hash(w) for w in counts], np.uint64).view(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(words), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+    def full(words, n):
+        for at in range(0, len(words), READ):
+            part = words[at : at + READ].view(np.int64), n[at : at + READ]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in part], ["word", "n"])
 
+    def run(batches):
+        met = []
         for b in batches:
-            for text in b.column(0).to_pylist():
-                counts.update(tokens_of(text))
-                if len(counts) > 400_000:
-                    yield full()
-                    counts.clear()
-        if counts:
-            yield full()
+            met.append(np.unique(Words.of(b.column(0).to_pylist()).hashes, return_counts=True))
+            if sum(len(words) for words, _ in met) > COUNTED:
+                met = [added(met)]
+                if len(met[0][0]) > COUNTED // 2:
+                    yield from full(*met.pop())
+        if met:
+            yield from full(*added(met))
 
     seen = by_arrow(rows.filter("NOT held_out").select("text"), run, "word long, n long")
     return written(seen.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
@@ -309,7 +373,7 @@ def fit(rows: DataFrame, counts: DataFrame) -> Model:
             mine = object.__new__(Model)
             mine.__dict__ = old.__dict__ | {"weights": [w.copy() for w in old.weights]}
             squares = [np.ones_like(w) for w in old.weights]
-            for _, read in _texts(batches, Vocabulary(old), 0):
+            for _, read in _texts(batches, old, 0):
                 mine.learn(read, squares)
                 tokens += len(read.hashes)
             if tokens:
@@ -348,7 +412,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 
     def run(batches):
         model = shared.value
-        for b, read in _texts(batches, Vocabulary(model), 3):
+        for b, read in _texts(batches, model, 3):
             h, count, slot, lengths = read.hashes, read.counts, read.slots, read.lengths
             doc = np.repeat(np.arange(len(lengths)), lengths)
             known = count >= 0

@@ -113,3 +113,42 @@ def test_empty_and_untrained(spark):
     only = next(i for i in range(100) if held(i))
     r = M.score(spark.createDataFrame([(only, "a b", "x", 1)], SCHEMA)).first()
     assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score) == (True, 3, 0, 0, 0.0)
+
+
+def test_words_of_a_batch_are_hashed_together(monkeypatch):
+    rnd = random.Random(5)
+    spaces = " \t\n\v\f\r"
+    texts = [None, b"", b" ", b"A", "É\u00a0\u2028\x1c b".encode()]
+    for size in range(1, 40):
+        words = [bytes(rnd.choice(b"abXYZ09\xc3\xa9.\x00") for _ in range(size)) for _ in range(5)]
+        texts.append(rnd.choice(spaces).encode().join(words) + rnd.choice(["", *spaces]).encode())
+    want = [(t or b"").lower().split() + [M.END] for t in texts]
+    out = M.Words.of(texts)
+    assert out.lengths.tolist() == [len(w) for w in want]
+    assert out.hashes.tolist() == [M.word_hash(w) for words in want for w in words]
+    calls = []
+    monkeypatch.setattr(M, "word_hash", lambda w: calls.append(w) or 0)
+    monkeypatch.setattr(M.xxhash, "xxh3_64_intdigest", lambda w: calls.append(w) or 0)
+    out = M.Words.of([b" ".join(b"word%d" % i for i in range(5000)), b"a" * 17])
+    assert len(set(out.hashes.tolist())) == 5002 and calls == [M.END, b"a" * 17]
+    assert [len(x) for x in M.Words.of([])] == [0, 0]
+
+
+def test_counts_given_back_in_parts_add_up(spark, monkeypatch):
+    rows = spark.createDataFrame([(f"w{i % 70} same",) for i in range(200)], "text string").selectExpr("CAST(text AS binary) text", "false AS held_out")
+    want = {M.word_hash(b"w%d" % i): 3 if i < 60 else 2 for i in range(70)} | {M.word_hash(b"same"): 200, M.word_hash(M.END): 200}
+    for counted in (M.COUNTED, 16):
+        monkeypatch.setattr(M, "COUNTED", counted)
+        assert {r.word % (1 << 64): r.n for r in M._counts(rows.coalesce(1)).collect()} == want
+
+
+def test_lines_are_summed_and_put_by_row():
+    rng = np.random.default_rng(1)
+    for rows in (np.array([4]), np.array([3, 3, 3]), rng.integers(0, 300, 1000)):
+        values = rng.normal(0, 1, (len(rows), 5)).astype(np.float32)
+        at, sums = M.sums_by_row(rows.astype(np.uint16), values)
+        whole = np.zeros((300, 5))
+        np.add.at(whole, rows, values)
+        table = np.zeros((300, 5), np.float32)
+        M.put(table, at, sums)
+        assert at.tolist() == sorted(set(rows.tolist())) and np.allclose(table, whole, atol=1e-5)
