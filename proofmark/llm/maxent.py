@@ -218,11 +218,12 @@ class Model:
         """Logits less a common bound, their exponentials, and the sums of these by token."""
         w = self.weights[k]
         x = np.take(w, rows[0], axis=0, mode="clip")
+        more = np.empty_like(x)
         for i in range(1, FEATURES):
-            x += np.take(w, rows[i], axis=0, mode="clip")
+            x += np.take(w, rows[i], axis=0, out=more, mode="clip")
         x += bias
         x -= x.max()  # of the whole batch, which is faster than one by token
-        powers = np.exp(x)
+        powers = np.exp(x, out=more)
         total = powers @ np.ones(x.shape[1], np.float32)
         if total.min() < 1e-30:  # a token far below the others
             x -= x.max(axis=1, keepdims=True)
@@ -236,7 +237,7 @@ class Model:
         head = np.nonzero(slot >= 0)[0]
         if len(head):
             mixed = (f[:, head] * 31 + cls[head].astype(np.int64) * 0x9E3779B1) % ((1 << 31) - 1)
-            yield 1, self.slot_bias[cls[head]], (mixed % SLOT_ROWS).astype(np.uint16), slot[head], head
+            yield 1, np.take(self.slot_bias, cls[head], axis=0), (mixed % SLOT_ROWS).astype(np.uint16), slot[head], head
 
     def score(self, tokens: Tokens) -> np.ndarray:
         """log10 P of each token, but for the log10 (count + 1) of those without a slot."""
@@ -257,13 +258,13 @@ class Model:
         for at in range(0, len(cls), STEP):
             s = slice(at, at + STEP)
             for k, bias, rows, wanted, _ in self.parts(f[:, s], cls[s], slot[s]):
-                _, slope, total = self._exponents(k, bias, rows)
+                free, slope, total = self._exponents(k, bias, rows)
                 slope /= total[:, None]
                 slope[np.arange(len(wanted)), wanted] -= 1
                 w, past = self.weights[k], squares[k]
                 for row in rows:
                     touched, step = sums_by_row(row, slope)
-                    seen = np.take(past, touched, axis=0)
+                    seen = np.take(past, touched, axis=0, out=free[: len(touched)], mode="clip")
                     seen += step * step
                     put(past, touched, seen)
                     step *= RATE
