@@ -108,10 +108,15 @@ def _landed(spark: SparkSession, store: str, days: str = "*") -> DataFrame:
     return read.parquet(f"{store}/messages/day={days}").filter("batch >= 0")
 
 
+def _span(e: DataFrame):
+    """The first and the last day of the windows of expectations that have their timeouts."""
+    until = F.timestamp_micros(F.unix_micros("registered_at") + F.col("timeout_ms") * 1000)
+    return e.agg(F.to_date(F.min("registered_at")).alias("first"), F.to_date(F.max(until)).alias("last")).first()
+
+
 def _history(spark: SparkSession, store: str, fresh: DataFrame, batch_id: int) -> DataFrame:
     """Messages landed so far on the days that the windows of ``fresh`` span."""
-    until = F.timestamp_micros(F.unix_micros("registered_at") + F.col("timeout_ms") * 1000)
-    bounds = fresh.agg(F.to_date(F.min("registered_at")).alias("first"), F.to_date(F.max(until)).alias("last")).first()
+    bounds = _span(fresh)
     seen = spark.read.schema("latest timestamp").parquet(f"{store}/horizon/batch={batch_id}")
     latest = seen.select(F.to_date("latest")).first()[0]
     days = [MARKER_DAY]
@@ -247,12 +252,15 @@ def verdicts(spark: SparkSession, store: str) -> DataFrame:
 def close(spark: SparkSession, store: str, expectations: Expectations | None = None) -> DataFrame:
     """All verdicts at the end of a replay: the stream's own, and the batch form for what is still open.
 
-    Expectations that came as a stream are in the store.
+    Expectations that came as a stream are in the store. Of the landed messages, only the days that the open windows
+    span are read.
     """
     done = verdicts(spark, store)
     asked = expectations(spark) if expectations else spark.read.schema(schemas.EXPECTATIONS).parquet(f"{store}/asked")
     rest = asked.join(done.select("expectation_id"), "expectation_id", "left_anti")
-    return done.unionByName(V.verify(_landed(spark, store).drop("day", "batch"), rest))
+    bounds = _span(V.with_default_timeout(rest))
+    seen = _landed(spark, store).filter(F.col("day").between(F.lit(bounds["first"]), F.lit(bounds["last"])))
+    return done.unionByName(V.verify(seen.drop("day", "batch"), rest))
 
 
 def satisfied(

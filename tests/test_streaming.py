@@ -74,6 +74,28 @@ def test_gap_of_days_and_repeated_batch(spark, tmp_path):
     assert rows(verification.close(spark, store, expectations)) == rows(batch)
 
 
+def test_close_reads_the_days_of_open_windows(spark, tmp_path, monkeypatch):
+    folder, store = str(tmp_path / "in"), str(tmp_path / "store")
+    day = 86_400
+    messages = [("t", "k", "A", None, str(i), at(i * day), i) for i in range(12)]
+    e = [(i, "r", "t", key, "PRESENCE", kind, None, at(s * day), t) for i, (key, kind, s, t) in enumerate(
+        [("k", "A", 0, day * 1000), ("k", "B", 1, day * 1000), ("k", "B", 9.5, 2 * day * 1000), ("j", "B", 11, -1), (None, "B", 11, day * 1000)]
+    )]
+    land(spark, folder, messages)
+    asked = spark.createDataFrame(e, schemas.EXPECTATIONS)
+    verification.start(source(spark, folder), lambda session: session.createDataFrame(e, schemas.EXPECTATIONS), store, delay_ms=day * 1000).awaitTermination()
+    batch = rows(V.verify(spark.createDataFrame(messages, schemas.MESSAGES), asked))
+    read, verify = [], V.verify
+    monkeypatch.setattr(V, "verify", lambda m, rest: read.append(m) or verify(m, rest))
+    assert rows(verification.close(spark, store, lambda session: session.createDataFrame(e, schemas.EXPECTATIONS))) == batch
+    assert sorted(r.offset for r in read[0].collect()) == [9, 10, 11]
+    every = [(9, *e[0][1:])]  # a stream that has decided all
+    store = str(tmp_path / "store2")
+    verification.start(source(spark, folder), lambda session: session.createDataFrame(every, schemas.EXPECTATIONS), store).awaitTermination()
+    assert len(rows(verification.close(spark, store, lambda session: session.createDataFrame(every, schemas.EXPECTATIONS)))) == 1
+    assert read[1].count() == 0
+
+
 def test_late_rows_restarts_and_compaction(spark, tmp_path, monkeypatch, compact=2):
     """Messages in shuffled files, late by less than the delay; expectations that come after their messages."""
     import random
