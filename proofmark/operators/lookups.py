@@ -276,9 +276,13 @@ def prefill(df: DataFrame, properties: Sequence[str]) -> DataFrame:
 
 
 def flatten_submissions(df: DataFrame) -> DataFrame:
-    """One row per variant of each document; one variant is one physical file."""
+    """One row per variant of each document; one variant is one physical file.
+
+    For an inner explode Spark infers a filter that builds the documents twice more. A submission without documents has
+    no variants and goes with the second one.
+    """
     documents = df.select(
-        "submission_id", "theme", F.posexplode("documents").alias("document_no", "d")
+        "submission_id", "theme", F.posexplode_outer("documents").alias("document_no", "d")
     )
     return documents.select(
         "submission_id",

@@ -9,6 +9,8 @@ from proofmark.operators import lookups as J
 from proofmark.plans import standins as S
 from proofmark.plans.registry import cents, plain, query, table
 
+UNFOLDED = 3 << 18  # bytes of text that a task unfolds, about
+
 
 @query(
     f"""SELECT * FROM ({S.APPLICATIONS_SQL}) WHERE form_no = '2-HIGH' AND app_type IN ('{v.APPLICATION_TYPES[1]}')"""
@@ -401,7 +403,11 @@ def prefill(spark, sf):
 
 
 def nested_turns(spark, sf):
-    """Each document as a submission of as many documents as it has lines, each line's words as variants."""
+    """Each document as a submission of as many documents as it has lines, each line's words as variants.
+
+    Unfolded, each word has its whole line as title. Texts are dealt out so finely that a file's lines fit Parquet's
+    dictionary (1 MB a column); beyond it every row would be written with its line.
+    """
     words = lambda x: F.transform(
         F.split(x, " "),
         lambda w: F.struct(
@@ -414,7 +420,9 @@ def nested_turns(spark, sf):
             F.lit("F").alias("form_no"), (i == 0).alias("is_main"), x.alias("title"), words(x).alias("variants")
         ),
     )
-    return table(spark, sf, "documents").select(
+    texts = table(spark, sf, "documents").select("doc_id", "lang", "text")
+    tasks = 1 + (texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // UNFOLDED
+    return texts.repartition(tasks).select(
         F.col("doc_id").cast("string").alias("submission_id"), F.col("lang").alias("theme"), documents.alias("documents")
     )
 

@@ -314,3 +314,24 @@ def test_stable_uuid_hashes_once(spark):
     h = [hashlib.sha256(f"1:{i}|1:x".encode()).hexdigest() for i in range(3)]
     assert [r.u for r in ids.collect()] == [f"{x[:8]}-{x[8:12]}-{x[12:16]}-{x[16:20]}-{x[20:32]}" for x in h]
     assert ids._jdf.queryExecution().analyzed().toString().count("sha2(") == 1
+
+
+def test_submissions_without_documents_or_variants_have_no_rows(spark):
+    variants = "array<struct<id string, media_type string, file_name string, file_type string>>"
+    kind = f"submission_id string, theme string, documents array<struct<form_no string, is_main boolean, title string, variants {variants}>>"
+    x = ("i", "m", "n", "t")
+    rows = [
+        ("a", "T", [("F", True, "one", [x, None]), None, ("G", None, None, []), ("H", False, "two", None), ("K", False, None, [x])]),
+        ("b", "T", []), ("c", None, None), (None, None, [(None, None, None, [x])]),
+    ]
+    out = J.flatten_submissions(spark.createDataFrame(rows, kind))
+    assert out.columns == [
+        "submission_id", "theme", "document_no", "form_no", "is_main", "title", "variant_no", "id", "media_type", "file_name", "file_type",
+    ]
+    assert sorted((tuple(r) for r in out.collect()), key=repr) == sorted(
+        [
+            ("a", "T", 0, "F", True, "one", 0, *x), ("a", "T", 0, "F", True, "one", 1, None, None, None, None),
+            ("a", "T", 4, "K", False, None, 0, *x), (None, None, 0, None, None, None, 0, *x),
+        ],
+        key=repr,
+    )

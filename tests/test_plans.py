@@ -1,5 +1,8 @@
 """Physical plans of the lookups: no pairs, no Python, pruned scans."""
 
+import random
+
+import pyarrow.parquet as pq
 import pytest
 
 import __spark_entry__ as entry
@@ -52,3 +55,37 @@ def test_each_pass_reads_the_messages_once(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert text.count("/lineitem.parquet") == 2
+
+
+def test_unfolded_words_are_not_written_with_their_lines(spark, tmp_path):
+    """3 MB of different lines in one file: each word's row refers to its line, and the documents are built once."""
+    rnd = random.Random(11)
+    line = lambda: " ".join(f"{rnd.randrange(1 << 32):x}" for _ in range(40))
+    rows = [(i, "\n".join(line() for _ in range(9)), "en") for i in range(1000)]
+    rows += [(None, "a b\n\nc", None), (7, None, "en"), (7, "", "en"), rows[5], rows[5]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    out = entry.queries()["flatten_submissions"](spark, str(tmp_path))
+    filters = [x for x in out._jdf.queryExecution().executedPlan().toString().splitlines() if "Filter" in x]
+    assert not any("transform(" in x for x in filters)
+    out.write.parquet(f"{tmp_path}/out")
+    bytes_, found = 0, 0
+    for f in (tmp_path / "out").glob("*.parquet"):
+        meta = pq.ParquetFile(f).metadata
+        found += meta.num_rows
+        for g in range(meta.num_row_groups):
+            columns = [meta.row_group(g).column(k) for k in range(meta.num_columns)]
+            bytes_ += sum(c.total_uncompressed_size for c in columns if c.path_in_schema == "title")
+    assert found == 1002 * 360 + 5
+    assert bytes_ < 2 * sum(len(r[1] or "") for r in rows)
+    few = spark.read.parquet(f"{tmp_path}/out").filter("submission_id IS NULL OR length(title) = 0")
+    assert sorted((tuple(r) for r in few.collect()), key=repr) == sorted(
+        [
+            (None, None, 0, 0, True, "a b", "a"), (None, None, 0, 1, True, "a b", "b"), (None, None, 1, 0, False, "", ""),
+            (None, None, 2, 0, False, "c", "c"), ("7", "en", 0, 0, True, "", ""),
+        ],
+        key=repr,
+    )
+    words = spark.read.parquet(f"{tmp_path}/out").filter("submission_id = '5'")
+    want = [("5", "en", n, k, n == 0, x, w) for n, x in enumerate(rows[5][1].split("\n")) for k, w in enumerate(x.split(" "))]
+    assert sorted(map(tuple, words.collect())) == sorted(3 * want)
