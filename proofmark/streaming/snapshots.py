@@ -17,7 +17,8 @@ So a repeated batch, after a lost executor or a restart, changes nothing.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,6 +64,27 @@ def _there(spark: SparkSession, p: str) -> bool:
     return files.exists(path)
 
 
+@contextmanager
+def sizes_as_measured(spark: SparkSession) -> Iterator[None]:
+    """Joins planned meanwhile are broadcast by the size that adaptive execution has measured, never by that of files.
+
+    A store's files are compressed and its columns repeat their values, so a file of a few MB may hold rows that do not
+    fit the driver. Without adaptive execution nothing is broadcast.
+    """
+    planned, measured = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    limit, own = spark.conf.get(planned), spark.conf.get(measured, None)
+    spark.conf.set(measured, own or limit)
+    spark.conf.set(planned, "-1")
+    try:
+        yield
+    finally:
+        spark.conf.set(planned, limit)
+        if own:
+            spark.conf.set(measured, own)
+        else:
+            spark.conf.unset(measured)
+
+
 class Snapshots:
     """A store of one table's versions: ``key`` names a row, ``fold`` takes (rows, changes) to (rows, rejected).
 
@@ -169,9 +191,10 @@ class Snapshots:
         touched = [r.bucket for r in due.select(self._bucket()).distinct().collect()]  # at most ``buckets``
         if touched:
             keep = [lambda df: self._kept(df, batch_id)] if self.keeps else []
-            state, rejected = self.fold(self.rows(spark, batch_id - 1, touched), due, *keep)
-            rejected.write.mode("overwrite").parquet(f"{self.store}/rejected/batch={batch_id}")
-            written = self._write_rows(state.select(*self.schema.names), batch_id)
+            with sizes_as_measured(spark):
+                state, rejected = self.fold(self.rows(spark, batch_id - 1, touched), due, *keep)
+                rejected.write.mode("overwrite").parquet(f"{self.store}/rejected/batch={batch_id}")
+                written = self._write_rows(state.select(*self.schema.names), batch_id)
             version = {b: n for b, n in version.items() if b not in touched} | dict.fromkeys(written, batch_id)
         self._commit(spark, batch_id, version, horizon)
         for kind in ("arrived", "pending", "kept"):  # a repeated step still finds those of the batch before

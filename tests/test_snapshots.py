@@ -163,6 +163,28 @@ def test_changes_are_judged_once(spark, tmp_path):
     assert rows(kept.rejected(spark), "change_id", "reason") == rows(rejected, "change_id", "reason")
 
 
+def test_a_small_file_is_no_small_table(spark, tmp_path):
+    """Files of a store say little about their rows in memory, so a step plans no broadcast by their size."""
+    apps = spark.createDataFrame([(k, "u", "f", "start", 0, v.CREATED, "A", T0) for k in range(400)], APPS)
+    limits = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before, plans = [spark.conf.get(c, None) for c in limits], []
+
+    def fold(known, changes):
+        out = P.fold_applications(known, changes)
+        plans.extend(df._jdf.queryExecution().executedPlan().toString() for df in out)
+        plans.append(spark.conf.get(limits[1]))
+        return out
+
+    kept = store(spark, tmp_path)
+    kept.fold = fold
+    kept.start(apps)
+    kept.step(spark.createDataFrame(log(7, 60, 40), LOG), 0, until=P.AFTER)
+    assert len(plans) == 3 and not any("BroadcastHashJoin" in p for p in plans) and all("SortMergeJoin" in p for p in plans[:2])
+    assert plans[2] == before[0] and [spark.conf.get(c, None) for c in limits] == before
+    state, _ = P.fold_applications(apps, spark.createDataFrame(log(7, 60, 40), LOG))
+    assert rows(kept.rows(spark), *apps.columns) == rows(state, *apps.columns)
+
+
 @pytest.mark.parametrize("by_time", [False, True])
 def test_slices_arrive_whole(spark, tmp_path, by_time):
     """Every slice has the same number of files, each with rows, whether the table is in the order of time or not."""
