@@ -29,11 +29,11 @@ HOT, HOT_KEYS, SAMPLE = 1 << 18, 1000, 1 << 8
 
 
 def _with_hot(line: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Adds whether a row's key is hot. The few hot keys are joined by hash; the limit tells Spark that they are few."""
+    """Adds whether a row's key is hot. The few hot keys are joined by hash; as their number is limited they are broadcast."""
     sampled = line.filter(F.pmod(F.xxhash64(*by, "at"), F.lit(SAMPLE)) == 0).select(*by, "at").distinct()
     counts = sampled.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= HOT // SAMPLE)
     most = counts.orderBy(F.desc("n")).limit(HOT_KEYS).select(F.xxhash64(*by).alias("_hash"), F.lit(True).alias("_hot")).distinct()
-    return line.withColumn("_hash", F.xxhash64(*by)).join(most, "_hash", "left").withColumn("hot", F.col("_hot").isNotNull()).drop("_hash", "_hot")
+    return line.withColumn("_hash", F.xxhash64(*by)).join(F.broadcast(most), "_hash", "left").withColumn("hot", F.col("_hot").isNotNull()).drop("_hash", "_hot")
 
 
 def slot_of(at: Column, width: int | None) -> Column:
@@ -124,6 +124,22 @@ def nearest(
     )
 
 
+def following(rows: DataFrame, by: Sequence[str], width: int) -> DataFrame:
+    """``rows``, one per ``(*by, at)``, with ``next``, the next greater ``at`` of their key.
+
+    What ``nearest`` gives for points just behind the rows, but the rows answer themselves: they are shuffled once and
+    nothing is joined back, save one row per slot of a hot key. ``at`` is a long and not null.
+    """
+    by = list(by)
+    keys = [*by, "slot"]
+    placed = _with_hot(rows, by).withColumn("slot", F.when(F.col("hot"), slot_of(F.col("at"), width)).otherwise(F.lit(0)))
+    inside = placed.select(*rows.columns, "slot", F.lead("at").over(Window.partitionBy(*keys).orderBy("at")).alias("inside"))
+    # The first row whole, not its time alone: with all columns in use, both readers of ``rows`` share its shuffle.
+    firsts = placed.filter("hot").groupBy(*keys).agg(F.min(F.struct("at", *[c for c in rows.columns if c != "at"])).alias("first"))
+    later = firsts.select(*keys, F.lead("first.at").over(Window.partitionBy(*by).orderBy("slot")).alias("later"))
+    return inside.join(later, keys, "left").select(*rows.columns, F.coalesce("inside", "later").alias("next"))
+
+
 def running_count(facts: DataFrame, by: Sequence[str], width: int | None, weight: str | None = None) -> DataFrame:
     """``(*by, at, before, count)``: how many facts lie before and up to each distinct time.
 

@@ -60,6 +60,17 @@ def test_late_changes_split_intervals(spark, tmp_path):
         assert all(a[1] == b[0] for a, b in zip(own, own[1:])) and own[-1][1] is None
 
 
+def test_intervals_are_not_joined_with_themselves(spark):
+    """A start gets its end where it lies: a shuffle by time, one by slot, and those of the few hot keys."""
+    changes = spark.range(200).selectExpr("cast(id % 7 as string) AS key", "'X' AS archive_status", "timestamp_seconds(id * 13) AS ts", "id AS offset")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = H.intervals(changes)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Exchange hashpartitioning") <= 10 and "ReusedExchange" in plan and "Union" not in plan
+
+
 def test_series_of_polls(spark):
     """A series answers what its moments answer one by one, also for keys that repeat, lack changes or are null."""
     rnd = random.Random(8)

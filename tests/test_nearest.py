@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from proofmark.operators import nearest as lookup
-from proofmark.operators.nearest import nearest, running_count
+from proofmark.operators.nearest import following, nearest, running_count
 
 
 def facts_and_points(seed):
@@ -71,3 +71,16 @@ def test_running_count(spark, width):
         )
         for k, a, _ in facts
     }
+
+
+@pytest.mark.parametrize("hot", [1, 60, 1 << 18])
+@pytest.mark.parametrize("width", [1, 7, 1000])
+def test_following_is_brute_force(spark, monkeypatch, hot, width):
+    """Every key in slots, the hot one only, or none: the next time of a key is the same."""
+    monkeypatch.setattr(lookup, "SAMPLE", 1)
+    monkeypatch.setattr(lookup, "HOT", hot)
+    facts, _ = facts_and_points(hot + width)
+    times = sorted({(k, t) for k, t, _ in facts})
+    rows = spark.createDataFrame([(k, t, f"{k}{t}") for k, t in times], "key string, at long, name string")
+    got = {(r.key, r.at): (r.name, r.next) for r in following(rows, ["key"], width).collect()}
+    assert got == {(k, t): (f"{k}{t}", min((a for kk, a in times if kk == k and a > t), default=None)) for k, t in times}
