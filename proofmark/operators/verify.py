@@ -134,11 +134,17 @@ def _kinds(points: DataFrame, kind: str) -> Column:
     return points.select(F.collect_set(kind)).scalar()
 
 
+def _in_windows(facts: DataFrame, asking: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Facts that lie between the first start and the last end of their key's windows; no others can answer."""
+    spans = asking.groupBy(*by).agg(F.min("start_us").alias("from_us"), F.max("end_us").alias("to_us"))
+    return join_lookup(facts, spans, by, "inner").filter("at BETWEEN from_us AND to_us").drop("from_us", "to_us")
+
+
 def _with_hit(e: DataFrame, messages: DataFrame, slot_ms: int) -> DataFrame:
     """Adds ``hit_us``, the time of the first message of the window that passes the row's predicates.
 
     A message takes the form of each kind of lookup that is asked, and only those some row asks for by its
-    whole key reach the shuffles. They carry times only, so the aggregates are hash aggregates on longs.
+    whole key and time reach the lookup. They carry times only, so the aggregates are hash aggregates on longs.
     """
     by = ["topic", "who", "asked", "token"]
     points = e.select(*by, F.col("start_us").alias("at"))
@@ -147,10 +153,10 @@ def _with_hit(e: DataFrame, messages: DataFrame, slot_ms: int) -> DataFrame:
             "topic", "key", "event_type", "calls", micros("ts").alias("at"),
             F.explode(_kinds(points, "asked")).alias("asked"),
         )
-        .select("topic", _who("asked"), "asked", token_of("asked"), "at", F.col("at").alias("measure"))
+        .select("topic", _who("asked"), "asked", token_of("asked"), "at")
         .filter("who IS NOT NULL AND token IS NOT NULL")
     )
-    facts = join_lookup(facts, points.select(*by).distinct(), by, "left_semi")
+    facts = _in_windows(facts, e, by).withColumn("measure", F.col("at"))
     hit = nearest(points, facts, by, slot_ms * 1000, backward=False, sampled=False).select(
         *by, F.col("at").alias("start_us"), F.col("next").alias("first_us")
     )
@@ -192,7 +198,7 @@ def _with_seen(e: DataFrame, of: DataFrame, messages: DataFrame, slot_ms: int) -
         .select("topic", _who("place"), "place", "at", "measure")
         .filter("who IS NOT NULL")
     )
-    facts = join_lookup(facts, points.select(*by).distinct(), by, "left_semi")
+    facts = _in_windows(facts, of.withColumn("place", place), by)
     seen = nearest(points, facts, by, slot_ms * 1000, forward=False, sampled=False).select(
         *by, F.col("at").alias("end_us"), "last"
     )

@@ -116,3 +116,21 @@ def test_keyless_absence_is_rejected(spark, tables):
     verdicts = V.verify(tables[0], all_rows)
     assert verdicts.count() == len(rows)
     assert verdicts.filter("expectation_id = 13").first().satisfied is False
+
+
+def test_messages_outside_all_windows_go_before_the_lookup(spark, monkeypatch):
+    """Only messages within the span of their key's windows are ordered, in both lookups."""
+    messages = [entity("a", s) for s in (-50, -1, 0, 5, 20, 70, 90, 400)] + [entity("b", s) for s in (-9, 300)] + [entity("c", 3)]
+    keys = [(1, "r", "a", at(0)), (2, "r", "a", at(60)), (3, "r", "b", at(0)), (4, "r", None, at(350))]
+    keys = spark.createDataFrame(keys, "expectation_id long, run_id string, key string, registered_at timestamp")
+    seen = []
+
+    def nearest(points, facts, *args, **kw):
+        seen.append(sorted((r["who"], r["at"] // 1_000_000 - int(at(0).timestamp())) for r in facts.select("who", "at").collect()))
+        return lookup(points, facts, *args, **kw)
+
+    lookup = V.nearest
+    monkeypatch.setattr(V, "nearest", nearest)
+    got = V.has_entity(spark.createDataFrame(messages, schemas.MESSAGES), keys, ENTITIES, 30_000).collect()
+    assert {r.expectation_id: r.satisfied for r in got} == {1: True, 2: True, 3: False, 4: False}
+    assert seen == [[("a", s) for s in (0, 5, 20, 70, 90)], []]
